@@ -1 +1,118 @@
-"""Placeholder."""
+"""DuckDB oracles for the HTML queries.
+
+Pages from ``part``: the answer follows from the integers the page was
+built from. Driver ``pages``: regex extraction plus entity decoding of the
+entities that occur there.
+"""
+
+from __future__ import annotations
+
+from .fixtures import money
+from .html_fixtures import PER_PRICE, pages_cte
+from .oracles import oracle
+
+
+def decode(x: str) -> str:
+    return f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+
+
+def rx(pattern: str) -> str:
+    return decode(f"regexp_extract(html, '(?s){pattern}', 1)")
+
+
+oracle("page_scan", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+oracle(
+    "html_first_text",
+    f"""SELECT page_id, {rx('<title>(.*?)</title>')} AS title, {rx('<h1>(.*?)</h1>')} AS h1,
+  {rx('<div class="ad">(.*?)</div>')} AS ad, {rx('<footer>(.*?)</footer>')} AS footer,
+  CAST(NULL AS VARCHAR) AS brand, CAST(NULL AS VARCHAR) AS reject_reason FROM pages""",
+)
+oracle(
+    "html_attr",
+    f"""WITH l AS (
+  SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hs,
+         regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS ts FROM pages
+), u AS (
+  SELECT page_id, url, unnest(generate_series(0, len(hs) - 1)) AS ord, unnest(hs) AS href, unnest(ts) AS t FROM l
+)
+SELECT page_id, CAST(ord AS INTEGER) AS ord, {decode('href')} AS href, {decode('t')} AS text,
+  regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1) || {decode('href')} AS link FROM u""",
+)
+oracle("cards_per_page", "SELECT page_id, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n_cards FROM pages")
+
+J2 = "(SELECT 0 AS j UNION ALL SELECT 1)"
+oracle(
+    "html_cards",
+    f"""WITH {pages_cte('store_a')}
+SELECT page_id, CAST(j AS INTEGER) AS card, p_type AS category, p_type AS sub_category,
+  CASE WHEN k % 97 = 96 AND j = 1 THEN NULL ELSE (CASE WHEN k % 11 = 0 THEN p_name || ' & co' ELSE p_name END) || ' ' || CAST(j AS VARCHAR) END AS prd_name,
+  CASE WHEN k % 3 = 0 THEN NULL ELSE p_brand END AS prd_brand,
+  CASE WHEN (k + j) % 2 = 0 THEN '$' || {money('cents')} ELSE '$' || {money('cents - 50')} END AS prd_price,
+  CASE WHEN k % 29 = 28 AND j = 0 THEN NULL ELSE coalesce({PER_PRICE}, '') END AS prd_per_price,
+  CASE WHEN k % 5 = 1 THEN 'SAVE $1.00' || chr(10) || 'limit 2' END AS prd_discount,
+  'https://www.loblaws.ca/a/p/' || CAST(k AS VARCHAR) || CAST(j AS VARCHAR) || '_EA' AS prd_link,
+  CASE WHEN (k + j) % 4 = 0 THEN NULL ELSE 'https://img.example/' || CAST(k AS VARCHAR) || '_' || CAST(j AS VARCHAR) || '.png' END AS prd_img,
+  CASE WHEN k % 97 = 96 AND j = 1 THEN 'missing:prd_name' WHEN k % 29 = 28 AND j = 0 THEN 'missing:prd_per_price' END AS reject_reason
+FROM fpages, {J2} c WHERE k % 9 <> 0""",
+)
+oracle(
+    "html_fallback",
+    f"""WITH {pages_cte('store_a')}
+SELECT page_id, CAST(j AS INTEGER) AS card,
+  CASE WHEN (k + j) % 2 = 0 THEN '$' || {money('cents')} END AS price_regular,
+  CASE WHEN (k + j) % 2 = 1 THEN '$' || {money('cents - 50')} END AS price_sale,
+  CASE WHEN (k + j) % 2 = 0 THEN '$' || {money('cents')} ELSE '$' || {money('cents - 50')} END AS prd_price
+FROM fpages, {J2} c""",
+)
+oracle(
+    "html_empty_filter",
+    f"WITH {pages_cte('store_a')} SELECT page_id, '2 items' AS notice FROM fpages WHERE k % 9 <> 0",
+)
+oracle(
+    "html_page_count",
+    f"""WITH {pages_cte('store_a', 'pa')}, {pages_cte('store_b_listing', 'pb')}
+SELECT 'Loblaws' AS store, page_id, CAST(CASE WHEN k % 4 = 0 THEN 1 ELSE k % 5 END AS INTEGER) AS n_pages FROM pa
+UNION ALL
+SELECT 'HMart' AS store, page_id, CAST(CASE WHEN k % 3 = 0 THEN 1 ELSE k % 4 + 1 END AS INTEGER) AS n_pages FROM pb""",
+)
+oracle(
+    "page_urls",
+    f"""WITH {pages_cte('store_a', 'pa')}, {pages_cte('store_b_listing', 'pb')},
+a AS (SELECT page_id, url, unnest(generate_series(1, CASE WHEN k % 4 = 0 THEN 1 ELSE k % 5 END)) AS page_no FROM pa),
+b AS (SELECT page_id, url, unnest(generate_series(1, CASE WHEN k % 3 = 0 THEN 1 ELSE k % 4 + 1 END)) AS page_no FROM pb)
+SELECT 'Loblaws' AS store, page_id, CAST(page_no AS INTEGER) AS page_no, url || '?page=' || CAST(page_no AS VARCHAR) AS page_url FROM a
+UNION ALL
+SELECT 'HMart' AS store, page_id, CAST(page_no AS INTEGER) AS page_no,
+  CASE WHEN page_no = 1 THEN url ELSE url || '?p=' || CAST(page_no AS VARCHAR) END AS page_url FROM b""",
+)
+oracle(
+    "html_link_filter",
+    f"""WITH {pages_cte('nav')}
+SELECT page_id, 'https://www.loblaws.ca/c/' || CAST(k AS VARCHAR) || '/all' AS link FROM fpages
+UNION ALL SELECT page_id, 'https://www.loblaws.ca/c/' || CAST(k AS VARCHAR) || '/more' AS link FROM fpages WHERE k % 5 = 0""",
+)
+oracle(
+    "html_spec_table",
+    f"""WITH {pages_cte('store_b_product')}
+SELECT page_id, p_brand AS prd_brand, p_name AS prd_name, CAST(p_size AS VARCHAR) || ' ea' AS average_unit,
+  CASE WHEN k % 19 = 18 THEN NULL ELSE CAST(k AS VARCHAR) END AS prd_id_in_store FROM fpages""",
+)
+oracle(
+    "price_pair",
+    f"""WITH {pages_cte('store_b_product')}
+SELECT page_id,
+  CASE WHEN k % 17 = 16 THEN NULL WHEN k % 3 = 1 THEN '$' || {money('cents - 100')} ELSE '$' || {money('cents')} END AS prd_price,
+  CASE WHEN k % 17 = 16 THEN NULL ELSE '$' || {money('cents')} END AS org_price,
+  CASE WHEN k % 17 = 16 THEN NULL ELSE k % 3 = 1 END AS prd_discount,
+  CASE WHEN k % 17 <> 16 AND k % 3 = 1 THEN 'SAVING' END AS on_sale_cat,
+  CASE WHEN k % 17 = 16 THEN 'missing:prd_price' WHEN k % 19 = 18 THEN 'missing:prd_id_in_store' END AS reject_reason
+FROM fpages""",
+)
+oracle(
+    "links_by_category",
+    f"""WITH {pages_cte('store_b_listing')}
+SELECT p_type AS category, page_id, CAST(j AS INTEGER) AS card,
+  'https://mart.example/p/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.html' AS prd_url,
+  'https://mart.example/img/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.jpg' AS prd_img
+FROM fpages, (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2) c WHERE j < 2 OR k % 2 = 0""",
+)

@@ -1 +1,127 @@
-"""Placeholder."""
+"""Registered HTML queries: the driver's ``pages`` table and store-shaped
+pages built from ``part`` (see ``html_fixtures``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import html as H
+from ..operators import extract as X
+from ..operators import worklist as W
+from ..schemas import STORE_A_FIELDS
+from .fixtures import read_table
+from .html_fixtures import part_pages
+from .queries import query
+
+
+def _pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages")
+
+
+def _part_pages(spark, sf_dir, kind):
+    return part_pages(read_table(spark, sf_dir, "part"), kind)
+
+
+@query("page_scan")
+def q_page_scan(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", "url", F.length("html").alias("n_chars"))
+
+
+@query("html_first_text")
+def q_html_first_text(spark, sf_dir):
+    fields = {
+        "title": {"tag": "title"},
+        "h1": {"tag": "h1"},
+        "ad": {"class": "ad"},
+        "footer": {"tag": "footer"},
+        "brand": {"class": "brand"},
+    }
+    recs = H.records(_pages(spark, sf_dir), fields, keep=["page_id"])
+    return recs.select("page_id", *fields, X.missing_reason(["title", "ad"]).alias("reject_reason"))
+
+
+@query("html_attr")
+def q_html_attr(spark, sf_dir):
+    fields = {"href": {"self": True, "get": "@href"}, "text": {"self": True}}
+    recs = H.records(_pages(spark, sf_dir), fields, container={"tag": "a", "has_attrs": ["href"]}, keep=["page_id", "url"])
+    return recs.select(
+        "page_id", "ord", "href", "text", H.join_root(H.site_root("url"), "href").alias("link")
+    )
+
+
+@query("cards_per_page")
+def q_cards_per_page(spark, sf_dir):
+    recs = H.records(_pages(spark, sf_dir), {"n": {"tag": "li", "get": "count"}}, keep=["page_id"])
+    return recs.select("page_id", F.col("n").cast("bigint").alias("n_cards"))
+
+
+@query("html_cards")
+def q_html_cards(spark, sf_dir):
+    return X.store_a_cards(_part_pages(spark, sf_dir, "store_a"))
+
+
+@query("html_fallback")
+def q_html_fallback(spark, sf_dir):
+    f = STORE_A_FIELDS
+    recs = H.records(
+        _part_pages(spark, sf_dir, "store_a"),
+        {"price_regular": {"class": f["prd_price_regular"]}, "price_sale": {"class": f["prd_price_sale"]}},
+        container={"all_classes": ["chakra-linkbox", "css-wsykbb"]},
+        keep=["page_id"],
+    )
+    return recs.select(
+        "page_id", F.col("ord").alias("card"), "price_regular", "price_sale",
+        F.coalesce("price_regular", "price_sale").alias("prd_price"),
+    )
+
+
+@query("html_empty_filter")
+def q_html_empty_filter(spark, sf_dir):
+    recs = H.records(
+        _part_pages(spark, sf_dir, "store_a"), {"notice": {"class": "chakra-text css-29j2bl"}}, keep=["page_id"]
+    )
+    return recs.filter(F.col("notice").isNull() | (F.col("notice") != "No items are available.")).select("page_id", "notice")
+
+
+@query("html_page_count")
+def q_html_page_count(spark, sf_dir):
+    a = X.store_a_page_info(_part_pages(spark, sf_dir, "store_a")).select(F.lit("Loblaws").alias("store"), "page_id", "n_pages")
+    b = X.store_b_page_info(_part_pages(spark, sf_dir, "store_b_listing")).select(F.lit("HMart").alias("store"), "page_id", "n_pages")
+    return a.unionByName(b)
+
+
+@query("page_urls")
+def q_page_urls(spark, sf_dir):
+    a = W.store_a_page_urls(X.store_a_page_info(_part_pages(spark, sf_dir, "store_a")))
+    b = W.store_b_page_urls(X.store_b_page_info(_part_pages(spark, sf_dir, "store_b_listing")))
+    cols = ["page_id", "page_no", "page_url"]
+    return a.select(F.lit("Loblaws").alias("store"), *cols).unionByName(b.select(F.lit("HMart").alias("store"), *cols))
+
+
+@query("html_link_filter")
+def q_html_link_filter(spark, sf_dir):
+    return X.store_a_see_all_links(_part_pages(spark, sf_dir, "nav")).select("page_id", "link")
+
+
+@query("html_spec_table")
+def q_html_spec_table(spark, sf_dir):
+    return X.store_b_products(_part_pages(spark, sf_dir, "store_b_product"), keep=["page_id"]).select(
+        "page_id", "prd_brand", "prd_name", "average_unit", "prd_id_in_store"
+    )
+
+
+@query("price_pair")
+def q_price_pair(spark, sf_dir):
+    return X.store_b_products(_part_pages(spark, sf_dir, "store_b_product"), keep=["page_id"]).select(
+        "page_id", "prd_price", "org_price", "prd_discount", "on_sale_cat", "reject_reason"
+    )
+
+
+@query("links_by_category")
+def q_links_by_category(spark, sf_dir):
+    """A-2/A-3: links grouped by category in page and card order, one row
+    per link. The grouping is kept as rows with an order key (no
+    per-category list is ever collected); a global sort on (category, page,
+    card) gives the grouped order and spreads a hot category over ranges."""
+    cards = X.store_b_listing_cards(_part_pages(spark, sf_dir, "store_b_listing"))
+    return cards.select("category", "page_id", "card", "prd_url", "prd_img").orderBy("category", "page_id", "card")
