@@ -1 +1,105 @@
-"""Placeholder."""
+"""DuckDB oracles for source / sink / join / stream queries."""
+
+from __future__ import annotations
+
+from .fixtures import RAW_LISTING_CTE
+from .oracles import CLEAN_SELECT, ROWS_CTE, oracle
+
+RAW_COLS = "date, category, sub_category, prd_name, prd_brand, prd_price, prd_per_price, prd_discount, prd_link, prd_img"
+STORES3 = "CASE {x} % 3 WHEN 0 THEN 'Loblaws' WHEN 1 THEN 'HMart' ELSE 'Metro' END"
+CLEAN_ORACLE = f"WITH {ROWS_CTE} SELECT {CLEAN_SELECT} FROM firsts WHERE reject_reason IS NULL"
+
+oracle("csv_scan", f"WITH {RAW_LISTING_CTE} SELECT {RAW_COLS} FROM raw_listing")
+oracle("file_stream", f"WITH {RAW_LISTING_CTE} SELECT {RAW_COLS} FROM raw_listing")
+oracle(
+    "path_columns",
+    f"""WITH o AS (
+  SELECT o_orderkey, {STORES3.format(x='o_orderkey')} AS s, strftime(o_orderdate, '%Y-%m-%d') AS d, CAST(o_orderkey % 16 AS INTEGER) AS sh FROM orders
+)
+SELECT o_orderkey, s || '/' || s || '_' || d || '_' || CAST(sh AS VARCHAR) || '.csv' AS object_key, s AS store,
+  s || '_' || d || '_' || CAST(sh AS VARCHAR) || '.csv' AS file_name, s AS name_store, CAST(d AS DATE) AS name_day, sh AS shard
+FROM o""",
+)
+oracle("csv_roundtrip", CLEAN_ORACLE)
+oracle(
+    "partitioned_write",
+    f"WITH {ROWS_CTE} SELECT {CLEAN_SELECT} FROM firsts WHERE reject_reason IS NULL AND scrap_date = DATE '2023-11-12'",
+)
+
+
+def _json_field(name: str, expr: str, quote: bool) -> str:
+    val = f"to_json({expr})" if quote else f"CAST({expr} AS VARCHAR)"
+    return f"'\"{name}\":' || coalesce({val}, 'null')"
+
+
+oracle(
+    "json_records",
+    f"""WITH {ROWS_CTE}
+SELECT prd_id_in_store, '{{' || {_json_field('store', 'store', True)} || ',' || {_json_field('prd_id_in_store', 'prd_id_in_store', True)}
+  || ',' || {_json_field('scrap_date', 'CAST(scrap_date AS VARCHAR)', True)} || ',' || {_json_field('prd_price', 'prd_price', False)}
+  || ',' || {_json_field('prd_brand', 'prd_brand', True)} || ',' || {_json_field('on_sale_cat', 'on_sale_cat', True)}
+  || ',' || {_json_field('average_unit', 'average_unit', True)} || '}}' AS record
+FROM firsts WHERE reject_reason IS NULL""",
+)
+oracle(
+    "upsert_by_key",
+    """SELECT p_partkey AS k, p_name, CAST(p_retailprice AS DECIMAL(12,2)) AS price, 1 AS version
+FROM part WHERE p_partkey % 2 = 0 AND p_partkey % 3 <> 0
+UNION ALL
+SELECT p_partkey AS k, p_name, CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 2 AS DECIMAL(12,2)) AS price, 3 AS version
+FROM part WHERE p_partkey % 3 = 0""",
+)
+STORE5 = "CASE p_partkey % 5 WHEN 0 THEN 'Loblaws' WHEN 1 THEN 'HMart' WHEN 2 THEN 'Metro' WHEN 3 THEN 'NoFrills' ELSE 'Costco' END"
+oracle(
+    "store_lookup",
+    f"""WITH s AS (SELECT p_partkey AS k, {STORE5} AS store FROM part),
+d AS (SELECT * FROM (VALUES
+  ('Loblaws', 'https://www.loblaws.ca/', 14), ('HMart', 'https://www.hmart.com/', 12),
+  ('Metro', 'https://www.metro.ca/en/online-grocery/aisles', 16), ('NoFrills', 'https://www.nofrills.ca/', NULL)) t(store, site, n_shards))
+SELECT k, s.store, site, CAST(n_shards AS INTEGER) AS n_shards FROM s LEFT JOIN d ON s.store = d.store""",
+)
+oracle("unknown_store", f"SELECT p_partkey AS k, {STORE5} AS store FROM part WHERE p_partkey % 5 = 4")
+oracle(
+    "clean_dispatch",
+    f"""WITH {ROWS_CTE}, m AS (
+  SELECT *, {STORES3.format(x='(CAST(FLOOR(k / 2) AS BIGINT) % 7 + 2)')} AS st FROM firsts
+), r AS (
+  SELECT *, {STORES3.format(x='(CAST(FLOOR(k / 2) AS BIGINT) % 7 + 2)')} AS st FROM rows
+)
+SELECT replace(file, 'Loblaws', st) AS file, pos, st AS store, prd_id_in_store,
+  CASE WHEN prd_id_in_store IS NOT NULL THEN prd_price END AS prd_price, reject_reason FROM m WHERE st = 'Loblaws'
+UNION ALL
+SELECT replace(file, 'Loblaws', st) AS file, pos, st AS store, NULL AS prd_id_in_store, NULL AS prd_price, 'unknown_store' AS reject_reason
+FROM r WHERE st <> 'Loblaws'""",
+)
+oracle(
+    "union_stores",
+    f"""WITH {ROWS_CTE}
+SELECT store, prd_id_in_store, prd_name, prd_price, CAST(NULL AS DECIMAL(12,2)) AS org_price, prd_discount,
+  CAST(NULL AS BOOLEAN) AS is_discounted, on_sale_cat, category, NULL AS prd_url, prd_link
+FROM firsts WHERE reject_reason IS NULL
+UNION ALL
+SELECT 'HMart', CAST(p_partkey AS VARCHAR), p_name,
+  CASE WHEN p_partkey % 3 = 1 THEN CAST((CAST(ROUND(p_retailprice * 100) AS BIGINT) - 100) / 100.0 AS DECIMAL(12,2)) ELSE CAST(p_retailprice AS DECIMAL(12,2)) END,
+  CAST(p_retailprice AS DECIMAL(12,2)), NULL, p_partkey % 3 = 1, CASE WHEN p_partkey % 3 = 1 THEN 'SAVING' END, p_type,
+  'https://mart.example/p/' || CAST(p_partkey AS VARCHAR) || '-0.html', NULL
+FROM part WHERE p_partkey % 17 <> 16 AND p_partkey % 19 <> 18""",
+)
+oracle(
+    "worklist",
+    """WITH s AS (SELECT * FROM (VALUES ('HMart'), ('Loblaws'), ('Metro')) t(store)),
+sh AS (
+  SELECT 'HMart' AS store, unnest([1, 2, 3, 5, 6, 7, 8, 9, 10, 11, 12, 13]) AS shard
+  UNION ALL SELECT 'Loblaws', unnest(generate_series(2, 15))
+  UNION ALL SELECT 'Metro', unnest(generate_series(0, 15))
+)
+SELECT store, CAST(shard AS INTEGER) AS shard, 'daily_scrapping_' || store || '_' || CAST(shard AS VARCHAR) AS job_name FROM sh""",
+)
+oracle("stream_clean_upsert", CLEAN_ORACLE)
+oracle("replay_idempotent", CLEAN_ORACLE)
+oracle(
+    "failure_alerts",
+    f"""SELECT event_id, ts, 'FAILED' AS status,
+  'daily_scrapping_' || {STORES3.format(x='user_id')} || '_' || CAST(user_id % 16 AS VARCHAR) AS job_name
+FROM events WHERE event_type = 'error' AND user_id % 10 <> 0""",
+)

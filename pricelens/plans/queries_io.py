@@ -1 +1,221 @@
-"""Placeholder."""
+"""Registered source / sink / join / stream queries.
+
+Queries that write (CSV, Parquet, streams) use a fresh folder under the
+shared checkpoint folder (``spark.checkpoint.dir``) and return what was
+read back, so the comparison covers the round trip.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import paths
+from ..operators import clean as C
+from ..operators import dispatch as D
+from ..operators import extract as X
+from ..operators import lookup as L
+from ..operators import worklist as W
+from ..schemas import CLEAN_COLUMNS, CLEAN_LISTING_SCHEMA, JOB_EVENT_SCHEMA, RAW_LISTING_COLUMNS
+from ..session import scratch_path
+from ..sinks import files as K
+from ..sinks.upsert import upsert
+from ..sources.listings import read_listing_csv, store_dimension, stream_listing_csv, write_listing_csv
+from ..streaming.alerts import start_alert_stream
+from ..streaming.files import clean_and_upsert_batch, start_clean_upsert_stream
+from .fixtures import raw_listings, read_table
+from .html_fixtures import part_pages
+from .queries import _chain, query
+
+STORES3 = "CASE {x} % 3 WHEN 0 THEN 'Loblaws' WHEN 1 THEN 'HMart' ELSE 'Metro' END"
+
+
+def _landing(spark, sf_dir, name):
+    """Raw listing CSV files written from ``part``; returns the folder."""
+    path = scratch_path(spark, name)
+    write_listing_csv(raw_listings(read_table(spark, sf_dir, "part")), path)
+    return path
+
+
+@query("csv_scan")
+def q_csv_scan(spark, sf_dir):
+    return read_listing_csv(spark, _landing(spark, sf_dir, "csv-scan")).select(*RAW_LISTING_COLUMNS)
+
+
+@query("file_stream")
+def q_file_stream(spark, sf_dir):
+    landing = _landing(spark, sf_dir, "file-stream-in")
+    out = scratch_path(spark, "file-stream-out")
+    ckpt = scratch_path(spark, "file-stream-ckpt")
+    q = (
+        stream_listing_csv(spark, landing)
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", ckpt)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*RAW_LISTING_COLUMNS)
+
+
+@query("path_columns")
+def q_path_columns(spark, sf_dir):
+    root = "file:/data/landing"
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.expr(STORES3.format(x="o_orderkey")).alias("store_in"),
+        F.to_date("o_orderdate").alias("day_in"),
+        (F.col("o_orderkey") % 16).cast("int").alias("shard_in"),
+    )
+    o = o.withColumn("path", F.concat(F.lit(root + "/"), paths.object_key("store_in", "day_in", "shard_in")))
+    key = paths.relative_key("path", root)
+    name = paths.file_name("path")
+    n_store, n_day, n_shard = paths.name_parts(name)
+    return o.select(
+        "o_orderkey",
+        key.alias("object_key"),
+        paths.key_store(key).alias("store"),
+        name.alias("file_name"),
+        n_store.alias("name_store"),
+        n_day.alias("name_day"),
+        n_shard.alias("shard"),
+    )
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    good, _ = C.split_rejects(_chain(spark, sf_dir))
+    path = scratch_path(spark, "csv-roundtrip")
+    K.write_csv(good.select(*CLEAN_COLUMNS), path)
+    return K.read_csv(spark, path, CLEAN_LISTING_SCHEMA)
+
+
+@query("partitioned_write")
+def q_partitioned_write(spark, sf_dir):
+    good, _ = C.split_rejects(_chain(spark, sf_dir))
+    path = scratch_path(spark, "by-store")
+    K.write_by_store(good.select(*CLEAN_COLUMNS), path, partition_cols=("store", "scrap_date"))
+    back = spark.read.parquet(path).filter((F.col("store") == "Loblaws") & (F.col("scrap_date") == F.lit("2023-11-12").cast("date")))
+    return back.select(*CLEAN_COLUMNS)
+
+
+@query("json_records")
+def q_json_records(spark, sf_dir):
+    good, _ = C.split_rejects(_chain(spark, sf_dir))
+    cols = ["store", "prd_id_in_store", "scrap_date", "prd_price", "prd_brand", "on_sale_cat", "average_unit"]
+    return K.exact_decimals(good, ["prd_price"]).select("prd_id_in_store", K.json_record(cols).alias("record"))
+
+
+def _versions(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    base = p.select(
+        F.col("p_partkey").alias("k"),
+        "p_name",
+        F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
+    )
+    target = base.filter(F.col("k") % 2 == 0).withColumn("version", F.lit(1))
+    batch = base.filter(F.col("k") % 3 == 0).crossJoin(
+        F.broadcast(spark.createDataFrame([(1,), (2,)], "seq int"))
+    ).select("k", "p_name", (F.col("price") + F.col("seq")).cast("decimal(12,2)").alias("price"), (F.col("seq") + 1).alias("version"), "seq")
+    return target, batch
+
+
+@query("upsert_by_key")
+def q_upsert_by_key(spark, sf_dir):
+    target, batch = _versions(spark, sf_dir)
+    return upsert(target, batch, ["k"], seq_col="seq")
+
+
+def _stores(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    names = "CASE p_partkey % 5 WHEN 0 THEN 'Loblaws' WHEN 1 THEN 'HMart' WHEN 2 THEN 'Metro' WHEN 3 THEN 'NoFrills' ELSE 'Costco' END"
+    return p.select(F.col("p_partkey").alias("k"), F.expr(names).alias("store"))
+
+
+@query("store_lookup")
+def q_store_lookup(spark, sf_dir):
+    dim = store_dimension(spark)
+    out = L.lookup(_stores(spark, sf_dir), dim, "store", known_small=True)
+    return out.select("k", "store", "site", F.when(F.col("shards").isNotNull(), F.size("shards")).alias("n_shards"))
+
+
+@query("unknown_store")
+def q_unknown_store(spark, sf_dir):
+    return L.unknown_keys(_stores(spark, sf_dir), store_dimension(spark), "store", known_small=True).select("k", "store")
+
+
+def _multi_store_raw(spark, sf_dir):
+    raw = raw_listings(read_table(spark, sf_dir, "part"), with_helpers=True)
+    store = F.expr(STORES3.format(x="shard"))
+    raw = raw.withColumn("file", F.regexp_replace("file", "Loblaws", store))
+    return raw.withColumn("store", paths.key_store("file")).drop("k", "u", "u2", "amt", "cents", "shard")
+
+
+@query("clean_dispatch")
+def q_clean_dispatch(spark, sf_dir):
+    out = D.clean_dispatch(_multi_store_raw(spark, sf_dir))
+    return out.select("file", "pos", "store", "prd_id_in_store", "prd_price", "reject_reason")
+
+
+def _store_b(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    rows = X.store_b_rows(part_pages(part, "store_b_listing"), part_pages(part, "store_b_product"))
+    return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "listing_page", "card")
+
+
+@query("union_stores")
+def q_union_stores(spark, sf_dir):
+    good, _ = C.split_rejects(_chain(spark, sf_dir))
+    u = D.union_stores(good.select(*CLEAN_COLUMNS), _store_b(spark, sf_dir))
+    return u.select(
+        "store", "prd_id_in_store", "prd_name", "prd_price", "org_price", "prd_discount",
+        "is_discounted", "on_sale_cat", "category", "prd_url", "prd_link",
+    )
+
+
+@query("worklist")
+def q_worklist(spark, sf_dir):
+    shards = store_dimension(spark).filter(F.col("shards").isNotNull())
+    return W.worklist(_multi_store_raw(spark, sf_dir), shards).select("store", "shard", "job_name")
+
+
+@query("stream_clean_upsert")
+def q_stream_clean_upsert(spark, sf_dir):
+    landing = _landing(spark, sf_dir, "stream-in")
+    table = scratch_path(spark, "stream-table")
+    q = start_clean_upsert_stream(
+        spark, landing, table, scratch_path(spark, "stream-ckpt"), rejects_path=scratch_path(spark, "stream-rejects")
+    )
+    q.awaitTermination()
+    return spark.read.parquet(table).select(*CLEAN_COLUMNS)
+
+
+@query("replay_idempotent")
+def q_replay_idempotent(spark, sf_dir):
+    landing = _landing(spark, sf_dir, "replay-in")
+    table = scratch_path(spark, "replay-table")
+    for _ in range(2):  # the same files delivered twice
+        clean_and_upsert_batch(spark, read_listing_csv(spark, landing), table)
+    return spark.read.parquet(table).select(*CLEAN_COLUMNS)
+
+
+JOB_EVENTS = [
+    "event_id",
+    "ts",
+    "'Batch Job State Change' AS detail_type",
+    "CASE WHEN user_id % 10 = 0 THEN 'other.service' ELSE 'aws.batch' END AS source",
+    "CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'SUCCEEDED' ELSE 'RUNNING' END AS status",
+    "'daily_scrapping_' || " + STORES3.format(x="user_id") + " || '_' || CAST(user_id % 16 AS STRING) AS job_name",
+]
+
+
+@query("failure_alerts")
+def q_failure_alerts(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    job_events = events.selectExpr(*JOB_EVENTS)
+    assert [f.name for f in job_events.schema] == [f.name for f in JOB_EVENT_SCHEMA]
+    out = scratch_path(spark, "alerts")
+    q = start_alert_stream(job_events, out, scratch_path(spark, "alerts-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(out).select("event_id", "ts", "status", "job_name")
