@@ -234,10 +234,23 @@ def _sql_str(s: str) -> str:
     return lit.replace("{", "{{").replace("}", "}}")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give per-page Python work enough tasks.
+
+    A small page file read as one partition would be parsed on one core; when
+    the input has fewer partitions than the cluster has task slots the pages
+    are dealt round-robin first (deterministic, so a retried task sees the
+    same rows). Inputs that are already wide are left alone (no shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """Lateral ``html_elements`` over a DataFrame of pages."""
     spark = df.sparkSession
     register(spark)
+    df = spread(df)
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
     cols = ", ".join(f"p.`{c}`" for c in keep)
     sel = f"{cols}, " if cols else ""
@@ -257,6 +270,7 @@ def records(
     """Lateral ``html_records``; each field becomes a string column."""
     spark = df.sparkSession
     register(spark)
+    df = spread(df)
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
     cols = ", ".join(f"p.`{c}`" for c in keep)
     sel = f"{cols}, " if cols else ""

@@ -84,28 +84,34 @@ def reject_reason() -> Column:
     )
 
 
-def clean_store_a_rows(raw: DataFrame, store: str = STORE_A, na_words=NA_WORDS, keep: list[str] | None = None) -> DataFrame:
+def clean_store_a_rows(
+    raw: DataFrame, store: str = STORE_A, na_words=NA_WORDS, keep: list[str] | None = None, na_done: bool = False
+) -> DataFrame:
     """P-2 ... P-21 on each row (no de-duplication): clean columns + ``reject_reason``.
 
-    ``keep`` names extra input columns carried through (e.g. ``file``, ``pos``).
+    ``keep`` names extra input columns carried through (e.g. ``file``, ``pos``);
+    ``na_done`` says the NA-word pass already ran on the raw columns.
     """
     keep = list(keep or [])
-    df = null_na_text(raw, [c for c in RAW_LISTING_COLUMNS if c in raw.columns], na_words)
+    df = raw if na_done else null_na_text(raw, [c for c in RAW_LISTING_COLUMNS if c in raw.columns], na_words)
     if "prd_id_in_store" not in df.columns:
         df = with_product_id(df)
-    df = (
-        df.withColumnRenamed("date", "scrap_date")
-        .withColumn("scrap_date", F.col("scrap_date").try_cast("date"))
-        .withColumn("store", F.lit(store))
-        .withColumn("prd_discount", P.first_line("prd_discount"))
-        .withColumn("on_sale_cat", P.promo_category("prd_discount"))
-        .withColumn("prd_price", P.parse_price("prd_price"))
+    first = P.first_line("prd_discount")
+    df = df.withColumnRenamed("date", "scrap_date").withColumns(
+        {
+            "scrap_date": F.col("scrap_date").try_cast("date"),
+            "store": F.lit(store),
+            "prd_discount": first,
+            "prd_price": P.parse_price("prd_price"),
+        }
     )
+    df = df.withColumn("on_sale_cat", P.promo_category("prd_discount"))
     df = _unit_chain(df)
-    df = df.withColumn("prd_name", P.clean_name("prd_name")).withColumn("reject_reason", reject_reason())
-    out = df.select(*keep, *CLEAN_COLUMNS, "reject_reason")
+    df = df.withColumn("reject_reason", reject_reason())
     # second NA pass: values produced by cleaning that a re-read would null
-    return null_na_text(out, ["prd_discount", "prd_name", "average_unit", "price_per_unit_1", "price_per_unit_2"], na_words)
+    na_again = {c: P.null_na_words(c, na_words) for c in ["prd_discount", "average_unit", "price_per_unit_1", "price_per_unit_2"]}
+    na_again["prd_name"] = P.null_na_words(P.clean_name("prd_name"), na_words)
+    return df.select(*keep, *[na_again.get(c, F.col(c)).alias(c) for c in CLEAN_COLUMNS], "reject_reason")
 
 
 def clean_store_a(raw: DataFrame, file_col: str = "file", pos_col: str = "pos", store: str = STORE_A, na_words=NA_WORDS) -> DataFrame:
@@ -119,7 +125,9 @@ def clean_store_a(raw: DataFrame, file_col: str = "file", pos_col: str = "pos",
     """
     df = null_na_text(raw, [c for c in RAW_LISTING_COLUMNS if c in raw.columns], na_words)
     df = with_product_id(df)
-    with_id = clean_store_a_rows(df.filter(F.col("prd_id_in_store").isNotNull()), store, na_words, keep=[file_col, pos_col])
+    with_id = clean_store_a_rows(
+        df.filter(F.col("prd_id_in_store").isNotNull()), store, na_words, keep=[file_col, pos_col], na_done=True
+    )
     firsts = keep_first_per_key(with_id, [file_col, "prd_id_in_store"], pos_col)
     kept_raw = {"prd_link": F.col("prd_link"), "store": F.lit(store)}
     no_id = df.filter(F.col("prd_id_in_store").isNull()).select(

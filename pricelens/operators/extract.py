@@ -183,3 +183,11 @@ def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, scrap_date:
         "card",
         "reject_reason",
     )
+
+
+# F-2: store -> page extractor (html pages -> listing rows). Store B needs
+# its listing pages and product pages; see ``store_b_rows``.
+EXTRACTORS = {
+    "Loblaws": store_a_cards,
+    "HMart": store_b_listing_cards,
+}
