@@ -7,10 +7,11 @@ Two forms:
   key.
 * ``write_upsert(...)``: the same against a Parquet table partitioned by
   columns that are part of the key (default store and day). Only the
-  partitions that occur in the batch are read (dynamic partition pruning
-  through the semi join) and rewritten (dynamic partition overwrite), so
-  the work is proportional to the batch's partitions, not the table.
-  Re-running the same batch leaves the table unchanged.
+  partitions that occur in the batch are read (a partition predicate built
+  from the batch's distinct partition values, which the scan prunes by) and
+  rewritten (dynamic partition overwrite), so the work is proportional to
+  the batch's partitions, not the table. Re-running the same batch leaves
+  the table unchanged.
 """
 
 from __future__ import annotations
@@ -40,6 +41,27 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq_col: str |
     return kept.unionByName(latest.select(*target.columns))
 
 
+MAX_PRUNE_VALUES = 2000
+
+
+def touched_partitions(latest: DataFrame, partition_cols: list[str], max_values: int = MAX_PRUNE_VALUES):
+    """Predicate selecting the batch's partitions, or None if there are too many.
+
+    Only the distinct partition values travel to the driver (at most
+    ``max_values`` of them, e.g. stores x days in one batch), never rows.
+    """
+    vals = latest.select(*partition_cols).distinct().limit(max_values + 1).collect()
+    if len(vals) > max_values:
+        return None
+    cond = F.lit(False)
+    for v in vals:
+        one = F.lit(True)
+        for c in partition_cols:
+            one = one & (F.col(c).isNull() if v[c] is None else (F.col(c) == F.lit(v[c])))
+        cond = cond | one
+    return cond
+
+
 def write_upsert(
     spark: SparkSession,
     table_path: str,
@@ -59,8 +81,11 @@ def write_upsert(
     if path_exists(spark, table_path):
         current = spark.read.parquet(table_path)
         if partition_cols:
-            touched = latest.select(*partition_cols).distinct()
-            current = current.join(touched, partition_cols, "left_semi")
+            pred = touched_partitions(latest, partition_cols)
+            if pred is not None:
+                current = current.filter(pred)  # partition pruning at the scan
+            else:
+                current = current.join(latest.select(*partition_cols).distinct(), partition_cols, "left_semi")
         kept = current.join(latest.select(*keys), keys, "left_anti")
         writer = kept.unionByName(latest.select(*current.columns))
     w = writer.write.mode("overwrite")
