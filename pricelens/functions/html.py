@@ -242,8 +242,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     are dealt round-robin first (deterministic, so a retried task sees the
     same rows). Inputs that are already wide are left alone (no shuffle).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if n < target else df
 
 
 def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:

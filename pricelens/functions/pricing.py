@@ -37,10 +37,21 @@ def _extract(c: Column, pattern: str, group: int) -> Column:
 
 
 # P-17 ---------------------------------------------------------------------
+_NA_LITERALS: dict[tuple, list] = {}
+
+
+def _na_literals(na_words) -> list:
+    """Literal Columns for the word list, made once (each is a JVM round trip)."""
+    key = tuple(na_words)
+    if key not in _NA_LITERALS:
+        _NA_LITERALS[key] = [F.lit(w) for w in key]
+    return _NA_LITERALS[key]
+
+
 def null_na_words(c, na_words=NA_WORDS) -> Column:
     """Text that a pandas CSV reader would read as missing becomes null."""
     c = _col(c)
-    return F.when(~c.isin(list(na_words)), c)
+    return F.when(~c.isin(*_na_literals(na_words)), c)
 
 
 # P-1 ----------------------------------------------------------------------

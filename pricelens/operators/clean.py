@@ -42,10 +42,11 @@ def keep_first_per_key(df: DataFrame, keys: list[str], order_col: str = "pos") -
     hot group (a ``row_number`` window would). Rows with a null key are not
     de-duplicated; callers route them elsewhere first.
     """
-    rest = [c for c in df.columns if c not in keys and c != order_col]
+    cols = df.columns
+    rest = [c for c in cols if c not in keys and c != order_col]
     packed = F.struct(F.col(order_col).alias(order_col), *[F.col(c) for c in rest])
     first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return first.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in [order_col] + rest]).select(*df.columns)
+    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in cols])
 
 
 def _unit_chain(df: DataFrame) -> DataFrame:

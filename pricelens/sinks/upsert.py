@@ -28,10 +28,11 @@ def latest_per_key(df: DataFrame, keys: list[str], seq_col: str) -> DataFrame:
     ``max(struct(seq, ...))`` aggregates with a map-side partial step, so a
     key with very many rows never lands whole in one task.
     """
-    rest = [c for c in df.columns if c not in keys and c != seq_col]
+    cols = df.columns
+    rest = [c for c in cols if c not in keys and c != seq_col]
     packed = F.struct(F.col(seq_col).alias(seq_col), *[F.col(c) for c in rest])
     agg = df.groupBy(*keys).agg(F.max(packed).alias("_latest"))
-    return agg.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in [seq_col] + rest]).select(*df.columns)
+    return agg.select(*[F.col(c) if c in keys else F.col(f"_latest.{c}").alias(c) for c in cols])
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq_col: str | None = None) -> DataFrame:
