@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from .fixtures import money
 from .html_fixtures import PER_PRICE, pages_cte
-from .oracles import oracle
+from .oracle_clean_sql import clean_sql
+from .oracles import CLEAN_SELECT, oracle
 
 
 def decode(x: str) -> str:
@@ -41,10 +42,7 @@ SELECT page_id, CAST(ord AS INTEGER) AS ord, {decode('href')} AS href, {decode('
 oracle("cards_per_page", "SELECT page_id, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n_cards FROM pages")
 
 J2 = "(SELECT 0 AS j UNION ALL SELECT 1)"
-oracle(
-    "html_cards",
-    f"""WITH {pages_cte('store_a')}
-SELECT page_id, CAST(j AS INTEGER) AS card, p_type AS category, p_type AS sub_category,
+CARD_ROWS = f"""SELECT page_id, url, k, CAST(j AS INTEGER) AS card, p_type AS category, p_type AS sub_category,
   CASE WHEN k % 97 = 96 AND j = 1 THEN NULL ELSE (CASE WHEN k % 11 = 0 THEN p_name || ' & co' ELSE p_name END) || ' ' || CAST(j AS VARCHAR) END AS prd_name,
   CASE WHEN k % 3 = 0 THEN NULL ELSE p_brand END AS prd_brand,
   CASE WHEN (k + j) % 2 = 0 THEN '$' || {money('cents')} ELSE '$' || {money('cents - 50')} END AS prd_price,
@@ -53,7 +51,24 @@ SELECT page_id, CAST(j AS INTEGER) AS card, p_type AS category, p_type AS sub_ca
   'https://www.loblaws.ca/a/p/' || CAST(k AS VARCHAR) || CAST(j AS VARCHAR) || '_EA' AS prd_link,
   CASE WHEN (k + j) % 4 = 0 THEN NULL ELSE 'https://img.example/' || CAST(k AS VARCHAR) || '_' || CAST(j AS VARCHAR) || '.png' END AS prd_img,
   CASE WHEN k % 97 = 96 AND j = 1 THEN 'missing:prd_name' WHEN k % 29 = 28 AND j = 0 THEN 'missing:prd_per_price' END AS reject_reason
-FROM fpages, {J2} c WHERE k % 9 <> 0""",
+FROM fpages, {J2} c WHERE k % 9 <> 0"""
+
+oracle(
+    "html_cards",
+    f"""WITH {pages_cte('store_a')}, cards AS ({CARD_ROWS})
+SELECT page_id, card, category, sub_category, prd_name, prd_brand, prd_price, prd_per_price, prd_discount,
+  prd_link, prd_img, reject_reason FROM cards""",
+)
+CAPTURED = "timezone('America/Toronto', timezone('UTC', TIMESTAMP '2023-11-01 12:00:00' + to_minutes(CAST(k * 7 AS BIGINT))))"
+oracle(
+    "cards_to_clean",
+    f"""WITH {pages_cte('store_a')}, cards AS ({CARD_ROWS}),
+raw AS (
+  SELECT url AS file, CAST(card AS BIGINT) AS pos, strftime(CAST({CAPTURED} AS DATE), '%Y-%m-%d') AS date,
+    category, sub_category, prd_name, prd_brand, prd_price, prd_per_price, prd_discount, prd_link, prd_img
+  FROM cards WHERE reject_reason IS NULL
+), {clean_sql('raw')}
+SELECT {CLEAN_SELECT} FROM cleaned WHERE reject_reason IS NULL""",
 )
 oracle(
     "html_fallback",

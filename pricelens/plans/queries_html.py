@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import timefmt
+from ..operators import clean as C
 from ..operators import extract as X
 from ..operators import worklist as W
-from ..schemas import STORE_A_FIELDS
+from ..schemas import CLEAN_COLUMNS, STORE_A_FIELDS
 from .fixtures import read_table
 from .html_fixtures import part_pages
 from .queries import query
@@ -126,3 +128,25 @@ def q_links_by_category(spark, sf_dir):
     the key where an ordered listing is needed."""
     cards = X.store_b_listing_cards(_part_pages(spark, sf_dir, "store_b_listing"))
     return cards.select("category", "page_id", "card", "prd_url", "prd_img")
+
+
+@query("cards_to_clean")
+def q_cards_to_clean(spark, sf_dir):
+    """Store pages -> card rows -> cleaning chain: the whole weekly flow.
+
+    Each page is captured at a time derived from its id; the card rows of a
+    page play the part of one listing file (file = page URL, pos = card).
+    """
+    start = F.lit("2023-11-01 12:00:00").cast("timestamp_ntz")
+    pages = _part_pages(spark, sf_dir, "store_a").withColumn(
+        "captured_at", F.timestamp_add("MINUTE", F.col("page_id") * 7, start)
+    )
+    cards = X.store_a_cards(pages, keep=["page_id", "url", "captured_at"]).filter(F.col("reject_reason").isNull())
+    raw = cards.select(
+        F.col("url").alias("file"),
+        F.col("card").cast("bigint").alias("pos"),
+        F.date_format(timefmt.scrape_day("captured_at"), "yyyy-MM-dd").alias("date"),
+        "category", "sub_category", "prd_name", "prd_brand", "prd_price", "prd_per_price", "prd_discount", "prd_link", "prd_img",
+    )
+    good, _ = C.split_rejects(C.clean_store_a(raw))
+    return good.select(*CLEAN_COLUMNS)
