@@ -1,8 +1,11 @@
 """HTML -> rows: the only Python that runs per row in the library.
 
-Spark has no HTML parser, so two small Python UDTFs (Arrow batches, stdlib
-``html.parser``) turn each page into rows; everything after that (class
-rules, fallbacks, filters, pivots, counts) is column expressions.
+Spark has no HTML parser, so each page is parsed once in Python (stdlib
+``html.parser``) and turned into rows; everything after that (class rules,
+fallbacks, filters, counts) is column expressions. The DataFrame helpers
+``elements`` / ``records`` run as ``mapInArrow`` over Arrow batches of pages;
+the same extraction is registered as SQL table functions (``html_elements``,
+``html_records``) for ``LATERAL`` use from SQL.
 
 * ``html_elements(html, tags)`` -> one row per element of the listed tags:
   ``(pos, parent, tag, cls, attrs, text)``.
@@ -149,16 +152,10 @@ def _get(tree: _Tree, i: int, how: str):
 
 @udtf(returnType="pos int, parent int, tag string, cls string, attrs map<string,string>, text string", useArrow=True)
 class HtmlElements:
-    """One row per element whose tag is in ``tags`` (comma list, '*' = all)."""
+    """SQL form: one row per element whose tag is in ``tags`` (comma list, '*' = all)."""
 
     def eval(self, html: str, tags: str):
-        if html is None:
-            return
-        want = None if tags in (None, "", "*") else set(t.strip() for t in tags.split(","))
-        tree = parse_tree(html)
-        for i, tag in enumerate(tree.tags):
-            if want is None or tag in want:
-                yield i, tree.parent[i], tag, tree.class_text(i), tree.attrs[i], tree.text(i)
+        yield from iter_elements(html, tags)
 
 
 def _field(tree: _Tree, spec: dict, lo: int, hi: int):
@@ -183,15 +180,45 @@ def _field(tree: _Tree, spec: dict, lo: int, hi: int):
     return _get(tree, idx, how)
 
 
+def iter_records(html: str, cont: dict | None, field_specs: dict):
+    """(container pos, ordinal, {field: value}) for one page."""
+    if html is None:
+        return
+    tree = parse_tree(html)
+    n = len(tree.tags)
+    roots = [-1] if not cont else [i for i in range(n) if _matches(tree, i, cont)]
+    page_level = {k: _field(tree, v, 0, n) for k, v in field_specs.items() if v.get("scope") == "page"}
+    for ord_, root in enumerate(roots):
+        lo, hi = (root + 1, tree.last[root]) if root >= 0 else (0, n)
+        out = dict(page_level)
+        for name, spec in field_specs.items():
+            if name in page_level:
+                continue
+            if spec.get("self"):
+                out[name] = _get(tree, root, spec.get("get", "text")) if root >= 0 else None
+            else:
+                out[name] = _field(tree, spec, lo, hi)
+        yield root, ord_, out
+
+
+def iter_elements(html: str, tags: str | None):
+    """(pos, parent, tag, class, attrs, text) for the listed tags of one page."""
+    if html is None:
+        return
+    want = None if tags in (None, "", "*") else set(t.strip() for t in tags.split(","))
+    tree = parse_tree(html)
+    for i, tag in enumerate(tree.tags):
+        if want is None or tag in want:
+            yield i, tree.parent[i], tag, tree.class_text(i), tree.attrs[i], tree.text(i)
+
+
 @udtf(returnType="rec int, ord int, fields map<string,string>", useArrow=True)
 class HtmlRecords:
-    """One row per container with the first (or ``nth``) match of each field.
-
-    Field specs may also say ``up`` (go to the n-th ancestor of the match),
-    ``find`` (then search inside it), ``scope: "page"`` (search the whole
-    page, e.g. a page heading copied onto every card) and ``self`` (read the
-    container element itself).
-    """
+    """SQL form: one row per container with the first (or ``nth``) match of
+    each field. Field specs may also say ``up`` (go to the n-th ancestor of
+    the match), ``find`` (then search inside it), ``scope: "page"`` (search
+    the whole page, e.g. a page heading copied onto every card) and ``self``
+    (read the container element itself)."""
 
     def __init__(self):
         self._specs = {}
@@ -202,25 +229,7 @@ class HtmlRecords:
         return self._specs[text]
 
     def eval(self, html: str, container: str, fields: str):
-        if html is None:
-            return
-        cont = self._spec(container)
-        field_specs = self._spec(fields) or {}
-        tree = parse_tree(html)
-        n = len(tree.tags)
-        roots = [-1] if not cont else [i for i in range(n) if _matches(tree, i, cont)]
-        page_level = {k: _field(tree, v, 0, n) for k, v in field_specs.items() if v.get("scope") == "page"}
-        for ord_, root in enumerate(roots):
-            lo, hi = (root + 1, tree.last[root]) if root >= 0 else (0, n)
-            out = dict(page_level)
-            for name, spec in field_specs.items():
-                if name in page_level:
-                    continue
-                if spec.get("self"):
-                    out[name] = _get(tree, root, spec.get("get", "text")) if root >= 0 else None
-                else:
-                    out[name] = _field(tree, spec, lo, hi)
-            yield root, ord_, out
+        yield from iter_records(html, self._spec(container), self._spec(fields) or {})
 
 
 def register(spark: SparkSession) -> None:
@@ -250,8 +259,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if n < target else df
 
 
-def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """Lateral ``html_elements`` over a DataFrame of pages."""
+def elements_sql(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """Lateral ``html_elements`` over a DataFrame of pages (the SQL form)."""
     spark = df.sparkSession
     register(spark)
     df = spread(df)
@@ -264,14 +273,14 @@ def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] |
     )
 
 
-def records(
+def records_sql(
     df: DataFrame,
     fields: dict,
     container: dict | None = None,
     html_col: str = "html",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Lateral ``html_records``; each field becomes a string column."""
+    """Lateral ``html_records``; each field becomes a string column (the SQL form)."""
     spark = df.sparkSession
     register(spark)
     df = spread(df)
@@ -304,3 +313,127 @@ def join_root(root, href) -> Column:
     r = F.lit(root) if isinstance(root, str) and "://" in root else (F.col(root) if isinstance(root, str) else root)
     h = F.col(href) if isinstance(href, str) else href
     return F.concat(r, h)
+
+
+def _arrow_records(keep: list[str], html_col: str, cont: dict | None, field_specs: dict, out_schema):
+    """Per-partition function for ``mapInArrow``: batches of pages in,
+    batches of records out; page columns pass through by index (``take``)."""
+    names = list(field_specs)
+
+    def run(batches):
+        import pyarrow as pa
+
+        arrow_schema = None
+        for batch in batches:
+            htmls = batch.column(html_col).to_pylist()
+            src, recs, ords = [], [], []
+            vals = {k: [] for k in names}
+            for i, h in enumerate(htmls):
+                for rec, ord_, out in iter_records(h, cont, field_specs):
+                    src.append(i)
+                    recs.append(rec)
+                    ords.append(ord_)
+                    for k in names:
+                        vals[k].append(out[k])
+            idx = pa.array(src, type=pa.int64())
+            arrays = [batch.column(k).take(idx) for k in keep]
+            arrays += [pa.array(recs, type=pa.int32()), pa.array(ords, type=pa.int32())]
+            arrays += [pa.array(vals[k], type=pa.string()) for k in names]
+            if arrow_schema is None:
+                arrow_schema = pa.schema(
+                    [batch.schema.field(k) for k in keep]
+                    + [pa.field("rec", pa.int32()), pa.field("ord", pa.int32())]
+                    + [pa.field(k, pa.string()) for k in names]
+                )
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
+    return run
+
+
+def records(
+    df: DataFrame,
+    fields: dict,
+    container: dict | None = None,
+    html_col: str = "html",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """One row per container (or page) with one string column per field.
+
+    Runs as ``mapInArrow``: whole Arrow batches of pages per call, page
+    columns carried through by index; the same rows as the SQL UDTF
+    ``html_records`` (``records_sql``) at lower per-row cost.
+    """
+    from pyspark.sql import types as T
+
+    keep = keep if keep is not None else [c for c in df.columns if c != html_col]
+    df = spread(df.select(*keep, html_col))
+    out_schema = T.StructType(
+        [df.schema[k] for k in keep]
+        + [T.StructField("rec", T.IntegerType()), T.StructField("ord", T.IntegerType())]
+        + [T.StructField(k, T.StringType()) for k in fields]
+    )
+    return df.mapInArrow(_arrow_records(keep, html_col, container, fields, out_schema), out_schema)
+
+
+def _arrow_elements(keep: list[str], html_col: str, tags: str):
+    def run(batches):
+        import pyarrow as pa
+
+        map_type = pa.map_(pa.string(), pa.string())
+        arrow_schema = None
+        for batch in batches:
+            htmls = batch.column(html_col).to_pylist()
+            src, cols = [], [[] for _ in range(6)]
+            for i, h in enumerate(htmls):
+                for row in iter_elements(h, tags):
+                    src.append(i)
+                    for c, v in zip(cols, row):
+                        c.append(v)
+            idx = pa.array(src, type=pa.int64())
+            arrays = [batch.column(k).take(idx) for k in keep]
+            arrays += [
+                pa.array(cols[0], type=pa.int32()),
+                pa.array(cols[1], type=pa.int32()),
+                pa.array(cols[2], type=pa.string()),
+                pa.array(cols[3], type=pa.string()),
+                pa.array([list(d.items()) for d in cols[4]], type=map_type),
+                pa.array(cols[5], type=pa.string()),
+            ]
+            if arrow_schema is None:
+                arrow_schema = pa.schema(
+                    [batch.schema.field(k) for k in keep]
+                    + [
+                        pa.field("pos", pa.int32()),
+                        pa.field("parent", pa.int32()),
+                        pa.field("tag", pa.string()),
+                        pa.field("cls", pa.string()),
+                        pa.field("attrs", map_type),
+                        pa.field("text", pa.string()),
+                    ]
+                )
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
+    return run
+
+
+def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """One row per element of the listed tags: ``pos, parent, tag, cls, attrs, text``.
+
+    ``mapInArrow`` form of the SQL UDTF ``html_elements`` (``elements_sql``).
+    """
+    from pyspark.sql import types as T
+
+    keep = keep if keep is not None else [c for c in df.columns if c != html_col]
+    df = spread(df.select(*keep, html_col))
+    out_schema = T.StructType(
+        [df.schema[k] for k in keep]
+        + [
+            T.StructField("pos", T.IntegerType()),
+            T.StructField("parent", T.IntegerType()),
+            T.StructField("tag", T.StringType()),
+            T.StructField("cls", T.StringType()),
+            T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+            T.StructField("text", T.StringType()),
+        ]
+    )
+    return df.mapInArrow(_arrow_elements(keep, html_col, tags), out_schema)

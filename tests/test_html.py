@@ -83,3 +83,21 @@ def test_store_b_price_pair(spark):
     assert (got[2].prd_price, got[2].org_price, got[2].prd_discount, got[2].on_sale_cat) == ("$5", "$5", False, None)
     assert got[3].reject_reason == "missing:prd_price"
     assert got[1].prd_id_in_store == "v3"
+
+
+def test_sql_udtf_and_arrow_paths_agree(spark):
+    from conftest import SF_SMALL
+
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html")
+    fields = {"title": {"tag": "title"}, "n_li": {"tag": "li", "get": "count"}, "href": {"tag": "a", "get": "@href"}}
+    a = H.records(pages, fields, container={"tag": "li"}, keep=["page_id"])
+    b = H.records_sql(pages, fields, container={"tag": "li"}, keep=["page_id"])
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    e1 = H.elements(pages, "a,h1", keep=["page_id"]).select("page_id", "pos", "tag", "text")
+    e2 = H.elements_sql(pages, "a,h1", keep=["page_id"]).select("page_id", "pos", "tag", "text")
+    assert sorted(map(tuple, e1.collect())) == sorted(map(tuple, e2.collect()))
+    spark.udtf.register("html_records", H.HtmlRecords)
+    sql = spark.sql(
+        "SELECT p.page_id, r.ord FROM {p} p, LATERAL html_records(p.html, '{{\"tag\": \"li\"}}', '{{}}') r", p=pages
+    )
+    assert sql.count() == a.count()
