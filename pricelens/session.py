@@ -34,13 +34,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only filled in here when unset (tests, local runs).
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if not conf_dir:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the context
+        sc = None
+    if not conf_dir and sc is not None:
         conf_dir = sc.getCheckpointDir()
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="pricelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(conf_dir)
     return conf_dir
 
@@ -58,10 +61,17 @@ def local_path(path: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # no JVM handle: ask the data source instead
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except Exception:
+            return False
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "path_exists"]

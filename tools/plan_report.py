@@ -25,7 +25,7 @@ def summarize(plan: str) -> dict:
         "broadcast_exchanges": count("BroadcastExchange"),
         "aggregates": sum(1 for o in ops if o.endswith("Aggregate")),
         "joins": sum(1 for o in ops if o.endswith("Join")),
-        "python": sum(1 for o in ops if "Python" in o),
+        "python": sum(1 for o in ops if "Python" in o or o.startswith("MapIn") or "Arrow" in o),
         "scans": count("Scan"),
         "pushed": pushed,
         "partition_filters": part,
