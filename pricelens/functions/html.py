@@ -35,6 +35,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+def _ship_by_value() -> None:
+    """Pickle this module's code by value into the Python workers.
+
+    Only this module's functions run in executors' Python workers (the page
+    parser, the ``mapInArrow`` functions and the SQL table functions).
+    Shipping them by value means executors do not need this package
+    installed or on their path.
+    """
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: the package must then be installed on executors
+        pass
+
+
+_ship_by_value()
+
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )

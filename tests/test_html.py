@@ -101,3 +101,10 @@ def test_sql_udtf_and_arrow_paths_agree(spark):
         "SELECT p.page_id, r.ord FROM {p} p, LATERAL html_records(p.html, '{{\"tag\": \"li\"}}', '{{}}') r", p=pages
     )
     assert sql.count() == a.count()
+
+
+def test_page_code_ships_by_value():
+    # executors' Python workers must not need this package on their path
+    from pyspark import cloudpickle
+
+    assert "pricelens.functions.html" in cloudpickle.list_registry_pickle_by_value()
