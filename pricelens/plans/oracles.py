@@ -99,7 +99,7 @@ oracle(
     f"""WITH {RAW_LISTING_CTE}, s AS (
   SELECT k, string_split(prd_per_price, ',') AS a FROM raw_listing WHERE prd_per_price IS NOT NULL
 ), t AS (
-  SELECT k, len(a) AS n_parts, CASE WHEN NOT contains(a[1], '$') THEN a[1] END AS unit_part,
+  SELECT k, CAST(len(a) AS INTEGER) AS n_parts, CASE WHEN NOT contains(a[1], '$') THEN a[1] END AS unit_part,
     trim(coalesce(CASE WHEN len(a) = 3 THEN a[2] || '.' || replace(a[3], '.', '') WHEN len(a) = 2 THEN a[2] END, a[1])) AS pt
   FROM s
 ), v AS (
@@ -166,8 +166,8 @@ oracle(
 ), t AS (
   SELECT file, a, trim(coalesce(CASE WHEN len(a) = 3 THEN a[2] || '.' || replace(a[3], '.', '') WHEN len(a) = 2 THEN a[2] END, a[1])) AS pt FROM s
 )
-SELECT file, max(len(a)) AS max_comma_parts,
-  max(CASE WHEN contains(pt, '$') THEN len(regexp_split_to_array(pt, '\\s+')) END) AS max_price_tokens,
+SELECT file, CAST(max(len(a)) AS INTEGER) AS max_comma_parts,
+  CAST(max(CASE WHEN contains(pt, '$') THEN len(regexp_split_to_array(pt, '\\s+')) END) AS INTEGER) AS max_price_tokens,
   count(*) AS n_rows
 FROM t GROUP BY file""",
 )

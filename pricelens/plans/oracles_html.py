@@ -21,7 +21,7 @@ def rx(pattern: str) -> str:
     return decode(f"regexp_extract(html, '(?s){pattern}', 1)")
 
 
-oracle("page_scan", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+oracle("page_scan", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars FROM pages")
 oracle(
     "html_first_text",
     f"""SELECT page_id, {rx('<title>(.*?)</title>')} AS title, {rx('<h1>(.*?)</h1>')} AS h1,
