@@ -16,15 +16,20 @@ from pyspark.sql import functions as F
 from ..schemas import (
     NA_WORDS,
     PICKUP_PATTERN,
+    PRICE_PATTERN,
     PRICE_TYPE,
+    PRODUCT_ID_PATTERN,
     PROMO_RULES,
     UNIT_BASE_TYPE,
+    UNIT_PRICE_PATTERN,
     UNIT_PRICE_TYPE,
 )
 
-PRODUCT_ID_RE = r"(?U)/(\w+)$"
-PRICE_RE = r"(?d)\$(.*)"
-UNIT_PRICE_RE = r"(?dU)\$(.*?)/(\d+)(\w+)"
+# Java regex flags that give the Python meaning: (?U) Unicode \w and \d,
+# (?d) only '\n' ends a line for '.'.
+PRODUCT_ID_RE = "(?U)" + PRODUCT_ID_PATTERN
+PRICE_RE = "(?d)" + PRICE_PATTERN
+UNIT_PRICE_RE = "(?dU)" + UNIT_PRICE_PATTERN
 
 
 def _col(c) -> Column:

@@ -34,7 +34,12 @@ PROMO_RULES = [
     ("Points", "POINT"),
 ]
 
-# Phrase removed from product names (any blanks inside the brackets).
+# Patterns (Python regex syntax). Product id: last path segment of the link,
+# word characters to the end. Price: text after the first dollar sign. Unit
+# price: price, base amount and unit word. Pick-up phrase removed from names.
+PRODUCT_ID_PATTERN = r"/(\w+)$"
+PRICE_PATTERN = r"\$(.*)"
+UNIT_PRICE_PATTERN = r"\$(.*?)/(\d+)(\w+)"
 PICKUP_PATTERN = r"\(\s*ID required at pick-up\s*\)"
 
 # Words read as missing values by the default pandas CSV reader (pandas 2.x

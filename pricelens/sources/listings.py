@@ -20,11 +20,14 @@ from ..sinks.files import CSV_WRITE_OPTIONS
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "pathGlobFilter": "*.csv"}
 
 
-def read_listing_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING_SCHEMA, recursive: bool = False) -> DataFrame:
+def read_listing_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING_SCHEMA, recursive: bool = True) -> DataFrame:
     """S-1: batch read of listing CSV files under ``path`` (+ ``file``, ``pos``).
 
-    Partition folders such as ``store=X`` become columns and prune files
-    when filtered on; ``recursive=True`` instead walks any folder layout.
+    By default every ``*.csv`` in any folder below ``path`` is read (keys are
+    ``<store>/<file>.csv``; a plain folder layout would otherwise be skipped).
+    For a layout partitioned as ``store=X/...`` pass ``recursive=False``:
+    the partition folders then become a ``store`` column that prunes files
+    when filtered on.
     """
     reader = spark.read.schema(schema).options(**CSV_OPTIONS)
     if recursive:
@@ -33,15 +36,20 @@ def read_listing_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_
     return df.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
 
 
-def stream_listing_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING_SCHEMA, max_files: int | None = None) -> DataFrame:
+def stream_listing_csv(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING_SCHEMA, max_files: int | None = None, recursive: bool = True
+) -> DataFrame:
     """S-2: the same files as a stream; each new ``*.csv`` is read once.
 
     The checkpoint of the query that consumes this stream records which
     files were taken, so a restart does not read a file twice. Adds
     ``file``; ``pos`` is added per micro-batch by ``with_pos`` (row ids are
-    not allowed on a streaming plan).
+    not allowed on a streaming plan). Files are looked up in every folder
+    below ``path`` (keys are ``<store>/<file>.csv``).
     """
     reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.csv(path).select("*", F.col("_metadata.file_path").alias("file"))

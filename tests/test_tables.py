@@ -72,3 +72,24 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
     assert os.path.exists("/root/testdata/sf0.001/part.parquet")
+
+
+def test_stream_takes_each_file_once(spark):
+    from pricelens.plans.fixtures import raw_listings, read_table
+    from pricelens.sources.listings import write_listing_csv
+    from pricelens.streaming.files import start_clean_upsert_stream
+
+    raw = raw_listings(read_table(spark, SF_SMALL, "part"))
+    landing, table, ckpt = (scratch_path(spark, n) for n in ("t-land", "t-table", "t-ckpt"))
+    write_listing_csv(raw.filter("shard < 5"), landing + "/a")
+    start_clean_upsert_stream(spark, landing, table, ckpt).awaitTermination()
+    n1 = spark.read.parquet(table).count()
+    start_clean_upsert_stream(spark, landing, table, ckpt).awaitTermination()  # restart: nothing new
+    assert spark.read.parquet(table).count() == n1
+    write_listing_csv(raw.filter("shard >= 5"), landing + "/b")  # a new arrival
+    start_clean_upsert_stream(spark, landing, table, ckpt).awaitTermination()
+    full = C.split_rejects(C.clean_store_a(raw.drop("k")))[0].count()
+    assert 0 < n1 < full and spark.read.parquet(table).count() == full
+    from pricelens.sources.listings import read_listing_csv
+
+    assert read_listing_csv(spark, landing, recursive=True).count() == raw.count()
