@@ -153,8 +153,13 @@ def unit_price(ppu) -> UnitPrice:
 
 # P-13 / P-15 ----------------------------------------------------------------
 def number_text(dec) -> Column:
-    """Decimal rendered the way a binary float prints: ``1.0``, ``997.5``."""
-    return _col(dec).cast("double").cast("string")
+    """Decimal rendered the way a binary float prints: ``1.0``, ``997.5``,
+    ``10570052.11`` (plain digits, trailing zeros dropped, at least one
+    decimal digit). Goes through the decimal's own text, not a double, so
+    values of 1e7 and more do not switch to exponent form."""
+    text = _col(dec).cast("string")
+    trimmed = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ".0")
+    return F.when(text.contains("."), trimmed).otherwise(F.concat(text, F.lit(".0")))
 
 
 def derived_amount(price, up: UnitPrice) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 # integer building blocks per part row
 BASE_EXPRS = [
     ("k", "p_partkey"),
+    ("pos", "p_partkey"),
     ("shard", "CAST(FLOOR(p_partkey / 2) AS BIGINT) % 7 + 2"),
     ("cents", "CAST(ROUND(p_retailprice * 100) AS BIGINT)"),
     ("u", "p_partkey % 487 + 13"),
@@ -28,6 +29,24 @@ BASE_EXPRS = [
     ("p_size", "p_size"),
 ]
 
+# The same building blocks per lineitem row (30x the rows of part). ``k``
+# drives the text, so lines sharing (order, line number) become duplicates
+# within one file; ``pos`` is unique and keeps "first" well defined.
+LINE_BASE_EXPRS = [
+    ("k", "l_orderkey * 8 + l_linenumber"),
+    ("pos", "((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey"),
+    ("shard", "CAST(FLOOR((l_orderkey * 8 + l_linenumber) / 2) AS BIGINT) % 7 + 2"),
+    ("cents", "CAST(ROUND(l_extendedprice / l_quantity * 100) AS BIGINT)"),
+    ("u", "(l_orderkey * 8 + l_linenumber) % 487 + 13"),
+    ("u2", "(l_orderkey * 8 + l_linenumber) % 199 + 7"),
+    ("amt", "(l_orderkey * 8 + l_linenumber) % 9 + 1"),
+    ("p_name", "'item ' || CAST(l_partkey AS STRING)"),
+    ("p_brand", "'Brand#' || CAST(l_suppkey % 50 AS STRING)"),
+    ("p_type", "l_returnflag || l_linestatus"),
+    ("p_size", "CAST(l_quantity AS INT)"),
+]
+SOURCES = {"part": BASE_EXPRS, "lineitem": LINE_BASE_EXPRS}
+
 
 def money(x: str) -> str:
     """Integer cents -> '12.34' text."""
@@ -43,7 +62,7 @@ LINK_ID = "CAST(CAST(FLOOR(k / 2) AS BIGINT) AS STRING)"
 RAW_EXPRS = [
     ("k", "k"),
     ("file", f"'Loblaws/Loblaws_' || {DAY} || '_' || CAST(shard AS STRING) || '.csv'"),
-    ("pos", "k"),
+    ("pos", "pos"),
     ("date", DAY),
     ("category", "p_type"),
     ("sub_category", "p_brand"),
@@ -89,16 +108,20 @@ def _select_sql(exprs) -> str:
     return ", ".join(f"{e} AS {n}" for n, e in exprs)
 
 
-# DuckDB / ANSI text of the same rows, for oracles: ``raw_listing`` CTE.
-RAW_LISTING_CTE = (
-    f"base AS (SELECT {_select_sql(BASE_EXPRS)} FROM part), "
-    f"raw_listing AS (SELECT {_select_sql(RAW_EXPRS)}, u, u2, amt, cents, shard FROM base)"
-)
+def raw_listing_cte(source: str = "part") -> str:
+    """DuckDB / ANSI text of the same rows, for oracles: ``raw_listing`` CTE."""
+    return (
+        f"base AS (SELECT {_select_sql(SOURCES[source])} FROM {source}), "
+        f"raw_listing AS (SELECT {_select_sql(RAW_EXPRS)}, u, u2, amt, cents, shard FROM base)"
+    )
+
+
+RAW_LISTING_CTE = raw_listing_cte("part")
 
 
-def raw_listings(part: DataFrame, with_helpers: bool = False) -> DataFrame:
+def raw_listings(table: DataFrame, with_helpers: bool = False, source: str = "part") -> DataFrame:
     """Raw store-A listing rows (all text) plus ``file`` and ``pos``."""
-    base = part.selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
+    base = table.selectExpr(*[f"{e} AS {n}" for n, e in SOURCES[source]])
     cols = [f"{e} AS {n}" for n, e in RAW_EXPRS]
     if with_helpers:
         cols += ["u", "u2", "amt", "cents", "shard"]

@@ -9,7 +9,7 @@ integers where Spark rounds decimals).
 from __future__ import annotations
 
 from ..schemas import NA_WORDS
-from .fixtures import RAW_LISTING_CTE, money
+from .fixtures import RAW_LISTING_CTE, money, raw_listing_cte
 
 ORACLES: dict[str, str] = {}
 
@@ -34,10 +34,14 @@ FIRST_LINE = f"split_part({na('prd_discount')}, chr(10), 1)"
 PID = "CASE WHEN k % 53 = 52 OR k % 59 = 58 THEN NULL ELSE CAST(CAST(FLOOR(k / 2) AS BIGINT) AS VARCHAR) || '_EA' END"
 PRICE_OK = "NOT (k % 41 = 40 OR k % 43 = 42)"
 
-# Expected cleaned value of every raw row (no de-duplication).
-ROWS_CTE = (
-    RAW_LISTING_CTE
-    + f""",
+def rows_cte(source: str = "part") -> str:
+    """Expected cleaned value of every raw row (``rows``) and the rows kept
+    by keep-first (``firsts``)."""
+    return raw_listing_cte(source) + _ROWS_BODY
+
+
+_ROWS_BODY = (
+    f""",
 rows AS (
   SELECT k, file, pos,
     CAST(date AS DATE) AS scrap_date, category, sub_category,
@@ -77,6 +81,7 @@ firsts AS (
   UNION ALL SELECT * FROM rows WHERE prd_id_in_store IS NULL
 )"""
 )
+ROWS_CTE = rows_cte("part")
 
 CLEAN_SELECT = (
     "scrap_date, category, sub_category, prd_name, prd_brand, prd_price, prd_discount, prd_link, prd_img, "
@@ -84,6 +89,7 @@ CLEAN_SELECT = (
 )
 
 oracle("clean_listings", f"WITH {ROWS_CTE} SELECT {CLEAN_SELECT} FROM firsts WHERE reject_reason IS NULL")
+oracle("clean_listings_lines", f"WITH {rows_cte('lineitem')} SELECT {CLEAN_SELECT} FROM firsts WHERE reject_reason IS NULL")
 oracle(
     "product_id",
     f"WITH {RAW_LISTING_CTE} SELECT k, prd_link, NULLIF(regexp_extract(prd_link, '/(\\w+)$', 1), '') AS prd_id_in_store FROM raw_listing",

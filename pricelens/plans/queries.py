@@ -56,6 +56,15 @@ def clean_listings(spark, sf_dir):
     return good.select(*CLEAN_COLUMNS)
 
 
+@query("clean_listings_lines")
+def clean_listings_lines(spark, sf_dir):
+    """The same chain over listing text built from ``lineitem`` (30x the rows
+    of ``part``, many duplicate product ids per file)."""
+    raw = raw_listings(read_table(spark, sf_dir, "lineitem"), source="lineitem").drop("k")
+    good, _ = C.split_rejects(C.clean_store_a(raw))
+    return good.select(*CLEAN_COLUMNS)
+
+
 @query("product_id")
 def q_product_id(spark, sf_dir):
     return _raw(spark, sf_dir).select("k", "prd_link", P.product_id("prd_link").alias("prd_id_in_store"))

@@ -93,3 +93,13 @@ def test_half_up_rounding(spark):
     # 2.675 kg style amounts round half up in decimal (binary floats give 2.67)
     got = clean_map(spark, [{"prd_price": "$10.70", "prd_per_price": "$4.00/1kg"}])
     assert got[0]["average_unit"] == "2.68 kg"
+
+
+def test_number_text_like_python_floats(spark):
+    from pyspark.sql import functions as F
+
+    from pricelens.functions.pricing import number_text
+
+    vals = ["997.50", "1.00", "10570052.11", "0.00", "5.99", "20.10"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string").select(F.col("s").cast("decimal(38,2)").alias("d"))
+    assert [r[0] for r in df.select(number_text("d")).collect()] == [repr(float(v)) for v in vals]
