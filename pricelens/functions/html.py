@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from ..operators.balance import spread
+
 def _ship_by_value() -> None:
     """Pickle this module's code by value into the Python workers.
 
@@ -263,22 +265,6 @@ def _sql_str(s: str) -> str:
     return lit.replace("{", "{{").replace("}", "}}")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give per-page Python work enough tasks.
-
-    A small page file read as one partition would be parsed on one core; when
-    the input has fewer partitions than the cluster has task slots the pages
-    are dealt round-robin first (deterministic, so a retried task sees the
-    same rows). Inputs that are already wide are left alone (no shuffle).
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target) if n < target else df
-
-
 def elements_sql(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """Lateral ``html_elements`` over a DataFrame of pages (the SQL form)."""
     spark = df.sparkSession
@@ -386,7 +372,7 @@ def records(
     from pyspark.sql import types as T
 
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
-    df = spread(df.select(*keep, html_col))
+    df = spread(df.select(*keep, html_col), keep or None)
     out_schema = T.StructType(
         [df.schema[k] for k in keep]
         + [T.StructField("rec", T.IntegerType()), T.StructField("ord", T.IntegerType())]
@@ -444,7 +430,7 @@ def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] |
     from pyspark.sql import types as T
 
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
-    df = spread(df.select(*keep, html_col))
+    df = spread(df.select(*keep, html_col), keep or None)
     out_schema = T.StructType(
         [df.schema[k] for k in keep]
         + [

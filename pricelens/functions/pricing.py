@@ -158,8 +158,9 @@ def number_text(dec) -> Column:
     decimal digit). Goes through the decimal's own text, not a double, so
     values of 1e7 and more do not switch to exponent form."""
     text = _col(dec).cast("string")
-    trimmed = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ".0")
-    return F.when(text.contains("."), trimmed).otherwise(F.concat(text, F.lit(".0")))
+    trimmed = F.rtrim(text, F.lit("0"))  # only fraction digits: the text holds a '.'
+    fixed = F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
+    return F.when(text.contains("."), fixed).otherwise(F.concat(text, F.lit(".0")))
 
 
 def derived_amount(price, up: UnitPrice) -> Column:

@@ -1,0 +1,27 @@
+"""Spreading CPU-heavy row work over the task slots."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over the task slots when the input has fewer partitions.
+
+    Row-wise work that costs far more than moving the row (page parsing,
+    the regex-heavy cleaning projection) should not run on a handful of
+    tasks because the input happened to be one small file or an uneven
+    split. With ``keys`` (a unique or near-unique row key) rows are hashed
+    on them: deterministic, so a retried task sees the same rows, and no
+    local sort is needed. Without keys the rows are dealt round-robin
+    (Spark sorts each partition first to keep that deterministic). Inputs
+    that are already at least as wide as the cluster are left alone.
+    """
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave as is
+        return df
+    if n >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

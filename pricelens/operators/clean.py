@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pricing as P
+from .balance import spread
 from ..schemas import CLEAN_COLUMNS, CLEAN_LISTING_SCHEMA, NA_WORDS, RAW_LISTING_COLUMNS
 
 STORE_A = "Loblaws"
@@ -118,26 +119,18 @@ def clean_store_a_rows(
 def clean_store_a(raw: DataFrame, file_col: str = "file", pos_col: str = "pos", store: str = STORE_A, na_words=NA_WORDS) -> DataFrame:
     """P-22: full chain with A-1. Output keeps ``file`` and ``pos``.
 
-    Each row is parsed once (one projection), then the first row per
-    (file, product id) is kept by a partial aggregate. Because the clean /
-    reject split filters on an aggregate output, Catalyst cannot push it
-    below the parse, so no row is parsed twice. Rows without a product id
-    are not de-duplicated; they come out as rejects.
+    One linear plan: spread (only if the input is narrower than the
+    cluster), parse every row once (one projection), keep the first row per
+    (file, product id) with a partial aggregate, done. A row without a
+    product id is its own group (its key is its position), so it is never
+    merged with another and comes out as a ``product_id`` reject. Because
+    the clean / reject split filters on the aggregate's output, Catalyst
+    cannot push it below the parse, so no row is parsed twice.
     """
-    df = null_na_text(raw, [c for c in RAW_LISTING_COLUMNS if c in raw.columns], na_words)
-    df = with_product_id(df)
-    with_id = clean_store_a_rows(
-        df.filter(F.col("prd_id_in_store").isNotNull()), store, na_words, keep=[file_col, pos_col], na_done=True
-    )
-    firsts = keep_first_per_key(with_id, [file_col, "prd_id_in_store"], pos_col)
-    kept_raw = {"prd_link": F.col("prd_link"), "store": F.lit(store)}
-    no_id = df.filter(F.col("prd_id_in_store").isNull()).select(
-        file_col,
-        pos_col,
-        *[kept_raw.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in CLEAN_LISTING_SCHEMA.fields],
-        F.lit(REJECT_PRODUCT_ID).alias("reject_reason"),
-    )
-    return firsts.unionByName(no_id)
+    rows = clean_store_a_rows(spread(raw, [file_col, pos_col]), store, na_words, keep=[file_col, pos_col])
+    unique_key = F.coalesce(F.col("prd_id_in_store"), F.concat(F.lit("\u0001"), F.col(pos_col).cast("string")))
+    firsts = keep_first_per_key(rows.withColumn("_dedup_key", unique_key), [file_col, "_dedup_key"], pos_col)
+    return firsts.drop("_dedup_key")
 
 
 def split_rejects(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:

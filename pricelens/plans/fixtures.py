@@ -120,8 +120,15 @@ RAW_LISTING_CTE = raw_listing_cte("part")
 
 
 def raw_listings(table: DataFrame, with_helpers: bool = False, source: str = "part") -> DataFrame:
-    """Raw store-A listing rows (all text) plus ``file`` and ``pos``."""
-    base = table.selectExpr(*[f"{e} AS {n}" for n, e in SOURCES[source]])
+    """Raw store-A listing rows (all text) plus ``file`` and ``pos``.
+
+    The narrow source rows are dealt over the task slots first when the
+    table was read as few (or uneven) partitions, so building the text is
+    not left to one task.
+    """
+    from ..operators.balance import spread
+
+    base = spread(table, table.columns).selectExpr(*[f"{e} AS {n}" for n, e in SOURCES[source]])
     cols = [f"{e} AS {n}" for n, e in RAW_EXPRS]
     if with_helpers:
         cols += ["u", "u2", "amt", "cents", "shard"]

@@ -66,8 +66,7 @@ oracle(
 ), r AS (
   SELECT *, {STORES3.format(x='(CAST(FLOOR(k / 2) AS BIGINT) % 7 + 2)')} AS st FROM rows
 )
-SELECT replace(file, 'Loblaws', st) AS file, pos, st AS store, prd_id_in_store,
-  CASE WHEN prd_id_in_store IS NOT NULL THEN prd_price END AS prd_price, reject_reason FROM m WHERE st = 'Loblaws'
+SELECT replace(file, 'Loblaws', st) AS file, pos, st AS store, prd_id_in_store, prd_price, reject_reason FROM m WHERE st = 'Loblaws'
 UNION ALL
 SELECT replace(file, 'Loblaws', st) AS file, pos, st AS store, NULL AS prd_id_in_store, NULL AS prd_price, 'unknown_store' AS reject_reason
 FROM r WHERE st <> 'Loblaws'""",
