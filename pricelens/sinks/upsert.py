@@ -75,11 +75,11 @@ def write_upsert(
     partition_cols = list(partition_cols or [])
     assert all(c in keys for c in partition_cols), "partition columns must be part of the key"
     latest = latest_per_key(batch, keys, seq_col).drop(seq_col) if seq_col else batch
-    # used three times below: write it once to the shared checkpoint folder
-    ensure_checkpoint_dir(spark)
-    latest = latest.checkpoint(eager=True)
     writer = latest
     if path_exists(spark, table_path):
+        # read up to three times below: write it once to the shared checkpoint folder
+        ensure_checkpoint_dir(spark)
+        latest = latest.checkpoint(eager=True)
         current = spark.read.parquet(table_path)
         if partition_cols:
             pred = touched_partitions(latest, partition_cols)
