@@ -114,7 +114,8 @@ def store_b_listing_cards(pages: DataFrame, keep: list[str] | None = None) -> Da
         "prd_img": {"tag": "img", "class": STORE_B_IMG_CLASS, "get": "@src"},
     }
     recs = H.records(pages, fields, container={"tag": "li", "class": STORE_B_CARD_CLASS}, keep=keep)
-    return recs.select(*keep, F.col("ord").alias("card"), "category", "prd_url", "prd_img")
+    out = recs.select(*keep, F.col("ord").alias("card"), "category", "prd_url", "prd_img")
+    return out.withColumn("reject_reason", missing_reason(["prd_url", "prd_img"]))
 
 
 def store_b_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -163,10 +164,25 @@ def store_b_products(pages: DataFrame, keep: list[str] | None = None) -> DataFra
 
 
 def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, scrap_date: Column | None = None) -> DataFrame:
-    """Store-B rows in clean names: listing cards joined to product pages by URL."""
-    cards = store_b_listing_cards(listing_pages, keep=["page_id"]).withColumnRenamed("page_id", "listing_page")
-    products = store_b_products(product_pages, keep=["url"])
-    joined = cards.join(products, cards["prd_url"] == products["url"], "inner").drop("url")
+    """Store-B rows in clean names: listing cards joined to product pages by URL.
+
+    A left join: a card whose product page is missing (or unreadable) is
+    kept as a reject, never dropped. Sort-merge join on the URL; AQE may
+    turn it into a broadcast from run-time sizes and splits a hot URL.
+    """
+    cards = (
+        store_b_listing_cards(listing_pages, keep=["page_id"])
+        .withColumnRenamed("page_id", "listing_page")
+        .withColumnRenamed("reject_reason", "card_reject")
+    )
+    products = store_b_products(product_pages, keep=["url"]).withColumnRenamed("reject_reason", "page_reject")
+    joined = cards.join(products, cards["prd_url"] == products["url"], "left")
+    reason = F.coalesce(
+        F.col("card_reject"),
+        F.when(F.col("url").isNull(), F.lit("missing:product_page")),
+        F.col("page_reject"),
+    )
+    joined = joined.withColumn("reject_reason", reason).drop("url", "card_reject", "page_reject")
     return joined.select(
         (scrap_date if scrap_date is not None else F.lit(None).cast("date")).alias("scrap_date"),
         "prd_url",

@@ -131,3 +131,22 @@ SELECT p_type AS category, page_id, CAST(j AS INTEGER) AS card,
   'https://mart.example/img/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.jpg' AS prd_img
 FROM fpages, (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2) c WHERE j < 2 OR k % 2 = 0""",
 )
+oracle(
+    "store_b_rows",
+    f"""WITH {pages_cte('store_b_listing')}
+SELECT page_id AS listing_page, CAST(j AS INTEGER) AS card, p_type AS category,
+  'https://mart.example/p/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.html' AS prd_url,
+  'https://mart.example/img/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.jpg' AS prd_img,
+  CASE WHEN j = 0 AND k % 17 <> 16 THEN '$' || CASE WHEN k % 3 = 1 THEN {money('cents - 100')} ELSE {money('cents')} END END AS prd_price,
+  CASE WHEN j = 0 AND k % 17 <> 16 THEN '$' || {money('cents')} END AS org_price,
+  CASE WHEN j = 0 AND k % 17 <> 16 THEN k % 3 = 1 END AS prd_discount,
+  CASE WHEN j = 0 AND k % 17 <> 16 AND k % 3 = 1 THEN 'SAVING' END AS on_sale_cat,
+  CASE WHEN j = 0 THEN p_brand END AS prd_brand,
+  CASE WHEN j = 0 THEN p_name END AS prd_name,
+  CASE WHEN j = 0 THEN CAST(p_size AS VARCHAR) || ' ea' END AS average_unit,
+  CASE WHEN j = 0 AND k % 19 <> 18 THEN CAST(k AS VARCHAR) END AS prd_id_in_store,
+  'HMart' AS store,
+  CASE WHEN j > 0 THEN 'missing:product_page' WHEN k % 17 = 16 THEN 'missing:prd_price'
+       WHEN k % 19 = 18 THEN 'missing:prd_id_in_store' END AS reject_reason
+FROM fpages, (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2) c WHERE j < 2 OR k % 2 = 0""",
+)

@@ -150,3 +150,15 @@ def q_cards_to_clean(spark, sf_dir):
     )
     good, _ = C.split_rejects(C.clean_store_a(raw))
     return good.select(*CLEAN_COLUMNS)
+
+
+@query("store_b_rows")
+def q_store_b_rows(spark, sf_dir):
+    """Store-B listing pages + product pages -> rows in clean names, with
+    rejects (missing product page, price or spec field) kept."""
+    part = read_table(spark, sf_dir, "part")
+    rows = X.store_b_rows(part_pages(part, "store_b_listing"), part_pages(part, "store_b_product"))
+    return rows.select(
+        "listing_page", "card", "category", "prd_url", "prd_img", "prd_price", "org_price", "prd_discount",
+        "on_sale_cat", "prd_brand", "prd_name", "average_unit", "prd_id_in_store", "store", "reject_reason",
+    )
