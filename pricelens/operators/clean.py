@@ -140,12 +140,12 @@ def split_rejects(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def with_record_meta(clean: DataFrame, stable_ids: bool = True) -> DataFrame:
+def with_record_meta(clean: DataFrame, stable_ids: bool = True, keys=("store", "prd_id_in_store", "scrap_date")) -> DataFrame:
     """P-18 / P-19: record id and processing time (one value per query)."""
     from ..functions.timefmt import processing_time_text
 
     return clean.withColumn(
-        "record_id", P.record_id("store", "prd_id_in_store", "scrap_date", stable=stable_ids)
+        "record_id", P.record_id(*keys, stable=stable_ids)
     ).withColumn("processing_time", processing_time_text())
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths
-from ..functions.pricing import record_id
 from ..operators import clean as C
 from ..schemas import DEFAULT_UPSERT_KEY
 from ..sinks.upsert import write_upsert
@@ -28,7 +27,8 @@ def clean_and_upsert_batch(
 ) -> None:
     """One micro-batch (or one batch run): clean, split, upsert, keep rejects."""
     keys = keys or DEFAULT_UPSERT_KEY
-    cleaned = C.clean_store_a(batch).withColumn("record_id", record_id(*keys))
+    # record id (stable hash of the key) and processing time (one per micro-batch)
+    cleaned = C.with_record_meta(C.clean_store_a(batch), keys=keys)
     cleaned = cleaned.checkpoint(eager=True)  # read twice: clean rows and rejects
     good, bad = C.split_rejects(cleaned)
     good = good.withColumn("_seq", F.col("pos"))
