@@ -75,3 +75,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "path_exists"]
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input, for a job over ``input_bytes`` on a
+    cluster with ``total_cores`` task slots.
+
+    * shuffle partitions: enough that each holds about
+      ``target_partition_bytes`` of the input (never fewer than 2x the
+      cores); AQE then merges small ones and splits skewed ones;
+    * scan splits of 256 MB for splittable inputs (Parquet, page tables);
+    * skew handling: a partition 5x the median and over 512 MB is split.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
