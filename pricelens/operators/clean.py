@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pricing as P
 from .balance import spread
-from ..schemas import CLEAN_COLUMNS, CLEAN_LISTING_SCHEMA, NA_WORDS, RAW_LISTING_COLUMNS
+from ..schemas import CLEAN_COLUMNS, NA_WORDS, RAW_LISTING_COLUMNS
 
 STORE_A = "Loblaws"
 

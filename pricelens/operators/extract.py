@@ -26,6 +26,7 @@ from ..schemas import (
     STORE_B_CARD_CLASS,
     STORE_B_IMG_CLASS,
     STORE_B_PRICE_CLASS,
+    STORE_B_SCHEMA,
     STORE_B_SPEC_FIELDS,
 )
 
@@ -183,18 +184,16 @@ def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, scrap_date:
         F.col("page_reject"),
     )
     joined = joined.withColumn("reject_reason", reason).drop("url", "card_reject", "page_reject")
+    joined = joined.withColumns(
+        {
+            "scrap_date": scrap_date if scrap_date is not None else F.lit(None).cast("date"),
+            "sub_category": F.lit(None).cast("string"),
+            "store": F.lit(STORE_B),
+        }
+    )
+    # the declared store-B schema (names, order, types) + bookkeeping columns
     return joined.select(
-        (scrap_date if scrap_date is not None else F.lit(None).cast("date")).alias("scrap_date"),
-        "prd_url",
-        "prd_img",
-        "prd_discount",
-        F.lit(None).cast("string").alias("sub_category"),
-        F.lit(STORE_B).alias("store"),
-        "org_price",
-        "prd_price",
-        "on_sale_cat",
-        *STORE_B_SPEC_FIELDS,
-        "category",
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_B_SCHEMA.fields],
         "listing_page",
         "card",
         "reject_reason",
