@@ -74,6 +74,8 @@ class _Tree(HTMLParser):
         self.start: list[int] = []
         self.end: list[int] = []
         self.last: list[int] = []  # one past the last descendant
+        self.cls: list[str] = []  # class attribute, blanks normalised
+        self.cls_set: list[frozenset] = []
         self.chunks: list[str] = []
         self.hidden: list[bool] = []  # chunk sits inside script/style
         self.stack: list[int] = []
@@ -86,6 +88,9 @@ class _Tree(HTMLParser):
                 d[k] = "" if v is None else v
         self.tags.append(tag)
         self.attrs.append(d)
+        words = d.get("class", "").split()
+        self.cls.append(" ".join(words))
+        self.cls_set.append(frozenset(words))
         self.parent.append(self.stack[-1] if self.stack else -1)
         self.start.append(len(self.chunks))
         self.end.append(-1)
@@ -132,7 +137,7 @@ class _Tree(HTMLParser):
         return "".join(c for c, h in zip(self.chunks[s:e], self.hidden[s:e]) if not h)
 
     def class_text(self, i: int) -> str:
-        return " ".join(self.attrs[i].get("class", "").split())
+        return self.cls[i]
 
 
 def parse_tree(html: str) -> _Tree:
@@ -146,15 +151,11 @@ def _matches(tree: _Tree, i: int, spec: dict) -> bool:
     if tag and tree.tags[i] != tag:
         return False
     cls = spec.get("class")
-    if cls is not None:
-        have = tree.class_text(i)
-        if not (have == cls or cls in have.split()):
-            return False
+    if cls is not None and not (tree.cls[i] == cls or cls in tree.cls_set[i]):
+        return False
     need = spec.get("all_classes")
-    if need:
-        have_set = set(tree.class_text(i).split())
-        if not all(c in have_set for c in need):
-            return False
+    if need and not all(c in tree.cls_set[i] for c in need):
+        return False
     for k, v in (spec.get("attrs") or {}).items():
         if tree.attrs[i].get(k) != v:
             return False
