@@ -83,9 +83,8 @@ class _Tree(HTMLParser):
     def _open(self, tag, attrs):
         i = len(self.tags)
         d = {}
-        for k, v in attrs:
-            if k not in d:
-                d[k] = "" if v is None else v
+        for k, v in attrs:  # a repeated attribute keeps its last value
+            d[k] = "" if v is None else v
         self.tags.append(tag)
         self.attrs.append(d)
         words = d.get("class", "").split()

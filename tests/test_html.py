@@ -108,3 +108,8 @@ def test_page_code_ships_by_value():
     from pyspark import cloudpickle
 
     assert "pricelens.functions.html" in cloudpickle.list_registry_pickle_by_value()
+
+
+def test_repeated_attribute_keeps_last_value():
+    t = parse_tree('<a href="/first" href="/last" class="x" class="y z">t</a>')
+    assert t.attrs[0]["href"] == "/last" and t.class_text(0) == "y z"
