@@ -102,3 +102,4 @@ oracle(
   'daily_scrapping_' || {STORES3.format(x='user_id')} || '_' || CAST(user_id % 16 AS VARCHAR) AS job_name
 FROM events WHERE event_type = 'error' AND user_id % 10 <> 0""",
 )
+oracle("json_roundtrip", CLEAN_ORACLE)

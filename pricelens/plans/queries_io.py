@@ -219,3 +219,13 @@ def q_failure_alerts(spark, sf_dir):
     q = start_alert_stream(job_events, out, scratch_path(spark, "alerts-ckpt"))
     q.awaitTermination()
     return spark.read.parquet(out).select("event_id", "ts", "status", "job_name")
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    """K-3 file form: clean rows as JSON lines (nulls written out), read back
+    with the declared schema (decimals stay exact)."""
+    good, _ = C.split_rejects(_chain(spark, sf_dir))
+    path = scratch_path(spark, "json-roundtrip")
+    K.write_json(good.select(*CLEAN_COLUMNS), path)
+    return spark.read.schema(CLEAN_LISTING_SCHEMA).json(path)
