@@ -211,7 +211,8 @@ JOB_EVENTS = [
 
 @query("failure_alerts")
 def q_failure_alerts(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    sf_dir = sf_dir.rstrip("/")
+    schema = read_table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     job_events = events.selectExpr(*JOB_EVENTS)
     assert [f.name for f in job_events.schema] == [f.name for f in JOB_EVENT_SCHEMA]

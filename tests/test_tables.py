@@ -93,3 +93,13 @@ def test_stream_takes_each_file_once(spark):
     from pricelens.sources.listings import read_listing_csv
 
     assert read_listing_csv(spark, landing, recursive=True).count() == raw.count()
+
+
+def test_row_order_does_not_change_results(spark):
+    from pricelens.plans.fixtures import raw_listings, read_table
+
+    raw = raw_listings(read_table(spark, SF_SMALL, "part")).drop("k")
+    shuffled = raw.orderBy(F.rand(7)).repartition(5)  # same rows (and positions), other order
+    a = sorted(map(tuple, C.clean_store_a(raw).collect()), key=repr)
+    b = sorted(map(tuple, C.clean_store_a(shuffled).collect()), key=repr)
+    assert a == b
