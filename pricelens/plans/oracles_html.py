@@ -14,7 +14,12 @@ from .oracles import CLEAN_SELECT, oracle
 
 
 def decode(x: str) -> str:
-    return f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+    """Decode the entities that occur in ``pages``; like HTML, these legacy
+    names are also decoded without the closing semicolon."""
+    out = x
+    for ent, ch in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("amp", "&")):
+        out = f"regexp_replace({out}, '&{ent};?', '{ch}', 'g')"
+    return out
 
 
 def rx(pattern: str) -> str:
