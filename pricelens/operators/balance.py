@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
+# logical operators whose physical form ends in a shuffle (or needs one)
+_SHUFFLING = re.compile(
+    r"^[\s:+\-]*(Repartition|RepartitionByExpression|RebalancePartitions|Aggregate|Join|Window|Sort|Deduplicate)\b",
+    re.M,
+)
+
+
+def _shuffles(df: DataFrame) -> bool:
+    """Does the plan already contain a shuffle? (Checked on the analyzed
+    plan, which exists already; asking such a plan for its partitions would
+    make adaptive execution run its shuffle stages.)"""
+    return bool(_SHUFFLING.search(df._jdf.queryExecution().analyzed().toString()))
+
 
 def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
     """Spread rows over the task slots when the input has fewer partitions.
@@ -18,9 +33,11 @@ def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | N
     that are already at least as wide as the cluster are left alone.
     """
     try:
+        if _shuffles(df):  # already spread by an earlier shuffle
+            return df
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave as is
+        n = df.rdd.getNumPartitions()  # a scan-level plan: no job runs
+    except Exception:  # no JVM / RDD view (e.g. a remote session): leave as is
         return df
     if n >= target:
         return df

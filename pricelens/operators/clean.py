@@ -7,6 +7,8 @@ The chain is one projection (no shuffle) plus one aggregation for
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,15 @@ def with_product_id(df: DataFrame, link_col: str = "prd_link") -> DataFrame:
     return df.withColumn("prd_id_in_store", P.product_id(link_col))
 
 
+@functools.lru_cache(maxsize=64)
+def _first_cols(cols: tuple, keys: tuple, order_col: str):
+    rest = [c for c in cols if c not in keys and c != order_col]
+    packed = F.struct(F.col(order_col).alias(order_col), *[F.col(c) for c in rest])
+    agg = F.min(packed).alias("_first")
+    out = [F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in cols]
+    return agg, out
+
+
 def keep_first_per_key(df: DataFrame, keys: list[str], order_col: str = "pos") -> DataFrame:
     """A-1: keep the row with the smallest ``order_col`` per key.
 
@@ -43,37 +54,31 @@ def keep_first_per_key(df: DataFrame, keys: list[str], order_col: str = "pos") -
     hot group (a ``row_number`` window would). Rows with a null key are not
     de-duplicated; callers route them elsewhere first.
     """
-    cols = df.columns
-    rest = [c for c in cols if c not in keys and c != order_col]
-    packed = F.struct(F.col(order_col).alias(order_col), *[F.col(c) for c in rest])
-    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in cols])
+    agg, out = _first_cols(tuple(df.columns), tuple(keys), order_col)
+    return df.groupBy(*keys).agg(agg).select(*out)
 
 
-def _unit_chain(df: DataFrame) -> DataFrame:
+def _unit_steps() -> list[dict]:
     parts = P.unit_parts("prd_per_price")
-    df = df.withColumns(
+    up = P.unit_price("price_per_unit_1")
+    up_cols = P.UnitPrice(F.col("_up"), F.col("_base"), F.col("_word"))
+    unit_bad = F.col("prd_per_price").isNotNull() & (
+        (F.col("price_per_unit_1").isNotNull() & (F.col("_up").isNull() | F.col("_base").isNull() | F.col("_word").isNull()))
+        | F.col("average_unit").isNull()
+    )
+    return [
         {
             "_n_parts": parts.n_parts,
             "_mid_dollar": parts.middle_has_dollar,
             "_unit_part": parts.unit_part,
             "price_per_unit_1": parts.price_per_unit_1,
             "price_per_unit_2": parts.price_per_unit_2,
-        }
-    )
-    up = P.unit_price("price_per_unit_1")
-    df = df.withColumns({"_up": up.unit_price, "_base": up.base, "_word": up.word})
-    up_cols = P.UnitPrice(F.col("_up"), F.col("_base"), F.col("_word"))
-    df = df.withColumn("average_unit", P.average_unit("_unit_part", "prd_price", up_cols))
-    df = df.withColumn(
-        "_unit_bad",
-        F.col("prd_per_price").isNotNull()
-        & (
-            (F.col("price_per_unit_1").isNotNull() & (F.col("_up").isNull() | F.col("_base").isNull() | F.col("_word").isNull()))
-            | F.col("average_unit").isNull()
-        ),
-    )
-    return df.withColumn("price_per_unit_1", P.unit_price_text("price_per_unit_1", "prd_price", "average_unit"))
+        },
+        {"_up": up.unit_price, "_base": up.base, "_word": up.word},
+        {"average_unit": P.average_unit("_unit_part", "prd_price", up_cols)},
+        {"_unit_bad": unit_bad},
+        {"price_per_unit_1": P.unit_price_text("price_per_unit_1", "prd_price", "average_unit")},
+    ]
 
 
 def reject_reason() -> Column:
@@ -86,6 +91,30 @@ def reject_reason() -> Column:
     )
 
 
+@functools.lru_cache(maxsize=16)
+def _row_steps(store: str, na_words: tuple, raw_cols: tuple):
+    """The chain's Column expressions, built once per process.
+
+    They name their inputs and refer to nothing else, so the same objects
+    serve every DataFrame; building them costs one JVM round trip per
+    function call, which is worth paying once, not per query.
+    """
+    na_raw = {c: P.null_na_words(c, na_words) for c in RAW_LISTING_COLUMNS if c in raw_cols}
+    pid = {"prd_id_in_store": P.product_id("prd_link")}
+    typed = {
+        "scrap_date": F.col("scrap_date").try_cast("date"),
+        "store": F.lit(store),
+        "prd_discount": P.first_line("prd_discount"),
+        "prd_price": P.parse_price("prd_price"),
+    }
+    steps = [typed, {"on_sale_cat": P.promo_category("prd_discount")}, *_unit_steps(), {"reject_reason": reject_reason()}]
+    # second NA pass: values produced by cleaning that a re-read would null
+    na_again = {c: P.null_na_words(c, na_words) for c in ["prd_discount", "average_unit", "price_per_unit_1", "price_per_unit_2"]}
+    na_again["prd_name"] = P.null_na_words(P.clean_name("prd_name"), na_words)
+    final = [na_again.get(c, F.col(c)).alias(c) for c in CLEAN_COLUMNS] + [F.col("reject_reason")]
+    return na_raw, pid, steps, final
+
+
 def clean_store_a_rows(
     raw: DataFrame, store: str = STORE_A, na_words=NA_WORDS, keep: list[str] | None = None, na_done: bool = False
 ) -> DataFrame:
@@ -95,25 +124,14 @@ def clean_store_a_rows(
     ``na_done`` says the NA-word pass already ran on the raw columns.
     """
     keep = list(keep or [])
-    df = raw if na_done else null_na_text(raw, [c for c in RAW_LISTING_COLUMNS if c in raw.columns], na_words)
+    na_raw, pid, steps, final = _row_steps(store, tuple(na_words), tuple(raw.columns))
+    df = raw if na_done else raw.withColumns(na_raw)
     if "prd_id_in_store" not in df.columns:
-        df = with_product_id(df)
-    first = P.first_line("prd_discount")
-    df = df.withColumnRenamed("date", "scrap_date").withColumns(
-        {
-            "scrap_date": F.col("scrap_date").try_cast("date"),
-            "store": F.lit(store),
-            "prd_discount": first,
-            "prd_price": P.parse_price("prd_price"),
-        }
-    )
-    df = df.withColumn("on_sale_cat", P.promo_category("prd_discount"))
-    df = _unit_chain(df)
-    df = df.withColumn("reject_reason", reject_reason())
-    # second NA pass: values produced by cleaning that a re-read would null
-    na_again = {c: P.null_na_words(c, na_words) for c in ["prd_discount", "average_unit", "price_per_unit_1", "price_per_unit_2"]}
-    na_again["prd_name"] = P.null_na_words(P.clean_name("prd_name"), na_words)
-    return df.select(*keep, *[na_again.get(c, F.col(c)).alias(c) for c in CLEAN_COLUMNS], "reject_reason")
+        df = df.withColumns(pid)
+    df = df.withColumnRenamed("date", "scrap_date")
+    for step in steps:
+        df = df.withColumns(step)
+    return df.select(*keep, *final)
 
 
 def clean_store_a(raw: DataFrame, file_col: str = "file", pos_col: str = "pos", store: str = STORE_A, na_words=NA_WORDS) -> DataFrame:
