@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 # logical operators whose physical form ends in a shuffle (or needs one)
 _SHUFFLING = re.compile(
-    r"^[\s:+\-]*(Repartition|RepartitionByExpression|RebalancePartitions|Aggregate|Join|Window|Sort|Deduplicate)\b",
+    r"^[\s:+\-]*(Repartition \d+, true|RepartitionByExpression|RebalancePartitions|Aggregate|Join|Window|Sort|Deduplicate)\b",
     re.M,
 )
 

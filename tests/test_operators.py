@@ -83,3 +83,15 @@ def test_failure_pattern(spark):
         "detail_type string, source string, status string",
     )
     assert failure_alerts(ev).count() == 1
+
+
+def test_spread_never_runs_a_job(spark):
+    from pricelens.operators.balance import _shuffles, spread
+
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    narrow = spark.range(1000).coalesce(1)
+    wide = spread(narrow, ["id"])  # a scan-level plan: counted, not run
+    again = spread(wide.groupBy("id").count(), ["id"])  # already shuffles: left alone
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert _shuffles(wide) and not _shuffles(narrow) and again is not None
