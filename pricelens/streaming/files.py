@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from ..operators import clean as C
 from ..schemas import DEFAULT_UPSERT_KEY
+from ..session import ensure_checkpoint_dir
 from ..sinks.upsert import write_upsert
 from ..sources.listings import stream_listing_csv, with_pos
 
@@ -27,6 +28,7 @@ def clean_and_upsert_batch(
 ) -> None:
     """One micro-batch (or one batch run): clean, split, upsert, keep rejects."""
     keys = keys or DEFAULT_UPSERT_KEY
+    ensure_checkpoint_dir(spark)
     # record id (stable hash of the key) and processing time (one per micro-batch)
     cleaned = C.with_record_meta(C.clean_store_a(batch), keys=keys)
     cleaned = cleaned.checkpoint(eager=True)  # read twice: clean rows and rejects
