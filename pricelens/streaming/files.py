@@ -25,8 +25,13 @@ def clean_and_upsert_batch(
     table_path: str,
     rejects_path: str | None = None,
     keys: list[str] | None = None,
+    batch_id: int = 0,
 ) -> None:
-    """One micro-batch (or one batch run): clean, split, upsert, keep rejects."""
+    """One micro-batch (or one batch run): clean, split, upsert, keep rejects.
+
+    Rejects go to the ``batch_id`` partition of ``rejects_path``, replaced
+    as a whole, so a retried micro-batch does not write them twice.
+    """
     keys = keys or DEFAULT_UPSERT_KEY
     ensure_checkpoint_dir(spark)
     # record id (stable hash of the key) and processing time (one per micro-batch)
@@ -36,7 +41,14 @@ def clean_and_upsert_batch(
     good = good.withColumn("_seq", F.col("pos"))
     write_upsert(spark, table_path, good.drop("file", "pos"), keys, seq_col="_seq", partition_cols=["store", "scrap_date"])
     if rejects_path:
-        bad.withColumn("source_file", paths.file_name("file")).write.mode("append").parquet(rejects_path)
+        (
+            bad.withColumn("source_file", paths.file_name("file"))
+            .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(rejects_path)
+        )
 
 
 def start_clean_upsert_stream(
@@ -52,7 +64,7 @@ def start_clean_upsert_stream(
     src = stream_listing_csv(spark, landing_path)
 
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        clean_and_upsert_batch(batch_df.sparkSession, with_pos(batch_df), table_path, rejects_path)
+        clean_and_upsert_batch(batch_df.sparkSession, with_pos(batch_df), table_path, rejects_path, batch_id=epoch_id)
 
     writer = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
