@@ -11,13 +11,14 @@ from ..operators import clean as C
 from ..operators import extract as X
 from ..operators import worklist as W
 from ..schemas import CLEAN_COLUMNS, STORE_A_FIELDS
+from ..sources.pages import read_pages
 from .fixtures import read_table
 from .html_fixtures import part_pages
 from .queries import query
 
 
 def _pages(spark, sf_dir):
-    return read_table(spark, sf_dir, "pages")
+    return read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet")
 
 
 def _part_pages(spark, sf_dir, kind):
