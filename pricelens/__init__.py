@@ -8,7 +8,7 @@ Main entry points::
     from pricelens import clean_store_a, split_rejects, read_listing_csv
     raw = read_listing_csv(spark, "<landing>")            # S-1
     good, rejects = split_rejects(clean_store_a(raw))      # P-22, A-1, P-23
-    write_upsert(spark, "<table>", good, DEFAULT_UPSERT_KEY, "pos", ["store", "scrap_date"])  # K-5
+    upsert_clean_rows(spark, with_record_meta(good), "<table>")            # K-5
 """
 
 from .operators.clean import clean_store_a, clean_store_a_rows, keep_first_per_key, split_rejects, with_record_meta
@@ -21,7 +21,7 @@ from .sinks.files import json_record, write_by_store, write_csv, write_json
 from .sinks.upsert import upsert, write_upsert
 from .sources.listings import read_listing_csv, store_dimension, stream_listing_csv
 from .streaming.alerts import failure_alerts, start_alert_stream
-from .streaming.files import clean_and_upsert_batch, start_clean_upsert_stream
+from .streaming.files import clean_and_upsert_batch, start_clean_upsert_stream, upsert_clean_rows
 
 __all__ = [
     "CLEAN_LISTING_SCHEMA",
@@ -50,6 +50,7 @@ __all__ = [
     "union_stores",
     "unknown_keys",
     "upsert",
+    "upsert_clean_rows",
     "with_record_meta",
     "worklist",
     "write_by_store",

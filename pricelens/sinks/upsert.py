@@ -81,6 +81,10 @@ def write_upsert(
         ensure_checkpoint_dir(spark)
         latest = latest.checkpoint(eager=True)
         current = spark.read.parquet(table_path)
+        if set(current.columns) != set(latest.columns):
+            raise ValueError(
+                f"batch columns {sorted(latest.columns)} do not match the table's {sorted(current.columns)}"
+            )
         if partition_cols:
             pred = touched_partitions(latest, partition_cols)
             if pred is not None:

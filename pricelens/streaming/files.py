@@ -19,6 +19,16 @@ from ..sinks.upsert import write_upsert
 from ..sources.listings import stream_listing_csv, with_pos
 
 
+def upsert_clean_rows(spark: SparkSession, good: DataFrame, table_path: str, keys: list[str] | None = None) -> None:
+    """K-5 for clean listing rows (batch or stream, same table layout).
+
+    Per key the row latest in input order wins (``pos``); the table keeps
+    the clean columns and record fields, partitioned by store and day.
+    """
+    rows = good.withColumn("_seq", F.col("pos")).drop("file", "pos")
+    write_upsert(spark, table_path, rows, keys or DEFAULT_UPSERT_KEY, seq_col="_seq", partition_cols=["store", "scrap_date"])
+
+
 def clean_and_upsert_batch(
     spark: SparkSession,
     batch: DataFrame,
@@ -38,8 +48,7 @@ def clean_and_upsert_batch(
     cleaned = C.with_record_meta(C.clean_store_a(batch), keys=keys)
     cleaned = cleaned.checkpoint(eager=True)  # read twice: clean rows and rejects
     good, bad = C.split_rejects(cleaned)
-    good = good.withColumn("_seq", F.col("pos"))
-    write_upsert(spark, table_path, good.drop("file", "pos"), keys, seq_col="_seq", partition_cols=["store", "scrap_date"])
+    upsert_clean_rows(spark, good, table_path, keys)
     if rejects_path:
         (
             bad.withColumn("source_file", paths.file_name("file"))

@@ -103,3 +103,14 @@ def test_row_order_does_not_change_results(spark):
     a = sorted(map(tuple, C.clean_store_a(raw).collect()), key=repr)
     b = sorted(map(tuple, C.clean_store_a(shuffled).collect()), key=repr)
     assert a == b
+
+
+def test_write_upsert_rejects_a_different_layout(spark):
+    import pytest
+
+    path = scratch_path(spark, "test-upsert-layout")
+    a = spark.createDataFrame([("A", "1", "d1", 1.0, 0)], "store string, id string, day string, p double, seq int")
+    write_upsert(spark, path, a, ["store", "id", "day"], "seq", ["store", "day"])
+    b = a.withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError, match="do not match"):
+        write_upsert(spark, path, b, ["store", "id", "day"], "seq", ["store", "day"])
