@@ -321,9 +321,14 @@ def join_root(root, href) -> Column:
     return F.concat(r, h)
 
 
+OUT_PAGES = 256  # pages per output batch: bounds the records held at once
+
+
 def _arrow_records(keep: list[str], html_col: str, cont: dict | None, field_specs: dict, out_schema):
     """Per-partition function for ``mapInArrow``: batches of pages in,
-    batches of records out; page columns pass through by index (``take``)."""
+    batches of records out; page columns pass through by index (``take``).
+    Output is emitted every ``OUT_PAGES`` pages, so memory does not grow
+    with the size of the input batch."""
     names = list(field_specs)
 
     def run(batches):
@@ -331,27 +336,29 @@ def _arrow_records(keep: list[str], html_col: str, cont: dict | None, field_spec
 
         arrow_schema = None
         for batch in batches:
-            htmls = batch.column(html_col).to_pylist()
-            src, recs, ords = [], [], []
-            vals = {k: [] for k in names}
-            for i, h in enumerate(htmls):
-                for rec, ord_, out in iter_records(h, cont, field_specs):
-                    src.append(i)
-                    recs.append(rec)
-                    ords.append(ord_)
-                    for k in names:
-                        vals[k].append(out[k])
-            idx = pa.array(src, type=pa.int64())
-            arrays = [batch.column(k).take(idx) for k in keep]
-            arrays += [pa.array(recs, type=pa.int32()), pa.array(ords, type=pa.int32())]
-            arrays += [pa.array(vals[k], type=pa.string()) for k in names]
-            if arrow_schema is None:
-                arrow_schema = pa.schema(
-                    [batch.schema.field(k) for k in keep]
-                    + [pa.field("rec", pa.int32()), pa.field("ord", pa.int32())]
-                    + [pa.field(k, pa.string()) for k in names]
-                )
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+            htmls = batch.column(html_col)
+            for lo in range(0, batch.num_rows, OUT_PAGES):
+                part = htmls.slice(lo, OUT_PAGES).to_pylist()
+                src, recs, ords = [], [], []
+                vals = {k: [] for k in names}
+                for i, h in enumerate(part, start=lo):
+                    for rec, ord_, out in iter_records(h, cont, field_specs):
+                        src.append(i)
+                        recs.append(rec)
+                        ords.append(ord_)
+                        for k in names:
+                            vals[k].append(out[k])
+                idx = pa.array(src, type=pa.int64())
+                arrays = [batch.column(k).take(idx) for k in keep]
+                arrays += [pa.array(recs, type=pa.int32()), pa.array(ords, type=pa.int32())]
+                arrays += [pa.array(vals[k], type=pa.string()) for k in names]
+                if arrow_schema is None:
+                    arrow_schema = pa.schema(
+                        [batch.schema.field(k) for k in keep]
+                        + [pa.field("rec", pa.int32()), pa.field("ord", pa.int32())]
+                        + [pa.field(k, pa.string()) for k in names]
+                    )
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
     return run
 
@@ -388,36 +395,38 @@ def _arrow_elements(keep: list[str], html_col: str, tags: str):
         map_type = pa.map_(pa.string(), pa.string())
         arrow_schema = None
         for batch in batches:
-            htmls = batch.column(html_col).to_pylist()
-            src, cols = [], [[] for _ in range(6)]
-            for i, h in enumerate(htmls):
-                for row in iter_elements(h, tags):
-                    src.append(i)
-                    for c, v in zip(cols, row):
-                        c.append(v)
-            idx = pa.array(src, type=pa.int64())
-            arrays = [batch.column(k).take(idx) for k in keep]
-            arrays += [
-                pa.array(cols[0], type=pa.int32()),
-                pa.array(cols[1], type=pa.int32()),
-                pa.array(cols[2], type=pa.string()),
-                pa.array(cols[3], type=pa.string()),
-                pa.array([list(d.items()) for d in cols[4]], type=map_type),
-                pa.array(cols[5], type=pa.string()),
-            ]
-            if arrow_schema is None:
-                arrow_schema = pa.schema(
-                    [batch.schema.field(k) for k in keep]
-                    + [
-                        pa.field("pos", pa.int32()),
-                        pa.field("parent", pa.int32()),
-                        pa.field("tag", pa.string()),
-                        pa.field("cls", pa.string()),
-                        pa.field("attrs", map_type),
-                        pa.field("text", pa.string()),
-                    ]
-                )
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+            htmls = batch.column(html_col)
+            for lo in range(0, batch.num_rows, OUT_PAGES):
+                part = htmls.slice(lo, OUT_PAGES).to_pylist()
+                src, cols = [], [[] for _ in range(6)]
+                for i, h in enumerate(part, start=lo):
+                    for row in iter_elements(h, tags):
+                        src.append(i)
+                        for c, v in zip(cols, row):
+                            c.append(v)
+                idx = pa.array(src, type=pa.int64())
+                arrays = [batch.column(k).take(idx) for k in keep]
+                arrays += [
+                    pa.array(cols[0], type=pa.int32()),
+                    pa.array(cols[1], type=pa.int32()),
+                    pa.array(cols[2], type=pa.string()),
+                    pa.array(cols[3], type=pa.string()),
+                    pa.array([list(d.items()) for d in cols[4]], type=map_type),
+                    pa.array(cols[5], type=pa.string()),
+                ]
+                if arrow_schema is None:
+                    arrow_schema = pa.schema(
+                        [batch.schema.field(k) for k in keep]
+                        + [
+                            pa.field("pos", pa.int32()),
+                            pa.field("parent", pa.int32()),
+                            pa.field("tag", pa.string()),
+                            pa.field("cls", pa.string()),
+                            pa.field("attrs", map_type),
+                            pa.field("text", pa.string()),
+                        ]
+                    )
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
     return run
 

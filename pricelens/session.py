@@ -99,7 +99,6 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         # page batches for the parser: 256 pages (tens of MB for real pages)
         "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
-        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     }
 
 
