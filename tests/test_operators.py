@@ -95,3 +95,27 @@ def test_spread_never_runs_a_job(spark):
     again = spread(wide.groupBy("id").count(), ["id"])  # already shuffles: left alone
     assert set(tracker.getJobIdsForGroup(None)) == before
     assert _shuffles(wide) and not _shuffles(narrow) and again is not None
+
+
+def test_store_zone_days_and_iso_text(spark):
+    from pricelens.functions import timefmt
+
+    df = spark.createDataFrame(
+        [("2024-07-01 12:00:00",), ("2024-07-02 04:30:00",), ("2024-01-15 03:00:00.250000",)], "s string"
+    ).select(F.col("s").cast("timestamp_ntz").alias("ts"))
+    rows = df.select(
+        timefmt.iso_local_text("ts").alias("iso"),
+        timefmt.scrape_day("ts").alias("day"),
+        timefmt.file_name_day("ts").alias("file_day"),
+    ).collect()
+    assert rows[0].iso == "2024-07-01T08:00:00-04:00"  # summer time, no fraction
+    assert (rows[1].day, rows[1].file_day) == (dt.date(2024, 7, 2), dt.date(2024, 7, 1))  # the hour they differ
+    assert rows[2].iso == "2024-01-14T22:00:00.250000-05:00" and rows[2].day == dt.date(2024, 1, 14)
+
+
+def test_scale_conf_sizes_shuffles():
+    from pricelens.session import scale_conf
+
+    conf = scale_conf(100 << 40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
