@@ -114,9 +114,12 @@ def _versions(spark, sf_dir):
         F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
     )
     target = base.filter(F.col("k") % 2 == 0).withColumn("version", F.lit(1))
-    batch = base.filter(F.col("k") % 3 == 0).crossJoin(
-        F.broadcast(spark.createDataFrame([(1,), (2,)], "seq int"))
-    ).select("k", "p_name", (F.col("price") + F.col("seq")).cast("decimal(12,2)").alias("price"), (F.col("seq") + 1).alias("version"), "seq")
+    # two deliveries (seq 1, 2) of every batch key: the later one must win
+    batch = (
+        base.filter(F.col("k") % 3 == 0)
+        .withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2))))
+        .select("k", "p_name", (F.col("price") + F.col("seq")).cast("decimal(12,2)").alias("price"), (F.col("seq") + 1).alias("version"), "seq")
+    )
     return target, batch
 
 
