@@ -43,9 +43,9 @@ def main() -> None:
         "# Physical plans of the registered queries",
         "",
         f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode, AQE on; counts are of the",
-        "initial plan, before AQE re-plans at run time). Exchanges are shuffles. The driver's small tables are
-single files, so most plans carry one extra exchange that spreads the rows over the task slots
-(`operators/balance.spread`); it is absent when the input already has enough partitions.",
+        "initial plan, before AQE re-plans at run time). Exchanges are shuffles. The driver's small tables are",
+        "single files, so most plans carry one extra exchange that spreads the rows over the task slots",
+        "(`operators/balance.spread`); it is absent when the input already has enough partitions.",
         "",
         "| Query | Exchanges | Broadcasts | Aggregates | Joins | Python steps | Pushed / partition filters |",
         "| --- | --- | --- | --- | --- | --- | --- |",
