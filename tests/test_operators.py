@@ -119,3 +119,14 @@ def test_scale_conf_sizes_shuffles():
     conf = scale_conf(100 << 40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_dispatch_registry_is_extensible(spark):
+    from pricelens.operators import clean as C
+
+    base = {"date": "2023-11-20", "prd_price": "$1.00", "prd_per_price": "250 ml", "prd_name": "n"}
+    raw = raw_df(spark, [{**base, "prd_link": f"https://h/a/p/{i}_EA"} for i in range(3)])
+    raw = raw.withColumn("store", F.element_at(F.array(F.lit("Loblaws"), F.lit("Other"), F.lit("Else")), (F.col("pos") + 1).cast("int")))
+    registry = {"Loblaws": C.clean_store_a, "Other": lambda df: C.clean_store_a(df, store="Other")}
+    out = {r.pos: (r.store, r.reject_reason) for r in D.clean_dispatch(raw, registry).collect()}
+    assert out == {0: ("Loblaws", None), 1: ("Other", None), 2: ("Else", "unknown_store")}
