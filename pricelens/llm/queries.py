@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pricelens.llm.bpe import op8_bpe_codec
 from pricelens.llm.chat_format import OP1_SQL, op1_chat_format
+from pricelens.llm.line_dedup import OP7_SQL, op7_line_dedup
 from pricelens.llm.simhash import op2_simhash_dedup
 from pricelens.llm.url_filter import OP6_SQL, op6_url_filter
 
@@ -12,8 +14,10 @@ def llm_queries() -> dict:
         "op1_chat_format": op1_chat_format,
         "op2_simhash_dedup": op2_simhash_dedup,
         "op6_url_filter": op6_url_filter,
+        "op7_line_dedup": op7_line_dedup,
+        "op8_bpe_codec": op8_bpe_codec,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op6_url_filter": OP6_SQL}
+    return {"op1_chat_format": OP1_SQL, "op6_url_filter": OP6_SQL, "op7_line_dedup": OP7_SQL}
