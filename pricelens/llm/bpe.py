@@ -119,25 +119,28 @@ class Merger:
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.ranks[at], MANY)
 
-    def merge(self, words: list[bytes], first: np.ndarray) -> list[bytes]:
-        """Token ids (little-endian int32 bytes) of words of at most 64 bytes."""
+    def merge(self, words: list[bytes], first: np.ndarray, last: np.ndarray | None = None) -> list[bytes]:
+        """Token ids (little-endian int32 bytes) of words of 1 to 64 bytes.
+        ``first``: the symbol of each byte; ``last``: that of a word's last byte."""
         out: list[bytes] = [b""] * len(words)
         lengths = np.array([len(w) for w in words])
         for size in (2, 4, 8, 16, 32, 64):
             mine = np.flatnonzero((lengths <= size) & (lengths > (size >> 1 if size > 2 else 0)))
             for i in range(0, len(mine), 16384):
                 some = mine[i : i + 16384]
-                ids = self._merge([words[j] for j in some.tolist()], lengths[some], first, size)
+                ids = self._merge([words[j] for j in some.tolist()], lengths[some], first, last, size)
                 keep = ids >= 0
                 flat, ends = ids[keep].astype("<i4").tobytes(), (np.cumsum(keep.sum(1)) * 4).tolist()
                 for j, a, b in zip(some.tolist(), [0, *ends[:-1]], ends):
                     out[j] = flat[a:b]
         return out
 
-    def _merge(self, words, lengths, first, size):
+    def _merge(self, words, lengths, first, last, size):
         n = len(words)
         raw = np.frombuffer(b"".join(w.ljust(size, b"\0") for w in words), dtype=np.uint8).reshape(n, size)
         ids = first[raw]
+        if last is not None:
+            ids[np.arange(n), lengths - 1] = last[raw[np.arange(n), lengths - 1]]
         ids[np.arange(size) >= lengths[:, None]] = -1
         tree = np.full((n, 2 * size), MANY, dtype=np.int32)
         real = np.arange(size - 1) < lengths[:, None] - 1
@@ -181,10 +184,29 @@ class Merger:
         return ids
 
 
+class Recent:
+    """A table of results in two generations of at most about ``keep`` entries
+    together: what was not asked for during one generation is let go."""
+
+    def __init__(self, keep: int):
+        self.half, self.young, self.old = keep // 2, {}, {}
+
+    def have(self, words: set[str], make) -> dict[str, bytes]:
+        """A table that holds all ``words``; ``make(list)`` gives those that are not at hand."""
+        if len(self.young) + len(words) > self.half:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = words - young.keys()
+        young.update({w: old[w] for w in new & old.keys()})
+        missing = list(new - old.keys())
+        young.update(zip(missing, make(missing)))
+        return young
+
+
 class Codec:
     """Encoder and decoder of one byte-level BPE file (json of tokenizers)."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 800_000):
         import re
 
         import regex
@@ -208,7 +230,7 @@ class Codec:
         cut = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self.cut = re.compile(f"({cut})") if cut else None
         self.any_words, self.latin_words, self.not_latin = regex.compile(PATTERN), re.compile(LATIN_PATTERN), re.compile(NOT_LATIN)
-        self.keep, self.kept = keep, {}
+        self.kept = Recent(keep)
 
     def parts(self, text: str):
         """Lists of pre-tokens of a text, of bounded length; a special token is a list of its own."""
@@ -224,35 +246,33 @@ class Codec:
                 while some := list(islice(found, 100_000)):
                     yield some
 
-    def learn(self, words: set[str]) -> None:
-        """Have the ids of all these pre-tokens at hand."""
-        new = words - self.kept.keys()
-        if len(self.kept) + len(new) > self.keep:
-            self.kept.clear()
-            new = words
-        raw = [(w, w.encode("utf-8", "replace")) for w in new]
-        short = [x for x in raw if len(x[1]) <= 64]
-        self.kept.update(zip([w for w, _ in short], self.merger.merge([b for _, b in short], self.first)))
-        for w, b in raw:
+    def words_ids(self, words: list[str]) -> list[bytes]:
+        raw = [w.encode("utf-8", "replace") for w in words]
+        short = [i for i, b in enumerate(raw) if len(b) <= 64]
+        out = [b""] * len(raw)
+        for i, ids in zip(short, self.merger.merge([raw[i] for i in short], self.first)):
+            out[i] = ids
+        for i, b in enumerate(raw):
             if len(b) > 64:
-                self.kept[w] = np.array(merge_ids([int(self.first[x]) for x in b], self.pairs), dtype="<i4").tobytes()
+                out[i] = np.array(merge_ids([int(self.first[x]) for x in b], self.pairs), dtype="<i4").tobytes()
+        return out
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         out: list[list[bytes]] = [[] for _ in texts]
         held, n = [], 0
 
         def flush():
-            self.learn(set().union(*[p for _, p in held if not isinstance(p, str)]))
+            kept = self.kept.have(set().union(*[p for _, p in held if not isinstance(p, str)]), self.words_ids)
             for i, p in held:
                 special = isinstance(p, str)
-                out[i].append(np.array([self.special[p]], dtype="<i4").tobytes() if special else b"".join(map(self.kept.__getitem__, p)))
+                out[i].append(np.array([self.special[p]], dtype="<i4").tobytes() if special else b"".join(map(kept.__getitem__, p)))
             held.clear()
 
         for i, text in enumerate(texts):
             for p in self.parts(text):
                 held.append((i, p))
                 n += len(p)
-                if n >= 200_000:
+                if n >= 500_000:
                     flush()
                     n = 0
         flush()
@@ -278,7 +298,7 @@ def _with(df: DataFrame, leave: tuple, name: str, kind) -> StructType:
     return StructType([*[f for f in df.schema.fields if f.name not in leave], StructField(name, kind)])
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, batch_bytes: int = 4_000_000) -> DataFrame:
+def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, batch_bytes: int = 8_000_000) -> DataFrame:
     """``docs`` plus ``ids`` array<int>, which replaces a column of that name.
 
     Null text is encoded as empty (no ids). Special tokens in a text get their
