@@ -145,6 +145,6 @@ def test_packing_plan_uses_each_piece_once(kind):
     assert (used == h).all()
     n, bound = sum(t for _, t in made), -(-sum(lengths) // 4096)
     if kind in ("hot", "spread"):
-        assert n <= 1.003 * bound + 1
+        assert n <= {"hot": 1.02, "spread": 1.001}[kind] * bound + 1
     if kind == "long":
         assert n == 2000
