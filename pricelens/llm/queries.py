@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pricelens.llm.bpe import op8_bpe_codec
 from pricelens.llm.chat_format import OP1_SQL, op1_chat_format
+from pricelens.llm.language_id import op10_language_id
 from pricelens.llm.line_dedup import OP7_SQL, op7_line_dedup
 from pricelens.llm.packing import op9_best_fit_packing
 from pricelens.llm.simhash import op2_simhash_dedup
+from pricelens.llm.toxicity import op4_toxicity
 from pricelens.llm.url_filter import OP6_SQL, op6_url_filter
 
 
@@ -14,10 +16,12 @@ def llm_queries() -> dict:
     return {
         "op1_chat_format": op1_chat_format,
         "op2_simhash_dedup": op2_simhash_dedup,
+        "op4_toxicity": op4_toxicity,
         "op6_url_filter": op6_url_filter,
         "op7_line_dedup": op7_line_dedup,
         "op8_bpe_codec": op8_bpe_codec,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_language_id": op10_language_id,
     }
 
 
