@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pricelens.llm.ann import op3_ann_search
 from pricelens.llm.bpe import op8_bpe_codec
 from pricelens.llm.chat_format import OP1_SQL, op1_chat_format
+from pricelens.llm.embedding_dedup import op5_embedding_dedup
 from pricelens.llm.language_id import op10_language_id
 from pricelens.llm.line_dedup import OP7_SQL, op7_line_dedup
 from pricelens.llm.packing import op9_best_fit_packing
@@ -16,7 +18,9 @@ def llm_queries() -> dict:
     return {
         "op1_chat_format": op1_chat_format,
         "op2_simhash_dedup": op2_simhash_dedup,
+        "op3_ann_search": op3_ann_search,
         "op4_toxicity": op4_toxicity,
+        "op5_embedding_dedup": op5_embedding_dedup,
         "op6_url_filter": op6_url_filter,
         "op7_line_dedup": op7_line_dedup,
         "op8_bpe_codec": op8_bpe_codec,

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import fresh, written
 from pricelens.llm.components import components
+from pricelens.llm.stars import Stars
 
 SEED = 42
 
@@ -109,35 +110,14 @@ def _stars(fps, groups, roles, radius, block=2048):
     t_fp, q_fp, q_group = fps[tree], fps[ask], groups[ask]
     forest = Forest(t_fp, groups[tree])
     n_tree = len(t_fp)
-    # one label per row; a row that is both is one item
-    label = np.arange(len(fps))
+    stars = Stars(len(fps))
     t_row, q_row = np.flatnonzero(tree), np.flatnonzero(ask)
-    parent: dict[int, int] = {}
-
-    def root(x):
-        while (p := parent.get(x, x)) != x:
-            parent[x] = parent.get(p, p)
-            x = p
-        return x
-
     for i in range(0, len(q_fp), block) if n_tree else ():
         for q, at in forest.search(q_fp[i : i + block], q_group[i : i + block], radius):
-            a, b = label[q_row[i + q]], label[t_row[at]]
-            keep = a != b
-            if not keep.any():
-                continue
-            for x, y in np.unique(np.stack([a[keep], b[keep]], 1), axis=0).tolist():
-                x, y = root(x), root(y)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-        if parent:
-            used = np.fromiter(parent, dtype=np.int64)
-            to = np.array([root(x) for x in used.tolist()], dtype=np.int64)
-            table = np.arange(len(fps))
-            table[used] = to
-            label = table[label]
-    moved = np.flatnonzero(label != np.arange(len(fps)))
-    return fps[moved], fps[label[moved]]
+            stars.join(q_row[i + q], t_row[at])
+        stars.settle()
+    moved, centre = stars.moved()
+    return fps[moved], fps[centre]
 
 
 def links(fps: DataFrame, radius: int = 4, blocks: int = 6, tree_size: int = 4096) -> DataFrame:
