@@ -5,16 +5,16 @@ DataFrame expressions (one Python step: page parsing over Arrow batches).
 
 Main entry points::
 
-    from pricelens import clean_store_a, split_rejects, read_listing_csv
-    raw = read_listing_csv(spark, "<landing>")            # S-1
-    good, rejects = split_rejects(clean_store_a(raw))      # P-22, A-1, P-23
+    from pricelens import clean_dispatch, split_rejects, read_listing_csv
+    raw = read_listing_csv(spark, "<landing>")             # S-1, S-3
+    good, rejects = split_rejects(clean_dispatch(raw))     # F-1, P-22, A-1, P-23
     upsert_clean_rows(spark, with_record_meta(good), "<table>")            # K-5
 """
 
-from .operators.clean import clean_store_a, clean_store_a_rows, keep_first_per_key, split_rejects, with_record_meta
+from .operators.clean import clean_listings, clean_store_a, clean_store_a_rows, keep_first_per_key, split_rejects, with_record_meta
 from .operators.dispatch import clean_dispatch, union_stores
 from .operators.extract import EXTRACTORS, store_a_cards, store_b_rows
-from .operators.lookup import bounded_broadcast, lookup, unknown_keys
+from .operators.lookup import lookup, unknown_keys
 from .operators.worklist import store_a_page_urls, store_b_page_urls, worklist
 from .schemas import CLEAN_LISTING_SCHEMA, DEFAULT_UPSERT_KEY, RAW_LISTING_SCHEMA
 from .sinks.files import json_record, write_by_store, write_csv, write_json
@@ -28,9 +28,9 @@ __all__ = [
     "DEFAULT_UPSERT_KEY",
     "EXTRACTORS",
     "RAW_LISTING_SCHEMA",
-    "bounded_broadcast",
     "clean_and_upsert_batch",
     "clean_dispatch",
+    "clean_listings",
     "clean_store_a",
     "clean_store_a_rows",
     "failure_alerts",

@@ -3,16 +3,13 @@
 Spark has no HTML parser, so each page is parsed once in Python (stdlib
 ``html.parser``) and turned into rows; everything after that (class rules,
 fallbacks, filters, counts) is column expressions. The DataFrame helpers
-``elements`` / ``records`` run as ``mapInArrow`` over Arrow batches of pages;
-the same extraction is registered as SQL table functions (``html_elements``,
-``html_records``) for ``LATERAL`` use from SQL.
+``elements`` / ``records`` run as ``mapInArrow`` over Arrow batches of pages.
 
-* ``html_elements(html, tags)`` -> one row per element of the listed tags:
+* ``elements(pages, tags)`` -> one row per element of the listed tags:
   ``(pos, parent, tag, cls, attrs, text)``.
-* ``html_records(html, container, fields)`` -> one row per container
-  element (or one for the whole page when ``container`` is empty) with a
-  ``map<string,string>`` of fields, each the text / attribute / count of the
-  first matching descendant.
+* ``records(pages, fields, container)`` -> one row per container element (or
+  one for the whole page without ``container``) with a column per field, each
+  the text / attribute / count of the first matching descendant.
 
 Text follows the usual "all descendant text, joined with no separator, no
 trim" rule, entities decoded, script/style/comment text left out of the
@@ -28,20 +25,17 @@ matches any one class; ``all_classes`` requires every listed class;
 from __future__ import annotations
 
 import itertools
-import json
 from html.parser import HTMLParser
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
-from ..operators.balance import spread
 
 def _ship_by_value() -> None:
     """Pickle this module's code by value into the Python workers.
 
     Only this module's functions run in executors' Python workers (the page
-    parser, the ``mapInArrow`` functions and the SQL table functions).
+    parser and the ``mapInArrow`` functions).
     Shipping them by value means executors do not need this package
     installed or on their path.
     """
@@ -172,14 +166,6 @@ def _get(tree: _Tree, i: int, how: str):
     raise ValueError(f"unknown get: {how}")
 
 
-@udtf(returnType="pos int, parent int, tag string, cls string, attrs map<string,string>, text string", useArrow=True)
-class HtmlElements:
-    """SQL form: one row per element whose tag is in ``tags`` (comma list, '*' = all)."""
-
-    def eval(self, html: str, tags: str):
-        yield from iter_elements(html, tags)
-
-
 def _field(tree: _Tree, spec: dict, lo: int, hi: int):
     """Value of one field spec over elements ``lo <= i < hi``."""
     if spec.get("scope") == "page":
@@ -234,80 +220,6 @@ def iter_elements(html: str, tags: str | None):
             yield i, tree.parent[i], tag, tree.class_text(i), tree.attrs[i], tree.text(i)
 
 
-@udtf(returnType="rec int, ord int, fields map<string,string>", useArrow=True)
-class HtmlRecords:
-    """SQL form: one row per container with the first (or ``nth``) match of
-    each field. Field specs may also say ``up`` (go to the n-th ancestor of
-    the match), ``find`` (then search inside it), ``scope: "page"`` (search
-    the whole page, e.g. a page heading copied onto every card) and ``self``
-    (read the container element itself)."""
-
-    def __init__(self):
-        self._specs = {}
-
-    def _spec(self, text):
-        if text not in self._specs:
-            self._specs[text] = json.loads(text) if text else None
-        return self._specs[text]
-
-    def eval(self, html: str, container: str, fields: str):
-        yield from iter_records(html, self._spec(container), self._spec(fields) or {})
-
-
-def register(spark: SparkSession) -> None:
-    spark.udtf.register("html_elements", HtmlElements)
-    spark.udtf.register("html_records", HtmlRecords)
-
-
-def _sql_str(s: str) -> str:
-    """SQL string literal, braces doubled for ``spark.sql``'s formatter."""
-    lit = "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return lit.replace("{", "{{").replace("}", "}}")
-
-
-def elements_sql(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """Lateral ``html_elements`` over a DataFrame of pages (the SQL form)."""
-    spark = df.sparkSession
-    register(spark)
-    df = spread(df)
-    keep = keep if keep is not None else [c for c in df.columns if c != html_col]
-    cols = ", ".join(f"p.`{c}`" for c in keep)
-    sel = f"{cols}, " if cols else ""
-    return spark.sql(
-        f"SELECT {sel}e.* FROM {{pages}} p, LATERAL html_elements(p.`{html_col}`, {_sql_str(tags)}) e",
-        pages=df,
-    )
-
-
-def records_sql(
-    df: DataFrame,
-    fields: dict,
-    container: dict | None = None,
-    html_col: str = "html",
-    keep: list[str] | None = None,
-) -> DataFrame:
-    """Lateral ``html_records``; each field becomes a string column (the SQL form)."""
-    spark = df.sparkSession
-    register(spark)
-    df = spread(df)
-    keep = keep if keep is not None else [c for c in df.columns if c != html_col]
-    cols = ", ".join(f"p.`{c}`" for c in keep)
-    sel = f"{cols}, " if cols else ""
-    cont = json.dumps(container) if container else ""
-    out = spark.sql(
-        f"SELECT {sel}r.rec, r.ord, r.fields FROM {{pages}} p, "
-        f"LATERAL html_records(p.`{html_col}`, {_sql_str(cont)}, {_sql_str(json.dumps(fields))}) r",
-        pages=df,
-    )
-    return out.select(*keep, "rec", "ord", *[F.col("fields").getItem(k).alias(k) for k in fields]).drop("fields")
-
-
-def has_class(cls_col, spec: str) -> Column:
-    """Class rule on a normalised class column from ``html_elements``."""
-    c = F.col(cls_col) if isinstance(cls_col, str) else cls_col
-    return (c == F.lit(spec)) | F.array_contains(F.split(c, " "), spec)
-
-
 def site_root(url_col) -> Column:
     """``https://host`` part of a URL (for making relative links absolute)."""
     c = F.col(url_col) if isinstance(url_col, str) else url_col
@@ -324,7 +236,7 @@ def join_root(root, href) -> Column:
 OUT_PAGES = 256  # pages per output batch: bounds the records held at once
 
 
-def _arrow_records(keep: list[str], html_col: str, cont: dict | None, field_specs: dict, out_schema):
+def _arrow_records(keep: list[str], html_col: str, cont: dict | None, field_specs: dict):
     """Per-partition function for ``mapInArrow``: batches of pages in,
     batches of records out; page columns pass through by index (``take``).
     Output is emitted every ``OUT_PAGES`` pages, so memory does not grow
@@ -372,20 +284,22 @@ def records(
 ) -> DataFrame:
     """One row per container (or page) with one string column per field.
 
-    Runs as ``mapInArrow``: whole Arrow batches of pages per call, page
-    columns carried through by index; the same rows as the SQL UDTF
-    ``html_records`` (``records_sql``) at lower per-row cost.
+    Runs as ``mapInArrow`` where the pages are read: whole Arrow batches of
+    pages per call, page columns carried through by index. Field specs may say
+    ``up`` (go to the n-th ancestor of the match), ``find`` (then search inside
+    it), ``scope: "page"`` (search the whole page, e.g. a page heading copied
+    onto every card) and ``self`` (read the container element itself).
     """
     from pyspark.sql import types as T
 
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
-    df = spread(df.select(*keep, html_col), keep or None)
+    df = df.select(*keep, html_col)
     out_schema = T.StructType(
         [df.schema[k] for k in keep]
         + [T.StructField("rec", T.IntegerType()), T.StructField("ord", T.IntegerType())]
         + [T.StructField(k, T.StringType()) for k in fields]
     )
-    return df.mapInArrow(_arrow_records(keep, html_col, container, fields, out_schema), out_schema)
+    return df.mapInArrow(_arrow_records(keep, html_col, container, fields), out_schema)
 
 
 def _arrow_elements(keep: list[str], html_col: str, tags: str):
@@ -434,12 +348,12 @@ def _arrow_elements(keep: list[str], html_col: str, tags: str):
 def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """One row per element of the listed tags: ``pos, parent, tag, cls, attrs, text``.
 
-    ``mapInArrow`` form of the SQL UDTF ``html_elements`` (``elements_sql``).
+    Runs as ``mapInArrow`` like ``records``.
     """
     from pyspark.sql import types as T
 
     keep = keep if keep is not None else [c for c in df.columns if c != html_col]
-    df = spread(df.select(*keep, html_col), keep or None)
+    df = df.select(*keep, html_col)
     out_schema = T.StructType(
         [df.schema[k] for k in keep]
         + [

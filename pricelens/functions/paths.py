@@ -5,6 +5,8 @@ Keys look like ``<store>/<store>_<yyyy-mm-dd>_<shard>.csv``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,16 +17,20 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+SITE_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
 def relative_key(path, root: str) -> Column:
-    """Path below a root folder (the object key)."""
-    root = root.rstrip("/") + "/"
-    p = _col(path)
+    """Path below a root folder (the object key). Either may have a scheme
+    and authority; they are left out of the comparison."""
+    root = re.sub(SITE_RE, "", root).rstrip("/") + "/"
+    p = F.regexp_replace(_col(path), SITE_RE, "")
     return F.when(p.startswith(root), F.substring(p, len(root) + 1, 1 << 30)).otherwise(p)
 
 
 def key_store(key) -> Column:
-    """S-3: first segment of the key."""
-    return F.nullif(F.substring_index(_col(key), "/", 1), F.lit(""))
+    """S-3: first segment of the key (``store=X`` of a partitioned layout too)."""
+    return F.nullif(F.regexp_replace(F.substring_index(_col(key), "/", 1), "^store=", ""), F.lit(""))
 
 
 def file_name(path) -> Column:

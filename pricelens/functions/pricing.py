@@ -30,6 +30,14 @@ from ..schemas import (
 PRODUCT_ID_RE = "(?U)" + PRODUCT_ID_PATTERN
 PRICE_RE = "(?d)" + PRICE_PATTERN
 UNIT_PRICE_RE = "(?dU)" + UNIT_PRICE_PATTERN
+# Python's blanks: Unicode white space and the four separators U+001C to U+001F.
+BLANK = r"[\s\x1c-\x1f]"
+PICKUP_RE = "(?U)" + PICKUP_PATTERN.replace(r"\s", BLANK)
+
+
+def strip(c: Column) -> Column:
+    """Without blanks at either end (``trim`` knows the ASCII blank only)."""
+    return F.regexp_replace(c, f"(?U)^{BLANK}+|{BLANK}+$", "")
 
 
 def _col(c) -> Column:
@@ -120,10 +128,10 @@ def unit_parts(per_price) -> UnitParts:
     p1 = F.get(parts, 1)
     p2 = F.get(parts, 2)
     repaired = F.when(n == 3, F.concat(p1, F.lit("."), F.replace(p2, F.lit("."), F.lit("")))).when(n == 2, p1)
-    price_text = F.trim(F.coalesce(repaired, p0))
+    price_text = strip(F.coalesce(repaired, p0))
     unit_part = F.when(~p0.contains("$"), p0)
     price_part = F.when(price_text.contains("$"), price_text)
-    tokens = F.split(price_part, r"\s+")
+    tokens = F.split(price_part, f"(?U){BLANK}+")
     return UnitParts(
         n_parts=F.when(per.isNotNull(), n),
         middle_has_dollar=F.coalesce(p1.contains("$"), F.lit(False)),
@@ -194,15 +202,17 @@ def unit_price_text(ppu1, price, avg_unit) -> Column:
 # P-20 ---------------------------------------------------------------------
 def clean_name(name) -> Column:
     """Drop the pick-up phrase; surrounding blanks are kept (no trim)."""
-    return F.regexp_replace(_col(name), PICKUP_PATTERN, "")
+    return F.regexp_replace(_col(name), PICKUP_RE, "")
 
 
 # P-18 ---------------------------------------------------------------------
 def record_id(*key_cols, stable: bool = True) -> Column:
-    """Row id: a hash of the key (same on retry) or a random uuid."""
+    """Row id: a hash of the key (same on retry; null if a key part is) or a random uuid."""
     if not stable:
         return F.expr("uuid()")
-    return F.sha2(F.concat_ws("|", *[_col(c).cast("string") for c in key_cols]), 256)
+    parts = [_col(c).cast("string") for c in key_cols]
+    sep = [x for p in parts for x in (F.lit("|"), p)][1:]
+    return F.sha2(F.concat(*sep), 256)
 
 
 __all__ = [

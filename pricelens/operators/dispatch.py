@@ -9,35 +9,32 @@ from pyspark.sql import functions as F
 
 from . import clean as C
 
-Cleaner = Callable[[DataFrame], DataFrame]
+#: (raw rows, column with the store, names of the stores it cleans) -> rows with a reject reason
+Cleaner = Callable[[DataFrame, str, list[str]], DataFrame]
 
 # Stores with a cleaner. The other configured stores have no cleaning rules;
 # their rows are set apart as ``unknown_store`` rejects.
-DEFAULT_REGISTRY: dict[str, Cleaner] = {C.STORE_A: C.clean_store_a}
+DEFAULT_REGISTRY: dict[str, Cleaner] = {C.STORE_A: C.clean_listings}
 
 
 def clean_dispatch(raw: DataFrame, registry: dict[str, Cleaner] | None = None, store_col: str = "store") -> DataFrame:
     """Clean each store's rows with its own cleaner; unknown stores -> rejects.
 
-    One filtered branch per registered store, then a union. When the input
-    is laid out by store (``store=...`` folders) each branch reads only its
-    own files, so the input is still read once in total.
+    One pass per different cleaner. The first one also takes the rows of all
+    unknown stores, which it rejects with their whole raw row; so with one
+    cleaner the input is read once, whatever the number of stores.
     """
     registry = registry or DEFAULT_REGISTRY
-    parts = []
+    stores: dict[Cleaner, list[str]] = {}
     for name, fn in registry.items():
-        cleaned = fn(raw.filter(F.col(store_col) == name).drop(store_col))
-        parts.append(cleaned.withColumn(store_col, F.lit(name)))
-    unknown = raw.filter(~F.col(store_col).isin(list(registry)) | F.col(store_col).isNull())
-    unknown = unknown.select(
-        *[c for c in ("file", "pos") if c in raw.columns],
-        F.col(store_col),
-        F.lit(C.REJECT_UNKNOWN_STORE).alias("reject_reason"),
-    )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out.unionByName(unknown, allowMissingColumns=True)
+        stores.setdefault(fn, []).append(name)
+    out = None
+    for fn, names in stores.items():
+        others = [n for n in registry if n not in names]
+        mine = raw if not others else raw.filter(F.col(store_col).isin(names) if out is not None else ~F.coalesce(F.col(store_col).isin(others), F.lit(False)))
+        cleaned = fn(mine, store_col, names)
+        out = cleaned if out is None else out.unionByName(cleaned, allowMissingColumns=True)
+    return out
 
 
 def union_stores(store_a_clean: DataFrame, store_b_rows: DataFrame) -> DataFrame:
@@ -45,13 +42,18 @@ def union_stores(store_a_clean: DataFrame, store_b_rows: DataFrame) -> DataFrame
 
     Store B flags a sale with a boolean ``prd_discount`` while store A keeps
     the promotion label there; the flag is renamed ``is_discounted`` first
-    and store-B price texts become decimals, so no column has two types.
+    and store-B price texts become decimals, so no column has two types. A
+    store-B price text that is no number is a ``price`` reject with its text
+    in ``raw`` (``split_rejects`` sets it apart).
     """
     from ..functions.pricing import parse_price
 
-    b = (
-        store_b_rows.withColumnRenamed("prd_discount", "is_discounted")
-        .withColumn("prd_price", parse_price("prd_price"))
-        .withColumn("org_price", parse_price("org_price"))
+    b = store_b_rows.withColumnRenamed("prd_discount", "is_discounted")
+    raw = F.create_map(F.lit("prd_price"), F.col("prd_price"), F.lit("org_price"), F.col("org_price"))
+    bad = parse_price("prd_price").isNull() | parse_price("org_price").isNull()
+    before = F.col("reject_reason") if "reject_reason" in b.columns else F.lit(None).cast("string")
+    reason = F.coalesce(before, F.when(bad, F.lit(C.REJECT_PRICE)))
+    b = b.withColumns({"reject_reason": reason, "raw": F.when(bad, raw)}).withColumns(
+        {"prd_price": parse_price("prd_price"), "org_price": parse_price("org_price")}
     )
     return store_a_clean.unionByName(b, allowMissingColumns=True)

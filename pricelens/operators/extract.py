@@ -1,11 +1,11 @@
 """Store page extractors (F-2): pages table -> listing rows.
 
-Each store is a function ``pages -> DataFrame`` built on one call of the
-``html_records`` UDTF per page (page-level fields such as the heading come
-out on every card row, so no join back to the page is needed) followed by
-column expressions for fallbacks, root links, required-field rejects and
-sale flags. The only shuffle is the store-B join of listing cards with
-product pages on the product URL.
+Each store is a function ``(listing pages, related pages) -> listing rows with
+reject_reason`` (``EXTRACTORS``), built on one parse of each page where it is
+read (page-level fields such as the heading come out on every card row, so no
+join back to the page is needed) followed by column expressions. Only small
+records move: store A joins the cards with the parent pages' headings on the
+See-All link, store B joins listing cards with product records on the URL.
 """
 
 from __future__ import annotations
@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import timefmt
+from ..functions.pricing import strip
 from ..schemas import (
     STORE_A_CARD_CLASSES,
+    STORE_A_CONTENT_ID,
     STORE_A_EMPTY_NOTICE,
     STORE_A_FIELDS,
     STORE_A_HEADING_CLASS,
@@ -43,17 +46,22 @@ def missing_reason(required: list[str]) -> Column:
     return out
 
 
-def store_a_cards(pages: DataFrame, root: str = STORE_A_ROOT, keep: list[str] | None = None) -> DataFrame:
+def store_a_cards(pages: DataFrame, heads: DataFrame | None = None, root: str = STORE_A_ROOT, keep: list[str] | None = None) -> DataFrame:
     """Store-A category page -> one raw listing row per product card.
 
     H-1/H-2 required and optional fields, H-3 regular-else-sale price,
-    H-4/H-5 attributes made absolute, H-6 one row per card, H-12 page heading
-    on every row, H-13 pages with the empty notice dropped.
+    H-4/H-5 attributes made absolute, H-6 one row per card, H-12 headings on
+    every row, H-13 pages with the empty notice dropped. Heading and notice are
+    found by their classes, whatever other classes they have, and trimmed.
+
+    ``sub_category`` is the page's own heading. ``category`` is the heading of
+    the page in ``heads`` (page_id, html) whose See-All link leads here (by URL
+    without query); null if there is none.
     """
     f = STORE_A_FIELDS
     fields = {
-        "heading": {"class": STORE_A_HEADING_CLASS, "scope": "page"},
-        "notice": {"class": STORE_A_NOTICE_CLASS, "scope": "page"},
+        "heading": {"all_classes": STORE_A_HEADING_CLASS.split(), "scope": "page"},
+        "notice": {"all_classes": STORE_A_NOTICE_CLASS.split(), "scope": "page"},
         "prd_name": {"class": f["prd_name"]},
         "prd_brand": {"class": f["prd_brand"]},
         "price_regular": {"class": f["prd_price_regular"]},
@@ -64,13 +72,19 @@ def store_a_cards(pages: DataFrame, root: str = STORE_A_ROOT, keep: list[str] |
         "prd_img": {"class": f["prd_img"], "get": "@src"},
     }
     keep = keep if keep is not None else ["page_id"]
-    recs = H.records(pages, fields, container={"all_classes": STORE_A_CARD_CLASSES}, keep=keep)
-    recs = recs.filter(F.col("notice").isNull() | (F.col("notice") != STORE_A_EMPTY_NOTICE))
+    extra = ["url"] if heads is not None and "url" not in keep else []
+    recs = H.records(pages, fields, container={"all_classes": STORE_A_CARD_CLASSES}, keep=[*keep, *extra])
+    recs = recs.filter(not_empty("notice"))
+    if heads is None:
+        recs = recs.withColumn("category", F.lit(None).cast("string"))
+    else:
+        parents = store_a_parents(heads, root).select(F.col("link").alias("parent_link"), "category")
+        recs = recs.join(parents, F.substring_index("url", "?", 1) == F.col("parent_link"), "left")
     out = recs.select(
         *keep,
         F.col("ord").alias("card"),
-        F.col("heading").alias("category"),
-        F.col("heading").alias("sub_category"),
+        "category",
+        strip(F.col("heading")).alias("sub_category"),
         "prd_name",
         "prd_brand",
         F.coalesce("price_regular", "price_sale").alias("prd_price"),
@@ -82,16 +96,37 @@ def store_a_cards(pages: DataFrame, root: str = STORE_A_ROOT, keep: list[str] |
     return out.withColumn("reject_reason", missing_reason(["prd_name", "prd_price", "prd_per_price", "prd_link"]))
 
 
+def not_empty(notice: str) -> Column:
+    """H-13: no notice, or one that does not say that the page is empty."""
+    return F.col(notice).isNull() | (strip(F.col(notice)) != STORE_A_EMPTY_NOTICE)
+
+
+def store_a_parents(heads: DataFrame, root: str = STORE_A_ROOT) -> DataFrame:
+    """(link, category): heading of the page that holds the See-All link (of
+    several pages with one link the first by page_id)."""
+    heading = H.records(heads, {"heading": {"all_classes": STORE_A_HEADING_CLASS.split()}}, keep=["page_id"])
+    links = store_a_see_all_links(heads, root).join(heading.select("page_id", strip(F.col("heading")).alias("category")), "page_id")
+    first = links.groupBy("link").agg(F.min(F.struct("page_id", "category")).alias("first"))
+    return first.select("link", "first.category")
+
+
 def store_a_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """H-14/H-15: number of result pages (pager buttons - 2; no pager = 1)."""
+    """H-14/H-15: number of result pages, from the first ``nav`` inside the
+    page's content (a header menu does not count): its buttons - 2, at least 0;
+    no pager = 1 page (``has_pager`` false)."""
     keep = keep if keep is not None else ["page_id", "url"]
+    content = {"attrs": {"id": STORE_A_CONTENT_ID}}
     recs = H.records(
         pages,
-        {"n_pager": {"tag": "nav", "get": "count"}, "n_buttons": {"tag": "nav", "find": {"tag": "button", "get": "count"}}},
+        {
+            "n_pager": {**content, "find": {"tag": "nav", "get": "count"}},
+            "n_buttons": {**content, "find": {"tag": "nav", "find": {"tag": "button", "get": "count"}}},
+        },
         keep=keep,
     )
-    n = F.when(F.col("n_pager").cast("int") > 0, F.col("n_buttons").cast("int") - 2).otherwise(F.lit(1))
-    return recs.select(*keep, n.alias("n_pages"))
+    has = F.coalesce(F.col("n_pager").cast("int") > 0, F.lit(False))
+    n = F.when(has, F.greatest(F.col("n_buttons").cast("int") - 2, F.lit(0))).otherwise(F.lit(1))
+    return recs.select(*keep, has.alias("has_pager"), n.alias("n_pages"))
 
 
 def store_a_see_all_links(pages: DataFrame, root: str = STORE_A_ROOT, keep: list[str] | None = None) -> DataFrame:
@@ -130,7 +165,7 @@ def store_b_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFr
         },
         keep=keep,
     )
-    n = F.when(F.col("n_pager").cast("int") > 0, F.col("n_li").cast("int") - 1).otherwise(F.lit(1))
+    n = F.when(F.col("n_pager").cast("int") > 0, F.greatest(F.col("n_li").cast("int") - 1, F.lit(0))).otherwise(F.lit(1))
     return recs.select(*keep, n.alias("n_pages"))
 
 
@@ -164,33 +199,31 @@ def store_b_products(pages: DataFrame, keep: list[str] | None = None) -> DataFra
     return out.withColumn("reject_reason", missing_reason(["prd_price", *STORE_B_SPEC_FIELDS]))
 
 
-def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, scrap_date: Column | None = None) -> DataFrame:
+def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, captured_col: str = "captured_at") -> DataFrame:
     """Store-B rows in clean names: listing cards joined to product pages by URL.
 
-    A left join: a card whose product page is missing (or unreadable) is
-    kept as a reject, never dropped. Sort-merge join on the URL; AQE may
-    turn it into a broadcast from run-time sizes and splits a hot URL.
+    Of several captures of a product page the latest counts, and its capture
+    time gives the scrape day (H-18; UTC wall clock). A left join: a card whose
+    product page is missing (or unreadable) is kept as a reject, never dropped.
     """
     cards = (
         store_b_listing_cards(listing_pages, keep=["page_id"])
         .withColumnRenamed("page_id", "listing_page")
         .withColumnRenamed("reject_reason", "card_reject")
     )
-    products = store_b_products(product_pages, keep=["url"]).withColumnRenamed("reject_reason", "page_reject")
-    joined = cards.join(products, cards["prd_url"] == products["url"], "left")
+    products = store_b_products(product_pages, keep=["url", captured_col])
+    rest = [c for c in products.columns if c not in ("url", captured_col)]
+    latest = products.groupBy("url").agg(F.max(F.struct(captured_col, *rest)).alias("p"))
+    latest = latest.select("url", timefmt.scrape_day(F.col(f"p.{captured_col}")).alias("scrap_date"), *[f"p.{c}" for c in rest])
+    latest = latest.withColumnRenamed("reject_reason", "page_reject")
+    joined = cards.join(latest, cards["prd_url"] == latest["url"], "left")
     reason = F.coalesce(
         F.col("card_reject"),
         F.when(F.col("url").isNull(), F.lit("missing:product_page")),
         F.col("page_reject"),
     )
     joined = joined.withColumn("reject_reason", reason).drop("url", "card_reject", "page_reject")
-    joined = joined.withColumns(
-        {
-            "scrap_date": scrap_date if scrap_date is not None else F.lit(None).cast("date"),
-            "sub_category": F.lit(None).cast("string"),
-            "store": F.lit(STORE_B),
-        }
-    )
+    joined = joined.withColumns({"sub_category": F.lit(None).cast("string"), "store": F.lit(STORE_B)})
     # the declared store-B schema (names, order, types) + bookkeeping columns
     return joined.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_B_SCHEMA.fields],
@@ -200,9 +233,9 @@ def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, scrap_date:
     )
 
 
-# F-2: store -> page extractor (html pages -> listing rows). Store B needs
-# its listing pages and product pages; see ``store_b_rows``.
+# F-2: store -> (listing pages, related pages) -> listing rows with a reject
+# reason. Related are the parent pages (store A) or the product pages (store B).
 EXTRACTORS = {
     "Loblaws": store_a_cards,
-    "HMart": store_b_listing_cards,
+    STORE_B: store_b_rows,
 }

@@ -1,9 +1,8 @@
-"""Dimension lookups (J-1, J-2) with a checked broadcast.
+"""Dimension lookups (J-1, J-2).
 
-A side is broadcast only when its size is known to be small: either it is
-a local relation built from configuration (a few rows), or a row count
-taken on it is below ``max_rows``. Otherwise the join is left to Catalyst
-and AQE (sort-merge, or a broadcast chosen from runtime statistics).
+How a dimension is joined is left to the optimizer: Catalyst and AQE broadcast
+a side by its size in bytes, or sort-merge and split skewed keys. Only a local
+relation built from configuration (``local=True``: a few rows) gets the hint.
 """
 
 from __future__ import annotations
@@ -11,22 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
+def _side(dim: DataFrame, local: bool) -> DataFrame:
+    return F.broadcast(dim) if local else dim
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_small: bool = False) -> DataFrame:
-    """``broadcast(dim)`` if its size is proven below the bound, else ``dim``."""
-    if known_small:
-        return F.broadcast(dim)
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
-
-def lookup(df: DataFrame, dim: DataFrame, key: str | list[str], known_small: bool = False) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, key: str | list[str], local: bool = False) -> DataFrame:
     """J-1: left join; a key missing from the dimension gives nulls."""
-    return df.join(bounded_broadcast(dim, known_small=known_small), key, "left")
+    return df.join(_side(dim, local), key, "left")
 
 
-def unknown_keys(df: DataFrame, dim: DataFrame, key: str | list[str], known_small: bool = False) -> DataFrame:
+def unknown_keys(df: DataFrame, dim: DataFrame, key: str | list[str], local: bool = False) -> DataFrame:
     """J-2: rows whose key is not in the dimension (they become rejects)."""
-    return df.join(bounded_broadcast(dim, known_small=known_small), key, "left_anti")
+    return df.join(_side(dim, local), key, "left_anti")

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import NA_WORDS
+
 # integer building blocks per part row
 BASE_EXPRS = [
     ("k", "p_partkey"),
@@ -56,22 +58,28 @@ def money(x: str) -> str:
     )
 
 
-DAY = "'2023-11-' || lpad(CAST(shard + 10 AS STRING), 2, '0')"
+# seven shards a day, and another day every 4,000 rows: the number of files grows with the table
+DAY = "CAST(DATE '2023-11-01' + CAST(shard + 9 + FLOOR(k / 4000) AS INT) AS STRING)"
+BAD_DATE = "k % 61 = 60"
+THIRD_PRICE = "k % 66 = 7"
+NBSP = "chr(160)"
+NA_CASE = "CASE CAST(FLOOR(k / 10) AS BIGINT) % " + str(len(NA_WORDS)) + " " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(NA_WORDS)) + " END"
 LINK_ID = "CAST(CAST(FLOOR(k / 2) AS BIGINT) AS STRING)"
 
 RAW_EXPRS = [
     ("k", "k"),
     ("file", f"'Loblaws/Loblaws_' || {DAY} || '_' || CAST(shard AS STRING) || '.csv'"),
     ("pos", "pos"),
-    ("date", DAY),
+    ("date", f"CASE WHEN {BAD_DATE} THEN '12/11/2023' ELSE {DAY} END"),
     ("category", "p_type"),
     ("sub_category", "p_brand"),
     (
         "prd_name",
         "CASE WHEN k % 7 = 3 THEN p_name || ' ( ID required at pick-up )' "
-        "WHEN k % 7 = 5 THEN p_name || ' (ID required at pick-up)' ELSE p_name END",
+        "WHEN k % 7 = 5 THEN p_name || ' (ID required at pick-up)' "
+        f"WHEN k % 7 = 6 THEN p_name || ' (' || {NBSP} || 'ID required at pick-up' || {NBSP} || ')' ELSE p_name END",
     ),
-    ("prd_brand", "CASE k % 10 WHEN 0 THEN NULL WHEN 1 THEN 'N/A' WHEN 2 THEN 'nan' ELSE p_brand END"),
+    ("prd_brand", f"CASE k % 10 WHEN 0 THEN NULL WHEN 1 THEN {NA_CASE} WHEN 2 THEN 'nan' ELSE p_brand END"),
     (
         "prd_price",
         "CASE WHEN k % 41 = 40 THEN '$1,' || lpad(CAST(k % 1000 AS STRING), 3, '0') || '.00' "
@@ -81,7 +89,8 @@ RAW_EXPRS = [
         "prd_per_price",
         "CASE k % 6 "
         f"WHEN 0 THEN CAST(amt * 100 AS STRING) || ' g, $' || {money('u')} || '/100g' "
-        f"WHEN 1 THEN '$' || {money('u')} || '/1kg $' || {money('u2')} || '/1lb' "
+        f"WHEN 1 THEN '$' || {money('u')} || '/1kg' || CASE WHEN k % 4 = 1 THEN {NBSP} ELSE ' ' END || '$' || {money('u2')} || '/1lb' "
+        f"|| CASE WHEN {THIRD_PRICE} THEN ' $9.99/1oz' ELSE '' END "
         "WHEN 2 THEN '1 ea, $1,' || lpad(CAST(k % 1000 AS STRING), 3, '0') || '/1ea' "
         "WHEN 3 THEN CAST(amt * 50 AS STRING) || ' ml' "
         f"WHEN 4 THEN '$' || {money('u')} || '/100g' "
@@ -122,13 +131,10 @@ RAW_LISTING_CTE = raw_listing_cte("part")
 def raw_listings(table: DataFrame, with_helpers: bool = False, source: str = "part") -> DataFrame:
     """Raw store-A listing rows (all text) plus ``file`` and ``pos``.
 
-    The narrow source rows are dealt over the task slots first when the
-    table was read as few (or uneven) partitions, so building the text is
-    not left to one task.
+    The narrow source rows are rebalanced first: the tables are single files,
+    and building the text should not be left to one task.
     """
-    from ..operators.balance import spread
-
-    base = spread(table, table.columns).selectExpr(*[f"{e} AS {n}" for n, e in SOURCES[source]])
+    base = table.hint("rebalance").selectExpr(*[f"{e} AS {n}" for n, e in SOURCES[source]])
     cols = [f"{e} AS {n}" for n, e in RAW_EXPRS]
     if with_helpers:
         cols += ["u", "u2", "amt", "cents", "shard"]

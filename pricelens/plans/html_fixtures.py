@@ -9,8 +9,12 @@ integers. Plain SQL accepted by both Spark and DuckDB.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..schemas import STORE_A_EMPTY_NOTICE as EMPTY
 from ..schemas import STORE_A_FIELDS as A
+from ..schemas import STORE_A_HEADING_CLASS as HEADING
+from ..schemas import STORE_A_NOTICE_CLASS as NOTICE
 from .fixtures import BASE_EXPRS, RAW_EXPRS, money
 
 PER_PRICE = dict(RAW_EXPRS)["prd_per_price"]
@@ -21,12 +25,19 @@ def _p(cls: str, body: str, tag: str = "p") -> str:
     return f"'<{tag} class=\"{cls}\">' || {body} || '</{tag}>'"
 
 
+def product(j: int) -> str:
+    """Product id of card j of page k; some second cards show the previous page's."""
+    if j == 0:
+        return f"{K} || '0'"
+    return "CASE WHEN k % 10 = 5 THEN CAST(k - 1 AS STRING) ELSE CAST(k AS STRING) END || '1'"
+
+
 def card(j: int) -> str:
     """One store-A product card (j = 0 or 1) of page k."""
     return " || ".join(
         [
             "'<div class=\"chakra-linkbox css-wsykbb\">'",
-            f"'<a class=\"{A['prd_link']}\" href=\"/a/p/' || {K} || '{j}_EA\">view</a>'",
+            f"'<a class=\"{A['prd_link']}\" href=\"/a/p/' || {product(j)} || '_EA\">view</a>'",
             f"CASE WHEN (k + {j}) % 4 = 0 THEN '' ELSE '<img class=\"{A['prd_img']}\" src=\"https://img.example/' || {K} || '_{j}.png\">' END",
             f"CASE WHEN k % 97 = 96 AND {j} = 1 THEN '' ELSE "
             + _p(A["prd_name"], f"CASE WHEN k % 11 = 0 THEN p_name || ' &amp; co' ELSE p_name END || ' {j}'", "h3")
@@ -44,15 +55,17 @@ def card(j: int) -> str:
 
 STORE_A_PAGE = " || ".join(
     [
-        "'<html><body><h2 class=\"chakra-heading css-zmvp7m\">' || p_type || '</h2>'",
-        "CASE WHEN k % 9 = 0 THEN '<p class=\"chakra-text css-29j2bl\">No items are available.</p>' "
-        "ELSE '<p class=\"chakra-text css-29j2bl\">2 items</p>' END",
+        # a header menu with a nav of its own, before the content
+        "'<html><body><header><nav><button>menu</button></nav></header><div id=\"site-content\">'",
+        f"CASE WHEN k % 2 = 0 THEN '<h2 class=\"{HEADING} big\"> ' || p_type || ' </h2>' ELSE '<h2 class=\"{HEADING}\">' || p_type || '</h2>' END",
+        f"CASE WHEN k % 18 = 0 THEN '<p class=\"big {NOTICE}\"> {EMPTY}' || chr(10) || '</p>' WHEN k % 9 = 0 THEN '<p class=\"{NOTICE}\">{EMPTY}</p>' "
+        f"ELSE '<p class=\"{NOTICE}\">2 items</p>' END",
         "'<div class=\"css-c33bww\">'",
         card(0),
         card(1),
         "'</div>'",
         "CASE WHEN k % 4 = 0 THEN '' ELSE '<nav aria-label=\"pagination\">' || repeat('<button>.</button>', CAST(k % 5 + 2 AS INT)) || '</nav>' END",
-        "'</body></html>'",
+        "'</div></body></html>'",
     ]
 )
 
@@ -100,9 +113,25 @@ STORE_B_PRODUCT = " || ".join(
     ]
 )
 
+# product pages of all cards (p): some older captures with another price (old), some cards without a page
+STORE_B_PRODUCTS = " || ".join(
+    [
+        "'<html><body><div class=\"product-info-price\">'",
+        f"CASE WHEN k % 17 = 16 AND p = 0 THEN '' WHEN old THEN {_price_span('1')} WHEN k % 3 = 1 THEN {_price_span('cents - 100')} || {_price_span('cents')} "
+        f"WHEN k % 29 = 28 THEN '<span class=\"price\">ask</span>' ELSE {_price_span('cents')} END",
+        "'</div><table class=\"data table additional-attributes\"><tbody>'",
+        _row("Brand", "p_brand"),
+        _row("Name", "p_name"),
+        _row("Unit", "CAST(p_size AS STRING) || ' ea'"),
+        f"CASE WHEN k % 19 = 18 AND p = 1 THEN '' ELSE {_row('SKU', K + ' || CAST(p AS STRING)')} END",
+        "'</tbody></table></body></html>'",
+    ]
+)
+HAS_PAGE = "NOT (p = 2 AND k % 23 = 22) AND (NOT old OR k % 13 = 0)"
+
 NAV_PAGE = " || ".join(
     [
-        "'<div id=\"site-content\"><div>'",
+        f"'<div id=\"site-content\"><h2 class=\"{HEADING}\"> ' || p_brand || ' </h2><div>'",
         f"'<a data-testid=\"nav-list-link\" href=\"/c/' || {K} || '/all\">See All</a>'",
         f"'<a data-testid=\"nav-list-link\" href=\"/c/' || {K} || '/sub\">' || p_name || '</a>'",
         f"'<a data-testid=\"other\" href=\"/c/' || {K} || '/x\">See All</a>'",
@@ -119,7 +148,7 @@ PAGE_KINDS = {
     "nav": NAV_PAGE,
 }
 PAGE_URLS = {
-    "store_a": f"'https://www.loblaws.ca/c/' || {K}",
+    "store_a": f"'https://www.loblaws.ca/c/' || {K} || '/all'",
     "store_b_listing": f"'https://mart.example/c/' || {K}",
     "store_b_product": f"'https://mart.example/p/' || {K} || '-0.html'",
     "nav": f"'https://www.loblaws.ca/n/' || {K}",
@@ -136,7 +165,22 @@ def pages_cte(kind: str, name: str = "fpages") -> str:
     )
 
 
+def _captured(df: DataFrame, page_id: str, back: str = "0") -> DataFrame:
+    """``captured_at``: a UTC wall clock seven minutes later for every page."""
+    start = F.lit("2023-11-01 12:00:00").cast("timestamp_ntz")
+    return df.withColumn("captured_at", F.timestamp_add("MINUTE", F.expr(f"{page_id} * 7 - {back}"), start))
+
+
 def part_pages(part: DataFrame, kind: str) -> DataFrame:
-    """Pages of one kind, one per part row: ``(page_id, url, html)``."""
-    base = part.selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
-    return base.selectExpr("k AS page_id", f"{PAGE_URLS[kind]} AS url", f"{PAGE_KINDS[kind]} AS html")
+    """Pages of one kind, one per part row: ``(page_id, url, html, shard, captured_at)``."""
+    base = part.hint("rebalance").selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
+    pages = base.selectExpr("k AS page_id", f"{PAGE_URLS[kind]} AS url", f"{PAGE_KINDS[kind]} AS html", "shard")
+    return _captured(pages, "page_id")
+
+
+def product_pages(part: DataFrame) -> DataFrame:
+    """Store-B product pages of the cards of all listing pages: ``(url, html, captured_at)``."""
+    base = part.hint("rebalance").selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
+    base = base.withColumn("p", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("old", F.explode(F.array(F.lit(False), F.lit(True))))
+    base = base.where(HAS_PAGE).selectExpr("k", "old", f"'https://mart.example/p/' || {K} || '-' || CAST(p AS STRING) || '.html' AS url", f"{STORE_B_PRODUCTS} AS html")
+    return _captured(base, "k", "CASE WHEN old THEN 1440 ELSE 0 END").select("url", "html", "captured_at")

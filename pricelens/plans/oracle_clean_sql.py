@@ -8,7 +8,7 @@ integer HALF_UP arithmetic replaces DuckDB's double division.
 
 from __future__ import annotations
 
-from .oracles import na
+from .oracles import WS, na
 
 RAW = ["date", "category", "sub_category", "prd_name", "prd_brand", "prd_price", "prd_per_price", "prd_discount", "prd_link", "prd_img"]
 UNIT_RE = "\\$(.*?)/(\\d+)(\\w+)"
@@ -30,7 +30,7 @@ c_u AS (
   SELECT *, CASE WHEN NOT contains(a[1], '$') THEN a[1] END AS unit_part,
     trim(coalesce(CASE WHEN len(a) = 3 THEN a[2] || '.' || replace(a[3], '.', '') WHEN len(a) = 2 THEN a[2] END, a[1])) AS pt
   FROM c_p),
-c_t AS (SELECT *, regexp_split_to_array(CASE WHEN contains(pt, '$') THEN pt END, '\\s+') AS toks FROM c_u),
+c_t AS (SELECT *, regexp_split_to_array(CASE WHEN contains(pt, '$') THEN pt END, '{WS}+') AS toks FROM c_u),
 c_v AS (
   SELECT *, toks[1] AS ppu1, CASE WHEN len(toks) >= 2 THEN toks[2] END AS ppu2 FROM c_t),
 c_r AS (
@@ -45,11 +45,12 @@ c_a AS (
                 // (2 * CAST(up * 10000 AS HUGEINT)) AS DOUBLE) / 100 AS VARCHAR) || ' ' || word END) AS avg_unit
   FROM c_r),
 c_all AS (
-  SELECT file, pos, pid, price, disc, ppu1, ppu2, avg_unit, a, up, base, word, prd_per_price,
+  SELECT file, pos, pid, price, disc, ppu1, ppu2, avg_unit, a, toks, up, base, word, prd_per_price,
     CAST(date AS DATE) AS scrap_date, category, sub_category, prd_name, prd_brand, prd_link, prd_img,
     CASE WHEN pid IS NULL THEN 'product_id'
          WHEN price IS NULL THEN 'price'
          WHEN len(a) > 3 OR (len(a) = 3 AND NOT contains(a[2], '$')) THEN 'parts'
+         WHEN len(toks) > 2 THEN 'unit_prices'
          WHEN prd_per_price IS NOT NULL AND ((ppu1 IS NOT NULL AND (up IS NULL OR base IS NULL OR word IS NULL)) OR avg_unit IS NULL) THEN 'unit'
     END AS reject_reason
   FROM c_a),
@@ -58,7 +59,7 @@ c_first AS (
   UNION ALL SELECT * FROM c_all WHERE pid IS NULL),
 cleaned AS (
   SELECT file, pos, scrap_date, category, sub_category,
-    {na("regexp_replace(prd_name, '\\(\\s*ID required at pick-up\\s*\\)', '', 'g')")} AS prd_name,
+    {na(f"regexp_replace(prd_name, '\\({WS}*ID required at pick-up{WS}*\\)', '', 'g')")} AS prd_name,
     prd_brand, price AS prd_price, {na('disc')} AS prd_discount, prd_link, prd_img, pid AS prd_id_in_store,
     'Loblaws' AS store,
     CASE WHEN contains(disc, 'SAVE') THEN 'SAVING' WHEN contains(disc, 'MIN') THEN 'MULTI'

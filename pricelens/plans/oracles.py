@@ -9,7 +9,7 @@ integers where Spark rounds decimals).
 from __future__ import annotations
 
 from ..schemas import NA_WORDS
-from .fixtures import RAW_LISTING_CTE, money, raw_listing_cte
+from .fixtures import BAD_DATE, RAW_LISTING_CTE, THIRD_PRICE, money, raw_listing_cte
 
 ORACLES: dict[str, str] = {}
 
@@ -30,6 +30,7 @@ def dbl_text(x: str) -> str:
     return f"CAST(CAST({x} AS DOUBLE) / 100 AS VARCHAR)"
 
 
+WS = "[\\s\\x{a0}]"  # the blanks that occur in the text
 FIRST_LINE = f"split_part({na('prd_discount')}, chr(10), 1)"
 PID = "CASE WHEN k % 53 = 52 OR k % 59 = 58 THEN NULL ELSE CAST(CAST(FLOOR(k / 2) AS BIGINT) AS VARCHAR) || '_EA' END"
 PRICE_OK = "NOT (k % 41 = 40 OR k % 43 = 42)"
@@ -44,12 +45,12 @@ _ROWS_BODY = (
     f""",
 rows AS (
   SELECT k, file, pos,
-    CAST(date AS DATE) AS scrap_date, category, sub_category,
-    regexp_replace(prd_name, '\\(\\s*ID required at pick-up\\s*\\)', '', 'g') AS prd_name,
+    CASE WHEN NOT ({BAD_DATE}) THEN CAST(date AS DATE) END AS scrap_date, category, sub_category,
+    regexp_replace(prd_name, '\\({WS}*ID required at pick-up{WS}*\\)', '', 'g') AS prd_name,
     {na('prd_brand')} AS prd_brand,
     CASE WHEN {PRICE_OK} THEN CAST(CAST(cents AS DOUBLE) / 100 AS DECIMAL(12,2)) END AS prd_price,
     {FIRST_LINE} AS prd_discount,
-    prd_link, prd_img,
+    prd_link, prd_img, prd_price AS raw_price, prd_per_price AS raw_per_price, date AS raw_date,
     {PID} AS prd_id_in_store,
     'Loblaws' AS store,
     CASE WHEN contains({FIRST_LINE}, 'SAVE') THEN 'SAVING' WHEN contains({FIRST_LINE}, 'MIN') THEN 'MULTI'
@@ -70,8 +71,10 @@ rows AS (
     END AS price_per_unit_1,
     CASE WHEN k % 6 = 1 THEN '$' || {money('u2')} || '/1lb' END AS price_per_unit_2,
     CASE WHEN {PID} IS NULL THEN 'product_id'
+         WHEN {BAD_DATE} THEN 'date'
          WHEN NOT ({PRICE_OK}) THEN 'price'
          WHEN k % 6 = 5 AND k % 4 = 1 THEN 'parts'
+         WHEN {THIRD_PRICE} THEN 'unit_prices'
          WHEN k % 6 = 5 AND k % 4 IN (2, 3) THEN 'unit' END AS reject_reason
   FROM raw_listing
 ),
@@ -111,7 +114,7 @@ oracle(
 ), v AS (
   SELECT k, n_parts, unit_part, CASE WHEN contains(pt, '$') THEN pt END AS price_part FROM t
 ), w AS (
-  SELECT *, regexp_split_to_array(price_part, '\\s+') AS toks FROM v
+  SELECT *, regexp_split_to_array(price_part, '{WS}+') AS toks FROM v
 ), x AS (
   SELECT k, n_parts, unit_part, price_part, toks[1] AS price_per_unit_1,
     CASE WHEN len(toks) >= 2 THEN toks[2] END AS price_per_unit_2 FROM w
@@ -130,11 +133,11 @@ oracle(
 oracle("na_words", f"WITH {ROWS_CTE} SELECT k, prd_brand, prd_discount FROM rows")
 oracle(
     "clean_name",
-    f"WITH {RAW_LISTING_CTE} SELECT k, regexp_replace(prd_name, '\\(\\s*ID required at pick-up\\s*\\)', '', 'g') AS prd_name FROM raw_listing",
+    f"WITH {RAW_LISTING_CTE} SELECT k, regexp_replace(prd_name, '\\({WS}*ID required at pick-up{WS}*\\)', '', 'g') AS prd_name FROM raw_listing",
 )
 oracle(
     "rejects",
-    f"WITH {ROWS_CTE} SELECT file, pos, prd_id_in_store, reject_reason FROM firsts WHERE reject_reason IS NOT NULL",
+    f"WITH {ROWS_CTE} SELECT file, pos, prd_id_in_store, reject_reason, raw_date, raw_price, raw_per_price, prd_link AS raw_link FROM firsts WHERE reject_reason IS NOT NULL",
 )
 oracle(
     "record_id",
@@ -173,7 +176,7 @@ oracle(
   SELECT file, a, trim(coalesce(CASE WHEN len(a) = 3 THEN a[2] || '.' || replace(a[3], '.', '') WHEN len(a) = 2 THEN a[2] END, a[1])) AS pt FROM s
 )
 SELECT file, CAST(max(len(a)) AS INTEGER) AS max_comma_parts,
-  CAST(max(CASE WHEN contains(pt, '$') THEN len(regexp_split_to_array(pt, '\\s+')) END) AS INTEGER) AS max_price_tokens,
+  CAST(max(CASE WHEN contains(pt, '$') THEN len(regexp_split_to_array(pt, '{WS}+')) END) AS INTEGER) AS max_price_tokens,
   count(*) AS n_rows
 FROM t GROUP BY file""",
 )

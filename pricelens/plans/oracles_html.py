@@ -47,13 +47,13 @@ SELECT page_id, CAST(ord AS INTEGER) AS ord, {decode('href')} AS href, {decode('
 oracle("cards_per_page", "SELECT page_id, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n_cards FROM pages")
 
 J2 = "(SELECT 0 AS j UNION ALL SELECT 1)"
-CARD_ROWS = f"""SELECT page_id, url, k, CAST(j AS INTEGER) AS card, p_type AS category, p_type AS sub_category,
+CARD_ROWS = f"""SELECT page_id, url, k, shard, CAST(j AS INTEGER) AS card, p_brand AS category, p_type AS sub_category,
   CASE WHEN k % 97 = 96 AND j = 1 THEN NULL ELSE (CASE WHEN k % 11 = 0 THEN p_name || ' & co' ELSE p_name END) || ' ' || CAST(j AS VARCHAR) END AS prd_name,
   CASE WHEN k % 3 = 0 THEN NULL ELSE p_brand END AS prd_brand,
   CASE WHEN (k + j) % 2 = 0 THEN '$' || {money('cents')} ELSE '$' || {money('cents - 50')} END AS prd_price,
   CASE WHEN k % 29 = 28 AND j = 0 THEN NULL ELSE coalesce({PER_PRICE}, '') END AS prd_per_price,
   CASE WHEN k % 5 = 1 THEN 'SAVE $1.00' || chr(10) || 'limit 2' END AS prd_discount,
-  'https://www.loblaws.ca/a/p/' || CAST(k AS VARCHAR) || CAST(j AS VARCHAR) || '_EA' AS prd_link,
+  'https://www.loblaws.ca/a/p/' || CAST(CASE WHEN j = 1 AND k % 10 = 5 THEN k - 1 ELSE k END AS VARCHAR) || CAST(j AS VARCHAR) || '_EA' AS prd_link,
   CASE WHEN (k + j) % 4 = 0 THEN NULL ELSE 'https://img.example/' || CAST(k AS VARCHAR) || '_' || CAST(j AS VARCHAR) || '.png' END AS prd_img,
   CASE WHEN k % 97 = 96 AND j = 1 THEN 'missing:prd_name' WHEN k % 29 = 28 AND j = 0 THEN 'missing:prd_per_price' END AS reject_reason
 FROM fpages, {J2} c WHERE k % 9 <> 0"""
@@ -69,7 +69,8 @@ oracle(
     "cards_to_clean",
     f"""WITH {pages_cte('store_a')}, cards AS ({CARD_ROWS}),
 raw AS (
-  SELECT url AS file, CAST(card AS BIGINT) AS pos, strftime(CAST({CAPTURED} AS DATE), '%Y-%m-%d') AS date,
+  SELECT strftime(CAST({CAPTURED} AS DATE), '%Y-%m-%d') || '/' || CAST(shard AS VARCHAR) AS file, k * 10 + card AS pos,
+    strftime(CAST({CAPTURED} AS DATE), '%Y-%m-%d') AS date,
     category, sub_category, prd_name, prd_brand, prd_price, prd_per_price, prd_discount, prd_link, prd_img
   FROM cards WHERE reject_reason IS NULL
 ), {clean_sql('raw')}
@@ -98,12 +99,15 @@ SELECT 'HMart' AS store, page_id, CAST(CASE WHEN k % 3 = 0 THEN 1 ELSE k % 4 + 1
 oracle(
     "page_urls",
     f"""WITH {pages_cte('store_a', 'pa')}, {pages_cte('store_b_listing', 'pb')},
-a AS (SELECT page_id, url, unnest(generate_series(1, CASE WHEN k % 4 = 0 THEN 1 ELSE k % 5 END)) AS page_no FROM pa),
+a AS (SELECT page_id, k, url, unnest(generate_series(1, CASE WHEN k % 4 = 0 THEN 1 ELSE k % 5 END)) AS page_no FROM pa
+  UNION ALL SELECT page_id, k, url, NULL FROM pa WHERE k % 4 <> 0 AND k % 5 = 0),
 b AS (SELECT page_id, url, unnest(generate_series(1, CASE WHEN k % 3 = 0 THEN 1 ELSE k % 4 + 1 END)) AS page_no FROM pb)
-SELECT 'Loblaws' AS store, page_id, CAST(page_no AS INTEGER) AS page_no, url || '?page=' || CAST(page_no AS VARCHAR) AS page_url FROM a
+SELECT 'Loblaws' AS store, page_id, CAST(page_no AS INTEGER) AS page_no,
+  CASE WHEN page_no IS NULL THEN NULL WHEN k % 4 = 0 THEN url ELSE url || '?page=' || CAST(page_no AS VARCHAR) END AS page_url,
+  CASE WHEN page_no IS NULL THEN 'pager:no_pages' END AS reject_reason FROM a
 UNION ALL
 SELECT 'HMart' AS store, page_id, CAST(page_no AS INTEGER) AS page_no,
-  CASE WHEN page_no = 1 THEN url ELSE url || '?p=' || CAST(page_no AS VARCHAR) END AS page_url FROM b""",
+  CASE WHEN page_no = 1 THEN url ELSE url || '?p=' || CAST(page_no AS VARCHAR) END AS page_url, NULL AS reject_reason FROM b""",
 )
 oracle(
     "html_link_filter",
@@ -136,22 +140,30 @@ SELECT p_type AS category, page_id, CAST(j AS INTEGER) AS card,
   'https://mart.example/img/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.jpg' AS prd_img
 FROM fpages, (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2) c WHERE j < 2 OR k % 2 = 0""",
 )
-oracle(
-    "store_b_rows",
-    f"""WITH {pages_cte('store_b_listing')}
-SELECT page_id AS listing_page, CAST(j AS INTEGER) AS card, p_type AS category,
+# every card with its newest product page; prices by the rules the pages were written from
+STORE_B_CARDS = f"""SELECT k, page_id, CAST(j AS INTEGER) AS card, p_type AS category, p_brand, p_name, p_size,
   'https://mart.example/p/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.html' AS prd_url,
   'https://mart.example/img/' || CAST(k AS VARCHAR) || '-' || CAST(j AS VARCHAR) || '.jpg' AS prd_img,
-  CASE WHEN j = 0 AND k % 17 <> 16 THEN '$' || CASE WHEN k % 3 = 1 THEN {money('cents - 100')} ELSE {money('cents')} END END AS prd_price,
-  CASE WHEN j = 0 AND k % 17 <> 16 THEN '$' || {money('cents')} END AS org_price,
-  CASE WHEN j = 0 AND k % 17 <> 16 THEN k % 3 = 1 END AS prd_discount,
-  CASE WHEN j = 0 AND k % 17 <> 16 AND k % 3 = 1 THEN 'SAVING' END AS on_sale_cat,
-  CASE WHEN j = 0 THEN p_brand END AS prd_brand,
-  CASE WHEN j = 0 THEN p_name END AS prd_name,
-  CASE WHEN j = 0 THEN CAST(p_size AS VARCHAR) || ' ea' END AS average_unit,
-  CASE WHEN j = 0 AND k % 19 <> 18 THEN CAST(k AS VARCHAR) END AS prd_id_in_store,
-  'HMart' AS store,
-  CASE WHEN j > 0 THEN 'missing:product_page' WHEN k % 17 = 16 THEN 'missing:prd_price'
-       WHEN k % 19 = 18 THEN 'missing:prd_id_in_store' END AS reject_reason
-FROM fpages, (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2) c WHERE j < 2 OR k % 2 = 0""",
+  NOT (j = 2 AND k % 23 = 22) AS has_page, NOT (k % 17 = 16 AND j = 0) AS has_price, k % 3 = 1 AS on_sale,
+  CASE WHEN k % 3 = 1 THEN '$' || {money('cents - 100')} WHEN k % 29 = 28 THEN 'ask' ELSE '$' || {money('cents')} END AS price,
+  CASE WHEN k % 3 <> 1 AND k % 29 = 28 THEN 'ask' ELSE '$' || {money('cents')} END AS org,
+  CASE WHEN k % 19 = 18 AND j = 1 THEN NULL ELSE CAST(k AS VARCHAR) || CAST(j AS VARCHAR) END AS pid,
+  CAST({CAPTURED} AS DATE) AS day
+FROM fpages, (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2) c WHERE j < 2 OR k % 2 = 0"""
+oracle(
+    "store_b_rows",
+    f"""WITH {pages_cte('store_b_listing')}, cards AS ({STORE_B_CARDS})
+SELECT page_id AS listing_page, card, category, prd_url, prd_img,
+  CASE WHEN has_page AND has_price THEN price END AS prd_price,
+  CASE WHEN has_page AND has_price THEN org END AS org_price,
+  CASE WHEN has_page AND has_price THEN on_sale END AS prd_discount,
+  CASE WHEN has_page AND has_price AND on_sale THEN 'SAVING' END AS on_sale_cat,
+  CASE WHEN has_page THEN p_brand END AS prd_brand,
+  CASE WHEN has_page THEN p_name END AS prd_name,
+  CASE WHEN has_page THEN CAST(p_size AS VARCHAR) || ' ea' END AS average_unit,
+  CASE WHEN has_page THEN pid END AS prd_id_in_store,
+  'HMart' AS store, CASE WHEN has_page THEN day END AS scrap_date,
+  CASE WHEN NOT has_page THEN 'missing:product_page' WHEN NOT has_price THEN 'missing:prd_price'
+       WHEN pid IS NULL THEN 'missing:prd_id_in_store' END AS reject_reason
+FROM cards""",
 )

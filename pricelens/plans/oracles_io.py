@@ -3,28 +3,29 @@
 from __future__ import annotations
 
 from .fixtures import RAW_LISTING_CTE
+from .html_fixtures import pages_cte
 from .oracles import CLEAN_SELECT, ROWS_CTE, oracle
+from .oracles_html import STORE_B_CARDS
 
 RAW_COLS = "date, category, sub_category, prd_name, prd_brand, prd_price, prd_per_price, prd_discount, prd_link, prd_img"
 STORES3 = "CASE {x} % 3 WHEN 0 THEN 'Loblaws' WHEN 1 THEN 'HMart' ELSE 'Metro' END"
 CLEAN_ORACLE = f"WITH {ROWS_CTE} SELECT {CLEAN_SELECT} FROM firsts WHERE reject_reason IS NULL"
 
-oracle("csv_scan", f"WITH {RAW_LISTING_CTE} SELECT {RAW_COLS} FROM raw_listing")
-oracle("file_stream", f"WITH {RAW_LISTING_CTE} SELECT {RAW_COLS} FROM raw_listing")
+# an empty cell is a missing value in a CSV file
+CELLS = ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_COLS.split(", "))
+oracle("csv_scan", f"WITH {RAW_LISTING_CTE} SELECT {CELLS} FROM raw_listing")
+oracle("file_stream", f"WITH {RAW_LISTING_CTE} SELECT {CELLS} FROM raw_listing")
+STORE_OF = STORES3.format(x="shard")
 oracle(
     "path_columns",
-    f"""WITH o AS (
-  SELECT o_orderkey, {STORES3.format(x='o_orderkey')} AS s, strftime(o_orderdate, '%Y-%m-%d') AS d, CAST(o_orderkey % 16 AS INTEGER) AS sh FROM orders
+    f"""WITH {RAW_LISTING_CTE}, f AS (
+  SELECT {STORE_OF} AS store, replace(split_part(file, '/', 2), 'Loblaws', {STORE_OF}) AS file_name, shard, count(*) AS n_rows FROM raw_listing GROUP BY ALL
 )
-SELECT o_orderkey, s || '/' || s || '_' || d || '_' || CAST(sh AS VARCHAR) || '.csv' AS object_key, s AS store,
-  s || '_' || d || '_' || CAST(sh AS VARCHAR) || '.csv' AS file_name, s AS name_store, CAST(d AS DATE) AS name_day, sh AS shard
-FROM o""",
+SELECT store, file_name, store || '/' || file_name AS object_key, store AS name_store,
+  CAST(split_part(file_name, '_', 2) AS DATE) AS name_day, CAST(shard AS INTEGER) AS shard, n_rows FROM f""",
 )
 oracle("csv_roundtrip", CLEAN_ORACLE)
-oracle(
-    "partitioned_write",
-    f"WITH {ROWS_CTE} SELECT {CLEAN_SELECT} FROM firsts WHERE reject_reason IS NULL AND scrap_date = DATE '2023-11-12'",
-)
+oracle("partitioned_write", CLEAN_ORACLE)
 
 
 def _json_field(name: str, expr: str, quote: bool) -> str:
@@ -44,7 +45,7 @@ FROM firsts WHERE reject_reason IS NULL""",
 oracle(
     "upsert_by_key",
     """SELECT p_partkey AS k, p_name, CAST(p_retailprice AS DECIMAL(12,2)) AS price, 1 AS version
-FROM part WHERE p_partkey % 2 = 0 AND p_partkey % 3 <> 0
+FROM part WHERE p_partkey % 3 <> 0
 UNION ALL
 SELECT p_partkey AS k, p_name, CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 2 AS DECIMAL(12,2)) AS price, 3 AS version
 FROM part WHERE p_partkey % 3 = 0""",
@@ -59,30 +60,31 @@ d AS (SELECT * FROM (VALUES
 SELECT k, s.store, site, CAST(n_shards AS INTEGER) AS n_shards FROM s LEFT JOIN d ON s.store = d.store""",
 )
 oracle("unknown_store", f"SELECT p_partkey AS k, {STORE5} AS store FROM part WHERE p_partkey % 5 = 4")
+SHARD = "(CAST(FLOOR(k / 2) AS BIGINT) % 7 + 2)"
 oracle(
     "clean_dispatch",
-    f"""WITH {ROWS_CTE}, m AS (
-  SELECT *, {STORES3.format(x='(CAST(FLOOR(k / 2) AS BIGINT) % 7 + 2)')} AS st FROM firsts
-), r AS (
-  SELECT *, {STORES3.format(x='(CAST(FLOOR(k / 2) AS BIGINT) % 7 + 2)')} AS st FROM rows
-)
-SELECT replace(file, 'Loblaws', st) AS file, pos, st AS store, prd_id_in_store, prd_price, reject_reason FROM m WHERE st = 'Loblaws'
+    f"""WITH {ROWS_CTE}, m AS (SELECT *, {STORES3.format(x=SHARD)} AS st FROM firsts), r AS (SELECT *, {STORES3.format(x=SHARD)} AS st FROM rows),
+n AS (SELECT k AS nk, prd_name AS raw_name FROM raw_listing),
+x AS (SELECT *, CASE WHEN reject_reason IS NOT NULL THEN true ELSE false END AS bad FROM m JOIN n ON k = nk)
+SELECT file, pos, st AS store, prd_id_in_store, prd_price, reject_reason, CASE WHEN bad THEN raw_date END AS raw_date,
+  CASE WHEN bad THEN raw_price END AS raw_price, CASE WHEN bad THEN prd_link END AS raw_link, CASE WHEN bad THEN raw_name END AS raw_name
+FROM x WHERE st = 'Loblaws'
 UNION ALL
-SELECT replace(file, 'Loblaws', st) AS file, pos, st AS store, NULL AS prd_id_in_store, NULL AS prd_price, 'unknown_store' AS reject_reason
-FROM r WHERE st <> 'Loblaws'""",
+SELECT replace(file, 'Loblaws', st), pos, st, NULL, NULL, 'unknown_store', raw_date, raw_price, prd_link, raw_name
+FROM r JOIN n ON k = nk WHERE st <> 'Loblaws'""",
 )
 oracle(
     "union_stores",
-    f"""WITH {ROWS_CTE}
-SELECT store, prd_id_in_store, prd_name, prd_price, CAST(NULL AS DECIMAL(12,2)) AS org_price, prd_discount,
-  CAST(NULL AS BOOLEAN) AS is_discounted, on_sale_cat, category, NULL AS prd_url, prd_link
+    f"""WITH {ROWS_CTE}, {pages_cte('store_b_listing')}, cards AS ({STORE_B_CARDS}),
+b AS (SELECT *, TRY_CAST(substr(price, 2) AS DECIMAL(12,2)) AS p, TRY_CAST(substr(org, 2) AS DECIMAL(12,2)) AS o FROM cards
+  WHERE has_page AND has_price AND pid IS NOT NULL)
+SELECT store, prd_id_in_store, scrap_date, prd_name, prd_price, CAST(NULL AS DECIMAL(12,2)) AS org_price, prd_discount,
+  CAST(NULL AS BOOLEAN) AS is_discounted, on_sale_cat, category, NULL AS prd_url, prd_link, NULL AS reject_reason, NULL AS raw_price
 FROM firsts WHERE reject_reason IS NULL
 UNION ALL
-SELECT 'HMart', CAST(p_partkey AS VARCHAR), p_name,
-  CASE WHEN p_partkey % 3 = 1 THEN CAST((CAST(ROUND(p_retailprice * 100) AS BIGINT) - 100) / 100.0 AS DECIMAL(12,2)) ELSE CAST(p_retailprice AS DECIMAL(12,2)) END,
-  CAST(p_retailprice AS DECIMAL(12,2)), NULL, p_partkey % 3 = 1, CASE WHEN p_partkey % 3 = 1 THEN 'SAVING' END, p_type,
-  'https://mart.example/p/' || CAST(p_partkey AS VARCHAR) || '-0.html', NULL
-FROM part WHERE p_partkey % 17 <> 16 AND p_partkey % 19 <> 18""",
+SELECT 'HMart', pid, day, p_name, p, o, NULL, on_sale, CASE WHEN on_sale THEN 'SAVING' END, category, prd_url, NULL,
+  CASE WHEN p IS NULL THEN 'price' END, CASE WHEN p IS NULL THEN price END
+FROM b""",
 )
 oracle(
     "worklist",
@@ -94,7 +96,16 @@ sh AS (
 )
 SELECT store, CAST(shard AS INTEGER) AS shard, 'daily_scrapping_' || store || '_' || CAST(shard AS VARCHAR) AS job_name FROM sh""",
 )
-oracle("stream_clean_upsert", CLEAN_ORACLE)
+CLEAN_NAMES = CLEAN_SELECT.split(", ")
+IDS = ", ".join(c if c in ("store", "prd_id_in_store", "scrap_date") else f"NULL AS {c}" for c in CLEAN_NAMES)
+UNKNOWN = ", ".join("st AS store" if c == "store" else f"NULL AS {c}" for c in CLEAN_NAMES)
+oracle(
+    "stream_clean_upsert",
+    f"""WITH {ROWS_CTE}, m AS (SELECT *, {STORES3.format(x=SHARD)} AS st FROM firsts), r AS (SELECT *, {STORES3.format(x=SHARD)} AS st FROM rows)
+SELECT {CLEAN_SELECT}, NULL AS reject_reason, NULL AS raw_price, NULL AS raw_link FROM m WHERE st = 'Loblaws' AND reject_reason IS NULL
+UNION ALL SELECT {IDS}, reject_reason, raw_price, prd_link FROM m WHERE st = 'Loblaws' AND reject_reason IS NOT NULL
+UNION ALL SELECT {UNKNOWN}, 'unknown_store', raw_price, prd_link FROM r WHERE st <> 'Loblaws'""",
+)
 oracle("replay_idempotent", CLEAN_ORACLE)
 oracle(
     "failure_alerts",

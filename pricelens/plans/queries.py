@@ -120,7 +120,8 @@ def q_clean_name(spark, sf_dir):
 @query("rejects")
 def q_rejects(spark, sf_dir):
     _, bad = C.split_rejects(_chain(spark, sf_dir))
-    return bad.select("file", "pos", "prd_id_in_store", "reject_reason")
+    raw = {"raw_date": "date", "raw_price": "prd_price", "raw_per_price": "prd_per_price", "raw_link": "prd_link"}
+    return bad.select("file", "pos", "prd_id_in_store", "reject_reason", *[F.col("raw").getItem(c).alias(a) for a, c in raw.items()])
 
 
 @query("record_id")

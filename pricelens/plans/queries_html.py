@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions import timefmt
+from ..functions import paths, timefmt
 from ..operators import clean as C
 from ..operators import extract as X
 from ..operators import worklist as W
-from ..schemas import CLEAN_COLUMNS, STORE_A_FIELDS
+from ..schemas import CLEAN_COLUMNS, STORE_A_CARD_CLASSES, STORE_A_FIELDS, STORE_A_NOTICE_CLASS
 from ..sources.pages import read_pages
 from .fixtures import read_table
-from .html_fixtures import part_pages
+from .html_fixtures import part_pages, product_pages
 from .queries import query
 
 
@@ -60,7 +60,7 @@ def q_cards_per_page(spark, sf_dir):
 
 @query("html_cards")
 def q_html_cards(spark, sf_dir):
-    return X.store_a_cards(_part_pages(spark, sf_dir, "store_a"))
+    return X.store_a_cards(_part_pages(spark, sf_dir, "store_a"), _part_pages(spark, sf_dir, "nav"))
 
 
 @query("html_fallback")
@@ -69,7 +69,7 @@ def q_html_fallback(spark, sf_dir):
     recs = H.records(
         _part_pages(spark, sf_dir, "store_a"),
         {"price_regular": {"class": f["prd_price_regular"]}, "price_sale": {"class": f["prd_price_sale"]}},
-        container={"all_classes": ["chakra-linkbox", "css-wsykbb"]},
+        container={"all_classes": STORE_A_CARD_CLASSES},
         keep=["page_id"],
     )
     return recs.select(
@@ -81,9 +81,9 @@ def q_html_fallback(spark, sf_dir):
 @query("html_empty_filter")
 def q_html_empty_filter(spark, sf_dir):
     recs = H.records(
-        _part_pages(spark, sf_dir, "store_a"), {"notice": {"class": "chakra-text css-29j2bl"}}, keep=["page_id"]
+        _part_pages(spark, sf_dir, "store_a"), {"notice": {"all_classes": STORE_A_NOTICE_CLASS.split()}}, keep=["page_id"]
     )
-    return recs.filter(F.col("notice").isNull() | (F.col("notice") != "No items are available.")).select("page_id", "notice")
+    return recs.filter(X.not_empty("notice")).select("page_id", "notice")
 
 
 @query("html_page_count")
@@ -97,7 +97,7 @@ def q_html_page_count(spark, sf_dir):
 def q_page_urls(spark, sf_dir):
     a = W.store_a_page_urls(X.store_a_page_info(_part_pages(spark, sf_dir, "store_a")))
     b = W.store_b_page_urls(X.store_b_page_info(_part_pages(spark, sf_dir, "store_b_listing")))
-    cols = ["page_id", "page_no", "page_url"]
+    cols = ["page_id", "page_no", "page_url", "reject_reason"]
     return a.select(F.lit("Loblaws").alias("store"), *cols).unionByName(b.select(F.lit("HMart").alias("store"), *cols))
 
 
@@ -135,18 +135,16 @@ def q_links_by_category(spark, sf_dir):
 def q_cards_to_clean(spark, sf_dir):
     """Store pages -> card rows -> cleaning chain: the whole weekly flow.
 
-    Each page is captured at a time derived from its id; the card rows of a
-    page play the part of one listing file (file = page URL, pos = card).
+    The rows of all pages of a (store, day, shard) are one listing file, in
+    page and card order, so a product on two of its pages is kept once.
     """
-    start = F.lit("2023-11-01 12:00:00").cast("timestamp_ntz")
-    pages = _part_pages(spark, sf_dir, "store_a").withColumn(
-        "captured_at", F.timestamp_add("MINUTE", F.col("page_id") * 7, start)
-    )
-    cards = X.store_a_cards(pages, keep=["page_id", "url", "captured_at"]).filter(F.col("reject_reason").isNull())
+    pages, heads = _part_pages(spark, sf_dir, "store_a"), _part_pages(spark, sf_dir, "nav")
+    cards = X.EXTRACTORS["Loblaws"](pages, heads, keep=["page_id", "url", "shard", "captured_at"])
+    cards = cards.filter(F.col("reject_reason").isNull()).withColumn("day", timefmt.scrape_day("captured_at"))
     raw = cards.select(
-        F.col("url").alias("file"),
-        F.col("card").cast("bigint").alias("pos"),
-        F.date_format(timefmt.scrape_day("captured_at"), "yyyy-MM-dd").alias("date"),
+        paths.object_key(F.lit("Loblaws"), "day", "shard").alias("file"),
+        F.struct("page_id", "card").alias("pos"),
+        F.date_format("day", "yyyy-MM-dd").alias("date"),
         "category", "sub_category", "prd_name", "prd_brand", "prd_price", "prd_per_price", "prd_discount", "prd_link", "prd_img",
     )
     good, _ = C.split_rejects(C.clean_store_a(raw))
@@ -158,8 +156,8 @@ def q_store_b_rows(spark, sf_dir):
     """Store-B listing pages + product pages -> rows in clean names, with
     rejects (missing product page, price or spec field) kept."""
     part = read_table(spark, sf_dir, "part")
-    rows = X.store_b_rows(part_pages(part, "store_b_listing"), part_pages(part, "store_b_product"))
+    rows = X.EXTRACTORS["HMart"](part_pages(part, "store_b_listing"), product_pages(part))
     return rows.select(
         "listing_page", "card", "category", "prd_url", "prd_img", "prd_price", "org_price", "prd_discount",
-        "on_sale_cat", "prd_brand", "prd_name", "average_unit", "prd_id_in_store", "store", "reject_reason",
+        "on_sale_cat", "prd_brand", "prd_name", "average_unit", "prd_id_in_store", "store", "scrap_date", "reject_reason",
     )

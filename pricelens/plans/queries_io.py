@@ -19,20 +19,33 @@ from ..schemas import CLEAN_COLUMNS, CLEAN_LISTING_SCHEMA, JOB_EVENT_SCHEMA, RAW
 from ..session import scratch_path
 from ..sinks import files as K
 from ..sinks.upsert import upsert
-from ..sources.listings import read_listing_csv, store_dimension, stream_listing_csv, write_listing_csv
+from ..sources.listings import read_listing_csv, store_dimension, stream_listing_csv, with_pos, write_listing_csv
 from ..streaming.alerts import start_alert_stream
 from ..streaming.files import clean_and_upsert_batch, start_clean_upsert_stream
 from .fixtures import raw_listings, read_table
-from .html_fixtures import part_pages
+from .html_fixtures import part_pages, product_pages
 from .queries import _chain, query
 
 STORES3 = "CASE {x} % 3 WHEN 0 THEN 'Loblaws' WHEN 1 THEN 'HMart' ELSE 'Metro' END"
 
 
-def _landing(spark, sf_dir, name):
-    """Raw listing CSV files written from ``part``; returns the folder."""
+def _landing(spark, sf_dir, name, raw=None):
+    """Raw listing CSV files written from ``part``; returns the folder. The
+    files of odd shards have their columns in another order."""
     path = scratch_path(spark, name)
-    write_listing_csv(raw_listings(read_table(spark, sf_dir, "part")), path)
+    raw = raw_listings(read_table(spark, sf_dir, "part"), with_helpers=True) if raw is None else raw
+    for odd, columns in ((0, RAW_LISTING_COLUMNS), (1, RAW_LISTING_COLUMNS[::-1])):
+        write_listing_csv(raw.where(F.col("shard") % 2 == odd), path, columns)
+    return path
+
+
+def _landing_of_stores(spark, sf_dir, name):
+    """Files of three stores; store B's files have columns of their own."""
+    raw = raw_listings(read_table(spark, sf_dir, "part"), with_helpers=True)
+    raw = raw.withColumn("store", F.expr(STORES3.format(x="shard"))).withColumn("file", F.replace("file", F.lit("Loblaws"), F.col("store")))
+    path = _landing(spark, sf_dir, name, raw.where("store != 'HMart'"))
+    own = raw.where("store = 'HMart'").withColumnsRenamed({"date": "scrap_date", "prd_link": "prd_url"})
+    write_listing_csv(own, path, ["scrap_date", "prd_url", "prd_img", "prd_price", "prd_name"])
     return path
 
 
@@ -45,12 +58,15 @@ def q_csv_scan(spark, sf_dir):
 def q_file_stream(spark, sf_dir):
     landing = _landing(spark, sf_dir, "file-stream-in")
     out = scratch_path(spark, "file-stream-out")
-    ckpt = scratch_path(spark, "file-stream-ckpt")
+
+    def each(batch, epoch_id):
+        named = with_pos(batch).select(*RAW_LISTING_COLUMNS, F.lit(epoch_id).cast("long").alias("batch_id"))
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
+
     q = (
         stream_listing_csv(spark, landing)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", ckpt)
+        .writeStream.foreachBatch(each)
+        .option("checkpointLocation", scratch_path(spark, "file-stream-ckpt"))
         .trigger(availableNow=True)
         .start()
     )
@@ -60,25 +76,16 @@ def q_file_stream(spark, sf_dir):
 
 @query("path_columns")
 def q_path_columns(spark, sf_dir):
-    root = "file:/data/landing"
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.expr(STORES3.format(x="o_orderkey")).alias("store_in"),
-        F.to_date("o_orderdate").alias("day_in"),
-        (F.col("o_orderkey") % 16).cast("int").alias("shard_in"),
-    )
-    o = o.withColumn("path", F.concat(F.lit(root + "/"), paths.object_key("store_in", "day_in", "shard_in")))
-    key = paths.relative_key("path", root)
-    name = paths.file_name("path")
-    n_store, n_day, n_shard = paths.name_parts(name)
-    return o.select(
-        "o_orderkey",
-        key.alias("object_key"),
-        paths.key_store(key).alias("store"),
-        name.alias("file_name"),
-        n_store.alias("name_store"),
-        n_day.alias("name_day"),
-        n_shard.alias("shard"),
+    """S-3 to S-5 on the paths of real files: the rows of every landed file."""
+    landing = _landing_of_stores(spark, sf_dir, "path-columns")
+    rows = read_listing_csv(spark, landing)
+    folder = F.regexp_extract(paths.relative_key("file", landing), "name=([^/]+)/", 1)
+    return rows.groupBy("store", folder.alias("file_name")).agg(F.count("*").alias("n_rows")).select(
+        "store",
+        "file_name",
+        paths.object_key("store", paths.name_parts("file_name")[1], paths.name_parts("file_name")[2]).alias("object_key"),
+        *[c.alias(a) for c, a in zip(paths.name_parts("file_name"), ("name_store", "name_day", "shard"))],
+        "n_rows",
     )
 
 
@@ -95,15 +102,15 @@ def q_partitioned_write(spark, sf_dir):
     good, _ = C.split_rejects(_chain(spark, sf_dir))
     path = scratch_path(spark, "by-store")
     K.write_by_store(good.select(*CLEAN_COLUMNS), path, partition_cols=("store", "scrap_date"))
-    back = spark.read.parquet(path).filter((F.col("store") == "Loblaws") & (F.col("scrap_date") == F.lit("2023-11-12").cast("date")))
-    return back.select(*CLEAN_COLUMNS)
+    return spark.read.parquet(path).select(*CLEAN_COLUMNS)
 
 
 @query("json_records")
 def q_json_records(spark, sf_dir):
     good, _ = C.split_rejects(_chain(spark, sf_dir))
     cols = ["store", "prd_id_in_store", "scrap_date", "prd_price", "prd_brand", "on_sale_cat", "average_unit"]
-    return K.exact_decimals(good, ["prd_price"]).select("prd_id_in_store", K.json_record(cols).alias("record"))
+    floats = good.withColumn("prd_price", F.col("prd_price").cast("double"))  # what a float-typed source delivers
+    return K.exact_decimals(floats, ["prd_price"]).select("prd_id_in_store", K.json_record(cols).alias("record"))
 
 
 def _versions(spark, sf_dir):
@@ -113,8 +120,8 @@ def _versions(spark, sf_dir):
         "p_name",
         F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
     )
-    target = base.filter(F.col("k") % 2 == 0).withColumn("version", F.lit(1))
-    # two deliveries (seq 1, 2) of every batch key: the later one must win
+    target = base.filter((F.col("k") % 3 != 0) | (F.col("k") % 2 == 0)).withColumn("version", F.lit(1))
+    # every key is in the target, the batch or both; two deliveries (seq 1, 2) of every batch key: the later one must win
     batch = (
         base.filter(F.col("k") % 3 == 0)
         .withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2))))
@@ -138,13 +145,13 @@ def _stores(spark, sf_dir):
 @query("store_lookup")
 def q_store_lookup(spark, sf_dir):
     dim = store_dimension(spark)
-    out = L.lookup(_stores(spark, sf_dir), dim, "store", known_small=True)
+    out = L.lookup(_stores(spark, sf_dir), dim, "store", local=True)
     return out.select("k", "store", "site", F.when(F.col("shards").isNotNull(), F.size("shards")).alias("n_shards"))
 
 
 @query("unknown_store")
 def q_unknown_store(spark, sf_dir):
-    return L.unknown_keys(_stores(spark, sf_dir), store_dimension(spark), "store", known_small=True).select("k", "store")
+    return L.unknown_keys(_stores(spark, sf_dir), store_dimension(spark), "store", local=True).select("k", "store")
 
 
 def _multi_store_raw(spark, sf_dir):
@@ -157,12 +164,13 @@ def _multi_store_raw(spark, sf_dir):
 @query("clean_dispatch")
 def q_clean_dispatch(spark, sf_dir):
     out = D.clean_dispatch(_multi_store_raw(spark, sf_dir))
-    return out.select("file", "pos", "store", "prd_id_in_store", "prd_price", "reject_reason")
+    raw = {"raw_date": "date", "raw_price": "prd_price", "raw_link": "prd_link", "raw_name": "prd_name"}
+    return out.select("file", "pos", "store", "prd_id_in_store", "prd_price", "reject_reason", *[F.col("raw").getItem(c).alias(a) for a, c in raw.items()])
 
 
 def _store_b(spark, sf_dir):
     part = read_table(spark, sf_dir, "part")
-    rows = X.store_b_rows(part_pages(part, "store_b_listing"), part_pages(part, "store_b_product"))
+    rows = X.EXTRACTORS["HMart"](part_pages(part, "store_b_listing"), product_pages(part))
     return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "listing_page", "card")
 
 
@@ -171,8 +179,8 @@ def q_union_stores(spark, sf_dir):
     good, _ = C.split_rejects(_chain(spark, sf_dir))
     u = D.union_stores(good.select(*CLEAN_COLUMNS), _store_b(spark, sf_dir))
     return u.select(
-        "store", "prd_id_in_store", "prd_name", "prd_price", "org_price", "prd_discount",
-        "is_discounted", "on_sale_cat", "category", "prd_url", "prd_link",
+        "store", "prd_id_in_store", "scrap_date", "prd_name", "prd_price", "org_price", "prd_discount",
+        "is_discounted", "on_sale_cat", "category", "prd_url", "prd_link", "reject_reason", F.col("raw").getItem("prd_price").alias("raw_price"),
     )
 
 
@@ -184,20 +192,24 @@ def q_worklist(spark, sf_dir):
 
 @query("stream_clean_upsert")
 def q_stream_clean_upsert(spark, sf_dir):
-    landing = _landing(spark, sf_dir, "stream-in")
-    table = scratch_path(spark, "stream-table")
-    q = start_clean_upsert_stream(
-        spark, landing, table, scratch_path(spark, "stream-ckpt"), rejects_path=scratch_path(spark, "stream-rejects")
-    )
+    """Landed files of three stores -> table and rejects, both returned."""
+    landing = _landing_of_stores(spark, sf_dir, "stream-in")
+    table, rejects = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-rejects")
+    q = start_clean_upsert_stream(spark, landing, table, scratch_path(spark, "stream-ckpt"), rejects_path=rejects)
     q.awaitTermination()
-    return spark.read.parquet(table).select(*CLEAN_COLUMNS)
+    good = spark.read.parquet(table).select(*CLEAN_COLUMNS)
+    raw = F.col("raw")
+    bad = spark.read.parquet(rejects).select(
+        "store", "prd_id_in_store", "scrap_date", "reject_reason", raw["prd_price"].alias("raw_price"), F.coalesce(raw["prd_link"], raw["prd_url"]).alias("raw_link")
+    )
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query("replay_idempotent")
 def q_replay_idempotent(spark, sf_dir):
     landing = _landing(spark, sf_dir, "replay-in")
     table = scratch_path(spark, "replay-table")
-    for _ in range(2):  # the same files delivered twice
+    for _ in range(3):  # the same files delivered three times
         clean_and_upsert_batch(spark, read_listing_csv(spark, landing), table)
     return spark.read.parquet(table).select(*CLEAN_COLUMNS)
 

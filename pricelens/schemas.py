@@ -99,6 +99,7 @@ STORE_A_FIELDS = {
 STORE_A_HEADING_CLASS = "chakra-heading css-zmvp7m"
 STORE_A_NOTICE_CLASS = "chakra-text css-29j2bl"
 STORE_A_EMPTY_NOTICE = "No items are available."
+STORE_A_CONTENT_ID = "site-content"
 STORE_A_NAV_TESTID = "nav-list-link"
 STORE_A_NAV_TEXT = "See All"
 

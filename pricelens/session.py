@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "pricelens") -> SparkSession:
@@ -31,7 +34,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a folder every executor can reach; it is
-    only filled in here when unset (tests, local runs).
+    only filled in here when unset and the master is local (tests, local runs).
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -41,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getCheckpointDir()
     if not conf_dir:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="pricelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is not None and not sc.getCheckpointDir():
@@ -54,6 +59,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system (works for any scheme)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+@contextmanager
+def written_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to a scratch folder and read from there (for frames that
+    are read more than once); the folder is deleted at the end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for Python-side checks in tests only)."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -74,7 +98,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "path_exists"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "path_exists", "delete_path", "written_once"]
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:

@@ -6,24 +6,27 @@ Two forms:
   ``target`` minus the batch keys (anti join) plus the latest batch row per
   key.
 * ``write_upsert(...)``: the same against a Parquet table partitioned by
-  columns that are part of the key (default store and day). Only the
-  partitions that occur in the batch are read (a partition predicate built
-  from the batch's distinct partition values, which the scan prunes by) and
-  rewritten (dynamic partition overwrite), so the work is proportional to
-  the batch's partitions, not the table. Re-running the same batch leaves
-  the table unchanged.
+  columns that are part of the key (default store and day). The table is
+  semi-joined with the batch's distinct partition values, which the optimizer
+  turns into dynamic partition pruning, and only these partitions are rewritten
+  (dynamic partition overwrite). Re-running the same batch leaves the table
+  unchanged.
+
+A key without a value names no row: a null in a key column is an error.
 """
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, path_exists
+from ..session import path_exists, written_once
 
 
 def latest_per_key(df: DataFrame, keys: list[str], seq_col: str) -> DataFrame:
-    """Latest row per key by ``seq_col`` (ties: any one of them).
+    """Latest row per key by ``seq_col`` (ties: the greatest row).
 
     ``max(struct(seq, ...))`` aggregates with a map-side partial step, so a
     key with very many rows never lands whole in one task.
@@ -35,70 +38,47 @@ def latest_per_key(df: DataFrame, keys: list[str], seq_col: str) -> DataFrame:
     return agg.select(*[F.col(c) if c in keys else F.col(f"_latest.{c}").alias(c) for c in cols])
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq_col: str | None = None) -> DataFrame:
+def _with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` that fails on a null key."""
+    return df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"upsert: null in key column {k}")).cast(df.schema[k].dataType)) for k in keys})
+
+
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq_col: str) -> DataFrame:
     """New table = target rows whose key is not in the batch + latest batch rows."""
-    latest = latest_per_key(batch, keys, seq_col).drop(seq_col) if seq_col else batch
+    latest = latest_per_key(_with_keys(batch, keys), keys, seq_col).drop(seq_col)
     kept = target.join(latest.select(*keys), keys, "left_anti")
     return kept.unionByName(latest.select(*target.columns))
 
 
-MAX_PRUNE_VALUES = 2000
-
-
-def touched_partitions(latest: DataFrame, partition_cols: list[str], max_values: int = MAX_PRUNE_VALUES):
-    """Predicate selecting the batch's partitions, or None if there are too many.
-
-    Only the distinct partition values travel to the driver (at most
-    ``max_values`` of them, e.g. stores x days in one batch), never rows.
-    """
-    vals = latest.select(*partition_cols).distinct().limit(max_values + 1).collect()
-    if len(vals) > max_values:
-        return None
-    cond = F.lit(False)
-    for v in vals:
-        one = F.lit(True)
-        for c in partition_cols:
-            one = one & (F.col(c).isNull() if v[c] is None else (F.col(c) == F.lit(v[c])))
-        cond = cond | one
-    return cond
-
-
 def write_upsert(
     spark: SparkSession,
     table_path: str,
     batch: DataFrame,
     keys: list[str],
-    seq_col: str | None = None,
-    partition_cols: list[str] | None = None,
+    seq_col: str,
+    partition_cols: list[str],
+    batch_written: bool = False,
 ) -> None:
-    """Upsert ``batch`` into the Parquet table at ``table_path``."""
-    partition_cols = list(partition_cols or [])
-    assert all(c in keys for c in partition_cols), "partition columns must be part of the key"
-    latest = latest_per_key(batch, keys, seq_col).drop(seq_col) if seq_col else batch
-    writer = latest
-    if path_exists(spark, table_path):
-        # read up to three times below: write it once to the shared checkpoint folder
-        ensure_checkpoint_dir(spark)
-        latest = latest.checkpoint(eager=True)
-        current = spark.read.parquet(table_path)
-        if set(current.columns) != set(latest.columns):
-            raise ValueError(
-                f"batch columns {sorted(latest.columns)} do not match the table's {sorted(current.columns)}"
-            )
-        if partition_cols:
-            pred = touched_partitions(latest, partition_cols)
-            if pred is not None:
-                current = current.filter(pred)  # partition pruning at the scan
-            else:
-                current = current.join(latest.select(*partition_cols).distinct(), partition_cols, "left_semi")
-        kept = current.join(latest.select(*keys), keys, "left_anti")
-        writer = kept.unionByName(latest.select(*current.columns))
-    w = writer.write.mode("overwrite")
-    if partition_cols:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-        w.parquet(table_path)
-    else:
-        # no partitioning: materialise the new version next to the table first
-        staged = table_path.rstrip("/") + "_staged"
-        w.parquet(staged)
-        spark.read.parquet(staged).write.mode("overwrite").parquet(table_path)
+    """Upsert ``batch`` into the Parquet table at ``table_path``.
+
+    The batch is read up to three times; it is first written to a scratch
+    folder (deleted afterwards) unless ``batch_written`` says it already is
+    cheap to read. Rows are rebalanced by the partition columns before the
+    write: one task per small partition, several for a large one.
+    """
+    if not partition_cols or any(c not in keys for c in partition_cols):
+        raise ValueError("partition columns are required and must be part of the key")
+    there = path_exists(spark, table_path)
+    scope = written_once(batch, "upsert-batch") if there and not batch_written else nullcontext(batch)
+    with scope as rows:
+        latest = latest_per_key(_with_keys(rows, keys), keys, seq_col).drop(seq_col)
+        out = latest
+        if there:
+            current = spark.read.parquet(table_path)
+            if set(current.columns) != set(latest.columns):
+                raise ValueError(f"batch columns {sorted(latest.columns)} do not match the table's {sorted(current.columns)}")
+            touched = current.join(rows.select(*partition_cols).distinct(), partition_cols, "left_semi")
+            kept = touched.join(rows.select(*keys).distinct(), keys, "left_anti")
+            out = kept.unionByName(latest.select(*current.columns))
+        out = out.hint("rebalance", *[F.col(c) for c in partition_cols])
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(table_path)

@@ -1,78 +1,97 @@
 """Listing CSV sources (S-1, S-2) and the store dimension (S-7).
 
-CSV is read with a declared schema (never inferred), a header row, quoted
-fields that may hold newlines (``multiLine``) and ``"`` as escape. A
-multi-line CSV file cannot be split, so each file is read by one task; the
-producers write one file per (store, shard), which keeps files small.
-``pos`` is taken right after the scan: within one file it follows the file's
-row order, which is what "keep the first row" needs.
+Every file is read as text cells (``multiLine``: quoted fields may hold
+newlines; ``"`` is the escape) and its columns are matched by the names in its
+own header row, so files of different stores and column orders are read in one
+scan. ``store`` comes from the path (S-3). A multi-line CSV file cannot be
+split, so each file is read by one task; the producers write one file per
+(store, shard), which keeps files small. ``pos`` is taken right after the scan:
+within one file it follows the file's row order, which is what "keep the first
+row" needs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..schemas import RAW_LISTING_SCHEMA, STORE_SHARDS, STORE_SITES
+from ..functions import paths
+from ..schemas import RAW_LISTING_COLUMNS, STORE_SHARDS, STORE_SITES
 from ..sinks.files import CSV_WRITE_OPTIONS
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "pathGlobFilter": "*.csv"}
+#: The header is read as a row; empty cells stay empty text (they become null later).
+CSV_OPTIONS = {"header": "false", "multiLine": "true", "escape": '"', "pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
+#: Cells read per row. Columns of a file beyond that many are not seen.
+MAX_CELLS = 32
+CELLS_SCHEMA = ", ".join(f"c{i} string" for i in range(MAX_CELLS))
 
 
-def read_listing_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING_SCHEMA, recursive: bool = True) -> DataFrame:
-    """S-1: batch read of listing CSV files under ``path`` (+ ``file``, ``pos``).
+def _cells(df: DataFrame, root: str) -> DataFrame:
+    return df.select(
+        F.array(*[f"c{i}" for i in range(MAX_CELLS)]).alias("values"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        paths.key_store(paths.relative_key("_metadata.file_path", root)).alias("store"),
+    )
 
-    By default every ``*.csv`` in any folder below ``path`` is read (keys are
-    ``<store>/<file>.csv``; a plain folder layout would otherwise be skipped).
-    For a layout partitioned as ``store=X/...`` pass ``recursive=False``:
-    the partition folders then become a ``store`` column that prunes files
-    when filtered on.
+
+def by_header(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows of ``values`` with ``pos`` -> the named columns, and all ``cells`` by name.
+
+    The first row of a file is its header. ``malformed`` marks rows with a cell
+    beyond the header. A column that a file does not have is null.
+    """
+    heads = rows.groupBy("file").agg(F.min(F.struct("pos", "values")).alias("head")).select(F.col("file").alias("head_file"), "head")
+    joined = rows.join(heads, rows["file"] == heads["head_file"]).where(F.col("pos") > F.col("head.pos"))
+    pairs = F.filter(F.arrays_zip(F.col("head.values").alias("name"), F.col("values").alias("value")), lambda p: p["name"].isNotNull())
+    beyond = F.exists(F.arrays_zip(F.col("head.values").alias("name"), F.col("values").alias("value")), lambda p: p["name"].isNull() & p["value"].isNotNull())
+    # of columns with one name the first counts
+    first = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["name"]), p["name"]) == i + 1)
+    named = joined.select("file", "file_time", "store", "pos", F.map_from_entries(first).alias("cells"), beyond.alias("malformed"))
+    return named.select(*[F.col("cells").getItem(c).alias(c) for c in columns or RAW_LISTING_COLUMNS], "file", "file_time", "store", "pos", "cells", "malformed")
+
+
+def read_listing_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """S-1: batch read of every ``*.csv`` in any folder below ``path``.
+
+    Keys are ``<store>/<file>.csv`` (or ``store=X/...``). Adds ``file``,
+    ``file_time``, ``store``, ``pos``, ``cells`` and ``malformed``.
     """
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    df = reader.csv(path)
-    return df.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"))
+    rows = _cells(spark.read.schema(CELLS_SCHEMA).options(**CSV_OPTIONS).csv(path), path)
+    return by_header(rows.withColumn("pos", F.monotonically_increasing_id()), columns)
 
 
-def stream_listing_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_LISTING_SCHEMA, max_files: int | None = None, recursive: bool = True
-) -> DataFrame:
+def stream_listing_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """S-2: the same files as a stream; each new ``*.csv`` is read once.
 
-    The checkpoint of the query that consumes this stream records which
-    files were taken, so a restart does not read a file twice. Adds
-    ``file``; ``pos`` is added per micro-batch by ``with_pos`` (row ids are
-    not allowed on a streaming plan). Files are looked up in every folder
-    below ``path`` (keys are ``<store>/<file>.csv``).
+    The checkpoint of the query that consumes this stream records which files
+    were taken, so a restart does not read a file twice. The stream holds the
+    cells; ``with_pos`` gives the rows of a micro-batch their position and
+    names (a file is always whole in one micro-batch).
     """
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
+    reader = spark.readStream.schema(CELLS_SCHEMA).options(**CSV_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.csv(path).select("*", F.col("_metadata.file_path").alias("file"))
+    return _cells(reader.csv(path), path)
 
 
-def with_pos(batch: DataFrame) -> DataFrame:
-    """Row position in file order for a static (micro-)batch."""
-    return batch.withColumn("pos", F.monotonically_increasing_id())
+def with_pos(batch: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Named rows, in file order, of a micro-batch of the stream."""
+    return by_header(batch.withColumn("pos", F.monotonically_increasing_id()), columns)
 
 
-def write_listing_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, order_col: str | None = "pos") -> None:
-    """K-1 for raw listings: header, quoted fields, one file per group of rows.
+def write_listing_csv(df: DataFrame, path: str, columns: list[str] | None = None, mode: str = "append") -> None:
+    """K-1 for raw listings: header, quoted fields, one CSV file per ``file``.
 
-    Rows of one ``file`` value land in one output file, in ``order_col``
-    order, so a later reader sees the same "first" row.
+    ``file`` is the key ``<store>/<name>``; the file lands in the folder
+    ``store=<store>/name=<name>``, its rows in ``pos`` order, so a reader finds
+    the same rows in the same file and the same "first" row.
     """
-    out = df.repartition("file") if "file" in df.columns else df
-    if order_col and order_col in df.columns:
-        out = out.sortWithinPartitions("file", order_col) if "file" in df.columns else out.sortWithinPartitions(order_col)
-    writer = out.drop(*[c for c in ("file", "pos", "k") if c in out.columns]).write.mode("overwrite").options(**CSV_WRITE_OPTIONS)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.csv(path)
+    rows = df.repartition("file").select(
+        paths.key_store("file").alias("store"), paths.file_name("file").alias("name"), "pos", *[F.col(c).alias(c) for c in columns or RAW_LISTING_COLUMNS]
+    )
+    rows = rows.sortWithinPartitions("store", "name", "pos").drop("pos")
+    rows.write.mode(mode).options(**CSV_WRITE_OPTIONS).partitionBy("store", "name").csv(path)
 
 
 def store_dimension(spark: SparkSession) -> DataFrame:

@@ -1,9 +1,9 @@
 """File-arrival streams (T-1, T-3).
 
-``readStream`` over the landing folder -> the cleaning chain -> keyed
-upsert inside ``foreachBatch``. The query's checkpoint records which files
-were taken (each new file is processed once); if a micro-batch is retried
-after a failure, the upsert by a stable key makes the retry harmless.
+``readStream`` over the landing folder -> each store's cleaner (by the file's
+path) -> keyed upsert inside ``foreachBatch``. The query's checkpoint records
+which files were taken (each new file is processed once); if a micro-batch is
+retried after a failure, the upsert by a stable key makes the retry harmless.
 """
 
 from __future__ import annotations
@@ -13,20 +13,23 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..operators import clean as C
+from ..operators.dispatch import Cleaner, clean_dispatch
 from ..schemas import DEFAULT_UPSERT_KEY
-from ..session import ensure_checkpoint_dir
+from ..session import written_once
 from ..sinks.upsert import write_upsert
 from ..sources.listings import stream_listing_csv, with_pos
 
 
-def upsert_clean_rows(spark: SparkSession, good: DataFrame, table_path: str, keys: list[str] | None = None) -> None:
-    """K-5 for clean listing rows (batch or stream, same table layout).
+def upsert_clean_rows(spark: SparkSession, good: DataFrame, table_path: str, keys: list[str] | None = None, batch_written: bool = False) -> None:
+    """K-5 for clean listing rows of any store (batch or stream, same table layout).
 
-    Per key the row latest in input order wins (``pos``); the table keeps
-    the clean columns and record fields, partitioned by store and day.
+    Per key the row that arrived last wins: by the file's time, then its name,
+    then the position in it (columns that the rows do not have are left out).
+    The table keeps the other columns, partitioned by store and day.
     """
-    rows = good.withColumn("_seq", F.col("pos")).drop("file", "pos")
-    write_upsert(spark, table_path, rows, keys or DEFAULT_UPSERT_KEY, seq_col="_seq", partition_cols=["store", "scrap_date"])
+    order = [c for c in ("file_time", "file", "pos") if c in good.columns]
+    rows = good.withColumn("_seq", F.struct(*order)).drop(*order)
+    write_upsert(spark, table_path, rows, keys or DEFAULT_UPSERT_KEY, "_seq", ["store", "scrap_date"], batch_written)
 
 
 def clean_and_upsert_batch(
@@ -36,28 +39,30 @@ def clean_and_upsert_batch(
     rejects_path: str | None = None,
     keys: list[str] | None = None,
     batch_id: int = 0,
+    registry: dict[str, Cleaner] | None = None,
 ) -> None:
-    """One micro-batch (or one batch run): clean, split, upsert, keep rejects.
+    """One micro-batch (or one batch run): clean by store, split, upsert, keep rejects.
 
-    Rejects go to the ``batch_id`` partition of ``rejects_path``, replaced
-    as a whole, so a retried micro-batch does not write them twice.
+    The cleaned batch is written once to a scratch folder, read for the upsert
+    and the rejects, and deleted. Rejects go to the ``batch_id`` partition of
+    ``rejects_path``, replaced as a whole, so a retried micro-batch does not
+    write them twice.
     """
     keys = keys or DEFAULT_UPSERT_KEY
-    ensure_checkpoint_dir(spark)
     # record id (stable hash of the key) and processing time (one per micro-batch)
-    cleaned = C.with_record_meta(C.clean_store_a(batch), keys=keys)
-    cleaned = cleaned.checkpoint(eager=True)  # read twice: clean rows and rejects
-    good, bad = C.split_rejects(cleaned)
-    upsert_clean_rows(spark, good, table_path, keys)
-    if rejects_path:
-        (
-            bad.withColumn("source_file", paths.file_name("file"))
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(rejects_path)
-        )
+    cleaned = C.with_record_meta(clean_dispatch(batch, registry), keys=keys)
+    with written_once(cleaned, "clean-batch") as rows:
+        good, bad = C.split_rejects(rows)
+        upsert_clean_rows(spark, good, table_path, keys, batch_written=True)
+        if rejects_path:
+            (
+                bad.withColumn("source_file", paths.file_name("file"))
+                .withColumn("batch_id", F.lit(batch_id).cast("long"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(rejects_path)
+            )
 
 
 def start_clean_upsert_stream(

@@ -85,24 +85,6 @@ def test_store_b_price_pair(spark):
     assert got[1].prd_id_in_store == "v3"
 
 
-def test_sql_udtf_and_arrow_paths_agree(spark):
-    from conftest import SF_SMALL
-
-    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "url", "html")
-    fields = {"title": {"tag": "title"}, "n_li": {"tag": "li", "get": "count"}, "href": {"tag": "a", "get": "@href"}}
-    a = H.records(pages, fields, container={"tag": "li"}, keep=["page_id"])
-    b = H.records_sql(pages, fields, container={"tag": "li"}, keep=["page_id"])
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    e1 = H.elements(pages, "a,h1", keep=["page_id"]).select("page_id", "pos", "tag", "text")
-    e2 = H.elements_sql(pages, "a,h1", keep=["page_id"]).select("page_id", "pos", "tag", "text")
-    assert sorted(map(tuple, e1.collect())) == sorted(map(tuple, e2.collect()))
-    spark.udtf.register("html_records", H.HtmlRecords)
-    sql = spark.sql(
-        "SELECT p.page_id, r.ord FROM {p} p, LATERAL html_records(p.html, '{{\"tag\": \"li\"}}', '{{}}') r", p=pages
-    )
-    assert sql.count() == a.count()
-
-
 def test_page_code_ships_by_value():
     # executors' Python workers must not need this package on their path
     from pyspark import cloudpickle
@@ -113,3 +95,42 @@ def test_page_code_ships_by_value():
 def test_repeated_attribute_keeps_last_value():
     t = parse_tree('<a href="/first" href="/last" class="x" class="y z">t</a>')
     assert t.attrs[0]["href"] == "/last" and t.class_text(0) == "y z"
+
+
+def test_pager_heading_and_notice(spark):
+    from pricelens.operators import extract as X
+
+    card = '<div class="chakra-linkbox css-wsykbb x"><a class="chakra-linkbox__overlay css-1hnz6hu" href="/p/1_EA">v</a></div>'
+    page = '<nav><button>m</button></nav><div id="site-content"><h2 class="a chakra-heading css-zmvp7m b"> Fruit\n</h2><p class="chakra-text css-29j2bl z">{}</p>' + card
+    pager = "<nav>" + "<button>1</button>" * 5 + "</nav></div>"
+    rows = [
+        (1, "https://www.loblaws.ca/c/1/all?page=2", page.format("2 items") + pager),
+        (2, "u2", page.format(" No items are available.\n") + "</div>"),
+        (3, "u3", "<nav><button>m</button></nav><div id='site-content'><nav><button>1</button></nav></div>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    info = {r.page_id: (r.has_pager, r.n_pages) for r in X.store_a_page_info(pages).collect()}
+    assert info == {1: (True, 3), 2: (False, 1), 3: (True, 0)}
+    head = '<h2 class="chakra-heading css-zmvp7m"> Food </h2><a data-testid="nav-list-link" href="/c/1/all">See All</a>'
+    heads = spark.createDataFrame([(8, head.replace("Food", "Other")), (7, head)], "page_id long, html string")
+    got = X.store_a_cards(pages, heads).collect()
+    assert [(r.page_id, r.category, r.sub_category) for r in got] == [(1, "Food", "Fruit")]
+    assert X.store_a_cards(pages).first().category is None
+
+
+def test_store_b_takes_the_latest_capture(spark):
+    import datetime as dt
+
+    from pricelens.operators import extract as X
+
+    spec = "".join(f"<tr><th>{i}</th><td>v{i}</td></tr>" for i in range(4))
+    listing = spark.createDataFrame(
+        [(1, '<span class="base">Cat</span><li class="item product product-item"><a href="u1"></a><img class="product-image-photo" src="i"></li>')], "page_id long, html string"
+    )
+    at = lambda d: dt.datetime(2024, 7, d, 3)
+    products = spark.createDataFrame(
+        [("u1", f"<span class='price'>$3</span>{spec}", at(2)), ("u1", f"<span class='price'>$9</span>{spec}", at(1))],
+        "url string, html string, captured_at timestamp_ntz",
+    )
+    rows = X.EXTRACTORS["HMart"](listing, products).collect()
+    assert [(r.prd_price, str(r.scrap_date), r.category, r.reject_reason) for r in rows] == [("$3", "2024-07-01", "Cat", None)]

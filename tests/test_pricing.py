@@ -49,8 +49,21 @@ def test_reject_rows(spark):
         {"prd_price": "$8.00", "prd_per_price": "1,000 g, $0.80/100g"},
         {"prd_price": "$1.00", "prd_per_price": "$1.2/1"},
     ]
-    got = [r["reject_reason"] for r in clean_map(spark, rows)]
-    assert got == ["price", "unit", "parts", "unit"]
+    rows += [
+        {"prd_price": "$1.00", "prd_per_price": "$1/1kg $2/1lb $3/1oz"},
+        {"prd_price": "$1.00", "date": "12/11/2023"},
+        {"prd_price": "$1.00", "prd_link": "https://h/a/p/nan"},
+    ]
+    out = clean_map(spark, rows)
+    assert [r["reject_reason"] for r in out] == ["price", "unit", "parts", "unit", "unit_prices", "date", "product_id"]
+    assert [r["raw"]["prd_price"] for r in out] == [r["prd_price"] for r in rows]
+    assert out[0]["raw"]["prd_per_price"] == "500 g, $1.20/100g" and out[5]["raw"]["date"] == "12/11/2023"
+
+
+def test_unicode_blanks(spark):
+    rows = [{"prd_price": "$1.00", "prd_per_price": "\u00a0$4.39/1kg\u00a0$1.99/1lb\u2003", "prd_name": "w (\u00a0ID required at pick-up\u2003)"}]
+    out = clean_map(spark, rows)[0]
+    assert (out["price_per_unit_1"], out["price_per_unit_2"], out["prd_name"]) == ("$4.39/1kg", "$1.99/1lb", "w ")
 
 
 def test_promotion_table(spark):

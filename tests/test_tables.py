@@ -30,8 +30,8 @@ def test_every_row_is_clean_rejected_or_duplicate(spark):
 
 
 def test_odd_row_leaves_others_unchanged(spark):
-    base = [{"prd_price": "$5.99", "prd_per_price": "500 g, $1.20/100g", "prd_link": f"https://h/a/p/{i}_EA"} for i in range(3)]
-    odd = {"prd_price": "$5.99", "prd_per_price": "a, b, c, d, $1/1g", "prd_link": "https://h/a/p/9_EA"}
+    base = [{"date": "2023-11-20", "prd_price": "$5.99", "prd_per_price": "500 g, $1.20/100g", "prd_link": f"https://h/a/p/{i}_EA"} for i in range(3)]
+    odd = {"date": "2023-11-20", "prd_price": "$5.99", "prd_per_price": "a, b, c, d, $1/1g", "prd_link": "https://h/a/p/9_EA"}
     cols = ["pos", "average_unit", "price_per_unit_1", "reject_reason"]
     alone = C.clean_store_a(raw_df(spark, base)).select(*cols).orderBy("pos").collect()
     mixed = C.clean_store_a(raw_df(spark, base + [odd])).select(*cols).orderBy("pos").collect()
@@ -56,13 +56,87 @@ def test_write_upsert_touches_only_batch_partitions(spark):
     assert got == [("1", "d1", 9.0), ("2", "d2", 2.0)]
 
 
-def test_stream_equals_batch(spark):
-    from pricelens.plans import queries_io  # noqa: F401
-    from pricelens.plans.queries import QUERIES
+def write_file(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
 
-    a = QUERIES["stream_clean_upsert"](spark, SF_SMALL)
-    b = QUERIES["clean_listings"](spark, SF_SMALL)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+HEAD = "date,category,sub_category,prd_name,prd_brand,prd_price,prd_per_price,prd_discount,prd_link,prd_img\n"
+
+
+def listing(i, price, name="n", day="2023-11-12"):
+    return f"{day},c,s,{name},b,${price},250 ml,,https://h/a/p/{i}_EA,\n"
+
+
+def test_stream_routes_files_by_store_and_name(spark, tmp_path):
+    from pricelens.streaming.files import start_clean_upsert_stream
+
+    land = tmp_path / "land"
+    write_file(land / "Loblaws", "Loblaws_2023-11-12_2.csv", HEAD + listing(1, "1.00", '"two\nlines"') + listing(2, "2.00") + listing(2, "3.00") + "2023-11-12,c,s,n,b,$1,1 ml,,l,i,extra\n")
+    order = "prd_link,prd_price,prd_name,date,prd_per_price,more\n"
+    write_file(land / "Loblaws", "Loblaws_2023-11-12_3.csv", order + "https://h/a/p/9_EA,$9.00,swapped,2023-11-12,250 ml,x\n")
+    write_file(land / "HMart", "HMart_2023-11-12_1.csv", "scrap_date,prd_url,prd_price\n2023-11-12,https://m/p/1.html,$4.00\n")
+    write_file(land / "Metro", "Metro_2023-11-12_1.csv", HEAD + listing(5, "5.00"))
+    table, rejects = str(tmp_path / "table"), str(tmp_path / "rejects")
+    start_clean_upsert_stream(spark, str(land), table, str(tmp_path / "ckpt"), rejects_path=rejects).awaitTermination()
+    good = {r.prd_id_in_store: (r.store, r.prd_name, str(r.prd_price), r.category) for r in spark.read.parquet(table).collect()}
+    assert good == {"1_EA": ("Loblaws", "two\nlines", "1.00", "c"), "2_EA": ("Loblaws", "n", "2.00", "c"), "9_EA": ("Loblaws", "swapped", "9.00", None)}
+    bad = sorted((r.store, r.reject_reason, r.raw.get("prd_url") or r.raw.get("prd_link")) for r in spark.read.parquet(rejects).collect())
+    assert bad == [("HMart", "unknown_store", "https://m/p/1.html"), ("Loblaws", "columns", "l"), ("Metro", "unknown_store", "https://h/a/p/5_EA")]
+
+
+def test_last_arrival_wins_and_replay_changes_nothing(spark, tmp_path):
+    from pricelens.sources.listings import read_listing_csv
+    from pricelens.streaming.files import clean_and_upsert_batch
+
+    land, table = tmp_path / "land", str(tmp_path / "table")
+    write_file(land / "Loblaws", "Loblaws_2023-11-12_9.csv", HEAD + listing(1, "1.00") + listing(3, "3.00", day="12/11/2023"))
+    write_file(land / "Loblaws", "Loblaws_2023-11-12_2.csv", HEAD + "".join(listing(i, "7.00") for i in range(50, 500)) + listing(1, "2.00"))
+    os.utime(land / "Loblaws" / "Loblaws_2023-11-12_9.csv", (1e9, 1e9))
+    for _ in range(3):
+        clean_and_upsert_batch(spark, read_listing_csv(spark, str(land)), table, str(tmp_path / "rejects"))
+        rows = spark.read.parquet(table).collect()
+        assert len(rows) == 451 and [str(r.prd_price) for r in rows if r.prd_id_in_store == "1_EA"] == ["2.00"]
+    bad = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert [(r.reject_reason, r.raw["date"]) for r in bad] == [("date", "12/11/2023")]
+
+
+def test_store_b_rows_reach_the_table(spark, tmp_path):
+    from pricelens.operators import extract as X
+    from pricelens.operators.dispatch import union_stores
+    from pricelens.plans.fixtures import raw_listings, read_table
+    from pricelens.plans.html_fixtures import part_pages, product_pages
+    from pricelens.streaming.files import upsert_clean_rows
+
+    part = read_table(spark, SF_SMALL, "part")
+    b = X.EXTRACTORS["HMart"](part_pages(part, "store_b_listing"), product_pages(part)).drop("listing_page", "card")
+    good, _ = C.split_rejects(C.clean_store_a(raw_listings(part).drop("k")))
+    rows, bad = C.split_rejects(union_stores(good.drop("file", "pos"), b))
+    table = str(tmp_path / "t")
+    for _ in range(2):
+        upsert_clean_rows(spark, C.with_record_meta(rows).withColumn("pos", F.lit(0)), table)
+    got = spark.read.parquet(table)
+    assert got.count() == rows.count() and got.where("record_id is null or scrap_date is null").count() == 0
+    assert got.where("store = 'HMart'").count() > 0 and bad.where("reject_reason = 'price'").count() > 0
+
+
+def test_upsert_refuses_null_keys(spark):
+    import pytest
+
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(None, "x", 1)], "k int, v string, seq int")
+    with pytest.raises(Exception, match="null in key column k"):
+        upsert(target, batch, ["k"], "seq").collect()
+
+
+def test_scratch_folders_are_deleted(spark):
+    from pricelens.session import local_path, written_once
+
+    with written_once(spark.range(5), "gone") as df:
+        path = local_path(df.inputFiles()[0].rsplit("/", 1)[0].replace("file://", "file:"))
+        assert os.path.isdir(path) and df.count() == 5
+    assert not os.path.isdir(path)
 
 
 def test_entry_and_registry(spark):
@@ -81,18 +155,18 @@ def test_stream_takes_each_file_once(spark):
 
     raw = raw_listings(read_table(spark, SF_SMALL, "part"))
     landing, table, ckpt = (scratch_path(spark, n) for n in ("t-land", "t-table", "t-ckpt"))
-    write_listing_csv(raw.filter("shard < 5"), landing + "/a")
+    write_listing_csv(raw.filter("shard < 5"), landing)
     start_clean_upsert_stream(spark, landing, table, ckpt).awaitTermination()
     n1 = spark.read.parquet(table).count()
     start_clean_upsert_stream(spark, landing, table, ckpt).awaitTermination()  # restart: nothing new
     assert spark.read.parquet(table).count() == n1
-    write_listing_csv(raw.filter("shard >= 5"), landing + "/b")  # a new arrival
+    write_listing_csv(raw.filter("shard >= 5"), landing)  # a new arrival
     start_clean_upsert_stream(spark, landing, table, ckpt).awaitTermination()
     full = C.split_rejects(C.clean_store_a(raw.drop("k")))[0].count()
     assert 0 < n1 < full and spark.read.parquet(table).count() == full
     from pricelens.sources.listings import read_listing_csv
 
-    assert read_listing_csv(spark, landing, recursive=True).count() == raw.count()
+    assert read_listing_csv(spark, landing).count() == raw.count()
 
 
 def test_row_order_does_not_change_results(spark):
