@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -27,6 +28,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    workers_find_package(spark)
     return spark
 
 
@@ -59,6 +61,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough for local masters and shared installs; on other clusters submit the
+    package with the job (``--py-files``).
+    """
+    try:
+        env = spark.sparkContext.environment
+    except Exception:  # remote session: the server's workers have their own path
+        return
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, here])
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the Hadoop file system (works for any scheme)."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -98,7 +116,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "path_exists", "delete_path", "written_once"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "path_exists", "delete_path", "written_once", "workers_find_package"]
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:

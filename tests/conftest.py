@@ -22,11 +22,12 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    from pricelens.session import ensure_checkpoint_dir
+    from pricelens.session import ensure_checkpoint_dir, workers_find_package
 
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pricelens-test-ckpt-"))
     ensure_checkpoint_dir(s)
+    workers_find_package(s)
     yield s
 
 

@@ -1,65 +1,94 @@
-"""Write PLANS.md: the physical plan shape of every registered query.
+"""Write PLANS.md: what every registered query runs, writes included.
 
-For each query: exchanges (shuffles), broadcasts, aggregates, joins, Python
-steps, and the scans with their pushed filters and read schema. Queries that
-write files first are built (their writes run) and then explained.
+Each query is built and run into the ``noop`` sink with Spark's event log on
+(in a scratch folder). The table counts, over the final plans of all its SQL
+executions (a query that writes files or runs a stream has several), the
+shuffles, broadcasts, aggregates, joins, sorts, Python steps and file writes.
 Usage: ``python tools/plan_report.py [sf_dir]``.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
+import tempfile
+from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+KINDS = {
+    "shuffles": r"Exchange$|Exchange ",
+    "broadcasts": r"BroadcastExchange",
+    "hash aggregates": r"HashAggregate|ObjectHashAggregate",
+    "sort aggregates": r"SortAggregate",
+    "joins": r"Join",
+    "sorts": r"Sort$",
+    "Python steps": r"MapInArrow|PythonMapInArrow|Python",
+    "writes": r"InsertIntoHadoopFsRelationCommand|WriteToDataSource",
+}
+
+
+def nodes(info: dict):
+    yield info["nodeName"].split(" (")[0], info["simpleString"]
+    for child in info["children"]:
+        yield from nodes(child)
 
-def summarize(plan: str) -> dict:
-    ops = re.findall(r"^\(\d+\) (\w+)", plan, flags=re.M)
-    count = lambda name: sum(1 for o in ops if o == name)
-    pushed = sorted(set(re.findall(r"PushedFilters: (\[.*?\])", plan)) - {"[]"})
-    part = sorted(set(re.findall(r"PartitionFilters: (\[.*?\])", plan)) - {"[]"})
-    return {
-        "exchanges": count("Exchange"),
-        "broadcast_exchanges": count("BroadcastExchange"),
-        "aggregates": sum(1 for o in ops if o.endswith("Aggregate")),
-        "joins": sum(1 for o in ops if o.endswith("Join")),
-        "python": sum(1 for o in ops if "Python" in o or o.startswith("MapIn") or "Arrow" in o),
-        "scans": count("Scan"),
-        "pushed": pushed,
-        "partition_filters": part,
-        "codegen": len(re.findall(r"WholeStageCodegen", plan)),
-    }
+
+def executions(path: str, begin: int) -> tuple[dict[int, dict], int]:
+    """Last plan of each SQL execution in the event log after a byte offset."""
+    plans = {}
+    with open(path, "rb") as f:
+        f.seek(begin)
+        for line in f:
+            if b"sparkPlanInfo" in line and line.endswith(b"\n"):
+                e = json.loads(line)
+                plans[e["executionId"]] = e["sparkPlanInfo"]
+        return plans, f.tell()
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
-    from pricelens.session import build_session
+    from pyspark.sql import SparkSession
+
+    from pricelens.plans.queries import all_queries
+    from pricelens.session import ensure_checkpoint_dir
 
-    spark = build_session()
+    log = tempfile.mkdtemp(prefix="pricelens-events-")
+    conf = {
+        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.sql.session.timeZone": "UTC",
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log}", "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false", "spark.eventLog.buffer.kb": "1k",
+    }
+    spark = SparkSession.builder.master("local[8]").config(map=conf).getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(spark)
     lines = [
-        "# Physical plans of the registered queries",
+        "# Plans of the registered queries",
         "",
-        f"Generated by `tools/plan_report.py` on `{sf_dir}` (local mode, AQE on; counts are of the",
-        "initial plan, before AQE re-plans at run time). Exchanges are shuffles. The driver's small tables are",
-        "single files, so most plans carry one extra exchange that spreads the rows over the task slots",
-        "(`operators/balance.spread`); it is absent when the input already has enough partitions.",
+        f"Generated by `tools/plan_report.py` on `{sf_dir}` from Spark's event log: the final (adaptive) plans of all SQL",
+        "executions of a query, its writes, micro-batches and read-back included. A shuffle that only rebalances the",
+        "driver's single-file tables before text or pages are built from them is one of each query's shuffles.",
         "",
-        "| Query | Exchanges | Broadcasts | Aggregates | Joins | Python steps | Pushed / partition filters |",
-        "| --- | --- | --- | --- | --- | --- | --- |",
+        "| Query | Executions | " + " | ".join(KINDS) + " |",
+        "| --- " * (len(KINDS) + 2) + "|",
     ]
-    for name, fn in E.queries().items():
-        df = fn(spark, sf_dir)
-        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-        s = summarize(plan)
-        filt = "; ".join(s["pushed"] + [f"partition {p}" for p in s["partition_filters"]])[:160]
-        lines.append(
-            f"| `{name}` | {s['exchanges']} | {s['broadcast_exchanges']} | {s['aggregates']} | {s['joins']} | {s['python']} | {filt.replace('|', '/')} |"
-        )
+    at = 0
+    for name, fn in all_queries().items():
+        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        plans, at = executions(os.path.join(log, os.listdir(log)[0]), at)
+        got: Counter = Counter()
+        for info in plans.values():
+            for node, text in nodes(info):
+                for kind, pattern in KINDS.items():
+                    hit = re.search(pattern, node) or kind == "writes" and node.startswith("Execute") and re.search(pattern, node + text)
+                    got[kind] += bool(hit) and not (kind == "shuffles" and "Broadcast" in node)
+        lines.append(f"| `{name}` | {len(plans)} | " + " | ".join(str(got[k]) for k in KINDS) + " |")
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
-    open(out, "w").write("\n".join(lines) + "\n")
+    with open(out, "w") as f:
+        f.write("\n".join(lines) + "\n")
     print("\n".join(lines))
 
 
