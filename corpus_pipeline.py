@@ -15,8 +15,8 @@ from pricelens.llm.simhash import keep_one
 from pricelens.llm.toxicity import drop_toxic
 
 #: Language ID keeps a document if at least this share of its n-grams is known
-#: in the predicted language.
-MIN_SCORE = 0.5
+#: in the predicted language (a document in four languages still has as much).
+MIN_SCORE = 0.3
 
 #: SQL cannot express the classifier, tokenizer and packing; tests/llm compares
 #: the stages with brute force.

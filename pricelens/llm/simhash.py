@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pricelens.llm.common import fresh, written
 from pricelens.llm.components import components
@@ -54,16 +55,22 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return sum(1 << b for b in on)
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long; null text is empty."""
+def with_fingerprint(docs: DataFrame, text: str, fp: str, shingle: int = 4) -> DataFrame:
+    """``docs`` plus the fingerprint as a signed long in the new column ``fp``; null text is empty."""
+    names, at = [*docs.columns, fp], docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(at)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], names=names)
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())]))
 
+
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
+    """(doc_id, fp) of every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return with_fingerprint(rows, "text", "fp", shingle).select("doc_id", "fp")
 
 
 class Forest:
@@ -203,12 +210,15 @@ def simhash_groups(
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group: the row whose doc_id is the
-    group's smallest. Of rows with that same doc_id all stay."""
-    comp_name, = fresh(docs, "component_of")
-    groups = simhash_groups(docs, doc_id, text, **options).where("doc_id = component_id").select(F.col("doc_id").alias(comp_name)).distinct()
-    null_ids = docs.where(F.col(doc_id).isNull())
-    kept = docs.join(groups, docs[doc_id] == groups[comp_name], "left_semi")
-    return kept.unionByName(null_ids)
+    group's smallest. Of rows with that same doc_id all stay; rows with a null
+    doc_id stay only in groups that hold no other."""
+    first, fp = fresh(docs, "first_of_group", "fingerprint")
+    groups = simhash_groups(docs, doc_id, text, **options)
+    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
+    kept = docs.join(firsts, docs[doc_id].cast("long") == F.col(first), "left_semi")
+    named = groups.where("component_id is not null").select(F.col("fp").alias(fp)).distinct()
+    unnamed = with_fingerprint(docs.where(F.col(doc_id).isNull()), text, fp, options.get("shingle", 4))
+    return kept.unionByName(unnamed.join(named, fp, "left_anti").drop(fp))
 
 
 def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -136,6 +136,9 @@ def test_simhash_groups(spark):
     kept = S.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(i for i, _, c in want if i is not None and i == c)
+    assert [r.text for r in kept.where("doc_id is null").collect()] == []  # its copy 9003 has an id
+    nulls = spark.createDataFrame([(None, "all alone here"), (None, "all alone here"), (4, "two words")], "doc_id long, text string")
+    assert S.keep_one(nulls).count() == 3
     assert S.simhash_groups(df.limit(0)).count() == 0
 
 

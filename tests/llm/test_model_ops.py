@@ -203,3 +203,26 @@ def test_pipeline(spark):
     assert {r.doc_id for r in pieces} == ids("simhash_dedup")
     whole = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pieces)
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in P.run(spark, SMALL).collect()) == whole
+
+
+ODD_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, fp long, n_lines int, lost string, p_toxic double, score string, _salt int, label_id int"
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60).collect()
+    rows = [(d.doc_id, d.text, d.lang, d.source, d.n_chars, 1, 2, "x", 0.5, "s", 3, 4) for d in docs]
+    rows += [rows[5], (None, rows[6][1], None, None, None, *[None] * 7), (9001, None, "en", None, 0, *[None] * 7), (9002, "", None, "", None, *[None] * 7)]
+    rows += [(9003, "the only word " * 20_000, "en", "s", 1, *[None] * 7), (9004, "12 34 !!", "en", "s", 1, *[None] * 7)]
+    full = spark.createDataFrame(rows, ODD_COLUMNS)
+    for df in (full, full.limit(0), full.where("doc_id is null")):
+        docs = df
+        for name, stage in P.STAGES:
+            out = P.written(stage(spark, docs, SMALL), "test-odd")
+            if name == "best_fit_packing":
+                assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+            else:
+                assert out.columns == df.columns and out.count() <= docs.count()
+                docs = out
+    assert P.language_id(spark, full, SMALL).where("doc_id in (9001, 9002, 9004)").count() == 0
