@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import STORE_A_CARD_CLASSES, STORE_B_CARD_CLASS, STORE_B_IMG_CLASS, STORE_B_PRICE_CLASS
 from ..schemas import STORE_A_EMPTY_NOTICE as EMPTY
 from ..schemas import STORE_A_FIELDS as A
 from ..schemas import STORE_A_HEADING_CLASS as HEADING
@@ -19,6 +20,8 @@ from .fixtures import BASE_EXPRS, RAW_EXPRS, money
 
 PER_PRICE = dict(RAW_EXPRS)["prd_per_price"]
 K = "CAST(k AS STRING)"
+# the price's classes in the other order, on an element that must not match
+SWAPPED = " ".join(A["prd_price_regular"].split()[::-1])
 
 
 def _p(cls: str, body: str, tag: str = "p") -> str:
@@ -36,14 +39,14 @@ def card(j: int) -> str:
     """One store-A product card (j = 0 or 1) of page k."""
     return " || ".join(
         [
-            "'<div class=\"chakra-linkbox css-wsykbb\">'",
+            f"'<div class=\"{' '.join(STORE_A_CARD_CLASSES)}\">'",
             f"'<a class=\"{A['prd_link']}\" href=\"/a/p/' || {product(j)} || '_EA\">view</a>'",
             f"CASE WHEN (k + {j}) % 4 = 0 THEN '' ELSE '<img class=\"{A['prd_img']}\" src=\"https://img.example/' || {K} || '_{j}.png\">' END",
             f"CASE WHEN k % 97 = 96 AND {j} = 1 THEN '' ELSE "
             + _p(A["prd_name"], f"CASE WHEN k % 11 = 0 THEN p_name || ' &amp; co' ELSE p_name END || ' {j}'", "h3")
             + " END",
             f"CASE WHEN k % 3 = 0 THEN '' ELSE " + _p(A["prd_brand"], "p_brand") + " END",
-            f"CASE WHEN k % 7 = 0 AND {j} = 1 THEN '<span class=\"css-150rkla chakra-text\">$0.01</span>' ELSE '' END",
+            f"CASE WHEN k % 7 = 0 AND {j} = 1 THEN '<span class=\"{SWAPPED}\">$0.01</span>' ELSE '' END",
             f"CASE WHEN (k + {j}) % 2 = 0 THEN " + _p(A["prd_price_regular"], f"'$' || {money('cents')}")
             + " ELSE " + _p(A["prd_price_sale"], f"'$' || {money('cents - 50')}") + " END",
             f"CASE WHEN k % 29 = 28 AND {j} = 0 THEN '' ELSE " + _p(A["prd_per_price"], f"coalesce({PER_PRICE}, '')") + " END",
@@ -72,8 +75,8 @@ STORE_A_PAGE = " || ".join(
 
 def _li(j: int) -> str:
     return (
-        "'<li class=\"item product product-item\"><div class=\"product-item-info\">"
-        f"<a href=\"https://mart.example/p/' || {K} || '-{j}.html\"><img class=\"product-image-photo\" "
+        f"'<li class=\"{STORE_B_CARD_CLASS}\"><div class=\"product-item-info\">"
+        f"<a href=\"https://mart.example/p/' || {K} || '-{j}.html\"><img class=\"{STORE_B_IMG_CLASS}\" "
         f"src=\"https://mart.example/img/' || {K} || '-{j}.jpg\"></a><a href=\"#reviews\">reviews</a></div></li>'"
     )
 
@@ -93,7 +96,7 @@ STORE_B_LISTING = " || ".join(
 
 
 def _price_span(x: str) -> str:
-    return f"'<span class=\"price\">$' || {money(x)} || '</span>'"
+    return f"'<span class=\"{STORE_B_PRICE_CLASS}\">$' || {money(x)} || '</span>'"
 
 
 def _row(label: str, value: str) -> str:
@@ -118,7 +121,7 @@ STORE_B_PRODUCTS = " || ".join(
     [
         "'<html><body><div class=\"product-info-price\">'",
         f"CASE WHEN k % 17 = 16 AND p = 0 THEN '' WHEN old THEN {_price_span('1')} WHEN k % 3 = 1 THEN {_price_span('cents - 100')} || {_price_span('cents')} "
-        f"WHEN k % 29 = 28 THEN '<span class=\"price\">ask</span>' ELSE {_price_span('cents')} END",
+        f"WHEN k % 29 = 28 THEN '<span class=\"{STORE_B_PRICE_CLASS}\">ask</span>' ELSE {_price_span('cents')} END",
         "'</div><table class=\"data table additional-attributes\"><tbody>'",
         _row("Brand", "p_brand"),
         _row("Name", "p_name"),

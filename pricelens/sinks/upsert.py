@@ -50,6 +50,15 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq_col: str) -
     return kept.unionByName(latest.select(*target.columns))
 
 
+def _values(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct values of the partition columns. The comparison holds for every
+    value; the optimizer prunes partitions only by a side with a filter."""
+    out = rows.select(*cols).distinct()
+    for c in cols:
+        out = out.where(F.col(c).cast("string") >= "")
+    return out
+
+
 def write_upsert(
     spark: SparkSession,
     table_path: str,
@@ -74,10 +83,12 @@ def write_upsert(
         latest = latest_per_key(_with_keys(rows, keys), keys, seq_col).drop(seq_col)
         out = latest
         if there:
-            current = spark.read.parquet(table_path)
-            if set(current.columns) != set(latest.columns):
-                raise ValueError(f"batch columns {sorted(latest.columns)} do not match the table's {sorted(current.columns)}")
-            touched = current.join(rows.select(*partition_cols).distinct(), partition_cols, "left_semi")
+            columns = spark.read.parquet(table_path).columns
+            if set(columns) != set(latest.columns):
+                raise ValueError(f"batch columns {sorted(latest.columns)} do not match the table's {sorted(columns)}")
+            # the batch's types, so that a partition value such as '12' is not read as a number
+            current = spark.read.schema(latest.select(*columns).schema).parquet(table_path)
+            touched = current.join(_values(rows, partition_cols), partition_cols, "left_semi")
             kept = touched.join(rows.select(*keys).distinct(), keys, "left_anti")
             out = kept.unionByName(latest.select(*current.columns))
         out = out.hint("rebalance", *[F.col(c) for c in partition_cols])

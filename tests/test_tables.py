@@ -188,3 +188,19 @@ def test_write_upsert_rejects_a_different_layout(spark):
     b = a.withColumn("extra", F.lit(1))
     with pytest.raises(ValueError, match="do not match"):
         write_upsert(spark, path, b, ["store", "id", "day"], "seq", ["store", "day"])
+
+
+def test_upsert_reads_only_the_batch_partitions(spark):
+    from pricelens.sinks.upsert import _values
+
+    path = scratch_path(spark, "test-prune")
+    rows = spark.createDataFrame([(str(i % 5), i, f"d{i % 3}", float(i)) for i in range(60)], "store string, id int, day string, p double")
+    rows.write.partitionBy("store", "day").parquet(path)
+    current = spark.read.schema(rows.schema).parquet(path)
+    batch = rows.where("id < 2")
+    touched = current.join(_values(batch, ["store", "day"]), ["store", "day"], "left_semi")
+    assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString()
+    assert {(r.store, r.day) for r in touched.collect()} == {("0", "d0"), ("1", "d1")}
+    write_upsert(spark, path, batch.withColumn("p", F.lit(-1.0)).withColumn("seq", F.lit(1)), ["store", "id", "day"], "seq", ["store", "day"])
+    after = spark.read.schema(rows.schema).parquet(path)
+    assert after.count() == 60 and after.where("p = -1").count() == 2
