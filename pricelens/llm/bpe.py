@@ -5,7 +5,8 @@ adjacent pairs; the root leads to the leftmost pair of the lowest rank. A merge
 changes at most three leaves, each updated up to the root, until the root says
 that no pair can merge. Trees of short pre-tokens are worked side by side, a
 row of an array each (``Merger``); longer ones one by one (``merge_ids``).
-Encoded pre-tokens are kept in a bounded table per Python worker.
+Encoded pre-tokens are kept in bounded tables per Python worker; texts of
+simple characters are cut and looked up in arrays (``wordtable``).
 """
 
 from __future__ import annotations
@@ -20,12 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from pricelens.llm.wordtable import WordTable, encode_plain, plain, spread, words_with_blanks
+
 #: Fixed value: the pre-token pattern of the byte-level tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same split for texts that hold nothing but blanks, printable ASCII and Latin letters (the standard library is faster).
-LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-LATIN_PATTERN = rf" ?[{LETTERS}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
-NOT_LATIN = "[^\t\n\r -~\u00c0-\u024f]"
 NONE = 1 << 60
 MANY = np.int32(2**31 - 1)
 
@@ -105,7 +104,7 @@ class Merger:
     """The same merges for many short words at once: one segment tree a row."""
 
     def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]], ids: int):
-        self.ids = ids
+        self.ids, self.pairs = ids, pairs
         keys = np.array([a * ids + b for a, b in pairs], dtype=np.int64)
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.iinfo(np.int64).max)
@@ -120,24 +119,43 @@ class Merger:
         return np.where(self.keys[at] == key, self.ranks[at], MANY)
 
     def merge(self, words: list[bytes], first: np.ndarray, last: np.ndarray | None = None) -> list[bytes]:
-        """Token ids (little-endian int32 bytes) of words of 1 to 64 bytes.
+        """Token ids (little-endian int32 bytes) of words of at least a byte.
         ``first``: the symbol of each byte; ``last``: that of a word's last byte."""
-        out: list[bytes] = [b""] * len(words)
-        lengths = np.array([len(w) for w in words])
+        size = np.array([len(w) for w in words], dtype=np.int64)
+        text = np.frombuffer(b"".join(words), dtype=np.uint8)
+        flat, n = self.merge_slices(text, np.cumsum(size) - size, np.cumsum(size), first, last)
+        raw, ends = flat.astype("<i4").tobytes(), (4 * np.cumsum(n)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def merge_slices(self, text: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, last: np.ndarray | None = None):
+        """The ids of words text[start:end], one after another, and how many each has."""
+        lengths = end - start
+        parts, order, counts = [], [], np.zeros(len(start), dtype=np.int64)
         for size in (2, 4, 8, 16, 32, 64):
             mine = np.flatnonzero((lengths <= size) & (lengths > (size >> 1 if size > 2 else 0)))
             for i in range(0, len(mine), 16384):
                 some = mine[i : i + 16384]
-                ids = self._merge([words[j] for j in some.tolist()], lengths[some], first, last, size)
+                at = np.minimum(start[some][:, None] + np.arange(size), len(text) - 1)
+                ids = self._merge(text[at], lengths[some], first, last, size)
                 keep = ids >= 0
-                flat, ends = ids[keep].astype("<i4").tobytes(), (np.cumsum(keep.sum(1)) * 4).tolist()
-                for j, a, b in zip(some.tolist(), [0, *ends[:-1]], ends):
-                    out[j] = flat[a:b]
-        return out
-
-    def _merge(self, words, lengths, first, last, size):
-        n = len(words)
-        raw = np.frombuffer(b"".join(w.ljust(size, b"\0") for w in words), dtype=np.uint8).reshape(n, size)
+                counts[some] = keep.sum(1)
+                order.append(some)
+                parts.append(ids[keep])
+        for i in np.flatnonzero(lengths > 64).tolist():
+            symbols = first[text[start[i] : end[i]]].tolist()
+            if last is not None:
+                symbols[-1] = int(last[text[end[i] - 1]])
+            parts.append(np.array(merge_ids(symbols, self.pairs), dtype=np.int32))
+            counts[i] = len(parts[-1])
+            order.append(np.array([i]))
+        out = np.zeros(counts.sum(), dtype=np.int32)
+        if parts:
+            done = np.concatenate(order)
+            out[spread((np.cumsum(counts) - counts)[done], counts[done])] = np.concatenate(parts)
+        return out, counts
+
+    def _merge(self, raw, lengths, first, last, size):
+        n = len(raw)
         ids = first[raw]
         if last is not None:
             ids[np.arange(n), lengths - 1] = last[raw[np.arange(n), lengths - 1]]
@@ -206,7 +224,7 @@ class Recent:
 class Codec:
     """Encoder and decoder of one byte-level BPE file (json of tokenizers)."""
 
-    def __init__(self, path: str, keep: int = 800_000):
+    def __init__(self, path: str, keep: int = 200_000):
         import re
 
         import regex
@@ -229,8 +247,9 @@ class Codec:
         self.merger = Merger(self.pairs, len(self.bytes_of))
         cut = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self.cut = re.compile(f"({cut})") if cut else None
-        self.any_words, self.latin_words, self.not_latin = regex.compile(PATTERN), re.compile(LATIN_PATTERN), re.compile(NOT_LATIN)
+        self.words = regex.compile(PATTERN)
         self.kept = Recent(keep)
+        self.table = WordTable(lambda text, start, end: self.merger.merge_slices(text, start, end, self.first))
 
     def parts(self, text: str):
         """Lists of pre-tokens of a text, of bounded length; a special token is a list of its own."""
@@ -238,26 +257,28 @@ class Codec:
             if part in self.special:
                 yield part
                 continue
-            words = self.any_words if self.not_latin.search(part) else self.latin_words
             if len(part) <= 1_000_000:
-                yield words.findall(part)
+                yield self.words.findall(part)
             else:
-                found = (m.group() for m in words.finditer(part))
+                found = (m.group() for m in self.words.finditer(part))
                 while some := list(islice(found, 100_000)):
                     yield some
 
     def words_ids(self, words: list[str]) -> list[bytes]:
-        raw = [w.encode("utf-8", "replace") for w in words]
-        short = [i for i, b in enumerate(raw) if len(b) <= 64]
-        out = [b""] * len(raw)
-        for i, ids in zip(short, self.merger.merge([raw[i] for i in short], self.first)):
+        return self.merger.merge([w.encode("utf-8", "replace") for w in words], self.first)
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        out: list = [None] * len(texts)
+        simple = [i for i, r in enumerate(raw) if plain(r) and not (self.cut and self.cut.search(texts[i]))]
+        for i, ids in zip(simple, encode_plain(self.table, [raw[i] for i in simple], words_with_blanks)):
+            out[i] = ids
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self._encode_any([texts[i] for i in rest])):
             out[i] = ids
-        for i, b in enumerate(raw):
-            if len(b) > 64:
-                out[i] = np.array(merge_ids([int(self.first[x]) for x in b], self.pairs), dtype="<i4").tobytes()
         return out
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+    def _encode_any(self, texts: list[str]) -> list[np.ndarray]:
         out: list[list[bytes]] = [[] for _ in texts]
         held, n = [], 0
 
@@ -298,7 +319,7 @@ def _with(df: DataFrame, leave: tuple, name: str, kind) -> StructType:
     return StructType([*[f for f in df.schema.fields if f.name not in leave], StructField(name, kind)])
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, batch_bytes: int = 8_000_000) -> DataFrame:
+def encode(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None, batch_bytes: int = 4_000_000) -> DataFrame:
     """``docs`` plus ``ids`` array<int>, which replaces a column of that name.
 
     Null text is encoded as empty (no ids). Special tokens in a text get their
