@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from pricelens.llm.bpe import Merger, Recent, byte_chars
 from pricelens.llm.common import written
+from pricelens.llm.wordtable import WordTable, encode_plain, lower, plain, words_without_blanks
 
 END_ID = 1
 
@@ -34,23 +35,17 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: Chunks that need no Unicode tables: printable ASCII and Latin-1 letters.
-PLAIN = "[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*"
-#: Fixed value: the tokenizer's word pattern, for lower-case plain chunks.
-PLAIN_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z\u00df-\u00f6\u00f8-\u00ff0-9]+"
-
-
 class Words:
     """Ids of whole texts by a tokenizer that lower-cases and drops white space.
 
-    Texts are cut at blanks; chunks are encoded once and kept (bounded). Plain
-    chunks are merged side by side by ``bpe.Merger``, any other (other scripts,
-    marks, special tokens, long ones) goes to the tokenizers library itself.
+    Texts of simple characters are cut, looked up and merged in arrays
+    (``wordtable``, ``bpe.Merger``). Any other text (other scripts, marks,
+    special tokens) is cut at blanks, and its chunks are encoded by the
+    tokenizers library itself and kept (bounded).
     """
 
-    def __init__(self, path: str, keep: int = 800_000):
+    def __init__(self, path: str, keep: int = 200_000):
         import json
-        import re
 
         from tokenizers import Tokenizer
 
@@ -62,7 +57,6 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kept = Recent(keep)
-        self.plain, self.words = re.compile(PLAIN), re.compile(PLAIN_WORDS)
         vocab, chars, end = model["vocab"], byte_chars(), model["end_of_word_suffix"] or ""
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         pairs = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed(list(enumerate(merges)))}
@@ -70,34 +64,36 @@ class Words:
         self.first = np.array([vocab[c] for c in chars], dtype=np.int32)
         self.last = np.array([vocab[c + end] for c in chars], dtype=np.int32)
 
+        self.table = WordTable(lambda text, start, end: self.merger.merge_slices(text, start, end, self.first, self.last))
+
     def chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        out, plain, other = [b""] * len(chunks), [], []
-        for i, c in enumerate(chunks):
-            (plain if len(c) <= 32 and "<|" not in c and self.plain.fullmatch(c) else other).append(i)
-        found = [self.words.findall(chunks[i].lower()) for i in plain]
-        words = list(set().union(*found))
-        ids = dict(zip(words, self.merger.merge([w.encode() for w in words], self.first, self.last)))
-        for i, f in zip(plain, found):
-            out[i] = b"".join([ids[w] for w in f])
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for k in range(0, len(other), 10_000):
-            some = other[k : k + 10_000]
-            for i, e in zip(some, encode([chunks[i] for i in some], add_special_tokens=False)):
-                out[i] = np.array(e.ids, dtype="<u4").tobytes()
+        out = []
+        for i in range(0, len(chunks), 10_000):
+            out += [np.array(e.ids, dtype="<u4").tobytes() for e in encode(chunks[i : i + 10_000], add_special_tokens=False)]
         return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        kept = self.kept.have(set().union(*split), self.chunk_ids)
-        return [b"".join(map(kept.__getitem__, s)) for s in split]
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        out: list = [None] * len(texts)
+        simple = [i for i, r in enumerate(raw) if plain(r) and b"<|" not in r]
+        for i, ids in zip(simple, encode_plain(self.table, [raw[i] for i in simple], words_without_blanks, lower)):
+            out[i] = ids.astype("<u4").tobytes()
+        rest = [i for i, x in enumerate(out) if x is None]
+        if rest:
+            split = [texts[i].replace("\n", " ").replace("\t", " ").split(" ") for i in rest]
+            kept = self.kept.have(set().union(*split), self.chunk_ids)
+            for i, s in zip(rest, split):
+                out[i] = b"".join(map(kept.__getitem__, s))
+        return out
 
 
 _words: dict[str, Words] = {}
 
 
 def tokenize_pieces(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_len: int = 4096, path: str | None = None, with_ids: bool = True, batch_bytes: int = 8_000_000
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_len: int = 4096, path: str | None = None, with_ids: bool = True, batch_bytes: int = 4_000_000
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, input_ids]): the ids of every
     whole text and END_ID, cut into pieces of ``max_len`` where longer."""
