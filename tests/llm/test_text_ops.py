@@ -148,3 +148,20 @@ def test_packing_plan_uses_each_piece_once(kind):
         assert n <= {"hot": 1.02, "spread": 1.001}[kind] * bound + 1
     if kind == "long":
         assert n == 2000
+
+
+def test_words_in_arrays_like_the_library():
+    rnd = random.Random(1)
+    bits = ["the", "'s", "'ll", "'re", "'ve", "'t", "'x", "'", "''", " ", "  ", "\n", "\n\n", " \n", "\t", "\r\n", "12", "3", "é", "É", "ß", "ÿ", "Ñandú", "!", "_", "a" * 70]
+    bits += ["Z", "L", "l", "'LL", "<|endoftext|>", "<|", "×", "漢", "²", "\x1c", "\x00"]
+    fixed = ["", "  ", "\n", "'s", "a", "a ", "a\n", " 's", "!'s", "''s", "'", "it's", "I'LL we'll", "a" * 5000]
+    texts = fixed + ["".join(rnd.choice(bits[: n % 2 * 7 + 30]) for _ in range(rnd.randrange(30))) for n in range(3000)]
+    codec, words = bpe.Codec(bpe.default_path(), keep=50), packing.Words(packing.default_path(), keep=50)
+    codec.table.limit = words.table.limit = 300  # words come and go
+    byte_level, word_level = reference(bpe.default_path()), reference(packing.default_path())
+    for i in range(0, len(texts), 200):
+        some = texts[i : i + 200]
+        for t, a, b in zip(some, codec.encode_batch(some), words.encode_batch(some)):
+            assert a.tolist() == byte_level.encode(t, add_special_tokens=False).ids, t
+            assert np.frombuffer(b, "<u4").tolist() == word_level.encode(t, add_special_tokens=False).ids, t
+    assert len(codec.table.keys) <= 300 + 400
