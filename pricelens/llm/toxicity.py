@@ -18,6 +18,7 @@ by a hash of doc_id (all, if there are fewer). Scoring reads every whole text.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +62,11 @@ class Logistic:
     def __init__(self, n_features: int, n_dense: int):
         self.w, self.v, self.b = np.zeros(n_features), np.zeros(n_dense), 0.0
 
-    def fit(self, rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarray, rounds: int = 800, ridge: float = 1e-6) -> Logistic:
-        n = max(len(y), 1)
+    def fit(self, rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 800, ridge: float = 1e-6) -> Logistic:
+        n = max(weight.sum(), 1)
         speed_w, speed_v, speed_b = np.full(len(self.w), 1e-8), np.full(len(self.v), 1e-8), 1e-8
         for _ in range(rounds):
-            g = (self.scores(rows, cols, dense) - y) / n
+            g = (self.scores(rows, cols, dense) - y) * weight / n
             gw = np.bincount(cols, weights=g[rows], minlength=len(self.w)) + ridge * self.w
             gv, gb = dense.T @ g + ridge * self.v, g.sum()
             speed_w, speed_v, speed_b = speed_w + gw**2, speed_v + gv**2, speed_b + gb**2
@@ -86,6 +87,10 @@ class Chain:
         self.known, self.n, self.categories, self.models = Known(names), len(names), categories, []
 
     def fit(self, present: list[list[int]], labels: np.ndarray, fold: np.ndarray) -> Chain:
+        # rows with the same features, labels and fold are one row with a weight
+        seen = Counter(zip(map(tuple, present), map(tuple, labels.tolist()), fold.tolist()))
+        present, weight = [list(k[0]) for k in seen], np.array(list(seen.values()), dtype=float)
+        labels, fold = np.array([k[1] for k in seen]).reshape(len(seen), len(self.categories)), np.array([k[2] for k in seen])
         rows = np.repeat(np.arange(len(present)), [len(p) for p in present]).astype(np.int64)
         cols = np.array([c for p in present for c in p], dtype=np.int64)
         dense = np.zeros((len(present), 0))
@@ -96,9 +101,9 @@ class Chain:
                 # rows of the other folds train, those of this one are predicted
                 use = fold[rows] != f
                 place = np.cumsum(fold != f) - 1
-                model = Logistic(self.n, k).fit(place[rows[use]], cols[use], dense[fold != f], y[fold != f])
+                model = Logistic(self.n, k).fit(place[rows[use]], cols[use], dense[fold != f], y[fold != f], weight[fold != f])
                 out[fold == f] = model.scores(rows, cols, dense)[fold == f]
-            self.models.append(Logistic(self.n, k).fit(rows, cols, dense, y))
+            self.models.append(Logistic(self.n, k).fit(rows, cols, dense, y, weight))
             dense = np.column_stack([dense, out])
         return self
 
@@ -116,8 +121,6 @@ def select_features(train: DataFrame, max_features: int, min_docs: int, min_z: f
     """Features of (text, toxic) rows by their surplus of toxic documents."""
 
     def run(batches):
-        from collections import Counter
-
         for batch in batches:
             counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1)):
