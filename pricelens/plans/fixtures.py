@@ -128,13 +128,18 @@ def raw_listing_cte(source: str = "part") -> str:
 RAW_LISTING_CTE = raw_listing_cte("part")
 
 
-def raw_listings(table: DataFrame, with_helpers: bool = False, source: str = "part") -> DataFrame:
-    """Raw store-A listing rows (all text) plus ``file`` and ``pos``.
+def dealt(table: DataFrame) -> DataFrame:
+    """The narrow source rows over as many partitions as the job's shuffles have:
+    the given tables are single files, and building (and then parsing) texts and
+    pages should not be left to one task. AQE would merge rows this narrow into
+    one partition again, so the number is given."""
+    n = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.repartition(n, *table.columns)
+
 
-    The narrow source rows are rebalanced first: the tables are single files,
-    and building the text should not be left to one task.
-    """
-    base = table.hint("rebalance").selectExpr(*[f"{e} AS {n}" for n, e in SOURCES[source]])
+def raw_listings(table: DataFrame, with_helpers: bool = False, source: str = "part") -> DataFrame:
+    """Raw store-A listing rows (all text) plus ``file`` and ``pos``."""
+    base = dealt(table).selectExpr(*[f"{e} AS {n}" for n, e in SOURCES[source]])
     cols = [f"{e} AS {n}" for n, e in RAW_EXPRS]
     if with_helpers:
         cols += ["u", "u2", "amt", "cents", "shard"]

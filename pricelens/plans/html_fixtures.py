@@ -16,7 +16,7 @@ from ..schemas import STORE_A_EMPTY_NOTICE as EMPTY
 from ..schemas import STORE_A_FIELDS as A
 from ..schemas import STORE_A_HEADING_CLASS as HEADING
 from ..schemas import STORE_A_NOTICE_CLASS as NOTICE
-from .fixtures import BASE_EXPRS, RAW_EXPRS, money
+from .fixtures import BASE_EXPRS, RAW_EXPRS, dealt, money
 
 PER_PRICE = dict(RAW_EXPRS)["prd_per_price"]
 K = "CAST(k AS STRING)"
@@ -176,14 +176,14 @@ def _captured(df: DataFrame, page_id: str, back: str = "0") -> DataFrame:
 
 def part_pages(part: DataFrame, kind: str) -> DataFrame:
     """Pages of one kind, one per part row: ``(page_id, url, html, shard, captured_at)``."""
-    base = part.hint("rebalance").selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
+    base = dealt(part).selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
     pages = base.selectExpr("k AS page_id", f"{PAGE_URLS[kind]} AS url", f"{PAGE_KINDS[kind]} AS html", "shard")
     return _captured(pages, "page_id")
 
 
 def product_pages(part: DataFrame) -> DataFrame:
     """Store-B product pages of the cards of all listing pages: ``(url, html, captured_at)``."""
-    base = part.hint("rebalance").selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
+    base = dealt(part).selectExpr(*[f"{e} AS {n}" for n, e in BASE_EXPRS])
     base = base.withColumn("p", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("old", F.explode(F.array(F.lit(False), F.lit(True))))
     base = base.where(HAS_PAGE).selectExpr("k", "old", f"'https://mart.example/p/' || {K} || '-' || CAST(p AS STRING) || '.html' AS url", f"{STORE_B_PRODUCTS} AS html")
     return _captured(base, "k", "CASE WHEN old THEN 1440 ELSE 0 END").select("url", "html", "captured_at")
