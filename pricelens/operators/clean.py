@@ -158,7 +158,8 @@ def clean_store_a_rows(
 
 def first_listings(raw: DataFrame, file_col: str = "file", pos_col: str = "pos", na_words=NA_WORDS, dedup=None) -> DataFrame:
     """A-1 on raw rows: the first row per (file, product id); rows without an
-    id, or for which the condition ``dedup`` does not hold, all stay.
+    id, or for which the condition ``dedup`` does not hold, all stay. Positions
+    are unique within a file (they come from the scan).
 
     The aggregation moves (file, id, position) only, with a map-side partial
     step, so an id with a third of all rows is one row per map task before the

@@ -36,7 +36,7 @@ BASE_EXPRS = [
 # within one file; ``pos`` is unique and keeps "first" well defined.
 LINE_BASE_EXPRS = [
     ("k", "l_orderkey * 8 + l_linenumber"),
-    ("pos", "((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey"),
+    ("pos", "(((l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey) * 1000 + l_suppkey) * 64 + CAST(l_quantity AS INT)"),
     ("shard", "CAST(FLOOR((l_orderkey * 8 + l_linenumber) / 2) AS BIGINT) % 7 + 2"),
     ("cents", "CAST(ROUND(l_extendedprice / l_quantity * 100) AS BIGINT)"),
     ("u", "(l_orderkey * 8 + l_linenumber) % 487 + 13"),

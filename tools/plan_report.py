@@ -68,8 +68,9 @@ def main() -> None:
         "# Plans of the registered queries",
         "",
         f"Generated by `tools/plan_report.py` on `{sf_dir}` from Spark's event log: the final (adaptive) plans of all SQL",
-        "executions of a query, its writes, micro-batches and read-back included. A shuffle that only rebalances the",
-        "driver's single-file tables before text or pages are built from them is one of each query's shuffles.",
+        "executions of a query, its writes, micro-batches and read-back included. The shuffle that deals the driver's",
+        "single-file tables out before text or pages are built from them is among each query's shuffles, and small sides",
+        "that AQE broadcast at run time are among the broadcasts.",
         "",
         "| Query | Executions | " + " | ".join(KINDS) + " |",
         "| --- " * (len(KINDS) + 2) + "|",
