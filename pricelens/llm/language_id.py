@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import fresh, written
@@ -190,10 +190,15 @@ def predict(docs: DataFrame, model: Filter, text: str = "text", n: int = 3, lang
     return docs.mapInArrow(run, schema)
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Documents kept from learning, by a checksum of the id; a null id is none of them."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
     from pricelens.llm.common import table
 
     docs = table(spark, sf_dir, "documents")
-    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    held = held_out()
     model = learn(docs.where(~held))
     return predict(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score")

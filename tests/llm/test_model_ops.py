@@ -178,6 +178,8 @@ def test_language_ngrams_and_filter(spark):
     nothing = df.limit(0)
     assert language_id.predict(nothing, language_id.learn(nothing)).count() == 0
     assert {r.lang_pred for r in language_id.predict(df, language_id.learn(nothing)).collect()} == {"und"}
+    held = {r.doc_id: r.h for r in df.select("doc_id", language_id.held_out().alias("h")).collect()}
+    assert held == {i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i in held}
 
 
 def test_pipeline(spark):
