@@ -97,7 +97,8 @@ class Chain:
         for k in range(len(self.categories)):
             y = labels[:, k].astype(float)
             out = np.zeros(len(y))
-            for f in np.unique(fold):
+            # no later model reads the last category's out-of-fold predictions
+            for f in np.unique(fold) if k + 1 < len(self.categories) else ():
                 # rows of the other folds train, those of this one are predicted
                 use = fold[rows] != f
                 place = np.cumsum(fold != f) - 1
