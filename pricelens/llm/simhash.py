@@ -91,13 +91,20 @@ class Forest:
                     break
                 at = int(below)
 
-    def search(self, queries: np.ndarray, groups: np.ndarray, radius: int):
-        """Index pairs (query, node) within the radius; node by its index here."""
-        q = np.arange(len(queries))
-        at = np.array([self.roots.get(g, -1) for g in groups.tolist()], dtype=np.int64)
-        q, at = q[at >= 0], at[at >= 0]
-        while len(q):
-            d = np.bitwise_count(queries[q] ^ self.fps[at]).astype(np.int64)
+    def search(self, queries: np.ndarray, groups: np.ndarray, radius: int, at_once: int = 50_000):
+        """Index pairs (query, node) within the radius; node by its index here.
+        Of the pairs still to follow ``at_once`` are worked at a time, the latest
+        first, so that a dense shard's pairs never lie in memory together."""
+        at = np.array([self.roots.get(g, -1) for g in groups.tolist()], dtype=np.int32)
+        todo = [(np.flatnonzero(at >= 0).astype(np.int32), at[at >= 0])]
+        while todo:
+            q, at = todo.pop()
+            if len(q) > at_once:
+                todo.append((q[at_once:], at[at_once:]))
+                q, at = q[:at_once], at[:at_once]
+            if not len(q):
+                continue
+            d = np.bitwise_count(queries[q] ^ self.fps[at]).astype(np.int32)
             hit = d <= radius
             yield q[hit], at[hit]
             nq, nat = [], []
@@ -107,11 +114,11 @@ class Forest:
                 below = self.child[at[ok], e[ok]]
                 found = below >= 0
                 nq.append(q[ok][found])
-                nat.append(below[found].astype(np.int64))
-            q, at = np.concatenate(nq), np.concatenate(nat)
+                nat.append(below[found])
+            todo.append((np.concatenate(nq), np.concatenate(nat)))
 
 
-def _stars(fps, groups, roles, radius, block=2048):
+def _stars(fps, groups, roles, radius, block=512):
     """Spanning stars (a, b) of the links of complete groups; role 1: in the tree, 2: a query, 3: both."""
     tree, ask = roles != 2, roles != 1
     t_fp, q_fp, q_group = fps[tree], fps[ask], groups[ask]
