@@ -1,23 +1,25 @@
 """Embedding near-duplicates by robust-pruned flat graphs.
 
 1. Equal vectors are one class, whatever their number.
-2. Centroids are fitted on a bounded sample; every vector goes to the shards of
-   its ``overlap`` nearest centroids, the nearest one being its home. A shard
-   of more than ``part_rows`` vectors is dealt into parts.
-3. In each part a flat graph is built: near candidates of a vector, robust
-   pruned (a candidate goes when a kept one is ``alpha`` times nearer to it),
-   with the reverse edges added.
-4. The adjacency lists of a vector from all its parts are united. An edge short
-   enough to join two neighbours of one query (angle up to twice the link
-   angle) also brings its end into the shard of its start, so that neighbours
-   that share no shard with a query's home are met there.
-5. Each vector is searched for in its home shard: greedy with a beam from the
-   medoid and its own node, then every vector in range is expanded until no
-   other is found. Cosines are double precision of the original vectors, so
-   what is linked is verified. A task sends back the number of links of each
-   query and spanning stars, never pairs.
-6. Recall is audited against brute force for a bounded sample of vectors; below
-   ``min_recall`` the whole is done again with a wider beam and more overlap.
+2. Centroids are fitted on a bounded sample; every vector lies in the cell of its
+   nearest centroid. Spark takes each cell's radius (largest angle to the
+   centroid) and size.
+3. A vector is sent to its own cell and to every later cell that may hold a
+   partner: its angle to the centroid less the link angle is within the radius,
+   and it lies no further than the link's chord from the plane half way between
+   both centroids. A pair in range passes both tests, so it meets in one cell.
+4. A cell of more than ``part_rows`` vectors is dealt into parts, and so are the
+   vectors sent to it; each part meets each, so no group of rows grows with a cell.
+5. In each part a flat graph of its members is built: near candidates of a
+   vector, robust pruned (a candidate goes when a kept one is ``alpha`` times
+   nearer to it), with the reverse edges added.
+6. Each vector sent is searched for in it: greedy with a beam from the medoid and
+   its own node, then every vector in range is expanded until no other is found.
+   Cosines are double precision of the original vectors, so what is linked is
+   verified. A partner from another cell counts for both ends. A task sends back
+   numbers of links and spanning stars, never pairs.
+7. Recall is audited against brute force for a bounded sample of vectors; below
+   ``min_recall`` the whole is done again with a wider beam.
 """
 
 from __future__ import annotations
@@ -171,87 +173,99 @@ def _links(classes: DataFrame, n: int, cosine: float, beam: int, overlap: int, s
     if not len(x):
         x = matrix(classes.limit(sample_rows).toArrow().column("v"))
     shared = spark.sparkContext.broadcast(fit_centroids(unit(x), k))
+    kind = classes.schema["v"].dataType.simpleString()
 
     def assign(batches):
         c = shared.value
-        m = min(overlap, len(c))
         for batch in batches:
             x = matrix(batch.column(1))
-            if not len(x):
-                continue
-            s = unit(x) @ c.T
-            near = np.argpartition(-s, m - 1, axis=1)[:, :m]
-            home = np.argmax(s, axis=1)
-            take = pa.array(np.repeat(np.arange(len(x)), m))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(near.ravel()), pa.array((near == home[:, None]).ravel()), *[batch.column(i).take(take) for i in range(3)]], names=["shard", "home", "id", "v", "mult"]
-            )
+            for i in range(0, len(x), 1024):
+                s = unit(x[i : i + 1024]) @ c.T
+                angle = np.arccos(np.clip(s.max(axis=1), -1, 1))
+                part = batch.slice(i, 1024)
+                yield pa.RecordBatch.from_arrays([pa.array(np.argmax(s, axis=1)), pa.array(angle), *part.columns], names=["cell", "angle", "id", "v", "mult"])
 
-    kind = classes.schema["v"].dataType.simpleString()
-    placed = classes.select("id", "v", "mult").mapInArrow(assign, f"shard long, home boolean, id long, v {kind}, mult long")
+    placed = classes.select("id", "v", "mult").mapInArrow(assign, f"cell long, angle double, id long, v {kind}, mult long")
     placed = written(placed, "dedup-placed")
-    sizes = {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}  # at most max_shards rows
-    parts = {s: -(-c // part_rows) for s, c in sizes.items() if c > part_rows}
-    n_parts = F.lit(1)
-    if parts:
-        n_parts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(int(x)) for p in parts.items() for x in p]), F.col("shard")), F.lit(1))
-    placed = placed.withColumn("parts", n_parts.cast("long")).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("long"))
-    far = 2 * cosine * cosine - 1  # cosine of twice the link angle
-
-    def build(t: pa.Table) -> pa.Table:
-        ids, u = t.column("id").to_numpy(), unit(matrix(t.column("v")))
-        a, b = build_graph(u)
-        cos = np.einsum("ij,ij->i", u[a], u[b]) if len(a) else np.zeros(0)
-        shard, part = t.column("shard")[0].as_py(), t.column("part")[0].as_py()
-        same = lambda v: pa.array(np.full(len(a), v), pa.int64())
-        return pa.table({"a": ids[a], "b": ids[b], "short": cos >= far, "shard": same(shard), "part": same(part)})
-
-    edges = placed.select("shard", "part", "id", "v").groupBy("shard", "part").applyInArrow(build, "a long, b long, short boolean, shard long, part long")
-    edges = written(edges, "dedup-edges")
-    union = edges.groupBy("a").agg(F.collect_set("b").alias("adjacent"))
-
-    # ends of short edges that are not in the start's shard yet
-    at = placed.select("id", "shard", "part")
-    reached = (
-        edges.where("short").select("a", "b").distinct().join(at.withColumnRenamed("id", "a"), "a").groupBy("shard", "b").agg(F.min("part").alias("part"))
-    )
-    extra = reached.withColumnRenamed("b", "id").join(at.select("shard", "id"), ["shard", "id"], "left_anti")
-    whole = classes.select("id", "v", "mult")
-    halo = extra.join(whole, "id").select("shard", "part", "id", "v", "mult", F.lit(False).alias("home"))
-    members = placed.select("shard", "part", "id", "v", "mult", "home")
-    nodes = members.unionByName(halo).join(union.withColumnRenamed("a", "id"), "id", "left").withColumn("node", F.lit(True))
-    # a query of a dealt shard is sent to its other parts as well
-    others = placed.where("home and parts > 1").select(
-        "shard", F.explode(F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), F.col("part"))).alias("part"), "id", "v", "mult", "home"
-    )
-    sent = nodes.unionByName(others.withColumn("node", F.lit(False)), allowMissingColumns=True)
+    radius, size = np.full(len(shared.value), -np.inf), np.zeros(len(shared.value), dtype=np.int64)
+    for r in placed.groupBy("cell").agg(F.max("angle").alias("angle"), F.count("*").alias("n")).collect():  # at most max_shards rows
+        radius[r["cell"]], size[r["cell"]] = r["angle"], r["n"]
+    angle, chord, slack = np.arccos(cosine), np.sqrt(2 - 2 * cosine), 1e-6
+    rows = placed.select("id", "v", "mult", "cell")
+
+    def reach(batch):
+        """(first row, row, cell) of the cells each vector is sent to, a block of rows at a time."""
+        c, x, home = shared.value, matrix(batch.column(1)), batch.column(3).to_numpy()
+        for i in range(0, len(x), 1024):
+            h = home[i : i + 1024]
+            s = unit(x[i : i + 1024]) @ c.T
+            own = s[np.arange(len(h)), h][:, None]
+            gap = np.sqrt(np.maximum(2 - 2 * c[h] @ c.T, 0))
+            go = (np.arccos(np.clip(s, -1, 1)) - angle <= radius + slack) & (own - s <= (chord + slack) * gap + slack)
+            go &= np.arange(len(c)) > h[:, None]
+            go[np.arange(len(h)), h] = True
+            yield i, *np.nonzero(go)
+
+    def count(batches):
+        total = np.zeros(len(shared.value), dtype=np.int64)
+        for batch in batches:
+            for _, _, cell in reach(batch):
+                total += np.bincount(cell, minlength=len(total))
+        got = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(got), pa.array(total[got])], names=["cell", "n"])
+
+    asked = np.zeros(len(size), dtype=np.int64)
+    for r in rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        asked[r["cell"]] = r["n"]
+    parts, chunks = np.maximum(1, -(-size // part_rows)), np.maximum(1, -(-asked // part_rows))
+
+    def send(batches):
+        """Members go to their part for every chunk of the cell's queries, queries to their chunk for every part."""
+        for batch in batches:
+            ids, home = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            share = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+
+            def copies(row, cell, member):
+                copy = chunks[cell] if member else parts[cell]
+                which, other = _spread(np.zeros(len(cell), np.int64), copy)
+                for i in range(0, len(which), 16_384):
+                    w, o = which[i : i + 16_384], other[i : i + 16_384]
+                    r, c = row[w], cell[w]
+                    dealt = share[r] % (parts if member else chunks)[c]
+                    part, chunk = (dealt, o) if member else (o, dealt)
+                    take = pa.array(r)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c), pa.array(part), pa.array(chunk), pa.array(np.full(len(r), member)), pa.array(home[r] == c), *[batch.column(j).take(take) for j in range(3)]],
+                        names=["cell", "part", "chunk", "member", "own", "id", "v", "mult"],
+                    )
+
+            yield from copies(np.arange(len(ids)), home, True)
+            for i, row, cell in reach(batch):
+                yield from copies(i + row, cell, False)
 
     def look(t: pa.Table) -> pa.Table:
-        is_node = t.column("node").to_numpy()
-        order = np.lexsort((t.column("id").to_numpy(), ~is_node))  # nodes first, by id
-        t = t.take(pa.array(order))
-        n = int(is_node.sum())
-        ids, mult, home = (t.column(c).to_numpy() for c in ("id", "mult", "home"))
-        u = unit(matrix(t.column("v")))
-        lists = t.column("adjacent").combine_chunks().slice(0, n)
-        size = np.array([0 if x is None else x for x in lists.value_lengths().to_pylist()], dtype=np.int64)
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        a, pos = np.repeat(np.arange(n), size), np.searchsorted(ids[:n], flat)
-        pos = np.minimum(pos, max(n - 1, 0))
-        here = ids[:n][pos] == flat if n else np.zeros(0, dtype=bool)
-        a, b = a[here], pos[here]
-        asks = np.flatnonzero(home)
+        t = t.take(pa.array(np.lexsort((t.column("id").to_numpy(), ~t.column("member").to_numpy()))))  # members first, by id
+        member, own, ids, mult = (t.column(c).to_numpy() for c in ("member", "own", "id", "mult"))
+        m, u = int(member.sum()), unit(matrix(t.column("v")))
         stars, counts = Stars(len(ids)), np.zeros(len(ids), dtype=np.int64)
-
-        def add(q, node):
-            rows = asks[q]
-            np.add.at(counts, rows, mult[node])
-            stars.join(rows, node)
-            stars.settle()
-
-        if n and len(asks):
-            centre = u[:n].mean(axis=0)
-            range_search(u[:n], a, b, int(np.argmax(u[:n] @ centre)), u[asks], np.where(asks < n, asks, -1), cosine, beam, add)
+        if 0 < m < len(ids):
+            node = np.minimum(np.searchsorted(ids[:m], ids[m:]), m - 1)
+            mine = np.where(ids[node] == ids[m:], node, -1)
+
+            def add(q, node):
+                rows = m + q
+                other = ~own[rows]  # the members of other cells do not ask for it themselves
+                counts[:] += np.bincount(rows, mult[node], len(ids)).astype(np.int64)
+                counts[:] += np.bincount(node[other], mult[rows[other]], len(ids)).astype(np.int64)
+                for end in (rows, node):  # one link of each end first, which leaves few to join
+                    _, at = np.unique(end, return_index=True)
+                    stars.join(rows[at], node[at])
+                    stars.settle()
+                stars.join(rows, node)
+                stars.settle()
+
+            a, b = build_graph(u[:m])
+            range_search(u[:m], a, b, int(np.argmax(u[:m] @ u[:m].mean(axis=0))), u[m:], mine, cosine, beam, add)
         moved, to = stars.moved()
         got = np.flatnonzero(counts)
         return pa.table(
@@ -262,8 +276,9 @@ def _links(classes: DataFrame, n: int, cosine: float, beam: int, overlap: int, s
             }
         )
 
-    out = written(sent.groupBy("shard", "part").applyInArrow(look, "a long, b long, n long"), "dedup-links")
-    drop_written(edges)
+    sent = rows.mapInArrow(send, f"cell long, part long, chunk long, member boolean, own boolean, id long, v {kind}, mult long")
+    out = written(sent.groupBy("cell", "part", "chunk").applyInArrow(look, "a long, b long, n long"), "dedup-links")
+    drop_written(placed)
     return out
 
 
@@ -309,7 +324,8 @@ def embedding_groups(
     Vectors that are null, zero, not finite, or not of the table's common length
     link with nothing, nor do rows with a null id (component null, kept). Equal
     vectors are linked. Repeated rows are vectors of their own with one id.
-    Other columns are ignored; no rows give no rows.
+    Other columns are ignored; no rows give no rows. A cell has about
+    ``shard_rows / overlap`` vectors, as long as ``max_shards`` cells suffice.
     """
     kind = vectors.schema[vector].dataType.simpleString()
     rows = usable_vectors(vectors, vec_id, vector).withColumn("v", F.col("v").cast(kind))

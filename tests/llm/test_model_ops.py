@@ -228,3 +228,20 @@ def test_pipeline_stages_on_odd_rows(spark):
                 assert out.columns == df.columns and out.count() <= docs.count()
                 docs = out
     assert P.language_id(spark, full, SMALL).where("doc_id in (9001, 9002, 9004)").count() == 0
+
+
+def hot_group(seed):
+    """A third of the rows are different near copies, spread over many cells; the rest are pairs and single rows."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(1, 8))
+    hot = centre + rng.normal(size=(400, 8)) * 0.3
+    pairs = np.repeat(rng.normal(size=(200, 8)), 2, axis=0) + rng.normal(size=(400, 8)) * 0.15
+    x = np.concatenate([hot, pairs, rng.normal(size=(400, 8))])
+    return [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("options", [{"shard_rows": 60}, {"shard_rows": 400, "part_rows": 70}])
+def test_embedding_groups_over_many_cells(spark, options):
+    rows = hot_group(5)
+    got = E.embedding_groups(frame(spark, rows), cosine=0.9, **options)
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got.collect()), key=str) == groups_brute(rows, 0.9)
