@@ -18,8 +18,10 @@
    Cosines are double precision of the original vectors, so what is linked is
    verified. A partner from another cell counts for both ends. A task sends back
    numbers of links and spanning stars, never pairs.
-7. Recall is audited against brute force for a bounded sample of vectors; below
-   ``min_recall`` the whole is done again with a wider beam.
+7. Every pass is audited: bounded samples of vectors with no, few and many links
+   found are compared with brute force, vector by vector. Below ``min_recall``
+   in any of them the whole is done again with a wider beam, at last with all
+   members of a part in place of the graph; if that is not enough, it is an error.
 """
 
 from __future__ import annotations
@@ -165,8 +167,19 @@ def range_search(u, a, b, medoid, queries, own, cosine, beam, add, block=256):
         add(i + qi[other], node[other])
 
 
-def _links(classes: DataFrame, n: int, cosine: float, beam: int, overlap: int, shard_rows: int, part_rows: int, sample_rows: int, max_shards: int):
-    """Written (a, b, n): b null: class a has n linked vectors in one part; else a star link."""
+def scan(u, queries, own, cosine, add, block=256):
+    """As range_search, but by looking at every node."""
+    for i in range(0, len(queries), block):
+        hit = queries[i : i + block] @ u.T >= cosine
+        known = np.flatnonzero(own[i : i + block] >= 0)
+        hit[known, own[i : i + block][known]] = False
+        q, node = np.nonzero(hit)
+        if len(q):
+            add(i + q, node)
+
+
+def _links(classes: DataFrame, n: int, cosine: float, beam: int | None, overlap: int, shard_rows: int, part_rows: int, sample_rows: int, max_shards: int):
+    """Written (a, b, n): b null: class a has n linked vectors in one part; else a star link. No beam: all nodes are looked at."""
     spark = classes.sparkSession
     k = int(min(max_shards, max(1, -(-n * overlap // shard_rows))))
     x = sample_matrix(classes.select("id", "v"), n, sample_rows)
@@ -264,8 +277,11 @@ def _links(classes: DataFrame, n: int, cosine: float, beam: int, overlap: int, s
                 stars.join(rows, node)
                 stars.settle()
 
-            a, b = build_graph(u[:m])
-            range_search(u[:m], a, b, int(np.argmax(u[:m] @ u[:m].mean(axis=0))), u[m:], mine, cosine, beam, add)
+            if beam is None:
+                scan(u[:m], u[m:], mine, cosine, add)
+            else:
+                a, b = build_graph(u[:m])
+                range_search(u[:m], a, b, int(np.argmax(u[:m] @ u[:m].mean(axis=0))), u[m:], mine, cosine, beam, add)
         moved, to = stars.moved()
         got = np.flatnonzero(counts)
         return pa.table(
@@ -282,28 +298,46 @@ def _links(classes: DataFrame, n: int, cosine: float, beam: int, overlap: int, s
     return out
 
 
-def audit_recall(classes: DataFrame, counted: DataFrame, n: int, cosine: float, sample: int = 512) -> float:
-    """Share of the links that brute force finds for about ``sample`` vectors which ``counted`` (id, n) has too."""
+def audit_recall(classes: DataFrame, counted: DataFrame, n: int, cosine: float, sample: int = 512, few: int = 16) -> float:
+    """The mean share of its links (by brute force) that a vector with links has in
+    ``counted`` (id, n): the lesser of those for vectors with up to ``few`` in
+    ``counted``, none included, and with more. ``sample`` vectors are drawn of
+    those with none, with few and with more, and weighted by how many there are."""
     spark = classes.sparkSession
-    share = min(1.0, sample / max(n, 1))
-    some = classes.where(F.pmod(F.xxhash64("id", F.lit("audit")), F.lit(1_000_000)) < int(share * 1_000_000))
-    t = some.select("id", "v").toArrow()
-    if not t.num_rows:
+    found = F.coalesce("n", F.lit(0))
+    ids = classes.select("id").join(counted, "id", "left").select(
+        "id", found.alias("n"), F.when(found == 0, 0).when(found <= few, 1).otherwise(2).alias("kind")
+    )
+    picked = [ids.where(F.col("kind") == i).orderBy(F.xxhash64("id", F.lit("audit"))).limit(sample) for i in range(3)]
+    rows = picked[0].union(picked[1]).union(picked[2]).collect()
+    if not rows:
         return 1.0
+    some = spark.createDataFrame([(r["id"],) for r in rows], "id long")
+    t = classes.join(F.broadcast(some), "id").select("id", "v").toArrow()
     shared = spark.sparkContext.broadcast((t.column("id").to_numpy(), unit(matrix(t.column("v")))))
 
     def run(batches):
         ids, q = shared.value
         total = np.zeros(len(ids), dtype=np.int64)
         for batch in batches:
-            if batch.num_rows:
-                hit = (q @ unit(matrix(batch.column(1))).T >= cosine) & (ids[:, None] != batch.column(0).to_numpy()[None, :])
-                total += hit @ batch.column(2).to_numpy()
+            x = matrix(batch.column(1))
+            for i in range(0, len(x), 1024):
+                part = batch.slice(i, 1024)
+                hit = (q @ unit(x[i : i + 1024]).T >= cosine) & (ids[:, None] != part.column(0).to_numpy()[None, :])
+                total += hit @ part.column(2).to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "want"])
 
     want = classes.select("id", "v", "mult").mapInArrow(run, "id long, want long").groupBy("id").agg(F.sum("want").alias("want"))
-    r = want.join(counted, "id", "left").agg(F.sum("want").alias("want"), F.sum(F.least("want", F.coalesce("n", F.lit(0)))).alias("got")).first()
-    return r["got"] / r["want"] if r["want"] else 1.0
+    want = {r["id"]: r["want"] for r in want.collect()}  # at most three samples
+    size = {r["kind"]: r["count"] for r in ids.groupBy("kind").count().collect()}
+    weight = {k: s / min(s, sample) for k, s in size.items()}
+    got, of = [0.0, 0.0], [0.0, 0.0]
+    for r in rows:
+        if want[r["id"]]:
+            many = r["kind"] == 2
+            got[many] += weight[r["kind"]] * min(r["n"] / want[r["id"]], 1.0)
+            of[many] += weight[r["kind"]]
+    return min((g / w for g, w in zip(got, of) if w), default=1.0)
 
 
 def embedding_groups(
@@ -335,12 +369,15 @@ def embedding_groups(
     classes = written(classes.select(F.xxhash64("h1", "h2", "first").alias("id"), "first", "mult", "h1", "h2", "v"), "dedup-classes")
     n = classes.count()
     found = counted = None
-    while n:
-        found = _links(classes, n, cosine, beam, overlap, shard_rows, part_rows, sample_rows, max_shards)
+    for width in (beam, 4 * beam, None) if n else ():
+        found = _links(classes, n, cosine, width, overlap, shard_rows, part_rows, sample_rows, max_shards)
         counted = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
-        if beam >= 64 or audit_recall(classes, counted, n, cosine) >= min_recall:
+        recall = audit_recall(classes, counted, n, cosine)
+        if recall >= min_recall:
             break
-        beam, overlap = 4 * beam, 2 * overlap
+        if width is None:
+            raise RuntimeError(f"link recall is {recall:.4f} in the audit, under {min_recall}")
+        drop_written(found)
     base = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast(kind).alias("v"))
     if not n:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))

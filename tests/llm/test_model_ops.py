@@ -245,3 +245,23 @@ def test_embedding_groups_over_many_cells(spark, options):
     rows = hot_group(5)
     got = E.embedding_groups(frame(spark, rows), cosine=0.9, **options)
     assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got.collect()), key=str) == groups_brute(rows, 0.9)
+
+
+def test_audit_sees_lost_small_groups(spark, monkeypatch):
+    rows = hot_group(6)
+    u = E.unit(np.array([v for _, v in rows], dtype=np.float64))
+    links = (u @ u.T >= 0.9).sum(1) - 1
+    classes = spark.createDataFrame([(i, v, 1) for i, v in rows], "id long, v array<float>, mult long")
+    counts = lambda ok: spark.createDataFrame([(i, int(n)) for i, n in enumerate(links) if n and ok(n)], "id long, n long")
+    assert E.audit_recall(classes, counts(lambda n: True), len(rows), 0.9) == 1.0
+    assert E.audit_recall(classes, counts(lambda n: n > 16), len(rows), 0.9) < 0.99
+    real, widths = E._links, []
+
+    def lossy(classes, n, cosine, beam, *rest):
+        widths.append(beam)
+        return real(classes, n, cosine, beam, *rest).where("b is not null or n > 16")
+
+    monkeypatch.setattr(E, "_links", lossy)
+    with pytest.raises(RuntimeError, match="recall"):
+        E.embedding_groups(frame(spark, rows), cosine=0.9)
+    assert widths == [16, 64, None]
