@@ -9,6 +9,7 @@ from pricelens.llm.embedding_dedup import op5_embedding_dedup
 from pricelens.llm.language_id import op10_language_id
 from pricelens.llm.line_dedup import OP7_SQL, op7_line_dedup
 from pricelens.llm.packing import op9_best_fit_packing
+from pricelens.llm.runs import op12_periodic_runs
 from pricelens.llm.simhash import op2_simhash_dedup
 from pricelens.llm.toxicity import op4_toxicity
 from pricelens.llm.url_filter import OP6_SQL, op6_url_filter
@@ -26,6 +27,7 @@ def llm_queries() -> dict:
         "op8_bpe_codec": op8_bpe_codec,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
+        "op12_periodic_runs": op12_periodic_runs,
     }
 
 
