@@ -6,6 +6,7 @@ from pricelens.llm.ann import op3_ann_search
 from pricelens.llm.bpe import op8_bpe_codec
 from pricelens.llm.chat_format import OP1_SQL, op1_chat_format
 from pricelens.llm.embedding_dedup import op5_embedding_dedup
+from pricelens.llm.html_extract import op13_html_extract
 from pricelens.llm.language_id import op10_language_id
 from pricelens.llm.line_dedup import OP7_SQL, op7_line_dedup
 from pricelens.llm.packing import op9_best_fit_packing
@@ -28,6 +29,7 @@ def llm_queries() -> dict:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_html_extract": op13_html_extract,
     }
 
 
