@@ -5,6 +5,7 @@ from __future__ import annotations
 from pricelens.llm.ann import op3_ann_search
 from pricelens.llm.bpe import op8_bpe_codec
 from pricelens.llm.chat_format import OP1_SQL, op1_chat_format
+from pricelens.llm.collocations import OP11_SQL, op11_collocations
 from pricelens.llm.embedding_dedup import op5_embedding_dedup
 from pricelens.llm.html_extract import op13_html_extract
 from pricelens.llm.language_id import op10_language_id
@@ -28,10 +29,11 @@ def llm_queries() -> dict:
         "op8_bpe_codec": op8_bpe_codec,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_language_id": op10_language_id,
+        "op11_collocations": op11_collocations,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_html_extract": op13_html_extract,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op6_url_filter": OP6_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op1_chat_format": OP1_SQL, "op6_url_filter": OP6_SQL, "op7_line_dedup": OP7_SQL, "op11_collocations": OP11_SQL}
