@@ -10,6 +10,12 @@ fallbacks, filters, counts) is column expressions. The DataFrame helpers
 * ``records(pages, fields, container)`` -> one row per container element (or
   one for the whole page without ``container``) with a column per field, each
   the text / attribute / count of the first matching descendant.
+* ``page_records(...)`` -> the same rows, and one row with a reason for every
+  page that gives none, so that no page is lost and no page ends the job.
+
+Every page is indexed once: sorted element positions per tag, class and
+attribute. A container is an interval of positions, so a field is found by
+binary search; texts are offsets into one joined string.
 
 Text follows the usual "all descendant text, joined with no separator, no
 trim" rule, entities decoded, script/style/comment text left out of the
@@ -18,13 +24,13 @@ enclosing elements. Unclosed tags end where an enclosing tag ends.
 Selector specs are small JSON objects, e.g. ``{"tag": "li", "class": "a b"}``:
 ``class`` with a blank must equal the whole class attribute, one word
 matches any one class; ``all_classes`` requires every listed class;
-``attrs`` requires exact attribute values, ``has_attrs`` their presence; ``get`` is ``"text"`` (default),
+``attrs`` requires exact attribute values, ``has_attrs`` their presence, ``text`` an exact text; ``get`` is ``"text"`` (default),
 ``"@name"`` for an attribute, or ``"count"``.
 """
 
 from __future__ import annotations
 
-import itertools
+from bisect import bisect_left
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
@@ -56,23 +62,49 @@ VOID_TAGS = frozenset(
 )
 RAW_TEXT_TAGS = frozenset(["script", "style", "template"])
 
+# why a page gives no record
+PAGE_MISSING = "page:missing"  # no page text at all
+PAGE_EMPTY = "page:empty"  # blanks only
+PAGE_UNREADABLE = "page:unreadable"  # the parser fails on it; the error's name follows
+PAGE_NO_MARKUP = "page:no_markup"  # not a single element
+PAGE_NO_RECORDS = "page:no_records"  # no container
+
 
 class _Tree(HTMLParser):
-    """Flat element list with parent links and text chunk ranges."""
+    """Elements of a page with parent links, text offsets and an index."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags: list[str] = []
         self.attrs: list[dict] = []
         self.parent: list[int] = []
-        self.start: list[int] = []
-        self.end: list[int] = []
         self.last: list[int] = []  # one past the last descendant
         self.cls: list[str] = []  # class attribute, blanks normalised
-        self.cls_set: list[frozenset] = []
-        self.chunks: list[str] = []
-        self.hidden: list[bool] = []  # chunk sits inside script/style
+        self.start: list[tuple[int, int]] = []  # offsets into the visible text and into all text
+        self.end: list[tuple[int, int]] = []
+        self.by_tag: dict[str, list[int]] = {}
+        self.by_class: dict[str, list[int]] = {}  # single words and whole attributes
+        self.by_attr: dict[str, list[int]] = {}
+        self.found: dict["_Selector", list[int]] = {}  # matches of each selector asked for
         self.stack: list[int] = []
+        self.open: dict[str, int] = {}
+        self.visible: list[str] = []
+        self.all: list[str] = []
+        self.at = (0, 0)
+        self.no_comment_end = False
+
+    # the stdlib parser raises on unknown marked sections; browsers read them as comments
+    def parse_html_declaration(self, i):
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
+
+    def parse_comment(self, i, report=1):
+        if self.no_comment_end:  # searched for once, not for every comment start
+            return -1
+        end = super().parse_comment(i, report)
+        self.no_comment_end = end < 0
+        return end
 
     def _open(self, tag, attrs):
         i = len(self.tags)
@@ -81,143 +113,196 @@ class _Tree(HTMLParser):
             d[k] = "" if v is None else v
         self.tags.append(tag)
         self.attrs.append(d)
-        words = d.get("class", "").split()
-        self.cls.append(" ".join(words))
-        self.cls_set.append(frozenset(words))
+        self.by_tag.setdefault(tag, []).append(i)
+        for k in d:
+            self.by_attr.setdefault(k, []).append(i)
+        words = d["class"].split() if "class" in d else []
+        cls = " ".join(words)
+        self.cls.append(cls)
+        for word in {*words, cls} if words else ():
+            self.by_class.setdefault(word, []).append(i)
         self.parent.append(self.stack[-1] if self.stack else -1)
-        self.start.append(len(self.chunks))
-        self.end.append(-1)
+        self.start.append(self.at)
+        self.end.append(self.at)
         self.last.append(i + 1)
         return i
 
     def handle_starttag(self, tag, attrs):
         i = self._open(tag, attrs)
-        if tag in VOID_TAGS:
-            self.end[i] = len(self.chunks)
-        else:
+        if tag not in VOID_TAGS:
             self.stack.append(i)
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
-        i = self._open(tag, attrs)
-        self.end[i] = len(self.chunks)
+        self._open(tag, attrs)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.tags[self.stack[depth]] == tag:
-                for j in self.stack[depth:]:
-                    self.end[j] = len(self.chunks)
-                    self.last[j] = len(self.tags)
-                del self.stack[depth:]
+        if not self.open.get(tag):
+            return
+        while True:
+            j = self._close()
+            if self.tags[j] == tag:
                 return
 
+    def _close(self) -> int:
+        j = self.stack.pop()
+        self.open[self.tags[j]] -= 1
+        self.end[j] = self.at
+        self.last[j] = len(self.tags)
+        return j
+
     def handle_data(self, data):
-        inner = self.stack[-1] if self.stack else -1
-        self.chunks.append(data)
-        self.hidden.append(inner >= 0 and self.tags[inner] in RAW_TEXT_TAGS)
+        self.all.append(data)
+        if self.stack and self.tags[self.stack[-1]] in RAW_TEXT_TAGS:
+            self.at = (self.at[0], self.at[1] + len(data))
+        else:
+            self.visible.append(data)
+            self.at = (self.at[0] + len(data), self.at[1] + len(data))
 
     def finish(self):
         self.close()
-        for j in self.stack:
-            self.end[j] = len(self.chunks)
-            self.last[j] = len(self.tags)
-        self.stack = []
+        while self.stack:
+            self._close()
+        self.visible, self.all = "".join(self.visible), "".join(self.all)
         return self
 
     def text(self, i: int) -> str:
-        s, e = self.start[i], self.end[i]
-        if self.tags[i] in RAW_TEXT_TAGS:
-            return "".join(self.chunks[s:e])
-        return "".join(c for c, h in zip(self.chunks[s:e], self.hidden[s:e]) if not h)
+        (v, a), (v_end, a_end) = self.start[i], self.end[i]
+        return self.all[a:a_end] if self.tags[i] in RAW_TEXT_TAGS else self.visible[v:v_end]
 
-    def class_text(self, i: int) -> str:
-        return self.cls[i]
+    def has_text(self, i: int, text: str) -> bool:
+        k = 1 if self.tags[i] in RAW_TEXT_TAGS else 0
+        return self.end[i][k] - self.start[i][k] == len(text) and self.text(i) == text
 
 
 def parse_tree(html: str) -> _Tree:
     t = _Tree()
-    t.feed(html or "")
+    html = html or ""
+    whole = html.rfind(">") + 1  # no tag is complete after the last one; what follows is text
+    t.feed(html[:whole])
+    t.feed(html[whole:].replace("<", "&lt;"))
     return t.finish()
 
 
-def _matches(tree: _Tree, i: int, spec: dict) -> bool:
-    tag = spec.get("tag")
-    if tag and tree.tags[i] != tag:
-        return False
-    cls = spec.get("class")
-    if cls is not None and not (tree.cls[i] == cls or cls in tree.cls_set[i]):
-        return False
-    need = spec.get("all_classes")
-    if need and not all(c in tree.cls_set[i] for c in need):
-        return False
-    for k, v in (spec.get("attrs") or {}).items():
-        if tree.attrs[i].get(k) != v:
-            return False
-    for k in spec.get("has_attrs") or ():
-        if k not in tree.attrs[i]:
-            return False
-    return True
-
-
-def _get(tree: _Tree, i: int, how: str):
-    if how == "text":
-        return tree.text(i)
-    if how.startswith("@"):
-        return tree.attrs[i].get(how[1:])
-    raise ValueError(f"unknown get: {how}")
-
-
-def _field(tree: _Tree, spec: dict, lo: int, hi: int):
-    """Value of one field spec over elements ``lo <= i < hi``."""
-    if spec.get("scope") == "page":
-        lo, hi = 0, len(tree.tags)
-    hits = (i for i in range(lo, hi) if _matches(tree, i, spec))
-    how = spec.get("get", "text")
-    if how == "count" and "find" not in spec:
-        return str(sum(1 for _ in hits))
-    idx = next(itertools.islice(hits, spec.get("nth", 0), None), None)
-    for _ in range(spec.get("up", 0)):
-        if idx is None:
-            break
-        idx = tree.parent[idx]
-        idx = None if idx < 0 else idx
-    if idx is None:
-        return None
-    sub = spec.get("find")
-    if sub:
-        return _field(tree, {k: v for k, v in sub.items() if k != "scope"}, idx + 1, tree.last[idx])
-    return _get(tree, idx, how)
+class _Selector:
+    """One selector spec, compiled once per task."""
+
+    def __init__(self, spec: dict):
+        self.spec = spec
+        self.nth, self.up, self.how = spec.get("nth", 0), spec.get("up", 0), spec.get("get", "text")
+        self.page = spec.get("scope") == "page"
+        self.own = bool(spec.get("self"))
+        self.find = _Selector({k: v for k, v in spec["find"].items() if k != "scope"}) if spec.get("find") else None
+        if self.how not in ("text", "count") and not self.how.startswith("@"):
+            raise ValueError(f"unknown get: {self.how}")
+
+    def matches(self, tree: _Tree) -> list[int]:
+        """Positions of all elements of the page that match, in order."""
+        out = tree.found.get(self)
+        if out is None:
+            out = tree.found[self] = self._search(tree)
+        return out
+
+    def _search(self, tree: _Tree) -> list[int]:
+        s = self.spec
+        lists = [tree.by_tag.get(s["tag"], [])] if s.get("tag") else []
+        classes = ([s["class"]] if s.get("class") is not None else []) + list(s.get("all_classes") or ())
+        lists += [tree.by_class.get(c, []) for c in classes]
+        attrs = s.get("attrs") or {}
+        lists += [tree.by_attr.get(k, []) for k in [*attrs, *(s.get("has_attrs") or ())]]
+        if not lists:
+            out = range(len(tree.tags))
+        else:
+            lists.sort(key=len)
+            out = lists[0]
+            for other in lists[1:]:
+                held = set(other)
+                out = [i for i in out if i in held]
+        if attrs:
+            out = [i for i in out if all(tree.attrs[i].get(k) == v for k, v in attrs.items())]
+        if s.get("text") is not None:
+            out = [i for i in out if tree.has_text(i, s["text"])]
+        return out
+
+    def get(self, tree: _Tree, i: int) -> str | None:
+        return tree.attrs[i].get(self.how[1:]) if self.how.startswith("@") else tree.text(i)
+
+    def value(self, tree: _Tree, lo: int, hi: int) -> str | None:
+        """The field's value over elements ``lo <= i < hi``."""
+        if self.page:
+            lo, hi = 0, len(tree.tags)
+        hits = self.matches(tree)
+        a, b = bisect_left(hits, lo), bisect_left(hits, hi)
+        if self.how == "count" and self.find is None:
+            return str(b - a)
+        if a + self.nth >= b:
+            return None
+        i = hits[a + self.nth]
+        for _ in range(self.up):
+            i = tree.parent[i]
+            if i < 0:
+                return None
+        if self.find is not None:
+            return self.find.value(tree, i + 1, tree.last[i])
+        return self.get(tree, i)
+
+
+class PageReader:
+    """Records of pages, by a container and fields compiled once."""
+
+    def __init__(self, container: dict | None, fields: dict):
+        self.container = _Selector(container) if container else None
+        self.fields = {k: _Selector(v) for k, v in fields.items()}
+
+    def read(self, html: str | None) -> tuple[list[tuple[int, int, dict]], str | None, dict]:
+        """((container pos, ordinal, fields) of each record, the reason if there
+        is none, the page-level fields)."""
+        none = dict.fromkeys(self.fields)
+        if html is None:
+            return [], PAGE_MISSING, none
+        if not html.strip():
+            return [], PAGE_EMPTY, none
+        try:
+            tree = parse_tree(html)
+        except Exception as e:  # one bad page must not end the job
+            return [], f"{PAGE_UNREADABLE}:{type(e).__name__}", none
+        if not tree.tags:
+            return [], PAGE_NO_MARKUP, none
+        n = len(tree.tags)
+        page = {k: f.value(tree, 0, n) for k, f in self.fields.items() if f.page}
+        rows = []
+        for ord_, root in enumerate([-1] if self.container is None else self.container.matches(tree)):
+            lo, hi = (root + 1, tree.last[root]) if root >= 0 else (0, n)
+            out = dict(page)
+            for name, f in self.fields.items():
+                if f.own and name not in page:
+                    out[name] = f.get(tree, root) if root >= 0 else None
+                elif name not in page:
+                    out[name] = f.value(tree, lo, hi)
+            rows.append((root, ord_, out))
+        return rows, None if rows else PAGE_NO_RECORDS, none | page
 
 
 def iter_records(html: str, cont: dict | None, field_specs: dict):
     """(container pos, ordinal, {field: value}) for one page."""
-    if html is None:
-        return
-    tree = parse_tree(html)
-    n = len(tree.tags)
-    roots = [-1] if not cont else [i for i in range(n) if _matches(tree, i, cont)]
-    page_level = {k: _field(tree, v, 0, n) for k, v in field_specs.items() if v.get("scope") == "page"}
-    for ord_, root in enumerate(roots):
-        lo, hi = (root + 1, tree.last[root]) if root >= 0 else (0, n)
-        out = dict(page_level)
-        for name, spec in field_specs.items():
-            if name in page_level:
-                continue
-            if spec.get("self"):
-                out[name] = _get(tree, root, spec.get("get", "text")) if root >= 0 else None
-            else:
-                out[name] = _field(tree, spec, lo, hi)
-        yield root, ord_, out
-
-
-def iter_elements(html: str, tags: str | None):
-    """(pos, parent, tag, class, attrs, text) for the listed tags of one page."""
-    if html is None:
+    yield from PageReader(cont, field_specs).read(html)[0]
+
+
+def iter_elements(html: str, tags: str | None, where: dict | None = None):
+    """(pos, parent, tag, class, attrs, text) for the listed tags of one page
+    (and of these, the elements that ``where`` selects)."""
+    try:
+        tree = parse_tree(html)
+    except Exception:  # ``page_records`` says which pages these are
         return
-    want = None if tags in (None, "", "*") else set(t.strip() for t in tags.split(","))
-    tree = parse_tree(html)
-    for i, tag in enumerate(tree.tags):
-        if want is None or tag in want:
-            yield i, tree.parent[i], tag, tree.class_text(i), tree.attrs[i], tree.text(i)
+    if tags in (None, "", "*"):
+        at = range(len(tree.tags))
+    else:
+        at = sorted(i for t in {t.strip() for t in tags.split(",")} for i in tree.by_tag.get(t, ()))
+    chosen = set(_Selector(where).matches(tree)) if where else None
+    for i in at:
+        if chosen is None or i in chosen:
+            yield i, tree.parent[i], tree.tags[i], tree.cls[i], tree.attrs[i], tree.text(i)
 
 
 def site_root(url_col) -> Column:
@@ -234,61 +319,73 @@ def join_root(root, href) -> Column:
 
 
 OUT_PAGES = 256  # pages per output batch: bounds the records held at once
+OUT_CHARS = 16_000_000  # and their text (the records of one page go out together)
 
 
-def _arrow_records(keep: list[str], html_col: str, cont: dict | None, field_specs: dict):
+def _arrow_records(keep: list[str], html_col: str, cont: dict | None, field_specs: dict, rejects: tuple[str, str] | None):
     """Per-partition function for ``mapInArrow``: batches of pages in,
     batches of records out; page columns pass through by index (``take``).
-    Output is emitted every ``OUT_PAGES`` pages, so memory does not grow
-    with the size of the input batch."""
+    Output is emitted every ``OUT_PAGES`` pages or ``OUT_CHARS`` characters, so
+    memory does not grow with the size of the input batch."""
     names = list(field_specs)
 
     def run(batches):
         import pyarrow as pa
 
-        arrow_schema = None
+        reader = PageReader(cont, field_specs)
         for batch in batches:
             htmls = batch.column(html_col)
-            for lo in range(0, batch.num_rows, OUT_PAGES):
-                part = htmls.slice(lo, OUT_PAGES).to_pylist()
-                src, recs, ords = [], [], []
+            schema = pa.schema(
+                [batch.schema.field(k) for k in keep]
+                + [pa.field("rec", pa.int32()), pa.field("ord", pa.int32())]
+                + [pa.field(k, pa.string()) for k in [*names, *(rejects or ())]]
+            )
+            at = 0
+            while at < batch.num_rows:
+                src, recs, ords, reasons, pages = [], [], [], [], []
                 vals = {k: [] for k in names}
-                for i, h in enumerate(part, start=lo):
-                    for rec, ord_, out in iter_records(h, cont, field_specs):
-                        src.append(i)
+                lo, chars = at, 0
+                while at < batch.num_rows and at - lo < OUT_PAGES and chars < OUT_CHARS:
+                    html = htmls[at].as_py()
+                    rows, reason, page = reader.read(html)
+                    if reason is not None and rejects:
+                        rows = [(None, None, page)]
+                        chars += len(html or "")
+                    for rec, ord_, out in rows:
+                        src.append(at)
                         recs.append(rec)
                         ords.append(ord_)
+                        reasons.append(reason)
+                        pages.append(html if reason is not None else None)
                         for k in names:
                             vals[k].append(out[k])
+                            chars += len(out[k] or "")
+                    at += 1
                 idx = pa.array(src, type=pa.int64())
                 arrays = [batch.column(k).take(idx) for k in keep]
                 arrays += [pa.array(recs, type=pa.int32()), pa.array(ords, type=pa.int32())]
                 arrays += [pa.array(vals[k], type=pa.string()) for k in names]
-                if arrow_schema is None:
-                    arrow_schema = pa.schema(
-                        [batch.schema.field(k) for k in keep]
-                        + [pa.field("rec", pa.int32()), pa.field("ord", pa.int32())]
-                        + [pa.field(k, pa.string()) for k in names]
-                    )
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+                if rejects:
+                    arrays += [pa.array(reasons, type=pa.string()), pa.array(pages, type=pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return run
 
 
-def records(
+def page_records(
     df: DataFrame,
     fields: dict,
     container: dict | None = None,
     html_col: str = "html",
     keep: list[str] | None = None,
+    reject_cols: tuple[str, str] | None = ("page_reject", "page_html"),
 ) -> DataFrame:
-    """One row per container (or page) with one string column per field.
+    """``records`` with a channel for the pages that give none.
 
-    Runs as ``mapInArrow`` where the pages are read: whole Arrow batches of
-    pages per call, page columns carried through by index. Field specs may say
-    ``up`` (go to the n-th ancestor of the match), ``find`` (then search inside
-    it), ``scope: "page"`` (search the whole page, e.g. a page heading copied
-    onto every card) and ``self`` (read the container element itself).
+    Such a page has one row: ``rec`` and ``ord`` null, its page-level fields as
+    far as they were read, the reason in the first of ``reject_cols`` and the
+    whole page in the second (both null on records). Every page is so in
+    exactly one of ``split_pages``'s two parts, and one pass gives both.
     """
     from pyspark.sql import types as T
 
@@ -297,12 +394,37 @@ def records(
     out_schema = T.StructType(
         [df.schema[k] for k in keep]
         + [T.StructField("rec", T.IntegerType()), T.StructField("ord", T.IntegerType())]
-        + [T.StructField(k, T.StringType()) for k in fields]
+        + [T.StructField(k, T.StringType()) for k in [*fields, *(reject_cols or ())]]
     )
-    return df.mapInArrow(_arrow_records(keep, html_col, container, fields), out_schema)
+    return df.mapInArrow(_arrow_records(keep, html_col, container, fields, reject_cols), out_schema)
+
+
+def split_pages(rows: DataFrame, reject_cols: tuple[str, str] = ("page_reject", "page_html")) -> tuple[DataFrame, DataFrame]:
+    """Records, and the pages without one (with reason and whole page)."""
+    reason = F.col(reject_cols[0])
+    return rows.where(reason.isNull()).drop(*reject_cols), rows.where(reason.isNotNull()).drop("rec", "ord")
+
+
+def records(
+    df: DataFrame,
+    fields: dict,
+    container: dict | None = None,
+    html_col: str = "html",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """One row per container (or page) with one string column per field.
+
+    Runs as ``mapInArrow`` where the pages are read: whole Arrow batches of
+    pages per call, page columns carried through by index. Field specs may say
+    ``up`` (go to the n-th ancestor of the match), ``find`` (then search inside
+    it), ``scope: "page"`` (search the whole page, e.g. a page heading copied
+    onto every card) and ``self`` (read the container element itself). Pages
+    that give no record have no row here; ``page_records`` keeps them.
+    """
+    return page_records(df, fields, container, html_col, keep, reject_cols=None)
 
 
-def _arrow_elements(keep: list[str], html_col: str, tags: str):
+def _arrow_elements(keep: list[str], html_col: str, tags: str, where: dict | None):
     def run(batches):
         import pyarrow as pa
 
@@ -314,7 +436,7 @@ def _arrow_elements(keep: list[str], html_col: str, tags: str):
                 part = htmls.slice(lo, OUT_PAGES).to_pylist()
                 src, cols = [], [[] for _ in range(6)]
                 for i, h in enumerate(part, start=lo):
-                    for row in iter_elements(h, tags):
+                    for row in iter_elements(h, tags, where):
                         src.append(i)
                         for c, v in zip(cols, row):
                             c.append(v)
@@ -345,10 +467,12 @@ def _arrow_elements(keep: list[str], html_col: str, tags: str):
     return run
 
 
-def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
+def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] | None = None, where: dict | None = None) -> DataFrame:
     """One row per element of the listed tags: ``pos, parent, tag, cls, attrs, text``.
 
-    Runs as ``mapInArrow`` like ``records``.
+    Runs as ``mapInArrow`` like ``records``. ``where`` is a selector that the
+    elements must match; the texts of the others are never built. A page that
+    cannot be parsed gives no element.
     """
     from pyspark.sql import types as T
 
@@ -365,4 +489,4 @@ def elements(df: DataFrame, tags: str, html_col: str = "html", keep: list[str] |
             T.StructField("text", T.StringType()),
         ]
     )
-    return df.mapInArrow(_arrow_elements(keep, html_col, tags), out_schema)
+    return df.mapInArrow(_arrow_elements(keep, html_col, tags, where), out_schema)

@@ -34,6 +34,10 @@ from ..schemas import (
 )
 
 STORE_B = "HMart"
+#: What an extractor reads from a card (kept as text when the card is rejected).
+CARD_FIELDS = (
+    "category", "sub_category", "prd_name", "prd_brand", "prd_price", "prd_per_price", "prd_discount", "prd_link", "prd_img", "prd_url",
+)
 
 
 def missing_reason(required: list[str]) -> Column:
@@ -46,7 +50,23 @@ def missing_reason(required: list[str]) -> Column:
     return out
 
 
-def store_a_cards(pages: DataFrame, heads: DataFrame | None = None, root: str = STORE_A_ROOT, keep: list[str] | None = None) -> DataFrame:
+def _page_rows(pages: DataFrame, fields: dict, container: dict | None, keep: list[str], page_rejects: bool) -> tuple[DataFrame, list[str]]:
+    """Records, and their columns about pages without any (empty or two)."""
+    if not page_rejects:
+        return H.records(pages, fields, container, keep=keep), []
+    return H.page_records(pages, fields, container, keep=keep), ["page_html", "page_reject"]
+
+
+def with_reason(rows: DataFrame, reason: Column) -> DataFrame:
+    """``reject_reason``: the page's reason if there is one, else the row's."""
+    if "page_reject" not in rows.columns:
+        return rows.withColumn("reject_reason", reason)
+    return rows.withColumn("reject_reason", F.coalesce("page_reject", reason)).drop("page_reject")
+
+
+def store_a_cards(
+    pages: DataFrame, heads: DataFrame | None = None, root: str = STORE_A_ROOT, keep: list[str] | None = None, page_rejects: bool = False
+) -> DataFrame:
     """Store-A category page -> one raw listing row per product card.
 
     H-1/H-2 required and optional fields, H-3 regular-else-sale price,
@@ -56,7 +76,9 @@ def store_a_cards(pages: DataFrame, heads: DataFrame | None = None, root: str =
 
     ``sub_category`` is the page's own heading. ``category`` is the heading of
     the page in ``heads`` (page_id, html) whose See-All link leads here (by URL
-    without query); null if there is none.
+    without query); null if there is none. With ``page_rejects`` a page that
+    gives no card has one row with a ``page:`` reason and all of the page in
+    ``page_html`` (pages with the empty notice are no rejects).
     """
     f = STORE_A_FIELDS
     fields = {
@@ -73,7 +95,7 @@ def store_a_cards(pages: DataFrame, heads: DataFrame | None = None, root: str =
     }
     keep = keep if keep is not None else ["page_id"]
     extra = ["url"] if heads is not None and "url" not in keep else []
-    recs = H.records(pages, fields, container={"all_classes": STORE_A_CARD_CLASSES}, keep=[*keep, *extra])
+    recs, about_page = _page_rows(pages, fields, {"all_classes": STORE_A_CARD_CLASSES}, [*keep, *extra], page_rejects)
     recs = recs.filter(not_empty("notice"))
     if heads is None:
         recs = recs.withColumn("category", F.lit(None).cast("string"))
@@ -92,8 +114,22 @@ def store_a_cards(pages: DataFrame, heads: DataFrame | None = None, root: str =
         "prd_discount",
         F.when(F.col("href").isNotNull(), H.join_root(root, "href")).alias("prd_link"),
         "prd_img",
+        *about_page,
     )
-    return out.withColumn("reject_reason", missing_reason(["prd_name", "prd_price", "prd_per_price", "prd_link"]))
+    return with_reason(out, missing_reason(["prd_name", "prd_price", "prd_per_price", "prd_link"]))
+
+
+def split_cards(cards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cards for the cleaner, and P-23's rejects: every other card with its
+    fields as text in ``raw``, and every page without a card in ``page_html``."""
+    bad = F.col("reject_reason").isNotNull()
+    if "page_html" not in cards.columns:
+        cards = cards.withColumn("page_html", F.lit(None).cast("string"))
+    fields = [c for c in CARD_FIELDS if c in cards.columns]
+    raw = F.map_from_arrays(F.array(*[F.lit(c) for c in fields]), F.array(*[F.col(c).cast("string") for c in fields]))
+    rest = [c for c in cards.columns if c not in fields]
+    rejects = cards.where(bad).select(*rest, F.when(F.col("page_html").isNull() & F.col("card").isNotNull(), raw).alias("raw"))
+    return cards.where(~bad).drop("reject_reason", "page_html"), rejects
 
 
 def not_empty(notice: str) -> Column:
@@ -132,12 +168,12 @@ def store_a_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFr
 def store_a_see_all_links(pages: DataFrame, root: str = STORE_A_ROOT, keep: list[str] | None = None) -> DataFrame:
     """H-8: links tagged as navigation whose text is exactly 'See All'."""
     keep = keep if keep is not None else ["page_id"]
-    el = H.elements(pages, "a", keep=keep)
-    hit = (F.col("attrs").getItem("data-testid") == STORE_A_NAV_TESTID) & (F.col("text") == STORE_A_NAV_TEXT)
-    return el.filter(hit).select(*keep, "pos", H.join_root(root, F.col("attrs").getItem("href")).alias("link"))
+    link = {"tag": "a", "attrs": {"data-testid": STORE_A_NAV_TESTID}, "text": STORE_A_NAV_TEXT}
+    recs = H.records(pages, {"href": {"self": True, "get": "@href"}}, container=link, keep=keep)
+    return recs.select(*keep, F.col("rec").alias("pos"), H.join_root(root, F.col("href")).alias("link"))
 
 
-def store_b_listing_cards(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def store_b_listing_cards(pages: DataFrame, keep: list[str] | None = None, page_rejects: bool = False) -> DataFrame:
     """Store-B listing page -> (category, card order, product URL, image).
 
     H-7: the first ``a`` that has an ``href`` and the product ``img``; the
@@ -149,9 +185,9 @@ def store_b_listing_cards(pages: DataFrame, keep: list[str] | None = None) -> Da
         "prd_url": {"tag": "a", "has_attrs": ["href"], "get": "@href"},
         "prd_img": {"tag": "img", "class": STORE_B_IMG_CLASS, "get": "@src"},
     }
-    recs = H.records(pages, fields, container={"tag": "li", "class": STORE_B_CARD_CLASS}, keep=keep)
-    out = recs.select(*keep, F.col("ord").alias("card"), "category", "prd_url", "prd_img")
-    return out.withColumn("reject_reason", missing_reason(["prd_url", "prd_img"]))
+    recs, about_page = _page_rows(pages, fields, {"tag": "li", "class": STORE_B_CARD_CLASS}, keep, page_rejects)
+    out = recs.select(*keep, F.col("ord").alias("card"), "category", "prd_url", "prd_img", *about_page)
+    return with_reason(out, missing_reason(["prd_url", "prd_img"]))
 
 
 def store_b_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -169,7 +205,7 @@ def store_b_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFr
     return recs.select(*keep, n.alias("n_pages"))
 
 
-def store_b_products(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def store_b_products(pages: DataFrame, keep: list[str] | None = None, page_rejects: bool = False) -> DataFrame:
     """Store-B product page -> prices (H-10/H-11) and spec table (H-9).
 
     More than one price: discounted, price = first, original = second;
@@ -185,7 +221,7 @@ def store_b_products(pages: DataFrame, keep: list[str] | None = None) -> DataFra
     }
     for j, name in enumerate(STORE_B_SPEC_FIELDS):
         fields[name] = {"tag": "th", "nth": j, "up": 1, "find": {"tag": "td"}}
-    recs = H.records(pages, fields, keep=keep)
+    recs, about_page = _page_rows(pages, fields, None, keep, page_rejects)
     n = F.col("n_prices").cast("int")
     disc = n > 1
     out = recs.select(
@@ -195,23 +231,25 @@ def store_b_products(pages: DataFrame, keep: list[str] | None = None) -> DataFra
         F.when(disc, F.col("price_2")).otherwise(F.col("price_1")).alias("org_price"),
         F.when(disc, F.lit("SAVING")).alias("on_sale_cat"),
         *STORE_B_SPEC_FIELDS,
+        *about_page,
     )
-    return out.withColumn("reject_reason", missing_reason(["prd_price", *STORE_B_SPEC_FIELDS]))
+    return with_reason(out, missing_reason(["prd_price", *STORE_B_SPEC_FIELDS]))
 
 
-def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, captured_col: str = "captured_at") -> DataFrame:
+def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, captured_col: str = "captured_at", page_rejects: bool = False) -> DataFrame:
     """Store-B rows in clean names: listing cards joined to product pages by URL.
 
     Of several captures of a product page the latest counts, and its capture
     time gives the scrape day (H-18; UTC wall clock). A left join: a card whose
-    product page is missing (or unreadable) is kept as a reject, never dropped.
+    product page is missing or unreadable is kept as a reject, never dropped
+    (with ``page_rejects`` so is a listing page without cards).
     """
     cards = (
-        store_b_listing_cards(listing_pages, keep=["page_id"])
+        store_b_listing_cards(listing_pages, keep=["page_id"], page_rejects=page_rejects)
         .withColumnRenamed("page_id", "listing_page")
         .withColumnRenamed("reject_reason", "card_reject")
     )
-    products = store_b_products(product_pages, keep=["url", captured_col])
+    products = store_b_products(product_pages, keep=["url", captured_col], page_rejects=True).drop("page_html")
     rest = [c for c in products.columns if c not in ("url", captured_col)]
     latest = products.groupBy("url").agg(F.max(F.struct(captured_col, *rest)).alias("p"))
     latest = latest.select("url", timefmt.scrape_day(F.col(f"p.{captured_col}")).alias("scrap_date"), *[f"p.{c}" for c in rest])
@@ -229,6 +267,7 @@ def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, captured_co
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_B_SCHEMA.fields],
         "listing_page",
         "card",
+        *(["page_html"] if page_rejects else []),
         "reject_reason",
     )
 

@@ -144,6 +144,16 @@ NAV_PAGE = " || ".join(
     ]
 )
 
+# pages of ``pages`` as a crawl may deliver them; SQL of both engines
+DAMAGED_PAGE = """CASE page_id % 12
+  WHEN 1 THEN replace(html, '<nav>', '<![foo[x]]><nav>') WHEN 2 THEN html || '<![' WHEN 3 THEN NULL WHEN 4 THEN ''
+  WHEN 5 THEN '  ' || chr(10) WHEN 6 THEN '{"error": 503}' WHEN 7 THEN replace(html, '<a ', '<b ') WHEN 8 THEN replace(html, '</a>', '')
+  WHEN 9 THEN html || '&#' || repeat('9', 5000) || ';' WHEN 10 THEN '<html><body><p>cut off <a hre' WHEN 11 THEN html || '<!-- open'
+  ELSE html END"""
+# store-A pages of which every 13th is damaged in one of four ways
+DAMAGED_CARDS = """CASE WHEN page_id % 13 <> 12 THEN html WHEN page_id % 4 = 0 THEN html || '&#' || repeat('9', 5000) || ';'
+  WHEN page_id % 4 = 1 THEN NULL WHEN page_id % 4 = 2 THEN 'Bad Gateway' ELSE '<html><body><h1>Maintenance</h1></body></html>' END"""
+
 PAGE_KINDS = {
     "store_a": STORE_A_PAGE,
     "store_b_listing": STORE_B_LISTING,

@@ -8,7 +8,7 @@ entities that occur there.
 from __future__ import annotations
 
 from .fixtures import money
-from .html_fixtures import PER_PRICE, pages_cte
+from .html_fixtures import DAMAGED_CARDS, DAMAGED_PAGE, PER_PRICE, pages_cte
 from .oracle_clean_sql import clean_sql
 from .oracles import CLEAN_SELECT, oracle
 
@@ -167,3 +167,22 @@ SELECT page_id AS listing_page, card, category, prd_url, prd_img,
        WHEN pid IS NULL THEN 'missing:prd_id_in_store' END AS reject_reason
 FROM cards""",
 )
+oracle(
+    "page_rejects",
+    f"""WITH p AS (SELECT page_id, {DAMAGED_PAGE} AS page,
+  CAST(len(regexp_extract_all(html, '<a href="')) AS BIGINT) AS n FROM pages),
+r AS (SELECT *, CASE page_id % 12 WHEN 3 THEN 'page:missing' WHEN 4 THEN 'page:empty' WHEN 5 THEN 'page:empty' WHEN 6 THEN 'page:no_markup'
+  WHEN 7 THEN 'page:no_records' WHEN 9 THEN 'page:unreadable:ValueError' WHEN 10 THEN 'page:no_records'
+  ELSE CASE WHEN n = 0 THEN 'page:no_records' END END AS reason FROM p)
+SELECT page_id, CASE WHEN reason IS NULL THEN n END AS n_links, reason, CASE WHEN reason IS NOT NULL THEN sha256(page) END AS page_sha256 FROM r""",
+)
+oracle(
+    "card_rejects",
+    f"""WITH {pages_cte('store_a')}, cards AS ({CARD_ROWS}),
+d AS (SELECT *, {DAMAGED_CARDS} AS page FROM fpages WHERE k % 13 = 12)
+SELECT page_id, url, card, reject_reason, prd_name AS raw_name, prd_link AS raw_link, CAST(NULL AS INTEGER) AS page_chars
+FROM cards WHERE k % 13 <> 12 AND reject_reason IS NOT NULL
+UNION ALL
+SELECT page_id, url, NULL, CASE k % 4 WHEN 0 THEN 'page:unreadable:ValueError' WHEN 1 THEN 'page:missing' WHEN 2 THEN 'page:no_markup' ELSE 'page:no_records' END,
+  NULL, NULL, CAST(length(page) AS INTEGER) FROM d""",
+)

@@ -13,7 +13,7 @@ from ..operators import worklist as W
 from ..schemas import CLEAN_COLUMNS, STORE_A_CARD_CLASSES, STORE_A_FIELDS, STORE_A_NOTICE_CLASS
 from ..sources.pages import read_pages
 from .fixtures import read_table
-from .html_fixtures import part_pages, product_pages
+from .html_fixtures import DAMAGED_CARDS, DAMAGED_PAGE, part_pages, product_pages
 from .queries import query
 
 
@@ -140,7 +140,8 @@ def q_cards_to_clean(spark, sf_dir):
     """
     pages, heads = _part_pages(spark, sf_dir, "store_a"), _part_pages(spark, sf_dir, "nav")
     cards = X.EXTRACTORS["Loblaws"](pages, heads, keep=["page_id", "url", "shard", "captured_at"])
-    cards = cards.filter(F.col("reject_reason").isNull()).withColumn("day", timefmt.scrape_day("captured_at"))
+    cards, _ = X.split_cards(cards)  # ``card_rejects`` has the others
+    cards = cards.withColumn("day", timefmt.scrape_day("captured_at"))
     raw = cards.select(
         paths.object_key(F.lit("Loblaws"), "day", "shard").alias("file"),
         F.struct("page_id", "card").alias("pos"),
@@ -151,6 +152,33 @@ def q_cards_to_clean(spark, sf_dir):
     return good.select(*CLEAN_COLUMNS)
 
 
+def _damaged_pages(spark, sf_dir):
+    """Store-A pages of which some cannot be read, have no markup or no card."""
+    pages = _part_pages(spark, sf_dir, "store_a")
+    return pages.withColumn("html", F.expr(DAMAGED_CARDS))
+
+
+@query("card_rejects")
+def q_card_rejects(spark, sf_dir):
+    """P-23 in the weekly flow: what ``cards_to_clean`` does not clean, cards
+    with a missing field (their fields kept) and pages without cards (kept whole)."""
+    cards = X.store_a_cards(_damaged_pages(spark, sf_dir), keep=["page_id", "url"], page_rejects=True)
+    _, bad = X.split_cards(cards)
+    raw = F.col("raw")
+    return bad.select("page_id", "url", "card", "reject_reason", raw["prd_name"].alias("raw_name"), raw["prd_link"].alias("raw_link"), F.length("page_html").alias("page_chars"))
+
+
+@query("page_rejects")
+def q_page_rejects(spark, sf_dir):
+    """F-4: every page is in exactly one of records and rejects, whatever it
+    holds; rejects keep the whole page."""
+    pages = _pages(spark, sf_dir).withColumn("html", F.expr(DAMAGED_PAGE))
+    links = H.page_records(pages, {"href": {"self": True, "get": "@href"}}, container={"tag": "a", "has_attrs": ["href"]}, keep=["page_id"])
+    good, bad = H.split_pages(links)
+    good = good.groupBy("page_id").agg(F.count("*").alias("n_links"))
+    return good.unionByName(bad.select("page_id", F.col("page_reject").alias("reason"), F.sha2("page_html", 256).alias("page_sha256")), allowMissingColumns=True)
+
+
 @query("store_b_rows")
 def q_store_b_rows(spark, sf_dir):
     """Store-B listing pages + product pages -> rows in clean names, with

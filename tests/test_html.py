@@ -1,9 +1,12 @@
 """HTML extraction rules: class matching, text, entities, tree shape."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricelens.functions import html as H
 from pricelens.functions.html import parse_tree
+from pricelens.operators import extract as X
+from pricelens.schemas import STORE_A_CARD_CLASSES, STORE_A_FIELDS
 
 
 def _records(spark, html, fields, container=None):
@@ -94,7 +97,7 @@ def test_page_code_ships_by_value():
 
 def test_repeated_attribute_keeps_last_value():
     t = parse_tree('<a href="/first" href="/last" class="x" class="y z">t</a>')
-    assert t.attrs[0]["href"] == "/last" and t.class_text(0) == "y z"
+    assert t.attrs[0]["href"] == "/last" and t.cls[0] == "y z"
 
 
 def test_pager_heading_and_notice(spark):
@@ -134,3 +137,82 @@ def test_store_b_takes_the_latest_capture(spark):
     )
     rows = X.EXTRACTORS["HMart"](listing, products).collect()
     assert [(r.prd_price, str(r.scrap_date), r.category, r.reject_reason) for r in rows] == [("$3", "2024-07-01", "Cat", None)]
+
+
+def test_no_page_is_lost(spark):
+    odd = [None, "", " \n", "no markup at all", "<p>x</p>", "<a href=1>a</a>" * 3, "<![foo[x]]><a href=1>a</a>", "<a href=1>a</a><![", "&#" + "9" * 5000 + ";<a href=1>", "<a href=1>" * 4 + "z", "<a href=1>a</a><a hre"]
+    df = spark.createDataFrame(list(enumerate(odd)), "page_id long, html string")
+    rows = H.page_records(df, {"n": {"tag": "a", "get": "count", "scope": "page"}, "t": {"self": True}}, container={"tag": "a", "has_attrs": ["href"]}).cache()
+    good, bad = H.split_pages(rows)
+    assert good.columns == ["page_id", "rec", "ord", "n", "t"] and bad.columns == ["page_id", "n", "t", "page_reject", "page_html"]
+    reasons = {r.page_id: r.page_reject for r in bad.collect()}
+    assert reasons == {0: "page:missing", 1: "page:empty", 2: "page:empty", 3: "page:no_markup", 4: "page:no_records", 8: "page:unreadable:ValueError"}
+    assert {r.page_id: r.page_html for r in bad.collect()} == {i: odd[i] for i in reasons}
+    assert sorted((r.page_id, r.ord) for r in good.collect()) == [(5, 0), (5, 1), (5, 2), (6, 0), (7, 0), (9, 0), (9, 1), (9, 2), (9, 3), (10, 0)]
+    assert [r.n for r in bad.where("page_id = 4").collect()] == ["0"]  # page-level fields are read as far as they go
+    assert H.page_records(df.limit(0), {}).count() == 0
+
+
+def test_cards_and_pages_set_apart(spark):
+    f = STORE_A_FIELDS
+    card = f'<div class="{" ".join(STORE_A_CARD_CLASSES)}"><h3 class="{f["prd_name"]}">n</h3></div>'
+    pages = spark.createDataFrame([(1, "u1", card), (2, "u2", "<p>busy</p>"), (3, "u3", None)], "page_id long, url string, html string")
+    good, bad = X.split_cards(X.store_a_cards(pages, keep=["page_id", "url"], page_rejects=True))
+    assert good.count() == 0
+    got = {r.page_id: r for r in bad.collect()}
+    assert {i: r.reject_reason for i, r in got.items()} == {1: "missing:prd_price", 2: "page:no_records", 3: "page:missing"}
+    assert got[1].raw["prd_name"] == "n" and got[1].page_html is None and got[2].page_html == "<p>busy</p>" and got[2].raw is None
+    only_cards = X.store_a_cards(pages)
+    assert "page_html" not in only_cards.columns and only_cards.count() == 1
+
+
+@pytest.mark.parametrize("unit", ['<a href="x" data-testid="nav-list-link">See All', "<div class='a b'>", "</p>", "<li>", "<a ", "<!--", "<![", "<p></span>", "&#x41;"])
+def test_time_is_linear_in_the_page(unit):
+    import time
+
+    fields = {"href": {"tag": "a", "get": "@href"}, "no": {"tag": "i", "class": "b"}, "n": {"tag": "a", "get": "count"}, "deep": {"class": "b", "nth": 3, "up": 1, "get": "@class"}}
+    took = []
+    for n in (12_500, 50_000):
+        start = time.process_time()
+        rows = list(H.iter_records("<nav>" + unit * n, {"class": "a"}, fields))
+        links = list(H.iter_elements("<nav>" + unit * n, "a", {"attrs": {"data-testid": "nav-list-link"}, "text": "See All"}))
+        took.append(time.process_time() - start)
+    assert took[1] < 10 and took[1] < 12 * took[0] + 0.5
+    if "href" in unit:
+        assert len(links) == 1 and len(rows) == 0  # of nested links the innermost has just that text
+    if "a b" in unit:
+        assert len(rows) == n and rows[0][2]["n"] == "0"
+
+
+def _walk(tree, spec, lo, hi):
+    """First principles: every element of the interval is looked at."""
+
+    def fits(i):
+        return (
+            spec.get("tag") in (None, tree.tags[i])
+            and (spec.get("class") is None or spec["class"] == tree.cls[i] or spec["class"] in tree.cls[i].split())
+            and all(c in tree.cls[i].split() for c in spec.get("all_classes", ()))
+            and all(tree.attrs[i].get(k) == v for k, v in spec.get("attrs", {}).items())
+            and all(k in tree.attrs[i] for k in spec.get("has_attrs", ()))
+            and spec.get("text") in (None, tree.text(i))
+        )
+
+    return [i for i in range(lo, hi) if fits(i)]
+
+
+def test_index_agrees_with_a_walk():
+    import random
+
+    rnd = random.Random(4)
+    tags, classes = ["a", "p", "li", "br", "script"], ["", ' class="x"', ' class="x y"', ' class=" y  x "', ' href="1"', ' href="2" class="y"']
+    specs = [{"tag": "a"}, {"class": "x"}, {"class": "x y"}, {"all_classes": ["x", "y"]}, {"tag": "p", "class": "y"}, {"attrs": {"href": "1"}}, {"has_attrs": ["href"], "class": "y"}, {"text": "t"}, {}]
+    for _ in range(60):
+        page = "".join(rnd.choice([f"<{rnd.choice(tags)}{rnd.choice(classes)}>", f"</{rnd.choice(tags)}>", "t", " "]) for _ in range(rnd.randrange(1, 60)))
+        tree = parse_tree(page)
+        n = len(tree.tags)
+        for spec in specs:
+            for lo, hi in [(0, n)] + [(i + 1, tree.last[i]) for i in range(n)]:
+                want = _walk(tree, spec, lo, hi)
+                assert H._Selector({**spec, "get": "count"}).value(tree, lo, hi) == str(len(want))
+                for nth in (0, 2):
+                    assert H._Selector({**spec, "nth": nth}).value(tree, lo, hi) == (tree.text(want[nth]) if nth < len(want) else None)
