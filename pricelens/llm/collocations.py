@@ -450,18 +450,18 @@ OP11_SQL = r"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang,
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
-s AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), x -> x <> '') AS w FROM p),
+s AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p),
 g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM s
-  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), i -> array_to_string(w[i:i+1], ' '))) FROM s WHERE len(w) >= 2
-  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i+2], ' '))) FROM s WHERE len(w) >= 3),
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i+1], ' '))) FROM s WHERE len(w) >= 2
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) FROM s WHERE len(w) >= 3),
 c AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
 size AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE k = 1 GROUP BY lang),
 cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM c WHERE k >= 2 AND f >= 10),
-cut AS (SELECT lang, phrase, a, w, 1 AS at, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM cand
+cut AS (SELECT lang, phrase, a, w, 1 AS cut_at, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM cand
   UNION ALL SELECT lang, phrase, a, w, 2, array_to_string(w[1:2], ' '), w[3] FROM cand WHERE k = 3),
 scored AS (SELECT cut.*, cl.f AS l, cr.f AS r,
     (1000000::HUGEINT * a * a) // (cl.f::HUGEINT * cr.f) AS score,
-    row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY (1000000::HUGEINT * a * a) // (cl.f::HUGEINT * cr.f), at) AS pick
+    row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY (1000000::HUGEINT * a * a) // (cl.f::HUGEINT * cr.f), cut_at) AS pick
   FROM cut JOIN c cl ON cl.lang = cut.lang AND cl.phrase = x JOIN c cr ON cr.lang = cut.lang AND cr.phrase = y),
 inside AS (SELECT lang, phrase, max(f) AS f FROM (
     SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a AS f FROM cand WHERE k = 3
