@@ -144,6 +144,19 @@ NAV_PAGE = " || ".join(
     ]
 )
 
+# Hubs that lead on: every page's See-All link goes to a listing, to a page that
+# was never captured and, three times out of four, to the next hub. Listings have pagers.
+HUB_PAGE = " || ".join(
+    [
+        f"'<div id=\"site-content\"><h2 class=\"{HEADING}\">' || p_brand || '</h2>'",
+        f"CASE WHEN k % 4 <> 3 THEN '<a data-testid=\"nav-list-link\" href=\"/h/' || CAST(k + 1 AS STRING) || '\">See All</a>' ELSE '' END",
+        f"'<a data-testid=\"nav-list-link\" href=\"/c/' || {K} || '/all\">See All</a>'",
+        f"CASE WHEN k % 5 = 0 THEN '<a data-testid=\"nav-list-link\" href=\"/c/' || {K} || '/more\">See All</a>' ELSE '' END",
+        f"CASE WHEN k % 4 = 2 THEN '<a data-testid=\"nav-list-link\" href=\"/h/' || CAST(k - 2 AS STRING) || '\">See All</a>' ELSE '' END",
+        f"'<a data-testid=\"other\" href=\"/x/' || {K} || '\">See All</a></div>'",
+    ]
+)
+
 # pages of ``pages`` as a crawl may deliver them; SQL of both engines
 DAMAGED_PAGE = """CASE page_id % 12
   WHEN 1 THEN replace(html, '<nav>', '<![foo[x]]><nav>') WHEN 2 THEN html || '<![' WHEN 3 THEN NULL WHEN 4 THEN ''
@@ -159,12 +172,14 @@ PAGE_KINDS = {
     "store_b_listing": STORE_B_LISTING,
     "store_b_product": STORE_B_PRODUCT,
     "nav": NAV_PAGE,
+    "hub": HUB_PAGE,
 }
 PAGE_URLS = {
     "store_a": f"'https://www.loblaws.ca/c/' || {K} || '/all'",
     "store_b_listing": f"'https://mart.example/c/' || {K}",
     "store_b_product": f"'https://mart.example/p/' || {K} || '-0.html'",
     "nav": f"'https://www.loblaws.ca/n/' || {K}",
+    "hub": f"'https://www.loblaws.ca/h/' || {K}",
 }
 
 _BASE_SQL = ", ".join(f"{e} AS {n}" for n, e in BASE_EXPRS)

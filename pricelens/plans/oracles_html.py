@@ -186,3 +186,24 @@ UNION ALL
 SELECT page_id, url, NULL, CASE k % 4 WHEN 0 THEN 'page:unreadable:ValueError' WHEN 1 THEN 'page:missing' WHEN 2 THEN 'page:no_markup' ELSE 'page:no_records' END,
   NULL, NULL, CAST(length(page) AS INTEGER) FROM d""",
 )
+_A = "'https://www.loblaws.ca"
+oracle(
+    "page_closure",
+    f"""WITH RECURSIVE {pages_cte('store_a')},
+p AS (SELECT k, CAST(k AS VARCHAR) AS n, CASE WHEN k % 4 = 0 THEN 0 ELSE k % 5 END AS last FROM fpages),
+pg AS (SELECT k, n, unnest(generate_series(1, last)) AS i FROM p WHERE last >= 1),
+captured AS (SELECT {_A}/h/' || n AS url FROM p UNION SELECT {_A}/c/' || n || '/all' FROM p
+  UNION SELECT {_A}/c/' || n || '/all?page=' || CAST(i AS VARCHAR) FROM pg WHERE i % 2 = 1),
+link AS (
+  SELECT {_A}/h/' || n AS a, {_A}/h/' || CAST(k + 1 AS VARCHAR) AS b FROM p WHERE k % 4 <> 3
+  UNION SELECT {_A}/h/' || n, {_A}/h/' || CAST(k - 2 AS VARCHAR) FROM p WHERE k % 4 = 2
+  UNION SELECT {_A}/h/' || n, {_A}/c/' || n || '/all' FROM p
+  UNION SELECT {_A}/h/' || n, {_A}/c/' || n || '/more' FROM p WHERE k % 5 = 0
+  UNION SELECT {_A}/c/' || n || '/all', {_A}/c/' || n || '/all?page=' || CAST(i AS VARCHAR) FROM pg
+  UNION SELECT x.url, {_A}/c/' || n || '/all?page=' || CAST(i AS VARCHAR) FROM pg JOIN captured x ON x.url LIKE '%?page=%' AND split_part(x.url, '?', 1) = {_A}/c/' || n || '/all'
+), reach AS (
+  SELECT {_A}/h/' || n AS url, 0 AS depth FROM p WHERE k % 4 = 1
+  UNION SELECT b, depth + 1 FROM reach JOIN link ON a = url WHERE depth < 12
+)
+SELECT url, CAST(min(depth) AS INTEGER) AS depth, url IN (SELECT url FROM captured) AS captured FROM reach GROUP BY url""",
+)

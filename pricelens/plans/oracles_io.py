@@ -107,10 +107,9 @@ UNION ALL SELECT {IDS}, reject_reason, raw_price, prd_link FROM m WHERE st = 'Lo
 UNION ALL SELECT {UNKNOWN}, 'unknown_store', raw_price, prd_link FROM r WHERE st <> 'Loblaws'""",
 )
 oracle("replay_idempotent", CLEAN_ORACLE)
-oracle(
-    "failure_alerts",
-    f"""SELECT event_id, ts, 'FAILED' AS status,
+FAILURES = f"""SELECT event_id, ts, 'FAILED' AS status,
   'daily_scrapping_' || {STORES3.format(x='user_id')} || '_' || CAST(user_id % 16 AS VARCHAR) AS job_name
-FROM events WHERE event_type = 'error' AND user_id % 10 <> 0""",
-)
+FROM events WHERE event_type = 'error' AND user_id % 10 <> 0"""
+oracle("failure_alerts", FAILURES)
+oracle("alerts_once", FAILURES)  # however often an event was delivered
 oracle("json_roundtrip", CLEAN_ORACLE)

@@ -10,7 +10,9 @@ from ..functions import paths, timefmt
 from ..operators import clean as C
 from ..operators import extract as X
 from ..operators import worklist as W
+from ..operators.closure import page_closure, page_links
 from ..schemas import CLEAN_COLUMNS, STORE_A_CARD_CLASSES, STORE_A_FIELDS, STORE_A_NOTICE_CLASS
+from ..session import scratch_path, written_once
 from ..sources.pages import read_pages
 from .fixtures import read_table
 from .html_fixtures import DAMAGED_CARDS, DAMAGED_PAGE, part_pages, product_pages
@@ -120,6 +122,24 @@ def q_price_pair(spark, sf_dir):
     )
 
 
+@query("page_closure")
+def q_page_closure(spark, sf_dir):
+    """All pages that every fourth hub leads to, and which were not captured.
+
+    Captured are all hubs, all listings and the odd ones of the listings'
+    further pages.
+    """
+    hubs, listings = _part_pages(spark, sf_dir, "hub"), _part_pages(spark, sf_dir, "store_a")
+    urls = W.store_a_page_urls(X.store_a_page_info(listings)).where("page_no % 2 = 1 AND page_url <> url")
+    further = listings.join(urls.select("page_id", "page_url"), "page_id").select(F.col("page_url").alias("url"), "html")
+    pages = hubs.select("url", "html").unionByName(listings.select("url", "html")).unionByName(further)
+    with written_once(page_links(pages), "page-links") as links, written_once(pages.select("url"), "page-urls") as captured:
+        out = page_closure(hubs.where("page_id % 4 = 1").select("url"), links, captured)
+        path = scratch_path(spark, "page-closure")
+        out.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("links_by_category")
 def q_links_by_category(spark, sf_dir):
     """A-2/A-3: links grouped by category in page and card order, one row

@@ -19,8 +19,8 @@ from ..schemas import CLEAN_COLUMNS, CLEAN_LISTING_SCHEMA, JOB_EVENT_SCHEMA, RAW
 from ..session import scratch_path
 from ..sinks import files as K
 from ..sinks.upsert import upsert
-from ..sources.listings import read_listing_csv, store_dimension, stream_listing_csv, with_pos, write_listing_csv
-from ..streaming.alerts import start_alert_stream
+from ..sources.listings import read_listing_csv, store_dimension, stream_listing_csv, write_listing_csv
+from ..streaming.alerts import start_alert_once_stream, start_alert_stream
 from ..streaming.files import clean_and_upsert_batch, start_clean_upsert_stream
 from .fixtures import raw_listings, read_table
 from .html_fixtures import part_pages, product_pages
@@ -60,7 +60,7 @@ def q_file_stream(spark, sf_dir):
     out = scratch_path(spark, "file-stream-out")
 
     def each(batch, epoch_id):
-        named = with_pos(batch).select(*RAW_LISTING_COLUMNS, F.lit(epoch_id).cast("long").alias("batch_id"))
+        named = batch.select(*RAW_LISTING_COLUMNS, F.lit(epoch_id).cast("long").alias("batch_id"))
         named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
 
     q = (
@@ -237,6 +237,29 @@ def q_failure_alerts(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "ts", "status", "job_name")
 
 
+#: First and repeated deliveries of job events, by ten days: a seventh arrives
+#: only with the next delivery, a third again with it, a sixth twice in one.
+DELIVERIES = "CAST(FLOOR((day(ts) - 1) / 10) AS INT)"
+
+
+@query("alerts_once")
+def q_alerts_once(spark, sf_dir):
+    """Events delivered late and more than once, in four deliveries with a
+    restart of the stream at each: one notice per failure."""
+    events = read_table(spark, sf_dir, "events").selectExpr(*JOB_EVENTS, f"{DELIVERIES} AS d")
+    late = F.col("event_id") % 7 == 0
+    again = F.when(F.col("event_id") % 3 == 0, F.array(F.col("d") + 1)).otherwise(F.array().cast("array<int>"))
+    twice = F.when(F.col("event_id") % 6 == 0, F.array(F.col("d") + 1)).otherwise(F.array().cast("array<int>"))
+    first = F.array(F.when(late, F.col("d") + 1).otherwise(F.col("d")))
+    sent = events.withColumn("delivery", F.explode(F.concat(first, again, twice))).drop("d")
+    landing, out, checkpoint = (scratch_path(spark, f"alerts-once-{n}") for n in ("in", "out", "ckpt"))
+    stream = spark.readStream.schema(sent.drop("delivery").schema).parquet(landing + "/*")
+    for d in range(4):
+        sent.where(F.col("delivery") == d).drop("delivery").write.parquet(f"{landing}/{d}")
+        start_alert_once_stream(stream, out, checkpoint, delay="21 days").awaitTermination()
+    return spark.read.parquet(out).select("event_id", "ts", "status", "job_name")
+
+
 @query("json_roundtrip")
 def q_json_roundtrip(spark, sf_dir):
     """K-3 file form: clean rows as JSON lines (nulls written out), read back

@@ -1,13 +1,12 @@
 """Listing CSV sources (S-1, S-2) and the store dimension (S-7).
 
-Every file is read as text cells (``multiLine``: quoted fields may hold
-newlines; ``"`` is the escape) and its columns are matched by the names in its
-own header row, so files of different stores and column orders are read in one
-scan. ``store`` comes from the path (S-3). A multi-line CSV file cannot be
-split, so each file is read by one task; the producers write one file per
-(store, shard), which keeps files small. ``pos`` is taken right after the scan:
-within one file it follows the file's row order, which is what "keep the first
-row" needs.
+Every file is read once, whole, by one task (a CSV file with newlines in quoted
+cells cannot be split; the producers write one file per (store, shard), which
+keeps files small, and 2 GB is the most). Its columns are matched by the names
+in its own header row, whatever their number and order, so files of different
+stores are read in one scan; ``functions.csvrows`` says how no cell is lost.
+``store`` comes from the path (S-3). ``pos`` is the row's place in its file,
+which is what "keep the first row" needs.
 """
 
 from __future__ import annotations
@@ -16,39 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths
+from ..functions.csvrows import csv_rows
 from ..schemas import RAW_LISTING_COLUMNS, STORE_SHARDS, STORE_SITES
 from ..sinks.files import CSV_WRITE_OPTIONS
 
-#: The header is read as a row; empty cells stay empty text (they become null later).
-CSV_OPTIONS = {"header": "false", "multiLine": "true", "escape": '"', "pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
-#: Cells read per row. Columns of a file beyond that many are not seen.
-MAX_CELLS = 32
-CELLS_SCHEMA = ", ".join(f"c{i} string" for i in range(MAX_CELLS))
+FILE_OPTIONS = {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _cells(df: DataFrame, root: str) -> DataFrame:
+def _files(df: DataFrame, root: str) -> DataFrame:
     return df.select(
-        F.array(*[f"c{i}" for i in range(MAX_CELLS)]).alias("values"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_modification_time").alias("file_time"),
         paths.key_store(paths.relative_key("_metadata.file_path", root)).alias("store"),
+        "content",
     )
 
 
-def by_header(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows of ``values`` with ``pos`` -> the named columns, and all ``cells`` by name.
-
-    The first row of a file is its header. ``malformed`` marks rows with a cell
-    beyond the header. A column that a file does not have is null.
-    """
-    heads = rows.groupBy("file").agg(F.min(F.struct("pos", "values")).alias("head")).select(F.col("file").alias("head_file"), "head")
-    joined = rows.join(heads, rows["file"] == heads["head_file"]).where(F.col("pos") > F.col("head.pos"))
-    pairs = F.filter(F.arrays_zip(F.col("head.values").alias("name"), F.col("values").alias("value")), lambda p: p["name"].isNotNull())
-    beyond = F.exists(F.arrays_zip(F.col("head.values").alias("name"), F.col("values").alias("value")), lambda p: p["name"].isNull() & p["value"].isNotNull())
-    # of columns with one name the first counts
-    first = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["name"]), p["name"]) == i + 1)
-    named = joined.select("file", "file_time", "store", "pos", F.map_from_entries(first).alias("cells"), beyond.alias("malformed"))
-    return named.select(*[F.col("cells").getItem(c).alias(c) for c in columns or RAW_LISTING_COLUMNS], "file", "file_time", "store", "pos", "cells", "malformed")
+def with_names(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The named columns beside all ``cells``; a column that a file does not have is null."""
+    return rows.select(*[F.col("cells").getItem(c).alias(c) for c in columns or RAW_LISTING_COLUMNS], "file", "file_time", "store", "pos", "cells", "malformed")
 
 
 def read_listing_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -57,27 +43,20 @@ def read_listing_csv(spark: SparkSession, path: str, columns: list[str] | None =
     Keys are ``<store>/<file>.csv`` (or ``store=X/...``). Adds ``file``,
     ``file_time``, ``store``, ``pos``, ``cells`` and ``malformed``.
     """
-    rows = _cells(spark.read.schema(CELLS_SCHEMA).options(**CSV_OPTIONS).csv(path), path)
-    return by_header(rows.withColumn("pos", F.monotonically_increasing_id()), columns)
+    return with_names(csv_rows(_files(spark.read.format("binaryFile").options(**FILE_OPTIONS).load(path), path)), columns)
 
 
-def stream_listing_csv(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """S-2: the same files as a stream; each new ``*.csv`` is read once.
+def stream_listing_csv(spark: SparkSession, path: str, max_files: int | None = None, columns: list[str] | None = None) -> DataFrame:
+    """S-2: the same rows as a stream; each new ``*.csv`` is read once.
 
     The checkpoint of the query that consumes this stream records which files
-    were taken, so a restart does not read a file twice. The stream holds the
-    cells; ``with_pos`` gives the rows of a micro-batch their position and
-    names (a file is always whole in one micro-batch).
+    were taken, so a restart does not read a file twice. A file is always whole
+    in one micro-batch.
     """
-    reader = spark.readStream.schema(CELLS_SCHEMA).options(**CSV_OPTIONS)
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**FILE_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return _cells(reader.csv(path), path)
-
-
-def with_pos(batch: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Named rows, in file order, of a micro-batch of the stream."""
-    return by_header(batch.withColumn("pos", F.monotonically_increasing_id()), columns)
+    return with_names(csv_rows(_files(reader.load(path), path)), columns)
 
 
 def write_listing_csv(df: DataFrame, path: str, columns: list[str] | None = None, mode: str = "append") -> None:

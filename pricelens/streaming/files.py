@@ -17,7 +17,7 @@ from ..operators.dispatch import Cleaner, clean_dispatch
 from ..schemas import DEFAULT_UPSERT_KEY
 from ..session import written_once
 from ..sinks.upsert import write_upsert
-from ..sources.listings import stream_listing_csv, with_pos
+from ..sources.listings import stream_listing_csv
 
 
 def upsert_clean_rows(spark: SparkSession, good: DataFrame, table_path: str, keys: list[str] | None = None, batch_written: bool = False) -> None:
@@ -78,7 +78,7 @@ def start_clean_upsert_stream(
     src = stream_listing_csv(spark, landing_path)
 
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        clean_and_upsert_batch(batch_df.sparkSession, with_pos(batch_df), table_path, rejects_path, batch_id=epoch_id)
+        clean_and_upsert_batch(batch_df.sparkSession, batch_df, table_path, rejects_path, batch_id=epoch_id)
 
     writer = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
