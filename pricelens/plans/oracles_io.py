@@ -5,7 +5,7 @@ from __future__ import annotations
 from .fixtures import RAW_LISTING_CTE
 from .html_fixtures import pages_cte
 from .oracles import CLEAN_SELECT, ROWS_CTE, oracle
-from .oracles_html import STORE_B_CARDS
+from .oracles_html import STORE_B_CARDS, rx
 
 RAW_COLS = "date, category, sub_category, prd_name, prd_brand, prd_price, prd_per_price, prd_discount, prd_link, prd_img"
 STORES3 = "CASE {x} % 3 WHEN 0 THEN 'Loblaws' WHEN 1 THEN 'HMart' ELSE 'Metro' END"
@@ -15,6 +15,27 @@ CLEAN_ORACLE = f"WITH {ROWS_CTE} SELECT {CLEAN_SELECT} FROM firsts WHERE reject_
 CELLS = ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_COLS.split(", "))
 oracle("csv_scan", f"WITH {RAW_LISTING_CTE} SELECT {CELLS} FROM raw_listing")
 oracle("file_stream", f"WITH {RAW_LISTING_CTE} SELECT {CELLS} FROM raw_listing")
+oracle(
+    "csv_wide",
+    """WITH p AS (SELECT *, p_partkey % 3 = 0 AS short, p_partkey % 3 <> 0 AND p_partkey % 5 = 0 AS long FROM part)
+SELECT '/p/' || p_partkey AS prd_link, CASE WHEN NOT short THEN p_name || ', "x"' END AS prd_name,
+  CASE WHEN NOT short THEN '00' || p_partkey % 7 END AS w2, CASE WHEN NOT short THEN '00' || p_partkey % 7 END AS w35, CASE WHEN NOT short THEN '00' || p_partkey % 7 END AS w38,
+  CAST(CASE WHEN long THEN 41 ELSE 40 END AS INTEGER) AS n_cells, long AS malformed, CASE WHEN long THEN 'columns' ELSE 'date' END AS reject_reason,
+  CASE WHEN long THEN 'beyond' END AS beyond
+FROM p""",
+)
+oracle(
+    "named_files",
+    f"""WITH {RAW_LISTING_CTE}
+SELECT 'Loblaws/Loblaws_2023-11-16_' || CAST(shard AS VARCHAR) || '.csv' AS object_key, 'Loblaws' AS name_store, DATE '2023-11-16' AS name_day,
+  CAST(shard AS INTEGER) AS shard, {CELLS} FROM raw_listing""",
+)
+oracle(
+    "page_bytes",
+    f"""WITH c AS (SELECT * FROM (VALUES ('utf8', 'utf-8'), ('bom', 'utf-8'), ('latin1', 'cp1252'), ('utf16', 'utf-16-be')) t(copy, charset))
+SELECT page_id, copy, charset, {rx('<title>(.*?)</title>')} AS title, {rx('<h1>(.*?)</h1>')} AS h1,
+  CAST(len(regexp_extract_all(html, '<a ')) AS BIGINT) AS n_links, {rx('<footer>(.*?)</footer>')} AS footer FROM pages, c""",
+)
 STORE_OF = STORES3.format(x="shard")
 oracle(
     "path_columns",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import paths
 from ..operators import clean as C
 from ..operators import dispatch as D
@@ -18,8 +19,10 @@ from ..operators import worklist as W
 from ..schemas import CLEAN_COLUMNS, CLEAN_LISTING_SCHEMA, JOB_EVENT_SCHEMA, RAW_LISTING_COLUMNS
 from ..session import scratch_path
 from ..sinks import files as K
+from ..sinks.named_files import write_named_files
 from ..sinks.upsert import upsert
 from ..sources.listings import read_listing_csv, store_dimension, stream_listing_csv, write_listing_csv
+from ..sources.pages import decode_pages, read_page_files, read_pages
 from ..streaming.alerts import start_alert_once_stream, start_alert_stream
 from ..streaming.files import clean_and_upsert_batch, start_clean_upsert_stream
 from .fixtures import raw_listings, read_table
@@ -54,6 +57,69 @@ def q_csv_scan(spark, sf_dir):
     return read_listing_csv(spark, _landing(spark, sf_dir, "csv-scan")).select(*RAW_LISTING_COLUMNS)
 
 
+#: Lines of a listing file with 40 columns: rows that end early, rows as long as
+#: the header and, every fifth, a row with a cell too many.
+WIDE_HEAD = ",".join(["prd_link", *[f"w{i}" for i in range(1, 39)], "prd_name"])
+WIDE_LINE = (
+    "CASE WHEN p_partkey % 3 = 0 THEN '/p/' || p_partkey || ',a' ELSE '/p/' || p_partkey || ',a' || repeat(',00' || p_partkey % 7, 37) || ',\"' || p_name || ', \"\"x\"\"\"' "
+    "|| CASE WHEN p_partkey % 5 = 0 THEN ',beyond' ELSE '' END END"
+)
+
+
+@query("csv_wide")
+def q_csv_wide(spark, sf_dir):
+    """S-1 with files of 40 columns and ragged rows: every cell comes back or
+    its row is a ``columns`` reject that holds it."""
+    part = read_table(spark, sf_dir, "part")
+    lines = part.selectExpr("CAST(p_partkey % 4 AS STRING) AS name", "p_partkey AS k", f"{WIDE_LINE} AS line")
+    heads = part.selectExpr("CAST(p_partkey % 4 AS STRING) AS name", "CAST(-1 AS BIGINT) AS k").distinct().withColumn("line", F.lit(WIDE_HEAD))
+    path = scratch_path(spark, "csv-wide")
+    rows = lines.unionByName(heads).repartition("name").sortWithinPartitions("name", "k").select("name", "line")
+    rows.write.options(sep="\u0001", quote="", header="false").partitionBy("name").csv(f"{path}/store=Loblaws")
+    raw = read_listing_csv(spark, path)
+    cleaned = D.clean_dispatch(raw).select("prd_id_in_store", "reject_reason", "raw", "pos", "file")
+    cells = F.col("cells")
+    got = raw.join(cleaned, ["file", "pos"], "left").select(
+        "prd_link", "prd_name", cells["w2"].alias("w2"), cells["w35"].alias("w35"), cells["w38"].alias("w38"),
+        F.size("cells").alias("n_cells"), "malformed", "reject_reason", F.col("raw")["+1"].alias("beyond"),
+    )
+    return got
+
+
+@query("named_files")
+def q_named_files(spark, sf_dir):
+    """Clean rows as one file per (store, day, shard) under the producers' name,
+    listed and read back."""
+    raw = raw_listings(read_table(spark, sf_dir, "part"), with_helpers=True)
+    named = raw.select(F.format_string("%s/%s_%s_%d.csv", F.lit("Loblaws"), F.lit("Loblaws"), F.lit("2023-11-16"), F.col("shard")).alias("file"), "pos", *RAW_LISTING_COLUMNS)
+    path = scratch_path(spark, "named-files")
+    write_named_files(named.where("shard < 6"), path, order=["pos"])
+    write_named_files(named.where("shard >= 5"), path, order=["pos"])  # shard 5 again: replaced by the same rows
+    rows = read_listing_csv(spark, path)
+    name = paths.file_name("file")
+    return rows.select(
+        paths.relative_key("file", path).alias("object_key"), *[c.alias(a) for c, a in zip(paths.name_parts(name), ("name_store", "name_day", "shard"))], *RAW_LISTING_COLUMNS
+    )
+
+
+@query("page_bytes")
+def q_page_bytes(spark, sf_dir):
+    """S-6: pages saved as files in UTF-8, with a byte order mark, in Latin-1
+    and in UTF-16 give the same rows."""
+    pages = read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet", ("page_id", "html"))
+    bom = F.unhex(F.lit("EFBBBF"))
+    latin = F.replace("html", F.lit('charset="utf-8"'), F.lit('charset="ISO-8859-1"'))
+    copies = {"utf8": F.encode("html", "UTF-8"), "bom": F.concat(bom, F.encode(latin, "UTF-8")), "latin1": F.encode(latin, "ISO-8859-1"), "utf16": F.encode("html", "UTF-16")}
+    files = pages.select("page_id", F.explode(F.create_map(*[x for n, c in copies.items() for x in (F.lit(n), c)])).alias("copy", "content"))
+    path = scratch_path(spark, "page-bytes")
+    write_named_files(files.select(F.format_string("%s/%d.html", "copy", "page_id").alias("file"), "content"), path, content="content")
+    got = decode_pages(read_page_files(spark, path))
+    fields = {"title": {"tag": "title"}, "h1": {"tag": "h1"}, "n_links": {"tag": "a", "get": "count"}, "footer": {"tag": "footer"}}
+    recs = H.records(got, fields, keep=["key", "charset"])
+    key = F.split("key", "[/.]")
+    return recs.select(F.try_element_at(key, F.lit(2)).cast("bigint").alias("page_id"), F.try_element_at(key, F.lit(1)).alias("copy"), "charset", "title", "h1", F.col("n_links").cast("bigint").alias("n_links"), "footer")
+
+
 @query("file_stream")
 def q_file_stream(spark, sf_dir):
     landing = _landing(spark, sf_dir, "file-stream-in")

@@ -204,3 +204,113 @@ def test_upsert_reads_only_the_batch_partitions(spark):
     write_upsert(spark, path, batch.withColumn("p", F.lit(-1.0)).withColumn("seq", F.lit(1)), ["store", "id", "day"], "seq", ["store", "day"])
     after = spark.read.schema(rows.schema).parquet(path)
     assert after.count() == 60 and after.where("p = -1").count() == 2
+
+
+def test_no_cell_is_lost(spark, tmp_path):
+    from pricelens.sources.listings import read_listing_csv
+
+    land = tmp_path / "land"
+    head = ",".join(f"h{i}" for i in range(60))
+    write_file(land / "A", "wide.csv", head + "\n" + ",".join(f"0{i}" for i in range(60)) + "\n" + "x\n\n" + ",".join("y" * 63) + "\n" + ",".join(["z"] * 60) + ",,\n")
+    write_file(land / "B", "odd.csv", "﻿a,a,,b,a.1,\n1,2,,4,5,\n1,2,3,4,5,\n\"q\"\"q\",\"l\nl\", s ,,\"\",6\n")
+    write_file(land / "C", "empty.csv", "")
+    write_file(land / "C", "head.csv", "a,b\n")
+    rows = {(r.store, r.pos): r for r in read_listing_csv(spark, str(land), ["h0", "h59", "a", "nothing"]).collect()}
+    assert sorted(rows) == [("A", 1), ("A", 2), ("A", 3), ("A", 4), ("B", 1), ("B", 2), ("B", 3)]
+    a1, a2, a3, a4 = (rows["A", i] for i in (1, 2, 3, 4))
+    assert (a1.h0, a1.h59, a1.malformed, len(a1.cells), a1.nothing) == ("00", "059", False, 60, None)
+    assert (a2.h0, a2.h59, a2.malformed) == ("x", None, False)
+    assert a3.malformed and [a3.cells[f"+{i}"] for i in (1, 2, 3)] == ["y"] * 3
+    assert not a4.malformed and a4.cells["+2"] is None
+    b1, b2, b3 = (rows["B", i] for i in (1, 2, 3))
+    assert b1.cells == {"a": "1", "a.2": "2", "Unnamed: 2": None, "b": "4", "a.1": "5", "Unnamed: 5": None} and not b1.malformed
+    assert b2.malformed and b2.cells["Unnamed: 2"] == "3"
+    assert b3.malformed and b3.cells["a"] == 'q"q' and b3.cells["a.2"] == "l\nl" and b3.cells["Unnamed: 2"] == " s " and b3.cells["Unnamed: 5"] == "6"
+
+
+def test_a_huge_cell(spark, tmp_path):
+    from pricelens.sources.listings import read_listing_csv
+
+    write_file(tmp_path / "l" / "A", "f.csv", "a,b\n" + "v" * 500_000 + ",1\n")
+    assert [len(r.a) for r in read_listing_csv(spark, str(tmp_path / "l"), ["a"]).collect()] == [500_000]
+
+
+def test_named_files_commit_and_abort(spark, tmp_path):
+    import pytest
+
+    from pricelens.sinks.named_files import checked_name, write_named_files
+
+    path = tmp_path / "out"
+    df = spark.createDataFrame([("s/b.csv", 2, "x,\n\"y\""), ("s/a.csv", 1, None), ("s/b.csv", 1, "é")], "file string, pos int, v string")
+    write_named_files(df, f"file:{path}", order=["pos"])
+    listed = lambda: sorted(str(p.relative_to(path)) for p in path.rglob("*") if p.is_file())
+    assert listed() == ["s/a.csv", "s/b.csv"]
+    assert (path / "s/b.csv").read_text() == 'v\né\n"x,\n""y"""\n' and (path / "s/a.csv").read_text() == 'v\n""\n'
+    # a task that fails for good: nothing of the run is seen, nothing is left over
+    bad = df.withColumn("v", F.expr("CASE WHEN file = 's/a.csv' AND pos = 1 THEN raise_error('broken') ELSE 'new' END"))
+    with pytest.raises(Exception):
+        write_named_files(bad, str(path), order=["pos"])
+    assert listed() == ["s/a.csv", "s/b.csv"] and "new" not in (path / "s/b.csv").read_text() and sorted(p.name for p in path.iterdir()) == ["s"]
+    write_named_files(df.where("file = 's/b.csv'").withColumn("v", F.lit("n")), str(path), order=["pos"])
+    assert listed() == ["s/a.csv", "s/b.csv"] and (path / "s/b.csv").read_text() == "v\nn\nn\n"
+    write_named_files(df.where("file = 's/a.csv'"), str(path), order=["pos"], mode="overwrite")
+    assert listed() == ["s/a.csv"]
+    for name in (None, "", "/a", "../a", "a/../b", "a//b", ".hidden", "a/_x"):
+        with pytest.raises(ValueError):
+            checked_name(name)
+
+
+def test_charsets(spark):
+    from pricelens.functions.charset import decode_page
+    from pricelens.sources.pages import decode_pages
+
+    text = "<html><p>é ß “x” €</p>"
+    assert decode_page(text.encode()) == (text, "utf-8") and decode_page(None) == (None, None) and decode_page(b"") == ("", "utf-8")
+    assert decode_page(b"\xef\xbb\xbf" + text.encode(), "latin1") == (text, "utf-8")
+    assert decode_page(text.encode("utf-16")) == (text, "utf-16-le")
+    assert decode_page(b"\xfe\xff" + text.encode("utf-16-be")) == (text, "utf-16-be")
+    assert decode_page(text.encode("cp1252")) == (text, "cp1252")  # nothing said, not UTF-8
+    assert decode_page("я".encode("koi8-r"), "text/html; charset=KOI8-R") == ("я", "koi8-r")
+    assert decode_page(b'<meta http-equiv="x" content="text/html; charset=windows-1251">' + "я".encode("cp1251"))[0].endswith("я")
+    assert decode_page(b"<meta charset='utf-16'>" + "é".encode())[1] == "utf-8"
+    assert decode_page("é".encode(), "no-such-charset") == ("é", "utf-8") and decode_page("é".encode(), "hex") == ("é", "utf-8")
+    assert decode_page(b"a\xffb", "utf-8") == ("a�b", "utf-8")
+    df = spark.createDataFrame([(1, bytearray(text.encode("utf-16")), None), (2, None, None), (3, bytearray("я".encode("koi8-r")), "koi8-r")], "id int, content binary, said string")
+    got = {r.id: (r.html, r.charset) for r in decode_pages(df, header_col="said").collect()}
+    assert got == {1: (text, "utf-16-le"), 2: (None, None), 3: ("я", "koi8-r")}
+
+
+def test_page_closure(spark):
+    from pricelens.operators.closure import page_closure
+
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("b", "b"), ("c", "d"), ("x", "y"), ("d", None), (None, "z")], "from_url string, to_url string")
+    seeds = spark.createDataFrame([("a",), ("a",), ("q",), (None,)], "url string")
+    got = page_closure(seeds, links, spark.createDataFrame([("a",), ("a",), ("d",), (None,)], "url string")).collect()
+    assert sorted((r.url, r.depth, r.captured) for r in got) == [("a", 0, True), ("b", 1, False), ("c", 2, False), ("d", 3, True), ("q", 0, False)]
+    assert page_closure(seeds.limit(0), links).count() == 0 and page_closure(seeds, links.limit(0)).count() == 2
+
+
+def test_alerts_once_keep_state_and_forget_it(spark, tmp_path):
+    import datetime as dt
+
+    from pricelens.schemas import FAILURE_DETAIL_TYPE, FAILURE_SOURCE, FAILURE_STATUS, JOB_EVENT_SCHEMA
+    from pricelens.streaming.alerts import alerts_once, start_alert_once_stream
+
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    event = lambda i, ts, status=FAILURE_STATUS: (i, ts, FAILURE_DETAIL_TYPE, FAILURE_SOURCE, status, "job")
+    deliveries = [
+        [event(1, day(1)), event(1, day(1)), event(2, day(1), "SUCCEEDED"), event(None, day(1))],
+        [event(3, day(2)), event(1, day(1)), event(4, day(1, 12))],  # 4 is late, 1 comes again
+        [event(5, day(9))],
+        [event(1, day(1)), event(5, day(9)), event(6, day(9))],  # 1 is older than the watermark by now
+    ]
+    land, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    stream = spark.readStream.schema(JOB_EVENT_SCHEMA).parquet(land + "/*")
+    for k, rows in enumerate(deliveries):
+        spark.createDataFrame(rows, JOB_EVENT_SCHEMA).coalesce(1).write.parquet(f"{land}/{k}")
+        q = start_alert_once_stream(stream, out, ckpt, delay="2 days")
+        q.awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [1, 3, 4, 5, 6]
+    assert sum(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress[-1:]) <= 2  # the first days are forgotten
+    batch = spark.createDataFrame([r for rows in deliveries for r in rows], JOB_EVENT_SCHEMA)
+    assert sorted(r.event_id for r in alerts_once(batch).collect()) == [1, 3, 4, 5, 6]
