@@ -40,28 +40,6 @@ def with_product_id(df: DataFrame, link_col: str = "prd_link") -> DataFrame:
     return df.withColumn("prd_id_in_store", P.product_id(link_col))
 
 
-@functools.lru_cache(maxsize=64)
-def _first_cols(cols: tuple, keys: tuple, order_col: str):
-    rest = [c for c in cols if c not in keys and c != order_col]
-    packed = F.struct(F.col(order_col).alias(order_col), *[F.col(c) for c in rest])
-    agg = F.min(packed).alias("_first")
-    out = [F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in cols]
-    return agg, out
-
-
-def keep_first_per_key(df: DataFrame, keys: list[str], order_col: str = "pos") -> DataFrame:
-    """A-1: keep the row with the smallest ``order_col`` per key.
-
-    Written as ``min(struct(order_col, ...))`` per key, an aggregate with a
-    map-side partial step: a key holding a third of all rows is reduced to
-    one row per map task before the shuffle, so no task ever holds a whole
-    hot group (a ``row_number`` window would). Rows with a null key are not
-    de-duplicated; callers route them elsewhere first.
-    """
-    agg, out = _first_cols(tuple(df.columns), tuple(keys), order_col)
-    return df.groupBy(*keys).agg(agg).select(*out)
-
-
 def _unit_steps() -> list[dict]:
     parts = P.unit_parts("prd_per_price")
     up = P.unit_price("price_per_unit_1")
@@ -156,7 +134,7 @@ def clean_store_a_rows(
     return df.select(*keep, *[e.alias(c) for c, e in final.items()], "reject_reason", F.when(F.col("reject_reason").isNotNull(), F.col("_raw")).alias("raw"))
 
 
-def first_listings(raw: DataFrame, file_col: str = "file", pos_col: str = "pos", na_words=NA_WORDS, dedup=None) -> DataFrame:
+def first_listings(raw: DataFrame, file_col: str = "file", pos_col: str = "pos", na_words=NA_WORDS, dedup=None, quality=None) -> DataFrame:
     """A-1 on raw rows: the first row per (file, product id); rows without an
     id, or for which the condition ``dedup`` does not hold, all stay. Positions
     are unique within a file (they come from the scan).
@@ -164,23 +142,30 @@ def first_listings(raw: DataFrame, file_col: str = "file", pos_col: str = "pos",
     The aggregation moves (file, id, position) only, with a map-side partial
     step, so an id with a third of all rows is one row per map task before the
     shuffle; whole rows move once, by (file, position), which no key can skew.
+    A ``quality`` (``operators.quality``) counts rows and duplicates on the way.
     """
     pid = P.null_na_words(P.product_id(P.null_na_words("prd_link", na_words)), na_words)
     if dedup is not None:
         pid = F.when(dedup, pid)
     own = F.concat(F.lit("\u0001"), F.to_json(F.struct(F.col(pos_col).alias("p"))))
     keys = raw.select(F.col(file_col).alias("_file"), F.coalesce(pid, own).alias("_key"), F.col(pos_col).alias("_pos"))
-    first = keys.groupBy("_file", "_key").agg(F.min("_pos").alias("_pos")).drop("_key")
+    first = keys.groupBy("_file", "_key").agg(F.min("_pos").alias("_pos"), *([F.count("*").alias("_n")] if quality else []))
+    if quality:
+        first = quality.watch_input(first, "_n")
     return raw.join(first, raw[file_col].eqNullSafe(first["_file"]) & (raw[pos_col] == first["_pos"]), "left_semi")
 
 
-def clean_listings(raw: DataFrame, store_col: str | None = None, stores: list[str] | None = None, file_col: str = "file", pos_col: str = "pos", store: str = STORE_A, na_words=NA_WORDS) -> DataFrame:
-    """P-22: full chain with A-1. Output keeps ``file`` and ``pos`` (and ``file_time`` if there)."""
+def clean_listings(raw: DataFrame, store_col: str | None = None, stores: list[str] | None = None, file_col: str = "file", pos_col: str = "pos", store: str = STORE_A, na_words=NA_WORDS, quality=None) -> DataFrame:
+    """P-22: full chain with A-1. Output keeps ``file`` and ``pos`` (and ``file_time`` if there).
+
+    A ``quality`` collects the run's figures while it runs.
+    """
     one = [F.coalesce(F.col(store_col).isin(stores), F.lit(False))] if store_col else []
     one += [~F.col("malformed")] if "malformed" in raw.columns else []
     dedup = functools.reduce(lambda a, b: a & b, one) if one else None
     keep = [c for c in (file_col, pos_col, "file_time") if c in raw.columns]
-    return clean_store_a_rows(first_listings(raw, file_col, pos_col, na_words, dedup), store, na_words, keep, store_col, stores)
+    out = clean_store_a_rows(first_listings(raw, file_col, pos_col, na_words, dedup, quality), store, na_words, keep, store_col, stores)
+    return quality.watch_output(out) if quality else out
 
 
 def clean_store_a(raw: DataFrame, file_col: str = "file", pos_col: str = "pos", store: str = STORE_A, na_words=NA_WORDS) -> DataFrame:

@@ -17,12 +17,13 @@ Cleaner = Callable[[DataFrame, str, list[str]], DataFrame]
 DEFAULT_REGISTRY: dict[str, Cleaner] = {C.STORE_A: C.clean_listings}
 
 
-def clean_dispatch(raw: DataFrame, registry: dict[str, Cleaner] | None = None, store_col: str = "store") -> DataFrame:
+def clean_dispatch(raw: DataFrame, registry: dict[str, Cleaner] | None = None, store_col: str = "store", quality=None) -> DataFrame:
     """Clean each store's rows with its own cleaner; unknown stores -> rejects.
 
     One pass per different cleaner. The first one also takes the rows of all
     unknown stores, which it rejects with their whole raw row; so with one
-    cleaner the input is read once, whatever the number of stores.
+    cleaner the input is read once, whatever the number of stores. A
+    ``quality`` is handed to every cleaner (as a keyword) for its figures.
     """
     registry = registry or DEFAULT_REGISTRY
     stores: dict[Cleaner, list[str]] = {}
@@ -32,7 +33,7 @@ def clean_dispatch(raw: DataFrame, registry: dict[str, Cleaner] | None = None, s
     for fn, names in stores.items():
         others = [n for n in registry if n not in names]
         mine = raw if not others else raw.filter(F.col(store_col).isin(names) if out is not None else ~F.coalesce(F.col(store_col).isin(others), F.lit(False)))
-        cleaned = fn(mine, store_col, names)
+        cleaned = fn(mine, store_col, names, **({"quality": quality} if quality else {}))
         out = cleaned if out is None else out.unionByName(cleaned, allowMissingColumns=True)
     return out
 

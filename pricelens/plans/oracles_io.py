@@ -117,6 +117,35 @@ sh AS (
 )
 SELECT store, CAST(shard AS INTEGER) AS shard, 'daily_scrapping_' || store || '_' || CAST(shard AS VARCHAR) AS job_name FROM sh""",
 )
+oracle(
+    "union_open_schema",
+    f"""WITH {ROWS_CTE}, b AS (SELECT p_partkey AS k, p_name FROM part)
+SELECT store, prd_id_in_store, prd_name, prd_price, CAST(NULL AS DECIMAL(12,2)) AS org_price, NULL AS origin, CAST(NULL AS BOOLEAN) AS organic,
+  CAST(NULL AS INTEGER) AS weight, CAST(NULL AS BIGINT) AS kcal, on_sale_cat, NULL AS org_price_text, on_sale_cat IS NULL AS nothing_extra
+FROM firsts WHERE reject_reason IS NULL
+UNION ALL
+SELECT 'HMart', CAST(k AS VARCHAR), p_name, CAST(2.50 AS DECIMAL(12,2)), CASE WHEN k % 3 = 2 AND k % 2 = 1 THEN CAST(1.50 AS DECIMAL(12,2)) END,
+  CASE WHEN k % 3 = 0 THEN 'Origin ' || CAST(k % 7 AS VARCHAR) END, CASE WHEN k % 3 = 1 THEN k % 2 = 0 END, CAST(CASE WHEN k % 3 = 1 THEN k % 900 END AS INTEGER),
+  CASE WHEN k % 3 = 2 THEN CAST(k % 500 AS BIGINT) END, NULL, CASE WHEN k % 3 = 2 AND k % 2 = 0 THEN 'ask' END, false FROM b""",
+)
+# by store A's rules for the batch; of the three stores' files only store A's rows are cleaned
+QUALITY = ["product_id", "date", "price", "parts", "unit_prices", "unit", "columns", "unknown_store"]
+
+
+def _figures(run: str, rows: str, firsts: str, reason: str) -> str:
+    out = [f"SELECT '{run}' AS run, 'rows_in' AS figure, count(*) AS n FROM {rows}", f"SELECT '{run}', 'duplicates', (SELECT count(*) FROM {rows}) - (SELECT count(*) FROM {firsts})"]
+    out.append(f"SELECT '{run}', 'kept', count(*) FROM {firsts} WHERE {reason} IS NULL")
+    out += [f"SELECT '{run}', 'reject:{r}', count(*) FROM {firsts} WHERE {reason} = '{r}'" for r in QUALITY]
+    return " UNION ALL ".join([*out, f"SELECT '{run}', 'reject:other', 0"])
+
+
+oracle(
+    "quality_figures",
+    f"""WITH {ROWS_CTE}, s AS (
+  SELECT reject_reason AS reason FROM firsts WHERE {STORES3.format(x=SHARD)} = 'Loblaws'
+  UNION ALL SELECT 'unknown_store' FROM rows WHERE {STORES3.format(x=SHARD)} <> 'Loblaws')
+{_figures('batch', 'rows', 'firsts', 'reject_reason')} UNION ALL {_figures('stream', 'rows', 's', 'reason')}""",
+)
 CLEAN_NAMES = CLEAN_SELECT.split(", ")
 IDS = ", ".join(c if c in ("store", "prd_id_in_store", "scrap_date") else f"NULL AS {c}" for c in CLEAN_NAMES)
 UNKNOWN = ", ".join("st AS store" if c == "store" else f"NULL AS {c}" for c in CLEAN_NAMES)

@@ -152,7 +152,7 @@ def q_scrape_day(spark, sf_dir):
 @query("dedup_first")
 def q_dedup_first(spark, sf_dir):
     raw = C.with_product_id(_raw(spark, sf_dir).drop("k")).filter(F.col("prd_id_in_store").isNotNull())
-    return C.keep_first_per_key(raw, ["file", "prd_id_in_store"], "pos").select("file", "prd_id_in_store", "pos")
+    return C.first_listings(raw).select("file", "prd_id_in_store", "pos")
 
 
 @query("part_width")

@@ -8,6 +8,7 @@ read back, so the comparison covers the round trip.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import html as H
 from ..functions import paths
@@ -16,6 +17,8 @@ from ..operators import dispatch as D
 from ..operators import extract as X
 from ..operators import lookup as L
 from ..operators import worklist as W
+from ..operators.open_schema import extra_field, read_merged, union_open
+from ..operators.quality import Quality
 from ..schemas import CLEAN_COLUMNS, CLEAN_LISTING_SCHEMA, JOB_EVENT_SCHEMA, RAW_LISTING_COLUMNS
 from ..session import scratch_path
 from ..sinks import files as K
@@ -250,6 +253,50 @@ def q_union_stores(spark, sf_dir):
     )
 
 
+#: Store-B columns that no schema declares: they differ by shard, and one of
+#: them has another type than the declared column of its name.
+OPEN_COLUMNS = {
+    0: ["'Origin ' || CAST(k % 7 AS STRING) AS origin"],
+    1: ["k % 2 = 0 AS organic", "CAST(k % 900 AS INT) AS weight"],
+    2: ["named_struct('kcal', CAST(k % 500 AS BIGINT), 'per', '100g') AS nutrition", "CASE WHEN k % 2 = 0 THEN 'ask' ELSE '1.50' END AS org_price"],
+}
+
+
+@query("union_open_schema")
+def q_union_open_schema(spark, sf_dir):
+    """U-1 over files of different columns: one Parquet folder per kind of file,
+    read with a merged schema and put beside store A's clean rows."""
+    part = read_table(spark, sf_dir, "part")
+    base = part.selectExpr("p_partkey AS k", "'HMart' AS store", "CAST(p_partkey AS STRING) AS prd_id_in_store", "p_name AS prd_name", "CAST('2.50' AS DECIMAL(12,2)) AS prd_price")
+    path = scratch_path(spark, "open-schema")
+    for kind, columns in OPEN_COLUMNS.items():
+        own = base.where(F.col("k") % 3 == kind).selectExpr("*", *columns)
+        own.withColumnRenamed("org_price", "org_price_text").write.parquet(f"{path}/kind={kind}")
+    declared = T.StructType([*[f for f in CLEAN_LISTING_SCHEMA.fields if f.name in ("store", "prd_id_in_store", "prd_name", "prd_price")], T.StructField("org_price", T.DecimalType(12, 2))])
+    b = read_merged(spark, path).withColumnRenamed("org_price_text", "org_price")
+    good, _ = C.split_rejects(_chain(spark, sf_dir))
+    rows = union_open([good.select("store", "prd_id_in_store", "prd_name", "prd_price", "on_sale_cat"), b.drop("k", "kind")], declared)
+    return rows.select(
+        *declared.names, extra_field("origin").alias("origin"), extra_field("organic", "boolean").alias("organic"), extra_field("weight", "int").alias("weight"),
+        extra_field("nutrition.kcal", "bigint").alias("kcal"), extra_field("on_sale_cat").alias("on_sale_cat"), extra_field("org_price").alias("org_price_text"),
+        F.col("extra").isNull().alias("nothing_extra"),
+    )
+
+
+@query("quality_figures")
+def q_quality_figures(spark, sf_dir):
+    """P-23 / A-5: the figures of one batch run over ``part``, and of the stream
+    over the same rows as files of three stores, observed while they ran."""
+    quality = Quality()
+    raw = raw_listings(read_table(spark, sf_dir, "part")).drop("k")
+    C.clean_listings(raw, quality=quality).write.parquet(scratch_path(spark, "quality-batch"))
+    landing = _landing_of_stores(spark, sf_dir, "quality-in")
+    figures = scratch_path(spark, "quality-figures")
+    start_clean_upsert_stream(spark, landing, scratch_path(spark, "quality-table"), scratch_path(spark, "quality-ckpt"), figures_path=figures).awaitTermination()
+    streamed = spark.read.parquet(figures).groupBy("figure").agg(F.sum("n").alias("n"))
+    return quality.rows(spark, run="batch").unionByName(streamed.withColumn("run", F.lit("stream")))
+
+
 @query("worklist")
 def q_worklist(spark, sf_dir):
     shards = store_dimension(spark).filter(F.col("shards").isNotNull())

@@ -184,3 +184,6 @@ JOB_EVENT_SCHEMA = T.StructType(
 )
 
 DEFAULT_UPSERT_KEY = ["store", "prd_id_in_store", "scrap_date"]
+
+# reasons of P-23 that the quality figures count one by one
+REJECT_REASONS = ("product_id", "date", "price", "parts", "unit_prices", "unit", "columns", "unknown_store")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from ..operators import clean as C
 from ..operators.dispatch import Cleaner, clean_dispatch
+from ..operators.quality import Quality
 from ..schemas import DEFAULT_UPSERT_KEY
 from ..session import written_once
 from ..sinks.upsert import write_upsert
@@ -40,29 +41,33 @@ def clean_and_upsert_batch(
     keys: list[str] | None = None,
     batch_id: int = 0,
     registry: dict[str, Cleaner] | None = None,
+    figures_path: str | None = None,
 ) -> None:
     """One micro-batch (or one batch run): clean by store, split, upsert, keep rejects.
 
     The cleaned batch is written once to a scratch folder, read for the upsert
     and the rejects, and deleted. Rejects go to the ``batch_id`` partition of
     ``rejects_path``, replaced as a whole, so a retried micro-batch does not
-    write them twice.
+    write them twice. So do the batch's quality figures with ``figures_path``;
+    they are collected by the one write of the cleaned batch.
     """
     keys = keys or DEFAULT_UPSERT_KEY
+    quality = Quality() if figures_path else None
     # record id (stable hash of the key) and processing time (one per micro-batch)
-    cleaned = C.with_record_meta(clean_dispatch(batch, registry), keys=keys)
+    cleaned = C.with_record_meta(clean_dispatch(batch, registry, quality=quality), keys=keys)
     with written_once(cleaned, "clean-batch") as rows:
         good, bad = C.split_rejects(rows)
         upsert_clean_rows(spark, good, table_path, keys, batch_written=True)
         if rejects_path:
-            (
-                bad.withColumn("source_file", paths.file_name("file"))
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
-                .parquet(rejects_path)
-            )
+            _write_batch(bad.withColumn("source_file", paths.file_name("file")), batch_id, rejects_path)
+        if quality:
+            _write_batch(quality.rows(spark).coalesce(1), batch_id, figures_path)
+
+
+def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    """The ``batch_id`` partition of a table, replaced as a whole."""
+    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
 def start_clean_upsert_stream(
@@ -73,12 +78,13 @@ def start_clean_upsert_stream(
     rejects_path: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    figures_path: str | None = None,
 ):
     """T-1: start the stream; returns the ``StreamingQuery``."""
     src = stream_listing_csv(spark, landing_path)
 
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        clean_and_upsert_batch(batch_df.sparkSession, batch_df, table_path, rejects_path, batch_id=epoch_id)
+        clean_and_upsert_batch(batch_df.sparkSession, batch_df, table_path, rejects_path, batch_id=epoch_id, figures_path=figures_path)
 
     writer = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")

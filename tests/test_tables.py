@@ -10,12 +10,12 @@ from pricelens.session import scratch_path
 from pricelens.sinks.upsert import latest_per_key, upsert, write_upsert
 
 
-def test_keep_first_per_key_with_hot_key(spark):
+def test_first_listings_with_hot_key(spark):
     # one key holds most rows; the first by position must win
-    rows = [("f", "hot", 1000 - i, f"v{i}") for i in range(1000)] + [("f", "cold", 5, "c")]
-    df = spark.createDataFrame(rows, "file string, id string, pos long, v string").repartition(8)
-    got = {r.id: (r.pos, r.v) for r in C.keep_first_per_key(df, ["file", "id"], "pos").collect()}
-    assert got == {"hot": (1, "v999"), "cold": (5, "c")}
+    rows = [("f", "/hot", 1000 - i, f"v{i}") for i in range(1000)] + [("f", "/cold", 1005, "c"), ("g", "/hot", 7, "g"), ("f", None, 2000, "n"), ("f", None, 2001, "n")]
+    df = spark.createDataFrame(rows, "file string, prd_link string, pos long, v string").repartition(8)
+    got = sorted((r.file, r.prd_link or "", r.pos, r.v) for r in C.first_listings(df).collect())
+    assert got == [("f", "", 2000, "n"), ("f", "", 2001, "n"), ("f", "/cold", 1005, "c"), ("f", "/hot", 1, "v999"), ("g", "/hot", 7, "g")]
 
 
 def test_every_row_is_clean_rejected_or_duplicate(spark):
@@ -314,3 +314,40 @@ def test_alerts_once_keep_state_and_forget_it(spark, tmp_path):
     assert sum(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress[-1:]) <= 2  # the first days are forgotten
     batch = spark.createDataFrame([r for rows in deliveries for r in rows], JOB_EVENT_SCHEMA)
     assert sorted(r.event_id for r in alerts_once(batch).collect()) == [1, 3, 4, 5, 6]
+
+
+def test_quality_figures_add_up(spark, tmp_path):
+    from pricelens.operators.dispatch import clean_dispatch
+    from pricelens.operators.quality import Quality
+    from pricelens.plans.fixtures import raw_listings, read_table
+
+    raw = raw_listings(read_table(spark, SF_SMALL, "part")).drop("k").withColumn("store", F.expr("CASE WHEN pos % 9 = 0 THEN 'Metro' ELSE 'Loblaws' END"))
+    raw = raw.unionByName(raw.where("pos % 4 = 0").withColumn("pos", F.col("pos") + 1_000_000)).withColumn("malformed", F.col("pos") % 50 == 7)
+    quality = Quality()
+    clean_dispatch(raw, quality=quality).write.parquet(str(tmp_path / "out"))
+    got, out = quality.figures(), spark.read.parquet(str(tmp_path / "out"))
+    assert got["rows_in"] == raw.count() and got["kept"] == out.where("reject_reason is null").count()
+    assert got["rows_in"] == got["duplicates"] + got["kept"] + sum(n for k, n in got.items() if k.startswith("reject:"))
+    reasons = {f"reject:{r.reject_reason}": r["count"] for r in out.where("reject_reason is not null").groupBy("reject_reason").count().collect()}
+    assert {k: n for k, n in got.items() if k.startswith("reject:") and n} == reasons and len(reasons) >= 5
+    empty = Quality()
+    clean_dispatch(raw.limit(0), quality=empty).write.parquet(str(tmp_path / "none"))
+    assert set(empty.figures().values()) == {0}
+
+
+def test_undeclared_columns_are_kept(spark):
+    from pyspark.sql import types as T
+
+    from pricelens.operators.open_schema import extra_field, merged_fields, union_open
+
+    declared = T.StructType([T.StructField("id", T.StringType()), T.StructField("price", T.DecimalType(12, 2))])
+    a = spark.createDataFrame([("1", "2.50", "x"), ("2", "ask", None)], "id string, price string, `odd name` string")
+    b = spark.createDataFrame([("3", 4, [1, 2])], "id string, n int, list array<int>")
+    c = spark.createDataFrame([("4", {"id": "4", "new": "007", "gone": None})], "id string, cells map<string,string>")
+    rows = union_open([a, b, c], declared, cells="cells")
+    got = {r.id: r for r in rows.select("*", extra_field("odd name").alias("odd"), extra_field("n", "int").alias("n"), extra_field("new").alias("new"), extra_field("price").alias("text"), F.to_json("extra").alias("j")).collect()}
+    assert rows.columns == ["id", "price", "extra"] and len(got) == 4
+    assert str(got["1"].price) == "2.50" and got["1"].odd == "x" and got["1"].text is None
+    assert got["2"].price is None and got["2"].text == "ask" and got["2"].odd is None
+    assert got["3"].n == 4 and got["3"].j == '{"list":[1,2],"n":4}' and got["4"].new == "007" and got["4"].j == '{"new":"007"}'
+    assert "odd name: STRING" in merged_fields(rows).first().fields.replace("`", "") and union_open([b.limit(0)], declared).count() == 0
