@@ -3,7 +3,9 @@
 Texts of printable ASCII, blanks and Latin-1 letters are joined into one byte
 array, cut into words by byte classes, and each word is hashed to 64 bits
 (prefix sums). Only words that the bounded table does not hold are merged; the
-ids of all words are then gathered from the table.
+ids of all words are then gathered from the table. Hashes only find a word: its
+bytes are compared with those in the table on every hit, and a word that shares
+a hash with another one is encoded by itself.
 """
 
 from __future__ import annotations
@@ -132,47 +134,83 @@ class Hasher:
         return h ^ ((end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], dtype="<u8")
+
+
+def eights(text: np.ndarray) -> np.ndarray:
+    """At each place of an array of bytes, the eight bytes from there as one number."""
+    padded = np.concatenate([text, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray((len(text) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def same_bytes(a, a_start, b, b_start, size) -> np.ndarray:
+    """Per pair of slices of one size, of two arrays given as ``eights``: are they equal?"""
+    out = np.ones(len(size), dtype=bool)
+    at, k = np.flatnonzero(size > 0), 0
+    while len(at):
+        differ = (a[a_start[at] + k] ^ b[b_start[at] + k]) & LOW_BYTES[np.minimum(size[at] - k, 8)]
+        out[at[differ != 0]] = False
+        k += 8
+        at = at[(differ == 0) & (size[at] > k)]
+    return out
+
+
 class WordTable:
-    """Hash of a word -> its ids, for at most about ``limit`` words; when full,
-    words that were not asked for since the last time are let go."""
+    """Words found by hash -> their ids, for at most about ``limit`` words and
+    ``most_bytes`` of them; when full, words that were not asked for since the
+    last time are let go."""
 
-    def __init__(self, encode, limit: int = 600_000):
-        self.encode, self.limit, self.hasher = encode, limit, Hasher()
-        self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+    def __init__(self, encode, limit: int = 600_000, most_bytes: int = 32_000_000, hasher=None):
+        self.encode, self.limit, self.most_bytes, self.hasher = encode, limit, most_bytes, hasher or Hasher()
+        none = np.zeros(0, np.int64)
+        self._set(np.zeros(0, np.uint64), none, none, np.zeros(0, np.int32), none, none, np.zeros(0, np.uint8))
 
-    def _set(self, keys, start, size, pool):
+    def _set(self, keys, start, size, pool, at, length, text):
+        """Sorted hashes, where their ids and their bytes are, ids, bytes."""
         self.keys, self.start, self.size, self.pool = keys, start, size, pool
+        self.at, self.length, self.text, self.text8 = at, length, text, eights(text)
         self.asked = np.zeros(len(keys), dtype=bool)
 
     def _keep(self, chosen: np.ndarray) -> None:
-        size = self.size[chosen]
-        pool = self.pool[spread(self.start[chosen], size)]
-        self._set(self.keys[chosen], np.cumsum(size) - size, size, pool)
-
-    def _add(self, keys, flat, size) -> None:
-        at = np.searchsorted(self.keys, keys)
-        asked = np.insert(self.asked, at, True)
-        start = np.cumsum(size) - size + len(self.pool)
-        self._set(np.insert(self.keys, at, keys), np.insert(self.start, at, start), np.insert(self.size, at, size), np.concatenate([self.pool, flat]))
+        size, length = self.size[chosen], self.length[chosen]
+        pool, text = self.pool[spread(self.start[chosen], size)], self.text[spread(self.at[chosen], length)]
+        self._set(self.keys[chosen], np.cumsum(size) - size, size, pool, np.cumsum(length) - length, length, text)
+
+    def _add(self, keys, flat, size, text, begin, length) -> None:
+        to = np.searchsorted(self.keys, keys)
+        asked = np.insert(self.asked, to, True)
+        start, at = np.cumsum(size) - size + len(self.pool), np.cumsum(length) - length + len(self.text)
+        self._set(
+            np.insert(self.keys, to, keys), np.insert(self.start, to, start), np.insert(self.size, to, size), np.concatenate([self.pool, flat]),
+            np.insert(self.at, to, at), np.insert(self.length, to, length), np.concatenate([self.text, text[spread(begin, length)]]),
+        )
         self.asked = asked
 
     def ids(self, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and how many each has."""
+        length, text8 = end - start, eights(text)
         found, first, inverse = np.unique(self.hasher.hashes(text, start, end), return_index=True, return_inverse=True)
-        if len(self.keys) + len(found) > self.limit:
-            self._keep(np.flatnonzero(self.asked) if self.asked.mean() < 0.5 else np.zeros(0, np.int64))
+        if len(self.keys) + len(found) > self.limit or len(self.text) > self.most_bytes:
+            self._keep(np.flatnonzero(self.asked) if self.asked.mean() < 0.5 and len(self.text) <= self.most_bytes else np.zeros(0, np.int64))
         at = np.searchsorted(self.keys, found)
         known = np.zeros(len(found), dtype=bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == found[inside]
         new = first[~known]
         if len(new):
-            self._add(found[~known], *self.encode(text, start[new], end[new]))
+            self._add(found[~known], *self.encode(text, start[new], end[new]), text, start[new], length[new])
             at = np.searchsorted(self.keys, found)
         self.asked[at] = True
         at = at[inverse]
-        size = self.size[at]
-        return self.pool[spread(self.start[at], size)], size
+        same = length == self.length[at]
+        same[same] = same_bytes(text8, start[same], self.text8, self.at[at[same]], length[same])
+        begin, size, pool = self.start[at], self.size[at], self.pool
+        if not same.all():  # another word's hash
+            other = np.flatnonzero(~same)
+            flat, sizes = self.encode(text, start[other], end[other])
+            begin[other], size[other] = np.cumsum(sizes) - sizes + len(pool), sizes
+            pool = np.concatenate([pool, flat])
+        return pool[spread(begin, size)], size
 
 
 def encode_plain(table: WordTable, texts: list[bytes], cut, change=None):

@@ -165,3 +165,55 @@ def test_words_in_arrays_like_the_library():
             assert a.tolist() == byte_level.encode(t, add_special_tokens=False).ids, t
             assert np.frombuffer(b, "<u4").tolist() == word_level.encode(t, add_special_tokens=False).ids, t
     assert len(codec.table.keys) <= 300 + 400
+
+
+def thue_morse(n: int, a: str, b: str) -> str:
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+#: Pairs of different words with one hash (polynomials modulo 2^64 cannot tell them apart).
+TWINS = [(thue_morse(n, a, b), thue_morse(n, b, a)) for n in (512, 1024, 2048) for a, b in (("a", "b"), ("c", "z"))]
+
+
+def test_words_of_one_hash(spark):
+    from pricelens.llm.wordtable import Hasher
+
+    text = np.frombuffer("".join(TWINS[3]).encode(), dtype=np.uint8)
+    h = Hasher().hashes(text, np.array([0, 1024]), np.array([1024, 2048]))
+    assert h[0] == h[1]  # the test is about what it says
+    t, u = reference(bpe.default_path()), reference(packing.default_path())
+    one = [" ".join(w for pair in TWINS for w in pair)]
+    two = [w for pair in TWINS for w in pair]
+    for texts in (one, two, two[::-1]):
+        for batches in ([texts], [[x] for x in texts]):
+            c, w = bpe.Codec(bpe.default_path()), packing.Words(packing.default_path())
+            for batch in batches:
+                for text, ids in zip(batch, c.encode_batch(batch)):
+                    assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+                for text, ids in zip(batch, w.encode_batch(batch)):
+                    assert np.frombuffer(ids, dtype="<i4").tolist() == u.encode(text, add_special_tokens=False).ids
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(one + two)], "doc_id long, text string").coalesce(1)
+    back = {r.doc_id: r for r in bpe.decode(bpe.encode(df)).collect()}
+    assert [back[i].decoded for i in range(len(one + two))] == one + two
+
+
+@pytest.mark.parametrize("limit, most_bytes", [(600_000, 32_000_000), (7, 32_000_000), (600_000, 20)])
+def test_word_table_with_a_poor_hash(limit, most_bytes):
+    from pricelens.llm.wordtable import WordTable
+
+    class Poor:
+        def hashes(self, text, start, end):
+            return (end - start).astype(np.uint64) % np.uint64(3)
+
+    def encode(text, start, end):
+        words = [text[a:b] for a, b in zip(start, end)]
+        return np.concatenate([w.astype(np.int32) for w in words]), np.array([len(w) for w in words])
+
+    rnd = random.Random(8)
+    table = WordTable(encode, limit, most_bytes, Poor())
+    for _ in range(50):
+        words = ["".join(rnd.choice("ab") for _ in range(rnd.choice([1, 2, 7, 8, 9, 16, 17, 30]))) for _ in range(rnd.randrange(1, 30))]
+        text = np.frombuffer("".join(words).encode(), dtype=np.uint8)
+        end = np.cumsum([len(w) for w in words])
+        flat, size = table.ids(text, end - [len(w) for w in words], end)
+        assert size.tolist() == [len(w) for w in words] and flat.tolist() == text.tolist()
