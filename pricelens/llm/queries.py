@@ -14,7 +14,7 @@ from pricelens.llm.packing import op9_best_fit_packing
 from pricelens.llm.runs import op12_periodic_runs
 from pricelens.llm.simhash import op2_simhash_dedup
 from pricelens.llm.toxicity import op4_toxicity
-from pricelens.llm.url_filter import OP6_SQL, op6_url_filter
+from pricelens.llm.url_filter import ALIASES_SQL, OP6_SQL, op6_url_filter, url_aliases
 
 
 def llm_queries() -> dict:
@@ -25,6 +25,7 @@ def llm_queries() -> dict:
         "op4_toxicity": op4_toxicity,
         "op5_embedding_dedup": op5_embedding_dedup,
         "op6_url_filter": op6_url_filter,
+        "url_aliases": url_aliases,
         "op7_line_dedup": op7_line_dedup,
         "op8_bpe_codec": op8_bpe_codec,
         "op9_best_fit_packing": op9_best_fit_packing,
@@ -36,4 +37,4 @@ def llm_queries() -> dict:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op6_url_filter": OP6_SQL, "op7_line_dedup": OP7_SQL, "op11_collocations": OP11_SQL}
+    return {"op1_chat_format": OP1_SQL, "op6_url_filter": OP6_SQL, "url_aliases": ALIASES_SQL, "op7_line_dedup": OP7_SQL, "op11_collocations": OP11_SQL}

@@ -157,3 +157,53 @@ def test_bk_links_connect_like_brute_force(spark, tree_size, blocks):
     want = groups_of(fps, 4)
     same = lambda g: sorted(sorted(k for k in fps if g.get(k, k) == v) for v in {g.get(k, k) for k in fps})
     assert same(joined) == same(want)
+
+
+LINKED = [
+    # (url, html, target as a page): every link makes the page an alias of a blocked one
+    ("http://b.net/dir/one", '<link rel="canonical" href="two">', "http://b.net/dir/two"),
+    ("http://b1.net/dir/one", '<link rel="alternate canonical" href="http://x.com/de/1">', None),
+    ("http://b2.net/dir/a/b", "<link href='../c' rel='canonical nofollow'>", "http://b2.net/dir/c"),
+    ("http://b3.net/x?p=1", '<link rel="canonical" href="?p=2&amp;q=3">', "http://b3.net/x?p=2&q=3"),
+    ("http://b4.net/a", '<link rel="canonical" href="/v?a=1&amp;b=2">', "https://b4.net/v?a=1&b=2#top"),
+    ("http://b5.net/a/b/c", '<link rel="canonical" href="./d/../e">', "http://b5.net/a/b/e"),
+    ("http://b6.net", '<link rel="canonical" href="index.html">', "http://b6.net/index.html"),
+    ("http://b7.net/a", '<meta http-equiv="Refresh" content="5;URL=b.html">', "http://b7.net/b.html"),
+    ("http://b8.net/a", '<meta content="0; url=\'/c d\'" http-equiv=refresh>', "http://b8.net/c d"),
+    ("http://b9.net/a", '<link title="a > b" rel="canonical" href="/z">', "http://b9.net/z"),
+    ("http://b10.net/a", '<link rel="canonical" href="http://b10.net">', "http://b10.net/"),
+]
+NOT_LINKED = [
+    ("http://n1.net/a", '<!-- <link rel="canonical" href="http://x.com/de/1"> -->'),
+    ("http://n2.net/a", '<script>var t = \'<link rel="canonical" href="http://x.com/de/1">\'</script>'),
+    ("http://n3.net/a", '<link rel="non-canonical" href="http://x.com/de/1">'),
+    ("http://n4.net/a", '<link rel="canonical" href="#x"><link rel=canonical href="mailto:a@b">'),
+    ("http://n5.net/a", '<link rel="stylesheet canonicals" href="http://x.com/de/1"><a rel="canonical" href="http://x.com/de/1">'),
+]
+
+
+def test_urls_of_all_kinds_of_links(spark):
+    import duckdb
+
+    rows = [(1, "http://x.com/de/1", "")]
+    for url, html, target in LINKED:
+        rows.append((len(rows) + 1, url, html))
+        if target:
+            rows.append((len(rows) + 1, target, '<link rel="canonical" href="http://x.com/de/1">'))
+    first_clean = len(rows) + 1
+    rows += [(first_clean + i, url, html) for i, (url, html) in enumerate(NOT_LINKED)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in U.filter_urls(df, rules(spark)).collect()}
+    for i, url, html in rows:
+        assert got[i].verdict == ("block" if i < first_clean else "allow"), (url, html)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert sorted(con.execute(U.OP6_SQL).fetchall(), key=str) == sorted((tuple(r) for r in got.values()), key=str)
+
+
+def test_dots_in_paths(spark):
+    paths = ["/a/b", "/a/./b", "/a/../b", "/a/b/..", "/..", "/../../a", "/a/.", "/a/...", "/a/..b/", "/a/b/../../../c/", "/"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    want = ["/a/b", "/a/b", "/b", "/a/", "/", "/a", "/a/", "/a/...", "/a/..b/", "/c/", "/"]
+    assert [r[0] for r in df.select(U.without_dots(F.col("p"))).collect()] == want
