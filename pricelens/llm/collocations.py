@@ -11,8 +11,8 @@ large tree per language. It is built in parts that fit a memory budget:
    of at most the budget. The map from bucket to group and the long list of
    step 2 are all that is broadcast, beside a bit map of frequent words.
 4. The texts are read again: every task adds up equal suffixes and sends them to
-   the group of their prefix. A suffix ends before a word that is too rare to
-   be in a candidate.
+   the group of their prefix, as numbers with the words they stand for. A
+   suffix ends before a word that is too rare to be in a candidate.
 5. Each group builds its subtrees by itself: suffixes in order are its leaves,
    the common prefix of neighbours gives the inner nodes, and a node's count is
    the total of its leaves. The counts of a node's own prefixes, the left parts
@@ -36,21 +36,16 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.common import drop_written, table, written
 
-BREAK = b"\xff"  # between pieces; in no UTF-8 text
-BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
-BLOCK_TOKENS = 1_000_000  # words whose suffixes a task adds up before it sends them
-BITS = 21  # of a word's number within a block
+BLOCK_BYTES = 16_000_000  # of texts whose suffixes a task adds up before it sends them
+MOST_WORDS = 3  # of a phrase: CHUNK times as many words have small numbers
 OUT_ROWS = 200_000
+CHUNK = 10_000  # suffixes in a row that is sent (their words are then fewer than 2 ** 15)
 MOST_GROUPS = 1 << 22  # beyond that the budget grows with the corpus
 MOST_FLAGS = 1 << 30
 NO_LANG = "und"
-
-
-def tokens(text: str | None) -> list[bytes]:
-    """Words of a text, lower-cased in A-Z, with a break after each piece."""
-    if not text:
-        return [BREAK]
-    return text.encode().lower().translate(BREAKS).replace(BREAK, b" \xff ").split() + [BREAK]
+BLANK, BREAK = 0x20, 0x0A
+#: A-Z in lower case, tabs as blanks, and what ends a piece as a newline.
+FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 
 
 def prefix_hash(lang: str, prefix: bytes) -> int:
@@ -60,70 +55,112 @@ def prefix_hash(lang: str, prefix: bytes) -> int:
     return xxhash.xxh64_intdigest(prefix, xxhash.xxh64_intdigest(lang.encode(), 42))
 
 
-class _Numbers(dict):
-    def __missing__(self, word):
-        self[word] = n = len(self)
-        return n
-
-
 class Block:
-    """Words of some texts of one language, as numbers (0: a break)."""
-
-    def __init__(self):
-        self.numbers = _Numbers({BREAK: 0})
-        self.ids, self.starts, self.size = [], [], 0
-
-    def add(self, words: list[bytes], starts: int) -> None:
-        """Words, of which the first ``starts`` begin suffixes here."""
-        ids = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
-        self.ids.append(ids)
-        self.starts.append(np.arange(len(words)) < starts)
-        self.size += len(words)
-        if starts < len(words):  # the rest begin in the next block
-            self.ids.append(np.zeros(1, dtype=np.int64))
-            self.starts.append(np.zeros(1, dtype=bool))
-
-    def vocabulary(self) -> list[bytes]:
-        return list(self.numbers)
-
-    def word_counts(self) -> np.ndarray:
-        ids, starts = np.concatenate(self.ids), np.concatenate(self.starts)
-        return np.bincount(ids[starts], minlength=len(self.numbers))
-
-    def suffixes(self, known: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of some texts of one language, cut out of one array of bytes:
+    numbers into ``names`` (from 1) and whether the next word is in the same piece."""
+
+    def __init__(self, lang: str, texts: pa.Array):
+        self.lang = lang
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64 if pa.types.is_large_string(texts.type) else np.int32)
+        offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = texts.buffers()[2]
+        data = memoryview(data)[offsets[0] : offsets[-1]] if data is not None else b""
+        text = np.frombuffer(bytes(data).translate(FOLD), dtype=np.uint8)
+        begin = (offsets - offsets[0])[:-1]
+        begin = begin[begin < len(text)]
+        breaks = text == BREAK
+        blank = breaks | (text == BLANK)
+        before = np.ones(len(text), dtype=bool)  # a blank, or the begin of a text
+        before[1:] = blank[:-1]
+        before[begin] = True
+        start = np.flatnonzero(~blank & before)
+        after = np.ones(len(text), dtype=bool)
+        after[:-1] = blank[1:]
+        after[begin[begin > 0] - 1] = True
+        size = np.flatnonzero(~blank & after) + 1 - start
+        ends = np.zeros(len(start) + 1, dtype=np.int32)
+        np.cumsum(size, out=ends[1:])
+        words = pa.StringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(text[~blank].tobytes()))
+        words = words.dictionary_encode()
+        self.names = words.dictionary
+        self.ids = words.indices.to_numpy().astype(np.int64) + 1
+        breaks = breaks.astype(np.int32)
+        breaks[begin] += 1
+        piece = np.cumsum(breaks, dtype=np.int32)[start]
+        self.joined = np.zeros(len(start), dtype=bool)
+        self.joined[:-1] = piece[1:] == piece[:-1]
+
+    def suffixes(self, known: np.ndarray, depth: int, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Distinct suffixes of at most ``depth`` words, as rows of numbers (0:
-        none), and their counts; a suffix ends before a word that is not ``known``."""
-        ids, starts = np.concatenate(self.ids), np.concatenate(self.starts)
-        ids = np.where(known[ids], ids, 0)
-        padded = np.concatenate([ids, np.zeros(depth, dtype=np.int64)])
-        at = np.flatnonzero(starts & (ids > 0))
-        code, alive = ids[at], np.ones(len(at), dtype=bool)
+        none), and their counts; a suffix ends before a word that is not
+        ``known``. With ``only``, those that begin with such words."""
+        ids = np.where(np.concatenate([[False], known])[self.ids], self.ids, 0)
+        at = np.flatnonzero(ids if only is None else np.concatenate([[False], only])[ids])
+        columns, alive = [ids[at]], np.ones(len(at), dtype=bool)
+        ids = np.concatenate([ids, np.zeros(depth, dtype=np.int64)])
+        joined = np.concatenate([self.joined, np.zeros(depth, dtype=bool)])
         for k in range(1, depth):
-            following = padded[at + k]
+            alive &= joined[at + k - 1]
+            following = np.where(alive, ids[at + k], 0)
             alive &= following > 0
-            code = (code << BITS) | np.where(alive, following, 0)
-        code, count = np.unique(code, return_counts=True)
-        rows = np.stack([(code >> (BITS * (depth - 1 - k))) & ((1 << BITS) - 1) for k in range(depth)], axis=1)
+            columns.append(following)
+        return distinct(columns, len(self.names) + 1)
+
+
+def distinct(columns: list[np.ndarray], below: int, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of columns of numbers less than ``below``, in order, with
+    how many there are (the sum of ``weights``)."""
+    bits = int(below).bit_length()
+    if bits * len(columns) <= 63:
+        code = columns[0]
+        for c in columns[1:]:
+            code = (code << bits) | c
+        if weights is None:
+            code, count = np.unique(code, return_counts=True)
+        else:
+            code, inverse = np.unique(code, return_inverse=True)
+            count = np.bincount(inverse, weights=weights, minlength=len(code)).astype(np.int64)
+        rows = np.empty((len(code), len(columns)), dtype=np.int64)
+        for k in range(len(columns) - 1, -1, -1):
+            rows[:, k] = code & ((1 << bits) - 1)
+            code = code >> bits
         return rows, count
+    table = np.stack(columns, axis=1)  # too many words for one number
+    rows, inverse, count = np.unique(table, axis=0, return_inverse=True, return_counts=True)
+    if weights is not None:
+        count = np.bincount(inverse.ravel(), weights=weights, minlength=len(rows)).astype(np.int64)
+    return rows, count
 
 
-def _blocks(batches, lang_at: int, text_at: int, depth: int):
-    """(language, block) of all texts of a task; no block holds more than about BLOCK_TOKENS words."""
-    blocks: dict[str, Block] = {}
-    held = 0
+def _blocks(batches):
+    """Blocks of the texts (lang, text) of a task, one per language and about BLOCK_BYTES."""
+    held, size = [], 0
     for batch in batches:
-        langs, texts = batch.column(lang_at), batch.column(text_at)
-        for i in range(batch.num_rows):
-            lang = langs[i].as_py()
-            words = tokens(texts[i].as_py())
-            for lo in range(0, len(words), BLOCK_TOKENS):
-                part = words[lo : lo + BLOCK_TOKENS + depth - 1]
-                blocks.setdefault(NO_LANG if lang is None else lang, Block()).add(part, BLOCK_TOKENS)
-                held += len(part)
-                if held >= BLOCK_TOKENS:
-                    yield from blocks.items()
-                    blocks, held = {}, 0
-    yield from blocks.items()
+        lo = 0
+        while lo < batch.num_rows:
+            hi, text = lo, batch.column(1)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(text.slice(lo)), 0).to_numpy())
+            hi = lo + max(1, int(np.searchsorted(sizes, BLOCK_BYTES - size, side="right")))
+            held.append(batch.slice(lo, hi - lo))
+            size += int(sizes[min(hi - lo, len(sizes)) - 1])
+            lo = hi
+            if size >= BLOCK_BYTES or lo < batch.num_rows:
+                yield from _by_language(held)
+                held, size = [], 0
+    if held:
+        yield from _by_language(held)
+
+
+def _by_language(batches):
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    if not rows.num_rows:
+        return
+    langs = pc.fill_null(rows.column(0).chunk(0), NO_LANG).dictionary_encode()
+    texts = pc.fill_null(rows.column(1).chunk(0), "")
+    code = langs.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(code[order])) + 1):
+        yield Block(langs.dictionary[int(code[part[0]])].as_py(), texts.take(pa.array(part)))
 
 
 @dataclass
@@ -134,17 +171,43 @@ class Plan:
     long: list[dict]  # per number of words: (language, prefix) -> count, of the prefixes made longer
     group_of: np.ndarray  # bucket -> group
 
+    def hashes(self, block: Block) -> np.ndarray:
+        import xxhash
 
-def _known(plan: Plan | None, lang: str, words: list[bytes]) -> np.ndarray:
-    if plan is None:
-        return np.ones(len(words), dtype=bool)
-    h = np.fromiter((prefix_hash(lang, w) for w in words), dtype=np.uint64, count=len(words)) & np.uint64(len(plan.flags) * 8 - 1)
-    return (plan.flags[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        seed = xxhash.xxh64_intdigest(block.lang.encode(), 42)
+        return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in block.names.cast(pa.binary()).to_pylist()), dtype=np.uint64, count=len(block.names))
+
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        h = hashes & np.uint64(len(self.flags) * 8 - 1)
+        return (self.flags[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def longer(self, block: Block) -> list[set[tuple]]:
+        """Per number of words, the prefixes made longer, in the block's numbers."""
+        out = []
+        for long in self.long:
+            prefixes = [p.decode().split(" ") for lang, p in long if lang == block.lang]
+            words = sorted({w for p in prefixes for w in p})
+            number = pc.index_in(pa.array(words, pa.string()), block.names).to_pylist()
+            number = {w: k + 1 for w, k in zip(words, number) if k is not None}
+            out.append({tuple(number[w] for w in p) for p in prefixes if all(w in number for w in p)})
+        return out
+
+
+def _starts_with(rows: np.ndarray, prefixes: set[tuple], size: int) -> np.ndarray:
+    """Per row: are its first ``size`` words one of the prefixes?"""
+    if not prefixes or not len(rows):
+        return np.zeros(len(rows), dtype=bool)
+    firsts = np.isin(rows[:, 0], [p[0] for p in prefixes])
+    at = np.flatnonzero(firsts)
+    if size > 1:
+        heads, inverse = np.unique(rows[at, :size], axis=0, return_inverse=True)
+        firsts[at] = np.array([tuple(h) in prefixes for h in heads.tolist()], dtype=bool)[inverse.ravel()]
+    return firsts
 
 
 def _strings(words: pa.Array, rows: np.ndarray) -> pa.Array:
-    """Phrases of rows of numbers, joined by one space."""
-    columns = [words.take(pa.array(c, mask=c == 0)) for c in rows.T]
+    """Phrases of rows of numbers (from 1; 0: none), joined by one space."""
+    columns = [words.take(pa.array(c - 1, mask=c == 0)) for c in rows.T]
     return pc.binary_join_element_wise(*columns, " ", null_handling="skip") if len(columns) > 1 else columns[0]
 
 
@@ -163,46 +226,26 @@ def prefix_counts(texts: DataFrame, words: int, plan=None) -> DataFrame:
     of its long prefixes of one word less."""
 
     def count(batches):
-        p = plan.value if plan is not None else None
-        for lang, block in _blocks(batches, 0, 1, words):
-            vocabulary = block.vocabulary()
+        for block in _blocks(batches):
             if words == 1:
-                counts = block.word_counts()
-                rows = np.flatnonzero(counts)
-                rows = rows[rows > 0, None]
-                counts = counts[rows[:, 0]]
+                counts = np.bincount(block.ids, minlength=len(block.names) + 1)[1:]
+                rows = np.arange(1, len(block.names) + 1)[:, None]
             else:
-                rows, counts = block.suffixes(_known(p, lang, vocabulary), words)
-                whole = rows[:, -1] > 0
-                whole[whole] = _long_rows(p, lang, vocabulary, rows[whole], words - 1)
+                p: Plan = plan.value
+                longer = p.longer(block)
+                if len(longer) < words - 1 or not longer[words - 2]:
+                    continue
+                only = np.zeros(len(block.names), dtype=bool)
+                only[[q[0] - 1 for q in longer[words - 2]]] = True
+                rows, counts = block.suffixes(p.known(p.hashes(block)), words, only)
+                whole = (rows[:, -1] > 0) & _starts_with(rows, longer[words - 2], words - 1)
                 rows, counts = rows[whole], counts[whole]
-            names = pa.array(vocabulary[1:], pa.binary()).cast(pa.string())
-            names = pa.concat_arrays([pa.array([None], pa.string()), names])
-            n = len(counts)
-            yield from _slices([pa.repeat(pa.scalar(lang, pa.string()), n), _strings(names, rows), pa.array(counts, pa.int64())], ["lang", "prefix", "f"])
+            yield from _slices([pa.repeat(pa.scalar(block.lang, pa.string()), len(counts)), _strings(block.names, rows), pa.array(counts, pa.int64())], ["lang", "prefix", "f"])
 
     found = texts.mapInArrow(count, "lang string, prefix string, f long")
     return found.groupBy("lang", "prefix").agg(F.sum("f").alias("f"))
 
 
-def _long_rows(plan: Plan, lang: str, vocabulary: list[bytes], rows: np.ndarray, words: int) -> np.ndarray:
-    """Per row: are its first ``words`` words a prefix that was made longer?"""
-    if len(plan.long) < words or not len(rows):
-        return np.zeros(len(rows), dtype=bool)
-    long = plan.long[words - 1]
-    out = np.ones(len(rows), dtype=bool)
-    if words > 1:
-        out = _long_rows(plan, lang, vocabulary, rows, words - 1)
-    at = np.flatnonzero(out)
-    code = np.zeros(len(at), dtype=np.int64)
-    for k in range(words):
-        code = (code << BITS) | rows[at, k]
-    _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-    hit = [(lang, b" ".join(vocabulary[j] for j in rows[at[i], :words].tolist())) in long for i in first.tolist()]
-    out[at] = np.array(hit, dtype=bool)[inverse]
-    return out
-
-
 def _flags(words: DataFrame, min_count: int) -> np.ndarray:
     """Bit map of the hashes of words that occur often enough. A rare word may
     share a bit with a frequent one (it is then counted, and left out later);
@@ -240,55 +283,93 @@ def pack_groups(weights: np.ndarray, budget: int) -> np.ndarray:
 
 
 def _send(texts: DataFrame, plan, depth: int) -> DataFrame:
-    """(group, lang, suffix, own, n): suffixes with their counts; ``own`` is the
-    number of words of the prefix that chose the group."""
+    """Suffixes with their counts, some of them to a row: per block, group and
+    ``own`` (the number of words of the prefixes that chose the group) their
+    words, joined by spaces, per place of a suffix the number of its word (from
+    1; 0: none), and the counts."""
 
     def send(batches):
         p: Plan = plan.value
         buckets = np.uint64(len(p.group_of) - 1)
-        for lang, block in _blocks(batches, 0, 1, depth):
-            vocabulary = block.vocabulary()
-            rows, counts = block.suffixes(_known(p, lang, vocabulary), depth)
+        for block in _blocks(batches):
+            hashes = p.hashes(block)
+            longer = p.longer(block)
+            rows, counts = block.suffixes(p.known(hashes), depth)
             own = np.ones(len(rows), dtype=np.int64)
-            for words in range(1, depth):
-                longer = _long_rows(p, lang, vocabulary, rows, words) & (rows[:, words] > 0)
-                own[longer] = words + 1
-            group = np.zeros(len(rows), dtype=np.int32)
-            for words in range(1, depth + 1):
-                at = np.flatnonzero(own == words)
-                code = np.zeros(len(at), dtype=np.int64)
-                for k in range(words):
-                    code = (code << BITS) | rows[at, k]
-                _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-                h = [prefix_hash(lang, b" ".join(vocabulary[j] for j in rows[at[i], :words].tolist())) for i in first.tolist()]
-                group[at] = p.group_of[(np.array(h, dtype=np.uint64) & buckets).astype(np.int64)][inverse]
-            names = pa.concat_arrays([pa.array([None], pa.string()), pa.array(vocabulary[1:], pa.binary()).cast(pa.string())])
-            n = len(rows)
-            columns = [pa.array(group), pa.repeat(pa.scalar(lang, pa.string()), n), _strings(names, rows), pa.array(own.astype(np.int32)), pa.array(counts, pa.int64())]
-            yield from _slices(columns, ["part", "lang", "suffix", "own", "n"])
-
-    return texts.mapInArrow(send, "part int, lang string, suffix string, own int, n long")
+            for size in range(1, min(depth, len(longer) + 1)):
+                own[(own == size) & (rows[:, size] > 0) & _starts_with(rows, longer[size - 1], size)] = size + 1
+            group = p.group_of[(hashes & buckets).astype(np.int64)][rows[:, 0] - 1] if len(rows) else np.zeros(0, dtype=np.int32)
+            for size in range(2, depth + 1):
+                at = np.flatnonzero(own == size)
+                if len(at):
+                    heads, inverse = np.unique(rows[at, :size], axis=0, return_inverse=True)
+                    h = [prefix_hash(block.lang, t.encode()) for t in _strings(block.names, heads).to_pylist()]
+                    group[at] = p.group_of[(np.array(h, dtype=np.uint64) & buckets).astype(np.int64)][inverse.ravel()]
+            yield from _chunks(block, rows, counts, group, own)
+
+    numbers = ", ".join(f"w{k} array<smallint>" for k in range(depth))
+    return texts.mapInArrow(send, f"part int, lang string, own int, words string, {numbers}, n array<int>")
+
+
+def _chunks(block: Block, rows: np.ndarray, counts: np.ndarray, group: np.ndarray, own: np.ndarray):
+    """Rows of at most CHUNK suffixes, so that a number of a word in it is a small one."""
+    if not len(rows):
+        return
+    depth = rows.shape[1]
+    order = np.lexsort([own, group])
+    rows, counts, group, own = rows[order], counts[order], group[order], own[order]
+    new = np.concatenate([[True], (np.diff(group) != 0) | (np.diff(own) != 0)])
+    begin = np.flatnonzero(new)
+    new |= (np.arange(len(rows)) - begin[np.cumsum(new) - 1]) % CHUNK == 0
+    first = np.flatnonzero(new)
+    bounds = np.append(first, len(rows))
+    used, numbers = [], []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        words, inverse = np.unique(rows[lo:hi], return_inverse=True)
+        none = int(words[0] == 0)  # the number 0 is no word
+        used.append(words[none:])
+        numbers.append((inverse.reshape(-1, depth) + 1 - none).astype(np.int16))
+    names = block.names.take(pa.array(np.concatenate(used) - 1))
+    ends = pa.array(np.concatenate([[0], np.cumsum([len(u) for u in used])]), pa.int32())
+    numbers = np.concatenate(numbers)
+    bounds = pa.array(bounds, pa.int32())
+    yield from _slices(
+        [
+            pa.array(group[first].astype(np.int32)),
+            pa.repeat(pa.scalar(block.lang, pa.string()), len(first)),
+            pa.array(own[first].astype(np.int32)),
+            pc.binary_join(pa.ListArray.from_arrays(ends, names), " "),
+            *[pa.ListArray.from_arrays(bounds, pa.array(np.ascontiguousarray(numbers[:, k]))) for k in range(depth)],
+            pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int32))),
+        ],
+        ["part", "lang", "own", "words", *[f"w{k}" for k in range(depth)], "n"],
+    )
 
 
 class Subtrees:
     """Suffix subtrees of one group, cut off at ``depth`` words: leaves in
     order, and per depth where each node's leaves begin and their total."""
 
-    def __init__(self, langs: pa.Array, suffixes: pa.Array, n: np.ndarray, own: np.ndarray, depth: int):
-        parts = pc.split_pattern(suffixes, " ")
-        size = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
-        words = parts.flatten().dictionary_encode()
-        self.words = words.dictionary
-        lang = langs.dictionary_encode()
-        self.langs = lang.dictionary
-        rows = np.zeros((len(size), depth + 1), dtype=np.int64)
-        rows[:, 0] = lang.indices.to_numpy()
-        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        rows[np.repeat(np.arange(len(size)), size), place + 1] = words.indices.to_numpy() + 1
-        order = np.lexsort(rows.T[::-1])
-        self.rows, self.own = rows[order], own[order]
-        self.before = np.concatenate([[0], np.cumsum(n[order])])
-        differs = np.zeros(len(rows), dtype=bool)
+    def __init__(self, group: pa.Table, depth: int):
+        column = lambda name: group[name].combine_chunks()
+        lang = column("lang").dictionary_encode()
+        words, counts = pc.split_pattern(column("words"), " "), column("n")
+        names = words.flatten().dictionary_encode()
+        self.langs, self.words = lang.dictionary, names.dictionary
+        sizes = pc.list_value_length(words).to_numpy()
+        suffixes = pc.list_value_length(counts).to_numpy()
+        base = np.repeat(np.cumsum(sizes) - sizes, suffixes)
+        number = np.concatenate([[0], names.indices.to_numpy().astype(np.int64) + 1])
+        columns = [np.repeat(lang.indices.to_numpy().astype(np.int64), suffixes)]
+        for k in range(depth):
+            ids = column(f"w{k}").flatten().to_numpy().astype(np.int64)
+            columns.append(number[np.where(ids > 0, ids + base, 0)])
+        columns.append(np.repeat(column("own").to_numpy().astype(np.int64), suffixes))
+        below = max(len(self.words), len(self.langs), depth) + 1
+        table, count = distinct(columns, below, counts.flatten().to_numpy())
+        self.rows, self.own = table[:, :-1], table[:, -1]
+        self.before = np.concatenate([[0], np.cumsum(count)])
+        differs = np.zeros(len(table), dtype=bool)
         differs[:1] = True
         self.first, self.node = [], []
         for k in range(depth + 1):
@@ -306,13 +387,10 @@ def _nodes(depth: int, min_count: int, plan):
     """Group -> its nodes of two and more words that occur often enough."""
 
     def build(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        column = lambda name: group[name].chunk(0) if group[name].num_chunks else pa.array([], group.schema.field(name).type)
-        tree = Subtrees(column("lang"), column("suffix"), group["n"].to_numpy(), group["own"].to_numpy(), depth)
+        tree = Subtrees(group, depth)
         long = plan.value.long
         out = {name: [] for name in ("lang", "phrase", "words", "a", "left")}
         totals = [tree.totals(k) for k in range(depth + 1)]
-        names = pa.concat_arrays([pa.array([None], pa.string()), tree.words.cast(pa.string())])
         for words in range(2, depth + 1):
             leaf = tree.first[words]
             keep = (tree.rows[leaf, words] > 0) & (tree.own[leaf] <= words) & (totals[words] >= min_count)
@@ -321,11 +399,12 @@ def _nodes(depth: int, min_count: int, plan):
             left = np.zeros((len(leaf), words - 1), dtype=np.int64)
             for k in range(1, words):
                 left[:, k - 1] = totals[k][tree.node[k][leaf]]
-                for i in np.flatnonzero(tree.own[leaf] > k).tolist():  # a prefix that is spread over groups
-                    prefix = " ".join(names[j].as_py() for j in rows[i, 1 : k + 1].tolist()).encode()
-                    left[i, k - 1] = long[k - 1][(langs[i].as_py(), prefix)]
+                spread = np.flatnonzero(tree.own[leaf] > k)  # under a prefix that is spread over groups
+                prefixes = _strings(tree.words, rows[spread, 1 : k + 1]).to_pylist()
+                for i, lang, prefix in zip(spread.tolist(), langs.take(pa.array(spread)).to_pylist(), prefixes):
+                    left[i, k - 1] = long[k - 1][(lang, prefix.encode())]
             out["lang"].append(langs)
-            out["phrase"].append(_strings(names, rows[:, 1 : words + 1]))
+            out["phrase"].append(_strings(tree.words, rows[:, 1 : words + 1]))
             out["words"].append(pa.array(np.full(len(leaf), words, dtype=np.int32)))
             out["a"].append(pa.array(a))
             out["left"].append(pa.ListArray.from_arrays(pa.array(np.arange(len(leaf) + 1) * (words - 1), pa.int32()), pa.array(left.ravel())))
@@ -400,7 +479,7 @@ def _score(a: str, left: str, right: str):
 
 def collocations(
     docs: DataFrame, min_count: int = 10, max_words: int = 3, inside_percent: int = 50, top: int = 2000,
-    budget: int = 250_000, lang_col: str = "lang", text_col: str = "text",
+    budget: int = 1_000_000, lang_col: str = "lang", text_col: str = "text",
 ) -> DataFrame:
     """Each language's best phrases: lang, rank, phrase, a, l, r, n, score.
 
@@ -414,8 +493,8 @@ def collocations(
     score, count (both descending) and phrase (by bytes). Repeated rows count
     as often as they occur; other columns are not read; no phrase, no row.
     """
-    if not 2 <= max_words <= 63 // BITS or min_count < 1:
-        raise ValueError(f"phrases have 2 to {63 // BITS} words and occur at least once")
+    if not 2 <= max_words <= MOST_WORDS or min_count < 1:
+        raise ValueError(f"phrases have 2 to {MOST_WORDS} words and occur at least once")
     words, phrases = phrase_counts(docs, min_count, max_words, budget, lang_col, text_col)
     counted = words.where(F.col("f") >= min_count).select("lang", F.col("prefix").alias("part"), F.col("f").alias("r"))
     counted = counted.unionByName(phrases.where(F.col("words") < max_words).select("lang", F.col("phrase").alias("part"), F.col("a").alias("r")))
@@ -431,7 +510,7 @@ def collocations(
     kept = kept.select("lang", "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"), F.col("c.score").alias("score"))
     order = "ORDER BY score DESC, a DESC, phrase"
     # first the best of parts of a language, then of these
-    kept = kept.withColumn("deal", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    kept = kept.withColumn("deal", F.pmod(F.xxhash64("phrase"), F.lit(32)))
     kept = kept.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY lang, deal {order})")).where(F.col("rank") <= top).drop("rank", "deal")
     kept = kept.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY lang {order})")).where(F.col("rank") <= top)
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))

@@ -45,7 +45,7 @@ def texts():
     return rows
 
 
-@pytest.mark.parametrize("budget, top, words", [(250_000, 2000, 3), (50, 2000, 3), (1, 5, 3), (300, 3, 2)])
+@pytest.mark.parametrize("budget, top, words", [(1_000_000, 2000, 3), (50, 2000, 3), (1, 5, 3), (300, 3, 2)])
 def test_collocations(spark, budget, top, words):
     rows = texts() + texts()[:20]
     df = spark.createDataFrame([(i, lang, t, "c", 1) for i, (lang, t) in enumerate(rows)], "doc_id long, lang string, text string, phrase string, a int").repartition(5)
@@ -59,24 +59,37 @@ def test_empty(spark):
     assert C.collocations(spark.createDataFrame([(None, None), ("a", "one two")], "lang string, text string")).count() == 0
 
 
-def test_blocks_of_a_long_text(monkeypatch):
-    monkeypatch.setattr(C, "BLOCK_TOKENS", 10)
-    rnd = random.Random(6)
-    text = " ".join(rnd.choice(["a", "b", "c", "d."]) for _ in range(203))
+@pytest.mark.parametrize("block_bytes", [10, 200, 16_000_000])
+def test_blocks(monkeypatch, block_bytes):
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"lang": ["en", "fr"], "text": [text, text]})
-    want, got = Counter(), Counter()
-    for piece in text.split("."):
-        w = piece.split()
-        want.update(" ".join(w[i : i + 3]) for i in range(len(w)))
-    for lang, block in C._blocks([batch], 0, 1, 3):
-        names = [""] + [w.decode() for w in block.vocabulary()[1:]]
-        rows, counts = block.suffixes(np.ones(len(names), dtype=bool), 3)
-        if lang == "en":
-            for row, n in zip(rows.tolist(), counts.tolist()):
-                got[" ".join(names[j] for j in row if j)] += n
-    assert got == want
+    monkeypatch.setattr(C, "BLOCK_BYTES", block_bytes)
+    rows = texts()
+    batches = [pa.RecordBatch.from_pydict({"lang": [r[0] for r in part], "text": [r[1] for r in part]}, pa.schema([("lang", pa.string()), ("text", pa.string())])) for part in (rows[:3], rows[3:100], [], rows[100:])]
+    got, want = defaultdict(Counter), defaultdict(Counter)
+    for block in C._blocks(batches):
+        names = ["", *block.names.to_pylist()]
+        suffixes, counts = block.suffixes(np.array([w != "of" for w in names[1:]], dtype=bool), 3)
+        for row, n in zip(suffixes.tolist(), counts.tolist()):
+            got[block.lang][" ".join(names[j] for j in row if j)] += n
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").lower()):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for i in range(len(w)):
+                suffix = w[i : i + 3]
+                suffix = suffix[: suffix.index("of")] if "of" in suffix else suffix
+                if suffix:
+                    want["und" if lang is None else lang][" ".join(suffix)] += 1
+    assert {k: v for k, v in got.items() if v} == want
+
+
+def test_distinct_rows_of_many_words():
+    rnd = np.random.default_rng(3)
+    columns = [rnd.integers(0, 4, 300) for _ in range(3)]
+    weights = rnd.integers(1, 9, 300)
+    small, large = C.distinct(columns, 4, weights), C.distinct(columns, 1 << 40, weights)
+    assert (small[0] == large[0]).all() and (small[1] == large[1]).all() and small[1].sum() == weights.sum()
+    assert (C.distinct(columns, 4)[1] == C.distinct(columns, 1 << 40)[1]).all()
 
 
 def test_pack_groups():
