@@ -1,27 +1,28 @@
 """Embedding near-duplicates by robust-pruned flat graphs.
 
 1. Equal vectors are one class, whatever their number.
-2. Centroids are fitted on a bounded sample; every vector lies in the cell of its
-   nearest centroid. Spark takes each cell's radius (largest angle to the
-   centroid) and size.
-3. A vector is sent to its own cell and to every later cell that may hold a
-   partner: its angle to the centroid less the link angle is within the radius,
-   and it lies no further than the link's chord from the plane half way between
-   both centroids. A pair in range passes both tests, so it meets in one cell.
-4. A cell of more than ``part_rows`` vectors is dealt into parts, and so are the
-   vectors sent to it; each part meets each, so no group of rows grows with a cell.
-5. In each part a flat graph of its members is built: near candidates of a
+2. Centroids are fitted on a bounded sample, near ones joined (a dense group is
+   not cut up). Every vector goes to the shards of its ``overlap`` nearest ones;
+   a shard of more than ``part_rows`` vectors is dealt into parts, and each part
+   meets each, so no group of rows grows with a shard.
+3. In each shard a flat graph of its members is built: near candidates of a
    vector, robust pruned (a candidate goes when a kept one is ``alpha`` times
    nearer to it), with the reverse edges added.
-6. Each vector sent is searched for in it: greedy with a beam from the medoid and
-   its own node, then every vector in range is expanded until no other is found.
-   Cosines are double precision of the original vectors, so what is linked is
-   verified. A partner from another cell counts for both ends. A task sends back
-   numbers of links and spanning stars, never pairs.
+4. Every member is searched for in it: greedy with a beam from the medoid and its
+   own node, then every vector in range is expanded until no other is found.
+   A pair counts in the first of the shards that both are in.
+5. The lists of a vector's neighbours in range, of all its shards, are united
+   (only where two neighbours differ in their shards). Range expansion goes on
+   over them in rounds: neighbours of what is in range that share no shard with
+   the query are verified, written and expanded again, until no link is new.
+6. Cosines are double precision of the original vectors, so what is linked is
+   verified. A task sends back numbers of links, spanning stars and such lists,
+   never all pairs.
 7. Every pass is audited: bounded samples of vectors with no, few and many links
    found are compared with brute force, vector by vector. Below ``min_recall``
-   in any of them the whole is done again with a wider beam, at last with all
-   members of a part in place of the graph; if that is not enough, it is an error.
+   in any of them the whole is done again with a wider beam and twice the
+   overlap, at last with all members of a shard in place of the graph and four
+   times the overlap; if that is not enough, it is an error.
 """
 
 from __future__ import annotations
@@ -178,14 +179,49 @@ def scan(u, queries, own, cosine, add, block=256):
             add(i + q, node)
 
 
+def apart(c: np.ndarray, cosine: float) -> np.ndarray:
+    """Centroids of which no two are nearer than that, so that a dense group is
+    not cut up: of two near ones the first stays."""
+    kept: list[int] = []
+    for i in range(len(c)):
+        if not kept or (c[kept] @ c[i]).max() < cosine:
+            kept.append(i)
+    return c[kept]
+
+
+def first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per pair of rows of ascending numbers, the least number in both (-1: none)."""
+    out = np.full(len(a), -1, dtype=a.dtype)
+    for i in range(0, len(a), 65_536):
+        both = (a[i : i + 65_536, :, None] == b[i : i + 65_536, None, :]).any(axis=2)
+        at = both.argmax(axis=1)
+        rows = np.arange(len(both))
+        out[i : i + 65_536] = np.where(both[rows, at], a[i : i + 65_536][rows, at], -1)
+    return out
+
+
+def near_edges(u: np.ndarray, a: np.ndarray, b: np.ndarray, cosine: float, degree: int = 24) -> tuple[np.ndarray, np.ndarray]:
+    """Of a graph's edges those in range, at most ``degree`` (the nearest) a node."""
+    sim = np.concatenate([np.einsum("ij,ij->i", u[a[k : k + 65_536]], u[b[k : k + 65_536]]) for k in range(0, len(a), 65_536)] or [np.zeros(0)])
+    a, b, sim = a[sim >= cosine], b[sim >= cosine], sim[sim >= cosine]
+    order = np.lexsort((-sim, a))
+    a, b = a[order], b[order]
+    place = np.arange(len(a)) - np.searchsorted(a, a)
+    return a[place < degree], b[place < degree]
+
+
+LINK_SCHEMA = "a long, b long, n long, cell int, a_cells array<int>, b_cells array<int>"
+
+
 def _links(classes: DataFrame, n: int, cosine: float, beam: int | None, overlap: int, shard_rows: int, part_rows: int, sample_rows: int, max_shards: int):
-    """Written (a, b, n): b null: class a has n linked vectors in one part; else a star link. No beam: all nodes are looked at."""
+    """Written (a, b, n): b null: class a has n linked vectors more; else a star link. No beam: all nodes are looked at."""
     spark = classes.sparkSession
     k = int(min(max_shards, max(1, -(-n * overlap // shard_rows))))
     x = sample_matrix(classes.select("id", "v"), n, sample_rows)
     if not len(x):
         x = matrix(classes.limit(sample_rows).toArrow().column("v"))
-    shared = spark.sparkContext.broadcast(fit_centroids(unit(x), k))
+    centroids = apart(fit_centroids(unit(x), k), min(cosine, np.cos(1.5 * np.arccos(cosine))))
+    shared, overlap = spark.sparkContext.broadcast(centroids), min(overlap, len(centroids))
     kind = classes.schema["v"].dataType.simpleString()
 
     def assign(batches):
@@ -194,107 +230,138 @@ def _links(classes: DataFrame, n: int, cosine: float, beam: int | None, overlap:
             x = matrix(batch.column(1))
             for i in range(0, len(x), 1024):
                 s = unit(x[i : i + 1024]) @ c.T
-                angle = np.arccos(np.clip(s.max(axis=1), -1, 1))
-                part = batch.slice(i, 1024)
-                yield pa.RecordBatch.from_arrays([pa.array(np.argmax(s, axis=1)), pa.array(angle), *part.columns], names=["cell", "angle", "id", "v", "mult"])
+                cells = np.sort(np.argpartition(-s, overlap - 1, axis=1)[:, :overlap], axis=1).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(s) + 1) * overlap, pa.int32()), pa.array(cells.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, 1024).columns, lists], names=["id", "v", "mult", "cells"])
 
-    placed = classes.select("id", "v", "mult").mapInArrow(assign, f"cell long, angle double, id long, v {kind}, mult long")
+    placed = classes.select("id", "v", "mult").mapInArrow(assign, f"id long, v {kind}, mult long, cells array<int>")
     placed = written(placed, "dedup-placed")
-    radius, size = np.full(len(shared.value), -np.inf), np.zeros(len(shared.value), dtype=np.int64)
-    for r in placed.groupBy("cell").agg(F.max("angle").alias("angle"), F.count("*").alias("n")).collect():  # at most max_shards rows
-        radius[r["cell"]], size[r["cell"]] = r["angle"], r["n"]
-    angle, chord, slack = np.arccos(cosine), np.sqrt(2 - 2 * cosine), 1e-6
-    rows = placed.select("id", "v", "mult", "cell")
-
-    def reach(batch):
-        """(first row, row, cell) of the cells each vector is sent to, a block of rows at a time."""
-        c, x, home = shared.value, matrix(batch.column(1)), batch.column(3).to_numpy()
-        for i in range(0, len(x), 1024):
-            h = home[i : i + 1024]
-            s = unit(x[i : i + 1024]) @ c.T
-            own = s[np.arange(len(h)), h][:, None]
-            gap = np.sqrt(np.maximum(2 - 2 * c[h] @ c.T, 0))
-            go = (np.arccos(np.clip(s, -1, 1)) - angle <= radius + slack) & (own - s <= (chord + slack) * gap + slack)
-            go &= np.arange(len(c)) > h[:, None]
-            go[np.arange(len(h)), h] = True
-            yield i, *np.nonzero(go)
-
-    def count(batches):
-        total = np.zeros(len(shared.value), dtype=np.int64)
-        for batch in batches:
-            for _, _, cell in reach(batch):
-                total += np.bincount(cell, minlength=len(total))
-        got = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(got), pa.array(total[got])], names=["cell", "n"])
-
-    asked = np.zeros(len(size), dtype=np.int64)
-    for r in rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        asked[r["cell"]] = r["n"]
-    parts, chunks = np.maximum(1, -(-size // part_rows)), np.maximum(1, -(-asked // part_rows))
+    size = np.zeros(len(centroids), dtype=np.int64)
+    for r in placed.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect():  # at most max_shards rows
+        size[r["cell"]] = r["count"]
+    parts = np.maximum(1, -(-size // part_rows))
 
     def send(batches):
-        """Members go to their part for every chunk of the cell's queries, queries to their chunk for every part."""
+        """Each row goes to its shards; in a shard dealt into parts, to the tasks of its part with each."""
         for batch in batches:
-            ids, home = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            ids = batch.column(0).to_numpy()
             share = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
-
-            def copies(row, cell, member):
-                copy = chunks[cell] if member else parts[cell]
-                which, other = _spread(np.zeros(len(cell), np.int64), copy)
-                for i in range(0, len(which), 16_384):
-                    w, o = which[i : i + 16_384], other[i : i + 16_384]
-                    r, c = row[w], cell[w]
-                    dealt = share[r] % (parts if member else chunks)[c]
-                    part, chunk = (dealt, o) if member else (o, dealt)
-                    take = pa.array(r)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c), pa.array(part), pa.array(chunk), pa.array(np.full(len(r), member)), pa.array(home[r] == c), *[batch.column(j).take(take) for j in range(3)]],
-                        names=["cell", "part", "chunk", "member", "own", "id", "v", "mult"],
-                    )
-
-            yield from copies(np.arange(len(ids)), home, True)
-            for i, row, cell in reach(batch):
-                yield from copies(i + row, cell, False)
+            cells = batch.column(3).flatten().to_numpy().reshape(len(ids), overlap) if len(ids) else np.zeros((0, overlap), np.int32)
+            row = np.repeat(np.arange(len(ids)), overlap)
+            cell = cells.ravel()
+            which, other = _spread(np.zeros(len(cell), np.int64), parts[cell])
+            for i in range(0, len(which), 16_384):
+                w, o = which[i : i + 16_384], other[i : i + 16_384]
+                r, c = row[w], cell[w]
+                own = share[r] % parts[c]
+                take = pa.array(r)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.astype(np.int32)), pa.array(np.minimum(own, o)), pa.array(np.maximum(own, o)), pa.array(own <= o), pa.array(own >= o), *[batch.column(j).take(take) for j in range(4)]],
+                    names=["cell", "part", "other", "asks", "node", "id", "v", "mult", "cells"],
+                )
 
     def look(t: pa.Table) -> pa.Table:
-        t = t.take(pa.array(np.lexsort((t.column("id").to_numpy(), ~t.column("member").to_numpy()))))  # members first, by id
-        member, own, ids, mult = (t.column(c).to_numpy() for c in ("member", "own", "id", "mult"))
-        m, u = int(member.sum()), unit(matrix(t.column("v")))
+        """One shard (or a pair of its parts): its graph, and every row that asks searched for in it."""
+        t = t.take(pa.array(np.lexsort((t.column("id").to_numpy(), ~t.column("node").to_numpy()))))  # nodes first, by id
+        node, asks, ids, mult = (t.column(c).to_numpy() for c in ("node", "asks", "id", "mult"))
+        cells = t.column("cells").combine_chunks().flatten().to_numpy().reshape(len(ids), overlap)
+        cell, m, u = t.column("cell")[0].as_py(), int(node.sum()), unit(matrix(t.column("v")))
+        ask = np.flatnonzero(asks)
+        within = bool((node & asks).any())  # rows of one part with each other
         stars, counts = Stars(len(ids)), np.zeros(len(ids), dtype=np.int64)
-        if 0 < m < len(ids):
-            node = np.minimum(np.searchsorted(ids[:m], ids[m:]), m - 1)
-            mine = np.where(ids[node] == ids[m:], node, -1)
-
-            def add(q, node):
-                rows = m + q
-                other = ~own[rows]  # the members of other cells do not ask for it themselves
-                counts[:] += np.bincount(rows, mult[node], len(ids)).astype(np.int64)
-                counts[:] += np.bincount(node[other], mult[rows[other]], len(ids)).astype(np.int64)
-                for end in (rows, node):  # one link of each end first, which leaves few to join
+        edge_a = edge_b = np.zeros(0, np.int64)
+        if m and len(ask):
+
+            def add(q, found):
+                rows = ask[q]
+                mine = first_common(cells[rows], cells[found]) == cell  # in their other shards the pair does not count
+                counts[:] += np.bincount(rows[mine], mult[found[mine]], len(ids)).astype(np.int64)
+                if not within:  # the others do not ask for it themselves
+                    counts[:] += np.bincount(found[mine], mult[rows[mine]], len(ids)).astype(np.int64)
+                for end in (rows, found):  # one link of each end first, which leaves few to join
                     _, at = np.unique(end, return_index=True)
-                    stars.join(rows[at], node[at])
+                    stars.join(rows[at], found[at])
                     stars.settle()
-                stars.join(rows, node)
+                stars.join(rows, found)
                 stars.settle()
 
+            own = ask if within else np.full(len(ask), -1)
+            a, b = build_graph(u[:m])
             if beam is None:
-                scan(u[:m], u[m:], mine, cosine, add)
+                scan(u[:m], u[ask], own, cosine, add)
             else:
-                a, b = build_graph(u[:m])
-                range_search(u[:m], a, b, int(np.argmax(u[:m] @ u[:m].mean(axis=0))), u[m:], mine, cosine, beam, add)
+                range_search(u[:m], a, b, int(np.argmax(u[:m] @ u[:m].mean(axis=0))), u[ask], own, cosine, beam, add)
+            if within:
+                edge_a, edge_b = near_edges(u[:m], a, b, cosine)
+                differ = (cells[edge_a] != cells[edge_b]).any(axis=1)
+                edge_a, edge_b = edge_a[differ], edge_b[differ]
         moved, to = stars.moved()
         got = np.flatnonzero(counts)
+        n_got, n_star, n_edge = len(got), len(moved), len(edge_a)
+        rows = n_got + n_star + n_edge
+        is_edge = np.arange(rows) >= n_got + n_star
+        ends = pa.array(np.concatenate([[0] * (n_got + n_star + 1), np.arange(1, n_edge + 1) * overlap]), pa.int32())
+        lists = lambda x: pa.ListArray.from_arrays(ends, pa.array(cells[x].ravel()))
         return pa.table(
             {
-                "a": np.concatenate([ids[got], ids[moved]]),
-                "b": pa.array(np.concatenate([np.zeros(len(got), np.int64), ids[to]]), mask=np.arange(len(got) + len(moved)) < len(got)),
-                "n": np.concatenate([counts[got], np.zeros(len(moved), np.int64)]),
+                "a": np.concatenate([ids[got], ids[moved], ids[edge_a]]),
+                "b": pa.array(np.concatenate([np.zeros(n_got, np.int64), ids[to], ids[edge_b]]), mask=np.arange(rows) < n_got),
+                "n": np.concatenate([counts[got], np.zeros(n_star + n_edge, np.int64)]),
+                "cell": pa.array(np.full(rows, cell, dtype=np.int32), mask=~is_edge),
+                "a_cells": lists(edge_a),
+                "b_cells": lists(edge_b),
             }
         )
 
-    sent = rows.mapInArrow(send, f"cell long, part long, chunk long, member boolean, own boolean, id long, v {kind}, mult long")
-    out = written(sent.groupBy("cell", "part", "chunk").applyInArrow(look, "a long, b long, n long"), "dedup-links")
+    sent = placed.mapInArrow(send, f"cell int, part long, other long, asks boolean, node boolean, id long, v {kind}, mult long, cells array<int>")
+    out = written(sent.groupBy("cell", "part", "other").applyInArrow(look, LINK_SCHEMA), "dedup-shards")
+    found = [out.where("cell is null").select("a", "b", "n"), *_across(placed, out.where("cell is not null"), cosine, kind)]
+    links = found[0]
+    for part in found[1:]:
+        links = links.unionByName(part)
+    links = written(links, "dedup-links")
     drop_written(placed)
+    drop_written(out)
+    return links
+
+
+def _across(placed: DataFrame, edges: DataFrame, cosine: float, kind: str) -> list[DataFrame]:
+    """Links of vectors without a common shard: range expansion over the united lists.
+
+    The lists of a node from all its shards are put together; from each vector
+    in range of a query, its neighbours that the query's shards do not hold are
+    candidates. They are verified, written, and are the next frontier, until no
+    new link is found. Returns (a, b, n) tables as ``_links``."""
+    lists = edges.groupBy("a", "b").agg(F.first("a_cells").alias("a_cells"), F.first("b_cells").alias("b_cells"))
+    lists = written(lists, "dedup-lists")
+    rounds: list[DataFrame] = []
+    frontier = lists.select(F.col("a").alias("q"), F.col("a_cells").alias("q_cells"), F.col("b").alias("p"))
+    vectors = placed.select("id", "v", "mult", "cells")
+
+    def verify(batches):
+        for batch in batches:
+            if batch.num_rows:
+                keep = np.einsum("ij,ij->i", unit(matrix(batch.column(1))), unit(matrix(batch.column(5)))) >= cosine
+                yield batch.filter(pa.array(keep)).drop_columns(["va", "vb"])
+
+    while True:
+        near = frontier.join(lists, frontier["p"] == lists["a"]).where("b != q").where(~F.arrays_overlap("q_cells", "b_cells"))
+        pairs = near.select(F.least("q", "b").alias("a"), F.greatest("q", "b").alias("b")).distinct()
+        for known in rounds:
+            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        side = lambda x: vectors.select(F.col("id").alias(x), F.col("v").alias(f"v{x}"), F.col("mult").alias(f"mult_{x}"), F.col("cells").alias(f"{x}_cells"))
+        full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "va", "mult_a", "a_cells", "b", "vb", "mult_b", "b_cells")
+        new = written(full.mapInArrow(verify, "a long, mult_a long, a_cells array<int>, b long, mult_b long, b_cells array<int>"), "dedup-round")
+        if new.isEmpty():
+            break
+        rounds.append(new)
+        frontier = new.select(F.col("a").alias("q"), F.col("a_cells").alias("q_cells"), F.col("b").alias("p"))
+        frontier = frontier.union(new.select("b", "b_cells", "a"))
+    none = F.lit(None).cast("long")
+    out = []
+    for new in rounds:
+        out.append(new.select("a", none.alias("b"), F.col("mult_b").alias("n")).union(new.select(F.col("b"), none, "mult_a")))
+        out.append(new.select("a", "b", F.lit(0).cast("long").alias("n")))
     return out
 
 
@@ -346,9 +413,9 @@ def embedding_groups(
     vector: str = "embedding",
     cosine: float = 0.9,
     beam: int = 16,
-    overlap: int = 4,
-    shard_rows: int = 8192,
-    part_rows: int = 12_000,
+    overlap: int = 6,
+    shard_rows: int = 4096,
+    part_rows: int = 8192,
     sample_rows: int = 16_384,
     max_shards: int = 4096,
     min_recall: float = 0.99,
@@ -358,8 +425,8 @@ def embedding_groups(
     Vectors that are null, zero, not finite, or not of the table's common length
     link with nothing, nor do rows with a null id (component null, kept). Equal
     vectors are linked. Repeated rows are vectors of their own with one id.
-    Other columns are ignored; no rows give no rows. A cell has about
-    ``shard_rows / overlap`` vectors, as long as ``max_shards`` cells suffice.
+    Other columns are ignored; no rows give no rows. A shard has about
+    ``shard_rows`` vectors, as long as ``max_shards`` of them suffice.
     """
     kind = vectors.schema[vector].dataType.simpleString()
     rows = usable_vectors(vectors, vec_id, vector).withColumn("v", F.col("v").cast(kind))
@@ -369,8 +436,8 @@ def embedding_groups(
     classes = written(classes.select(F.xxhash64("h1", "h2", "first").alias("id"), "first", "mult", "h1", "h2", "v"), "dedup-classes")
     n = classes.count()
     found = counted = None
-    for width in (beam, 4 * beam, None) if n else ():
-        found = _links(classes, n, cosine, width, overlap, shard_rows, part_rows, sample_rows, max_shards)
+    for width, more in ((beam, 1), (4 * beam, 2), (None, 4)) if n else ():
+        found = _links(classes, n, cosine, width, more * overlap, shard_rows, part_rows, sample_rows, max_shards)
         counted = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
         recall = audit_recall(classes, counted, n, cosine)
         if recall >= min_recall:
