@@ -1,10 +1,10 @@
 """Packing of tokenized documents by length patterns.
 
 The plan is made from the histogram of piece lengths alone (``max_len``
-numbers): patterns of one to three lengths that fill a sequence to within a
-small slack are enumerated, non-negative least squares fits how often each is
-repeated, the repeats are rounded, and what the histogram has left is packed
-largest first, each time with the longest length that still fits. The plan says
+numbers): patterns of few lengths that fill a sequence exactly are enumerated,
+non-negative least squares fits how often each is repeated, and the repeats are
+rounded; this is done again for what the histogram has left, and the residue is
+packed largest first, each time with the longest length that still fits. The plan says
 for every length which sequence and offset its r-th piece gets. Pieces are
 numbered within their length in parallel (salted groups and running sums), so a
 length that a third of all pieces share is no hot key.
@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from pricelens.llm.bpe import Merger, Recent, byte_chars
-from pricelens.llm.common import written
+from pricelens.llm.common import fresh, written
 from pricelens.llm.wordtable import WordTable, encode_plain, lower, plain, words_without_blanks
 
 END_ID = 1
+PATTERN_TURNS = 12  # patterns are drawn and fitted again for what is left, at most so often
 
 
 def default_path() -> str:
@@ -136,41 +137,47 @@ def tokenize_pieces(
     return rows.mapInArrow(run, StructType(fields))
 
 
-def patterns(lengths: np.ndarray, max_len: int, per_length: int = 8, slack: int = 16) -> np.ndarray:
-    """Rows of up to three lengths (0: none) that leave at most ``slack`` free.
-    Pairs: each length with the longest that fits. Triples: the same for pairs
-    of lengths at even distances, about ``per_length`` for each length."""
-    lengths = np.sort(lengths[lengths > 0])
-    if not len(lengths):
-        return np.zeros((0, 3), dtype=np.int64)
-    out = [np.array([[x, 0, 0] for x in lengths[lengths >= max_len - slack].tolist()], dtype=np.int64).reshape(-1, 3)]
-
-    def fill(a, b):
-        room = max_len - a - b
-        at = np.searchsorted(lengths, room, side="right") - 1
-        ok = (at >= 0) & (room > 0)
-        c = np.where(ok, lengths[np.maximum(at, 0)], 0)
-        ok &= (room - c <= slack) & (c <= np.where(b > 0, b, a))
-        return np.stack([a, b, c], 1)[ok]
-
-    pairs = fill(lengths, np.zeros_like(lengths))
-    out.append(pairs[:, [0, 2, 1]])
-    step = max(1, len(lengths) // per_length)
-    for shift in range(min(step, per_length)):
-        grid = lengths[shift * step // per_length :: step]
-        a, b = (x.ravel() for x in np.meshgrid(lengths, grid, indexing="ij"))
-        out.append(fill(np.maximum(a, b), np.minimum(a, b)))
-    return np.unique(np.concatenate(out), axis=0)
-
-
-def fit(rows: np.ndarray, histogram: np.ndarray, rounds: int = 300) -> np.ndarray:
+def patterns(histogram: np.ndarray, max_len: int, most: int = 65_536, seed: int = 0) -> np.ndarray:
+    """Rows of few lengths (largest first, 0: none) that fill a sequence exactly.
+
+    For every length: with the one length that is missing, and with about
+    ``most`` / all lengths others and the one then missing. For short pieces, of
+    which a sequence holds many: lengths drawn as often as the histogram has
+    them, as many as fit, and the one that is missing.
+    """
+    lengths = np.flatnonzero(histogram)
+    total = int(histogram.sum())
+    if not total:
+        return np.zeros((0, 1), dtype=np.int64)
+    there = np.append(histogram > 0, False)  # the last one: no such length
+    rng = np.random.default_rng(seed)
+    share = histogram[lengths] / total
+    others = int(np.clip(min(most, 4 * total) // len(lengths), 1, 64))
+    a = np.repeat(lengths, others + 1)
+    b = np.column_stack([np.zeros(len(lengths), dtype=np.int64), rng.choice(lengths, size=(len(lengths), others), p=share)]).ravel()
+    c = max_len - a - b
+    ok = (c >= 0) & ((c == 0) | there[np.clip(c, -1, max_len)])
+    wide = int(np.clip(2 * max_len * total / max((lengths * histogram[lengths]).sum(), 1), 3, 64))
+    few = np.zeros((int(ok.sum()), wide + 1), dtype=np.int64)
+    few[:, :3] = np.stack([a, b, c], axis=1)[ok]
+    rows = rng.choice(lengths, size=(min(most, max(total, 64)), wide), p=share)
+    rest = max_len - np.cumsum(rows, axis=1)
+    fits = (rest >= 0) & ((rest == 0) | there[np.clip(rest, -1, max_len)])
+    # the longest draw that one more length completes
+    some = np.flatnonzero(fits.any(axis=1))
+    last = wide - 1 - fits[some, ::-1].argmax(axis=1)
+    many = np.column_stack([np.where(np.arange(wide) <= last[:, None], rows[some], 0), rest[some, last]])
+    return np.unique(-np.sort(-np.concatenate([few, many]), axis=1), axis=0)
+
+
+def fit(rows: np.ndarray, histogram: np.ndarray, rounds: int = 150) -> np.ndarray:
     """x >= 0 that makes rows.T x close to the histogram in least squares
     (multiplicative updates, which keep x from turning negative)."""
     n = len(histogram)
     real = rows > 0
     at = np.where(real, rows, 0)
     h = histogram.astype(np.float64)
-    x = np.full(len(rows), max(h.sum() / max(len(rows), 1) / 3, 1e-3))
+    x = np.full(len(rows), max(h.sum() / max(real.sum(), 1), 1e-3))
     gain = (h[at] * real).sum(1)
     for _ in range(rounds):
         made = np.bincount(at.ravel(), weights=(x[:, None] * real).ravel(), minlength=n)
@@ -179,22 +186,48 @@ def fit(rows: np.ndarray, histogram: np.ndarray, rounds: int = 300) -> np.ndarra
 
 
 def plan(histogram: np.ndarray, max_len: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths, repeats) that use every piece of the histogram exactly once."""
+    """(lengths, repeats) that use every piece of the histogram exactly once:
+    the plan of fewest sequences of those with many, one and no turn of fitted
+    patterns (ties: more turns). Patterns take short pieces that long ones may
+    need where few pieces of many lengths are to be packed."""
+    plans = []
+    bound = -(-int((histogram * np.arange(len(histogram))).sum()) // max_len)
+    for turns in (PATTERN_TURNS, 1, 0):
+        plans.append(_plan(histogram, max_len, turns))
+        if sum(times for _, times in plans[-1]) == bound:
+            break
+    return min(plans, key=lambda made: sum(times for _, times in made))
+
+
+def _plan(histogram: np.ndarray, max_len: int, turns: int) -> list[tuple[tuple[int, ...], int]]:
+    """Fitted patterns as far as the histogram has their pieces, each turn for
+    what it still has, and largest-first for the rest.
+
+    Repeats are rounded so that running totals are kept, pattern by pattern from
+    the one with the longest piece: what is cut off one goes to the next.
+    """
     left = histogram.astype(np.int64).copy()
     out = []
-    rows = patterns(np.flatnonzero(left), max_len)
-    if len(rows):
-        x = fit(rows, left)
-        for i in np.argsort(-x, kind="stable").tolist():
-            times = int(round(x[i]))
-            if not times:
-                break
-            lengths = [int(v) for v in rows[i] if v]
-            times = min([times, *[int(left[v]) // lengths.count(v) for v in lengths]])
+    for turn in range(turns):
+        before = int(left.sum())
+        rows = patterns(left, max_len, seed=turn)
+        if not len(rows):
+            break
+        rows = rows[::-1]
+        carry = 0.0
+        for row, x in zip(rows.tolist(), fit(rows, left).tolist()):
+            carry += x
+            if carry < 0.5:
+                continue
+            lengths = [v for v in row if v]
+            times = min([int(carry + 0.5), *[int(left[v]) // lengths.count(v) for v in set(lengths)]])
+            carry = min(carry - times, 1.0)
             if times:
                 for v in lengths:
                     left[v] -= times
                 out.append((tuple(lengths), times))
+        if before - int(left.sum()) < before // 50:
+            break
     there = np.flatnonzero(left).tolist()
     while there:
         lengths, room, used = [], max_len, {}
@@ -234,10 +267,11 @@ def slots(made: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 
 def pack(pieces: DataFrame, max_len: int = 4096, group_rows: int = 500_000) -> DataFrame:
-    """``pieces`` (with ``length``, 1 to ``max_len``) plus sequence_id and offset.
+    """``pieces`` (with ``length``, 1 to ``max_len``) plus sequence_id and offset
+    (under other names if ``pieces`` has these).
 
-    ``pieces`` should be a written table: it is read twice. Equal rows are
-    pieces of their own. What goes to the driver and to every task is the
+    ``pieces`` must be a written table: it is read twice and its rows are told
+    apart by their place in it. Equal rows are pieces of their own. What goes to the driver and to every task is the
     histogram and the plan made from it, whose size depends on ``max_len`` only.
     """
     counts = pieces.groupBy("length").count().collect()
@@ -246,14 +280,14 @@ def pack(pieces: DataFrame, max_len: int = 4096, group_rows: int = 500_000) -> D
         histogram[r["length"]] = r["count"]
     table = slots(plan(histogram, max_len))
     salts = max(16, int(histogram.sum()) // group_rows)
-    others = [c for c in pieces.columns if c != "length" and not isinstance(pieces.schema[c].dataType, ArrayType)]
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)))
-    sums = salted.groupBy("length", "_salt").count()
-    before = F.sum("count").over(Window.partitionBy("length").orderBy("_salt")) - F.col("count")
-    sums = sums.select("length", "_salt", before.alias("_before"))
-    local = F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*others))
-    ranked = salted.withColumn("_local", local).join(sums, ["length", "_salt"]).withColumn("_rank", F.col("_before") + F.col("_local") - 1)
-    keep = pieces.columns
+    row, salt, before, rank = fresh(pieces, "row", "salt", "before", "rank")
+    salted = pieces.withColumn(row, F.monotonically_increasing_id())  # of a written table: always the same
+    salted = salted.withColumn(salt, F.pmod(F.xxhash64(row), F.lit(salts)))
+    sums = salted.groupBy("length", salt).count()
+    sums = sums.select("length", salt, (F.sum("count").over(Window.partitionBy("length").orderBy(salt)) - F.col("count")).alias(before))
+    local = F.row_number().over(Window.partitionBy("length", salt).orderBy(row))
+    ranked = salted.withColumn(rank, local).join(sums, ["length", salt]).withColumn(rank, F.col(before) + F.col(rank) - 1)
+    keep, new = pieces.columns, fresh(pieces, "sequence_id", "offset")
     shared = pieces.sparkSession.sparkContext.broadcast((table[:, 0] * (1 << 40) + table[:, 1], table))
 
     def run(batches):
@@ -263,13 +297,13 @@ def pack(pieces: DataFrame, max_len: int = 4096, group_rows: int = 500_000) -> D
             if not batch.num_rows:
                 continue
             length = batch.column(at_length).to_numpy(zero_copy_only=False).astype(np.int64)
-            rank = batch.column(len(keep)).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = np.searchsorted(keys, length * (1 << 40) + rank, side="right") - 1
-            placed = [pa.array(t[at, 2] + rank - t[at, 1]), pa.array(t[at, 3])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *placed], names=[*keep, "sequence_id", "offset"])
+            ranks = batch.column(len(keep)).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.searchsorted(keys, length * (1 << 40) + ranks, side="right") - 1
+            placed = [pa.array(t[at, 2] + ranks - t[at, 1]), pa.array(t[at, 3])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *placed], names=[*keep, *new])
 
-    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return ranked.select(*keep, "_rank").mapInArrow(run, schema)
+    schema = StructType([*pieces.schema.fields, *[StructField(n, LongType()) for n in new]])
+    return ranked.select(*keep, rank).mapInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_len: int = 4096, path: str | None = None, with_ids: bool = True) -> DataFrame:

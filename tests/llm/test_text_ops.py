@@ -217,3 +217,35 @@ def test_word_table_with_a_poor_hash(limit, most_bytes):
         end = np.cumsum([len(w) for w in words])
         flat, size = table.ids(text, end - [len(w) for w in words], end)
         assert size.tolist() == [len(w) for w in words] and flat.tolist() == text.tolist()
+
+
+def test_patterns_place_nearly_all(spark):
+    h = np.zeros(4097, dtype=np.int64)
+    pieces = packing.tokenize_pieces(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), with_ids=False)
+    for r in pieces.groupBy("length").count().collect():
+        h[r["length"]] = r["count"]
+    rows = packing.patterns(h, 4096)
+    assert (rows.sum(axis=1) == 4096).all() and len(np.unique(rows, axis=0)) == len(rows)
+    made = packing.plan(h, 4096)
+    full = sum(len(lengths) * times for lengths, times in made if sum(lengths) == 4096)
+    assert full >= 0.9 * h.sum()
+    total = int((h * np.arange(4097)).sum())
+    assert sum(times for _, times in made) == -(-total // 4096)
+    used = np.zeros(4097, dtype=np.int64)
+    for lengths, times in made:
+        np.add.at(used, list(lengths), times)
+    assert (used == h).all()
+    assert len(packing.patterns(h * 0, 4096)) == 0
+
+
+def test_pack_with_clashing_names(spark):
+    from pricelens.llm.common import written
+
+    df = spark.range(500).selectExpr("7 AS doc_id", "CAST(10 + id % 3 AS BIGINT) AS length", "1 AS _salt", "2 AS row", "3 AS rank", "4 AS salt", "5 AS sequence_id")
+    out = packing.pack(written(df, "clash"), max_len=64)
+    assert out.columns == ["doc_id", "length", "_salt", "row", "rank", "salt", "sequence_id", "sequence_id_1", "offset"]
+    rows = sorted((r.sequence_id_1, r.offset, r.length) for r in out.collect())
+    assert len(rows) == 500 == len(set(rows))
+    for (s, o, n), (s2, o2, _) in zip(rows, rows[1:]):
+        assert (o2 == o + n) if s2 == s else (o2 == 0)
+    assert all(o + n <= 64 for _, o, n in rows)
