@@ -18,6 +18,7 @@ parameter, set for that case.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ def matrix(column) -> np.ndarray:
 def sample_matrix(rows: DataFrame, n: int, limit: int) -> np.ndarray:
     """About ``limit`` vectors of (id, v), chosen by a hash of the id (all, if there are fewer), in id order."""
     share = min(1.0, limit / max(n, 1))
-    some = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    some = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 53)) < math.ceil(share * (1 << 53)))
     t = some.toArrow()
     m = matrix(t.column("v"))
     return m[np.argsort(t.column("id").to_numpy(), kind="stable")]
@@ -176,7 +177,14 @@ def search(
     kind = vectors.schema[vector].dataType.simpleString()
     part = lambda df: usable_vectors(df, vec_id, vector).withColumn("v", F.col("v").cast(kind))
     rows = written(part(vectors), "ann-rows")
-    n = rows.count()
+    most = F.max(F.aggregate("v", F.lit(0.0).cast("double"), lambda m, x: F.greatest(m, F.abs(x).cast("double"))))
+    n, largest = rows.agg(F.count("*"), most).first()
+    # squares of such values would overflow: all are worked at a power of two of their size, which is exact
+    scale = 2.0 ** -math.frexp(largest)[1] if n and largest > 1e140 else 1.0
+    if scale != 1.0:
+        kind = "array<double>"
+        scaled = F.transform("v", lambda x: x.cast("double") * F.lit(scale))
+        rows = written(rows.withColumn("v", scaled), "ann-rows")
     empty = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], empty)
@@ -214,7 +222,10 @@ def search(
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(dealt), one.column(0).take(take), one.column(1).take(take)], names=["cell", "part", "id", "v"])
 
     schema = f"cell long, part long, id long, v {kind}"
-    asked = part(queries).where(F.size("v") == width).mapInArrow(ask, schema)
+    asked = part(queries).where(F.size("v") == width)
+    if scale != 1.0:
+        asked = asked.withColumn("v", scaled)
+    asked = asked.mapInArrow(ask, schema)
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
@@ -227,7 +238,7 @@ def search(
     best = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     lists = best.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("found"))
     return lists.select("query_id", F.posexplode("found").alias("pos", "f")).select(
-        "query_id", (F.col("pos") + 1).cast("int").alias("rank"), "f.vec_id", "f.score"
+        "query_id", (F.col("pos") + 1).cast("int").alias("rank"), "f.vec_id", (F.col("f.score") / scale if scale != 1.0 else F.col("f.score")).alias("score")
     )
 
 

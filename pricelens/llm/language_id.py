@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,79 +100,113 @@ def count_ngrams(docs: DataFrame, text: str, lang: str, n: int) -> DataFrame:
 
 
 class Filter:
-    """Bit-sliced Bloom filter: (n-gram code) -> bitmask of languages."""
-
-    def __init__(self, langs: list[str], masks: dict[int, int], bits: int, hashes: int):
-        if len(langs) > 64:
-            raise ValueError("at most 64 languages")
-        self.langs, self.bits, self.hashes = langs, bits, hashes
-        kind = np.uint8 if len(langs) <= 8 else np.uint64
-        self.cells = np.zeros(1 << bits, dtype=kind)
-        grams = np.fromiter(masks, dtype=np.int64, count=len(masks))
-        values = np.array(list(masks.values()), dtype=np.uint64).astype(kind)
-        for at in self.places(grams):
-            np.bitwise_or.at(self.cells, at, values)
-        full = np.array([float(((self.cells >> kind(i)) & kind(1)).mean()) for i in range(len(langs))])
+    """Bit-sliced Bloom filter: (n-gram code) -> bitmask of languages, in as many
+    mask words as the languages need."""
+
+    def __init__(self, langs: list[str], masks: dict[int, int], bits: int, hashes: int, cells: np.ndarray | None = None, expected: dict[str, float] | None = None):
+        self.langs, self.bits, self.hashes, self.expected = langs, bits, hashes, expected or {}
+        kind, words = mask_words(len(langs))
+        self.cells = np.zeros((words, 1 << bits), dtype=kind) if cells is None else cells
+        if masks:
+            grams = np.fromiter(masks, dtype=np.int64, count=len(masks))
+            for w in range(words):
+                values = np.array([m >> (64 * w) & (2**64 - 1) for m in masks.values()], dtype=np.uint64).astype(kind)
+                for at in places(grams, bits, hashes):
+                    np.bitwise_or.at(self.cells[w], at, values)
+        full = np.array([float(((self.cells[i // 64] >> kind(i % 64)) & kind(1)).mean()) for i in range(len(langs))])
         self.wrong = full**hashes
 
-    def places(self, grams: np.ndarray):
-        x = grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        x ^= x >> np.uint64(32)
-        step = (x * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20) | np.uint64(1)
-        for i in range(self.hashes):
-            yield ((x + step * np.uint64(i)) & np.uint64((1 << self.bits) - 1)).astype(np.int64)
-
     def languages(self, grams: np.ndarray) -> np.ndarray:
+        """Masks of each n-gram (with several mask words: a row for each word)."""
         out = None
-        for at in self.places(grams):
-            out = self.cells[at] if out is None else out & self.cells[at]
-        return out
+        for at in places(grams, self.bits, self.hashes):
+            found = self.cells[:, at]
+            out = found if out is None else out & found
+        return out[0] if len(out) == 1 else out
 
-    def decide(self, grams: np.ndarray) -> tuple[str, float]:
+    def decide(self, grams: np.ndarray, relative: bool = False) -> tuple[str, float]:
         n = len(grams)
-        if not n:
-            return UNKNOWN, 0.0
-        if not self.langs:
+        if not n or not self.langs:
             return UNKNOWN, 0.0
         found = self.languages(grams)
         if found.dtype == np.uint8:
             per_mask = np.bincount(found, minlength=256)
             hits = np.array([per_mask[[m for m in range(256) if m >> i & 1]].sum() for i in range(len(self.langs))], dtype=float)
         else:
-            hits = np.array([np.count_nonzero(found & np.uint64(1 << i)) for i in range(len(self.langs))], dtype=float)
+            found = np.atleast_2d(found)
+            hits = np.array([np.count_nonzero(found[i // 64] & np.uint64(1 << (i % 64))) for i in range(len(self.langs))], dtype=float)
         right = np.clip((hits - self.wrong * n) / np.maximum(1 - self.wrong, 1e-9), 0, n)
         best = int(np.argmax(right))
-        return self.langs[best], float(right[best] / n)
+        share = float(right[best] / n)
+        usual = self.expected.get(self.langs[best], 0.0) if relative else 0.0
+        return self.langs[best], min(share / usual, 1.0) if usual else share
+
+
+def mask_words(n_langs: int) -> tuple[type, int]:
+    """Type of a mask word, and how many hold a bit for each language."""
+    return (np.uint8, 1) if n_langs <= 8 else (np.uint64, -(-n_langs // 64))
+
+
+def places(grams: np.ndarray, bits: int, hashes: int):
+    """The cells of each n-gram, one array for each hash."""
+    x = grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    step = (x * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(20) | np.uint64(1)
+    for i in range(hashes):
+        yield ((x + step * np.uint64(i)) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", n: int = 3, min_share: float = 1e-5, typical: float = 0.1, bits: int = 22, hashes: int = 3) -> Filter:
     """The filter learned from all rows with a language and a text.
 
-    Languages are ordered by learned n-grams, then name. What reaches the driver
-    is at most 1/min_share n-grams a language.
+    Languages (any number) are ordered by learned n-grams, then name. The cells
+    are filled in Spark; what reaches the driver is their masks, ``2 ** bits``
+    of them at most for every 64 languages, and a few numbers a language.
     """
     counts = written(count_ngrams(docs, text, lang, n), "ngrams")
-    totals = {r["lang"]: r["total"] for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).limit(65).collect()}
-    if len(totals) > 64:
-        raise ValueError("at most 64 languages")
-    if not totals:
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    names = [r["lang"] for r in sorted(totals.collect(), key=lambda r: (-r["total"], r["lang"]))]
+    if not names:
         return Filter([], {}, 1, hashes)
-    total = F.element_at(F.create_map(*[F.lit(x) for pair in totals.items() for x in pair]), F.col("lang"))
-    shares = counts.select("lang", "gram", (F.col("n") / total).alias("share"))
+    shares = counts.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
     best = shares.groupBy("gram").agg(F.collect_list(F.struct("lang", "share")).alias("all"), F.max("share").alias("best"))
     kept = best.select("gram", F.filter("all", lambda x: (x["share"] >= min_share) & (x["share"] >= typical * F.col("best"))).alias("in")).where(F.size("in") > 0)
-    rows = kept.select("gram", "in.lang").collect()
-    names = sorted(totals, key=lambda name: (-totals[name], name))
+    kept = written(kept, "ngram-languages")
     at = {name: i for i, name in enumerate(names)}
-    return Filter(names, {r["gram"]: sum(1 << at[name] for name in r["lang"]) for r in rows}, bits, hashes)
+    kind, words = mask_words(len(names))
 
-
-def predict(docs: DataFrame, model: Filter, text: str = "text", n: int = 3, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    def fill(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grams, lists = batch.column(0).to_numpy(), batch.column(1)
+            row = np.repeat(np.arange(len(grams)), pc.list_value_length(lists).to_numpy())
+            number = np.array([at[x] for x in lists.flatten().to_pylist()], dtype=np.int64)
+            cell = np.concatenate([place[row] for place in places(grams, bits, hashes)])
+            word, bit = np.tile(number // 64, hashes), np.uint64(1) << np.tile(number % 64, hashes).astype(np.uint64)
+            key = cell * words + word
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+            masks = np.bitwise_or.reduceat(bit[order], first).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key[order][first]), pa.array(masks)], names=["cell", "mask"])
+
+    found = kept.select("gram", "in.lang").mapInArrow(fill, "cell long, mask long").groupBy("cell").agg(F.expr("bit_or(mask)").alias("mask")).toArrow()
+    key, mask = found["cell"].to_numpy(), found["mask"].to_numpy().view(np.uint64)
+    cells = np.zeros((words, 1 << bits), dtype=kind)
+    cells[key % words, key // words] = mask.astype(kind)
+    usual = kept.select(F.explode("in").alias("x")).groupBy("x.lang").agg(F.sum("x.share").alias("share"))
+    return Filter(names, {}, bits, hashes, cells, {r["lang"]: r["share"] for r in usual.collect()})
+
+
+def predict(docs: DataFrame, model: Filter, text: str = "text", n: int = 3, lang_pred: str = "lang_pred", score: str = "score", relative: bool = False) -> DataFrame:
     """``docs`` plus lang_pred and score (under other names if ``docs`` has these).
 
     Null texts and texts without a letter are ``und`` with score 0, and so is
-    everything if nothing was learned. Whole texts count; rows, repeated ones
-    too, and other columns stay; no rows give no rows.
+    everything if nothing was learned. With ``relative`` the score is seen
+    against what the language's own texts have (the share of their n-grams that
+    was learned, which falls with scripts of many letters and with much text),
+    at most 1. Whole texts count; rows, repeated ones too, and other columns
+    stay; no rows give no rows.
     """
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -182,7 +217,7 @@ def predict(docs: DataFrame, model: Filter, text: str = "text", n: int = 3, lang
     def run(batches):
         f = shared.value
         for batch in batches:
-            said = [f.decide(letters().grams(t.as_py(), n)) for t in batch.column(at)]
+            said = [f.decide(letters().grams(t.as_py(), n), relative) for t in batch.column(at)]
             found = [pa.array([s for s, _ in said], pa.string()), pa.array([x for _, x in said], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=names)
 

@@ -11,13 +11,17 @@ categories; in training these are out-of-fold predictions (``folds`` parts by a
 hash of doc_id), so that a later model learns from probabilities as uncertain as
 those it will meet. The last category is the verdict.
 
-The labelled rows used for fitting are bounded: about ``max_train`` rows chosen
-by a hash of doc_id (all, if there are fewer). Scoring reads every whole text.
+Features are counted over all labelled rows. The rows used for fitting are
+bounded: at most about ``max_train``, chosen by a hash, half of them of each
+class as far as there are so many, with weights that give each class its share
+of all labelled rows back. So a rare class is learned from as many rows as there
+are. Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -86,9 +90,11 @@ class Chain:
     def __init__(self, names: list[str], categories: tuple[str, ...]):
         self.known, self.n, self.categories, self.models = Known(names), len(names), categories, []
 
-    def fit(self, present: list[list[int]], labels: np.ndarray, fold: np.ndarray) -> Chain:
+    def fit(self, present: list[list[int]], labels: np.ndarray, fold: np.ndarray, weights: np.ndarray | None = None) -> Chain:
         # rows with the same features, labels and fold are one row with a weight
-        seen = Counter(zip(map(tuple, present), map(tuple, labels.tolist()), fold.tolist()))
+        seen: dict[tuple, float] = {}
+        for key, w in zip(zip(map(tuple, present), map(tuple, labels.tolist()), fold.tolist()), [1.0] * len(present) if weights is None else weights.tolist()):
+            seen[key] = seen.get(key, 0.0) + w
         present, weight = [list(k[0]) for k in seen], np.array(list(seen.values()), dtype=float)
         labels, fold = np.array([k[1] for k in seen]).reshape(len(seen), len(self.categories)), np.array([k[2] for k in seen])
         rows = np.repeat(np.arange(len(present)), [len(p) for p in present]).astype(np.int64)
@@ -118,8 +124,9 @@ class Chain:
         return dense
 
 
-def select_features(train: DataFrame, max_features: int, min_docs: int, min_z: float) -> list[str]:
-    """Features of (text, toxic) rows by their surplus of toxic documents."""
+def select_features(train: DataFrame, max_features: int, min_docs: int, min_z: float) -> tuple[list[str], tuple[int, int]]:
+    """Features of (text, toxic) rows by their surplus of toxic documents, and
+    how many rows are clean and toxic."""
 
     def run(batches):
         for batch in batches:
@@ -134,13 +141,13 @@ def select_features(train: DataFrame, max_features: int, min_docs: int, min_z: f
     totals = train.agg(F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")).first()
     n0, n1 = totals["clean"] or 0, totals["toxic"] or 0
     if not n0 or not n1:
-        return []
+        return [], (n0, n1)
     found = train.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "feature string, clean long, toxic long")
     sums = found.groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     p = (F.col("c") + F.col("t") + 1) / (n0 + n1 + 2)
     z = (F.col("t") / n1 - F.col("c") / n0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
     kept = sums.where(F.col("t") >= min_docs).select("feature", z.alias("z")).where(F.col("z") >= min_z)
-    return sorted(r["feature"] for r in kept.orderBy(F.desc("z"), "feature").limit(max_features).collect())
+    return sorted(r["feature"] for r in kept.orderBy(F.desc("z"), "feature").limit(max_features).collect()), (n0, n1)
 
 
 def train_chain(
@@ -155,38 +162,57 @@ def train_chain(
     min_z: float = 4.0,
     folds: int = 5,
 ) -> Chain | None:
-    """The chain for CATEGORIES; None if there is no toxic or no clean label.
+    """The chain for CATEGORIES; None if no labelled document is toxic, or none
+    is clean; also None, with a warning, if there are both but no feature has
+    enough documents and surplus to tell them apart.
 
     ``labels``: (doc_id, toxic); null labels and ids are ignored, of several
     labels of a document the largest counts.
     """
     given = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull())
     given = given.groupBy(F.col(doc_id).cast("long").alias("label_id")).agg((F.max(toxic) > 0).cast("int").alias("toxic"))
-    n = given.count()
-    share = min(1.0, max_train / max(n, 1))
-    chosen = given.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = docs.select(F.col(doc_id).cast("long").alias("label_id"), F.col(text).cast("string").alias("text"))
-    # the chosen labels are about max_train rows of two numbers: a bounded broadcast
-    train = written(rows.join(F.broadcast(chosen), "label_id"), "toxic-train")
-    names = select_features(train, max_features, min_docs, min_z)
+    labelled = rows.join(given, "label_id").select("label_id", "toxic", "text")
+    names, sizes = select_features(labelled, max_features, min_docs, min_z)
+    if not all(sizes):
+        return None
     if not names:
+        warnings.warn(f"{sizes[1]} toxic and {sizes[0]} clean labelled documents, but no word or stem tells them apart: nothing will be called toxic (min_docs {min_docs}, min_z {min_z})", stacklevel=2)
         return None
+    # equal rows are one row with a weight, so a repeated row neither breaks the bound nor takes others' places
+    different = labelled.select("label_id", "toxic", F.xxhash64("text").alias("h")).distinct().groupBy("toxic").count()
+    rows_of = {r["toxic"]: r["count"] for r in different.collect()}
+    # of each class at most half of the bound, and what the other one leaves
+    take = [min(rows_of[y], max(max_train // 2, max_train - rows_of[1 - y])) for y in (0, 1)]
+    share = F.when(F.col("toxic") == 1, F.lit(take[1] / rows_of[1])).otherwise(F.lit(take[0] / rows_of[0]))
+    place = F.pmod(F.xxhash64("label_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    train = labelled.where(place < share).groupBy("label_id", "toxic", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    train = written(train.select("label_id", "toxic", "text", "n"), "toxic-train")
     known = Known(names)
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         for batch in batches:
             found = [shared.value.present(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["label_id", "toxic", "present"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32())), batch.column(3)], names=["label_id", "toxic", "present", "n"])
 
-    got = train.select("label_id", "toxic", "text").mapInArrow(run, "label_id long, toxic int, present array<int>").collect()
+    got = train.mapInArrow(run, "label_id long, toxic int, present array<int>, n long").collect()
     got.sort(key=lambda r: (r["label_id"], r["toxic"], r["present"]))
     stem = np.array([x.startswith("stem:") for x in names])
     y = np.array([r["toxic"] for r in got], dtype=np.int64)
     word = np.array([any(not stem[i] for i in r["present"]) for r in got], dtype=np.int64)
     root = np.array([any(stem[i] for i in r["present"]) for r in got], dtype=np.int64)
-    fold = np.array([(r["label_id"] * 0x9E3779B97F4A7C15 >> 32) % folds for r in got])
-    return Chain(names, CATEGORIES).fit([r["present"] for r in got], np.stack([y & word, y & root, y], 1), fold)
+    # documents of each class are dealt over the folds in turn, in the order of a hash
+    dealt = {}
+    for label in (0, 1):
+        ids = sorted({r["label_id"] for r in got if r["toxic"] == label}, key=lambda i: (i * 0x9E3779B97F4A7C15 % 2**64, i))
+        dealt |= {i: k % folds for k, i in enumerate(ids)}
+    fold = np.array([dealt[r["label_id"]] for r in got])
+    held = [sum(r["n"] for r in got if r["toxic"] == label) for label in (0, 1)]
+    if not all(held):
+        return None
+    weight = np.array([r["n"] * sizes[r["toxic"]] / held[r["toxic"]] for r in got])
+    return Chain(names, CATEGORIES).fit([r["present"] for r in got], np.stack([y & word, y & root, y], 1), fold, weight)
 
 
 def score_toxicity(docs: DataFrame, chain: Chain | None, text: str = "text", threshold: float = 0.5) -> DataFrame:

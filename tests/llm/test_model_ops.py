@@ -1,5 +1,6 @@
 """Vector search, vector groups, toxicity, language ID and the pipeline."""
 
+import collections
 import zlib
 
 import numpy as np
@@ -265,3 +266,68 @@ def test_audit_sees_lost_small_groups(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="recall"):
         E.embedding_groups(frame(spark, rows), cosine=0.9)
     assert widths == [16, 64, None]
+
+
+def test_search_with_huge_values(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 6)) * np.array([1e200] * 6)
+    x[:150] *= 1e-3
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(df, df.where("vec_id % 100 = 0"), k=5).collect()
+    assert len(got) == 15
+    for r in got:
+        d = np.sqrt((((x - x[r.query_id]) / 1e200) ** 2).sum(1)) * 1e200
+        d[r.query_id] = np.inf
+        assert r.vec_id == np.argsort(d, kind="stable")[r.rank - 1] and abs(r.score / d[r.vec_id] - 1) < 1e-12
+
+
+def test_toxicity_of_a_rare_class(spark):
+    rows = [(i, f"plain words {i % 7} here and there", "k") for i in range(3000)]
+    rows = [(i, t + (" gruffword" if i % 500 == 0 else ""), k) for i, t, k in rows]
+    labels = spark.createDataFrame([(i, int(i % 500 == 0)) for i in range(3000)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows + [rows[0]] * 400, "doc_id long, text string, k string")
+    chain = toxicity.train_chain(df, labels, max_train=300)
+    said = {r.doc_id: r.is_toxic for r in toxicity.score_toxicity(df, chain).collect()}
+    assert all(said[i] == (i % 500 == 0) for i in range(3000))
+    same = spark.createDataFrame([(i, "the same words") for i in range(100)], "doc_id long, text string")
+    with pytest.warns(UserWarning, match="tells them apart"):
+        assert toxicity.train_chain(same, labels.withColumn("toxic", (F.col("doc_id") % 3 == 0).cast("int"))) is None
+
+
+def test_language_decisions_against_plain_sets(spark):
+    docs = [r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    learned = [r for r in docs if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    counts: dict = {}
+    for r in learned:
+        counts.setdefault(r.lang, collections.Counter()).update(grams_brute(r.text, 3))
+    total = {k: sum(c.values()) for k, c in counts.items()}
+    best = collections.Counter()
+    for k, c in counts.items():
+        for g, n in c.items():
+            best[g] = max(best[g], n / total[k])
+    sets = {k: {g for g, n in c.items() if n / total[k] >= 1e-5 and n / total[k] >= 0.1 * best[g]} for k, c in counts.items()}
+    order = sorted(total, key=lambda k: (-total[k], k))
+    got = {r.doc_id: r for r in language_id.op10_language_id(spark, SF).collect()}
+    for r in docs:
+        grams = grams_brute(r.text, 3)
+        if not grams:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        share = {k: sum(g in sets[k] for g in grams) / len(grams) for k in order}
+        top = max(order, key=lambda k: share[k])
+        assert abs(got[r.doc_id].score - share[top]) < 0.03
+        if got[r.doc_id].lang_pred != top:  # only where the filter's false positives can turn it
+            assert share[top] - share[got[r.doc_id].lang_pred] < 0.03
+
+
+def test_two_hundred_languages(spark):
+    rng = np.random.default_rng(9)
+    alphabets = [[chr(0x4E00 + 20 * k + j) for j in range(20)] for k in range(200)]
+    text = lambda k: " ".join("".join(rng.choice(alphabets[k], 4)) for _ in range(30))
+    rows = [(k * 10 + i, text(k), f"l{k:03d}") for k in range(200) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(df)
+    assert len(model.langs) == 200 and model.cells.shape[0] == 4 and all(0.9 < v <= 1.0001 for v in model.expected.values())
+    for relative in (False, True):
+        said = language_id.predict(df.drop("lang"), model, relative=relative).collect()
+        assert all(r.lang_pred == f"l{r.doc_id // 10:03d}" and 0.9 < r.score <= 1 for r in said)
