@@ -88,6 +88,8 @@ NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CONTENT = frozenset("article articlebody body content entry main post story text".split())
 
+LONG_REFERENCE = re.compile(r"&#0*[0-9]{8,};?")  # beyond all code points; too long a number is an error to the decoder
+
 LEAST_CHARS = 25  # of a paragraph that gets a point for being one
 MOST_FOR_LENGTH = 3.0  # points for length, one per 100 characters
 NAMED_CONTENT = 10.0  # points of an element whose name says that it is the content
@@ -308,7 +310,7 @@ def _paragraphs(page: Page, out: list[bool]) -> list[tuple[int, str, float]]:
             if out[at]:
                 parts.append(" ")
                 continue
-            text = html.unescape(text) if "&" in text else text
+            text = html.unescape(LONG_REFERENCE.sub("\ufffd", text)) if "&" in text else text
             parts.append(text)
             if not text.isspace():
                 if element < 0:

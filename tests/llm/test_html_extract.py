@@ -49,6 +49,7 @@ def test_odd_pages():
     assert X.main_text("just text,  with\n no tags &lt;b&gt;") == "just text, with no tags <b>"
     assert X.main_text("<p>a&nbsp;b &#233;&eacute;&#xe9; &unknown; 1 < 2 & 3 > 2 <b>bo</b>ld</p>") == "a b ééé &unknown; 1 < 2 & 3 > 2 bold"
     assert X.main_text('<p>one</p><p>two <a href="x') == "one two"
+    assert X.main_text("<p>a&#" + "9" * 5000 + ";b&#x" + "f" * 5000 + ";c&#0000065;</p>") == "a\ufffdb\ufffdcA"
     assert X.main_text('<p title="open>one</p><p>two</p>') == "one two"
     assert X.main_text("<div><p>x</p></div></div></p></b>") == "x"
     assert X.main_text("<nav><p>only a menu</p></nav>") == ""
