@@ -195,6 +195,18 @@ def links(fps: DataFrame, radius: int = 4, blocks: int = 6, tree_size: int = 409
     return sent.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "a long, b long")
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int, blocks: int, tree_size: int) -> DataFrame:
+    """(doc_id, fp, component, component_id) of every row; ``component`` is a fingerprint of the group."""
+    rows = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    comp = components(links(classes.select("fp"), radius, blocks, tree_size), "a", "b").select(F.col("node").alias("fp"), "component")
+    named = written(
+        classes.join(comp, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component")), "fp-components"
+    )
+    firsts = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    return rows.join(named.join(firsts, "component").select("fp", "component", "component_id"), "fp", "left")
+
+
 def simhash_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, blocks: int = 6, tree_size: int = 4096
 ) -> DataFrame:
@@ -205,27 +217,37 @@ def simhash_groups(
     members are null. Repeated rows stay; other columns are ignored; no rows
     give no rows.
     """
-    rows = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    comp = components(links(classes.select("fp"), radius, blocks, tree_size), "a", "b").select(F.col("node").alias("fp"), "component")
-    named = written(
-        classes.join(comp, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component")), "fp-components"
-    )
-    firsts = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    return rows.join(named.join(firsts, "component").select("fp", "component_id"), "fp", "left").select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group: the row whose doc_id is the
-    group's smallest. Of rows with that same doc_id all stay; rows with a null
-    doc_id stay only in groups that hold no other."""
-    first, fp = fresh(docs, "first_of_group", "fingerprint")
-    groups = simhash_groups(docs, doc_id, text, **options)
-    firsts = groups.where("doc_id = component_id").select(F.col("doc_id").alias(first)).distinct()
-    kept = docs.join(firsts, docs[doc_id].cast("long") == F.col(first), "left_semi")
-    named = groups.where("component_id is not null").select(F.col("fp").alias(fp)).distinct()
-    unnamed = with_fingerprint(docs.where(F.col(doc_id).isNull()), text, fp, options.get("shingle", 4))
-    return kept.unionByName(unnamed.join(named, fp, "left_anti").drop(fp))
+    return _grouped(docs, doc_id, text, shingle, radius, blocks, tree_size).select("doc_id", "fp", "component_id")
+
+
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, blocks: int = 6, tree_size: int = 4096
+) -> DataFrame:
+    """``docs`` with one row of each group: one with the group's smallest doc_id
+    (any other before null), of several the one with the smallest fingerprint,
+    of rows equal in both any one."""
+    id_name, fp, group = fresh(docs, "id_of_group", "fingerprint", "group")
+    rows = written(_grouped(docs, doc_id, text, shingle, radius, blocks, tree_size), "fp-groups")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp"))
+    first = rows.groupBy("component").agg(F.min(order).alias("f")).select(F.col("component").alias(group), F.col("f.doc_id").alias(id_name), F.col("f.fp").alias(fp))
+    repeated = rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id")
+    first = written(_marked(first, repeated, id_name), "fp-firsts")
+    # an id that occurs once is its row; of the others the fingerprint tells the rows apart
+    own = docs[doc_id].cast("long")
+    alone = docs.join(first.where("alone").select(id_name), own == F.col(id_name), "left_semi")
+    some = first.where("not alone")
+    mixed = docs.join(some.select(id_name).distinct(), own.eqNullSafe(F.col(id_name)), "left_semi")
+    marked = with_fingerprint(mixed, text, fp, shingle)
+    some = some.withColumnRenamed(fp, f"{fp}_of_group")
+    both = marked[doc_id].cast("long").eqNullSafe(some[id_name]) & (marked[fp] == some[f"{fp}_of_group"])
+    one = marked.join(some, both).dropDuplicates([group]).select(*[marked[c] for c in docs.columns])
+    return alone.unionByName(one)
+
+
+def _marked(first: DataFrame, repeated: DataFrame, id_name: str) -> DataFrame:
+    """``first`` with ``alone``: its id is not null and occurs in one row only."""
+    r = repeated.select(F.col("doc_id").alias("repeated_id"), F.lit(True).alias("again"))
+    return first.join(r, F.col(id_name).eqNullSafe(F.col("repeated_id")), "left").withColumn("alone", F.col("again").isNull()).drop("repeated_id", "again")
 
 
 def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:

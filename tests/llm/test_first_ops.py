@@ -135,10 +135,11 @@ def test_simhash_groups(spark):
     assert sorted(((r.doc_id, r.fp % 2**64, r.component_id) for r in got), key=str) == want
     kept = S.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(i for i, _, c in want if i is not None and i == c)
+    # one row of each group, also where a row is repeated
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({i for i, _, c in want if i is not None and i == c})
     assert [r.text for r in kept.where("doc_id is null").collect()] == []  # its copy 9003 has an id
     nulls = spark.createDataFrame([(None, "all alone here"), (None, "all alone here"), (4, "two words")], "doc_id long, text string")
-    assert S.keep_one(nulls).count() == 3
+    assert S.keep_one(nulls).count() == 2  # of copies without an id one stays
     assert S.simhash_groups(df.limit(0)).count() == 0
 
 
@@ -207,3 +208,15 @@ def test_dots_in_paths(spark):
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     want = ["/a/b", "/a/b", "/b", "/a/", "/", "/a", "/a/", "/a/...", "/a/..b/", "/c/", "/"]
     assert [r[0] for r in df.select(U.without_dots(F.col("p"))).collect()] == want
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [
+        (1, "alpha beta gamma delta", "a"), (2, "one two three four", "b"), (2, "alpha beta gamma delta", "c"), (3, "one two three four", "d"),
+        (3, "one two three four", "d"), (None, "alone without id here", "e"), (None, "alone without id here", "e"), (None, "one two three four", "f"),
+        (7, None, "g"), (8, "", "h"), (9, "its own words entirely", "i"), (9, "its own words entirely", "i"), (10, "other words of ten", "j"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "", r.fingerprint) for r in S.keep_one(df).collect())
+    assert got == [(-1, "alone without id here", "e"), (1, "alpha beta gamma delta", "a"), (2, "one two three four", "b"), (7, "", "g"), (9, "its own words entirely", "i"), (10, "other words of ten", "j")]
+    assert S.keep_one(df.limit(0)).count() == 0
