@@ -14,8 +14,9 @@ from pricelens.llm.packing import pack_documents
 from pricelens.llm.simhash import keep_one
 from pricelens.llm.toxicity import drop_toxic
 
-#: Language ID keeps a document if at least this share of its n-grams is known
-#: in the predicted language (a document in four languages still has as much).
+#: Language ID keeps a document if its share of n-grams known in the predicted
+#: language is at least this part of what that language's own texts have (a
+#: document in four languages still has as much).
 MIN_SCORE = 0.3
 
 #: SQL cannot express the classifier, tokenizer and packing; tests/llm compares
@@ -30,7 +31,7 @@ def toxicity(spark, docs, sf_dir):
 
 def language_id(spark, docs, sf_dir):
     """Without documents of no language: no letters, or mostly unknown n-grams."""
-    said = predict(docs, learn(docs))
+    said = predict(docs, learn(docs), relative=True)
     lang, score = said.columns[-2:]
     return said.where((F.col(lang) != UNKNOWN) & (F.col(score) >= MIN_SCORE)).select(*docs.columns)
 
