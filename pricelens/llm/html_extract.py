@@ -8,8 +8,8 @@
    state, or by a word of their class or id (menu, sidebar, comments, cookie,
    ...). What is only named so, but holds the ``main`` or ``article``, stays.
 3. Texts between block tags are paragraphs. Each gives points for its length
-   and its commas to the element that holds it, half of them to the next one,
-   and less to those around it. A score is discounted by the share of link text.
+   and its commas to the element that holds it (a list's items to the one
+   around the list), half of them to the next one, and less to those around it. A score is discounted by the share of link text.
 4. The element of the best score is the container; inside an ``article``, that
    one. From there up to the body a sibling stays if its own points are enough
    beside the container's; so does a heading just before what stays.
@@ -55,6 +55,7 @@ ENDS_P = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements of text: their points go to the element around them.
 TEXT_TAGS = HEADINGS | frozenset("p pre li dt dd td th blockquote figcaption caption summary address".split())
+LISTS = frozenset("ul ol dl blockquote".split())
 #: Parts of running text: they stay beside the container and between what stays.
 FLOW = frozenset("p pre blockquote ul ol dl table figure".split())
 IN_HEAD = frozenset("title meta link script style base noscript template head".split())
@@ -280,20 +281,26 @@ def _left_out(page: Page, names_count: bool) -> list[bool]:
         length[up] += length[i]
         if holds[i] or (page.tag[i] in ("main", "article") and not page.words[i] & COMMENTS and page.out[i] != "tag"):
             holds[up] = True
+    # the article around each element, and the articles with a first heading of their own
+    article, in_header, titled = [0] * n, [False] * n, set()
+    for i in range(1, n):
+        up = page.parent[i]
+        article[i] = i if page.tag[i] == "article" else article[up]
+        in_header[i] = in_header[up] or page.tag[i] == "header"
+        if page.tag[i] == "h1" and not in_header[i]:
+            titled.add(article[i])
     out = [False] * n
-    in_article = [False] * n
     for i in range(1, n):
         up, why = page.parent[i], page.out[i]
-        in_article[i] = in_article[up] or page.tag[i] == "article"
-        if why == "header":  # of an article its headings stay
-            out[i] = not in_article[i]
+        if why == "header":  # of an article's header the headings stay, if it has no other title
+            out[i] = not article[i] or article[i] in titled
         elif why == "name":
             out[i] = names_count and not holds[i]
         elif why == "form":
             out[i] = not holds[i] and 2 * length[i] <= length[0]
         else:
             out[i] = why == "tag"
-        if not out[i] and page.out[up] == "header" and in_article[up] and page.tag[i] not in HEADINGS and page.tag[i] != "hgroup":
+        if not out[i] and page.out[up] == "header" and page.tag[i] not in HEADINGS and page.tag[i] != "hgroup":
             out[i] = names_count
         out[i] = out[i] or out[up]
     return out
@@ -340,6 +347,8 @@ def _chosen(page: Page, paragraphs: list) -> set[int]:
         length[element] += len(text)
         linked[element] += len(text) * link
         at = page.parent[element] if page.tag[element] in TEXT_TAGS else element
+        if at > 0 and page.tag[at] in LISTS:
+            at = page.parent[at]
         for share in LEVELS:
             if at < 0:
                 break

@@ -84,3 +84,64 @@ def test_rows(spark):
         assert out.count() == 5 and got[(1, "x")] == "Title " + WANT
         assert got[(None, "y")] == got[(2, "z")] == "" and len(got[(3, "w")]) == 599_999
     assert X.extract_main_text(df.limit(0)).count() == 0
+
+
+W = "the of harbour town quiet morning boats painted blue lay still water nobody expected storm west turn early days sun returned market opened".split()
+WRAPS = {
+    "article": "<article>{}</article>", "main": "<main>{}</main>", "both": "<main><article>{}</article></main>", "id": '<div id="content">{}</div>', "class": '<div class="post">{}</div>',
+    "div": "<div>{}</div>", "grid": '<div class="wrap"><div class="row"><div>{}</div></div></div>', "section": "<section>{}</section>", "table": "<table><tr><td>{menu}</td><td>{}</td></tr></table>",
+}
+
+
+def made_page(rnd, wrap):
+    """A page with one article in ``wrap`` and much around and inside it; the article's text."""
+
+    def sentence(n=0):
+        w = [rnd.choice(W) for _ in range(n or rnd.randrange(3, 18))]
+        return " ".join(w[: len(w) // 2]) + (", " if len(w) > 6 and rnd.random() < 0.6 else " ") + " ".join(w[len(w) // 2 :]) + "."
+
+    def text(most):
+        return " ".join(sentence() for _ in range(rnd.randrange(1, most)))
+
+    def links(n):
+        return "<ul>" + "".join(f'<li><a href="/{i}">{sentence(2)}</a></li>' for i in range(n)) + "</ul>"
+
+    def noise():
+        t = text(4)
+        return rnd.choice(
+            [
+                f"<nav>{links(5)}</nav>", f'<div class="menu">{links(4)}</div>', f"<header><h1>Site</h1><p>{t}</p></header>", f"<footer><p>{t}</p></footer>", f'<div id="footer"><p>&copy; {t}</p></div>',
+                f"<aside><h3>More</h3><p>{t}</p></aside>", f'<div class="sidebar"><p>{t}</p>{links(4)}</div>', f'<div class="cookie-notice"><p>{t}</p><button>OK</button></div>', f'<div class="ad">{t}</div>',
+                f"<form><label>{t}</label><input><button>Go</button></form>", f'<script>var a="<p>{t}</p>";</script><style>p{{}}</style>', links(6),
+            ]
+        )
+
+    comment = "".join(f'<div class="comment"><p>{text(6)}</p></div>' for _ in range(rnd.randrange(1, 6)))
+    comments = rnd.choice([f'<section id="comments"><h2>Comments</h2>{comment}</section>', f'<div class="comments">{comment}</div>', f'<ol class="comment-list"><li>{comment}</li></ol>', ""])
+    want, inner = [sentence(5)], ""
+    inner += f"<h1>{want[0]}</h1>"
+    for _ in range(rnd.randrange(1, 12)):
+        kind = rnd.choice(["p", "p", "p", "p", "a", "h2", "ul", "blockquote"])
+        t = text(6) if kind in "pa" else sentence()
+        if kind == "ul":
+            items = [sentence() for _ in range(3)]
+            inner += "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>"
+            want += items
+        else:
+            inner += f'<p><a href="/x">{t[:3]}</a>{t[3:]}</p>' if kind == "a" else f"<{kind}>{t}</{kind}>"
+            want.append(t)
+        inner += noise() if rnd.random() < 0.1 else ""
+    inside = rnd.random() < 0.5
+    around = lambda: "".join(noise() for _ in range(rnd.randrange(0, 4)))
+    body = WRAPS[wrap].format(inner + (comments if inside else ""), menu=links(3))
+    return f"<html><head><title>t</title></head><body>{around()}{body}{'' if inside else comments}{around()}</body></html>", " ".join(want)
+
+
+@pytest.mark.parametrize("wrap", WRAPS)
+def test_pages_with_much_around_the_article(wrap):
+    import random
+
+    rnd = random.Random(wrap)
+    for _ in range(150):
+        page, want = made_page(rnd, wrap)
+        assert X.main_text(page) == want, page
