@@ -66,7 +66,7 @@ CLOSES = {
 }
 LOOK_UP = 32  # open elements that a rule looks through
 
-#: Left out whatever they are called. ``form`` stays if it holds most of the page.
+#: Left out whatever they are called. ``form`` stays if it holds most of the page, with prose.
 DROPPED_TAGS = RAW | frozenset(
     "head nav footer aside form button select option menu dialog object embed applet svg math canvas audio video map".split()
 )
@@ -273,12 +273,13 @@ def _left_out(page: Page, names_count: bool) -> list[bool]:
     """Per element: is it, or an element around it, no part of an article?"""
     n = len(page.tag)
     holds = [False] * n  # the main element or an article
-    length = [0] * n
+    length, prose = [0] * n, [0] * n  # prose: paragraphs and headings inside
     for element, _, text, _ in page.pieces:
         length[element] += len(text)
     for i in range(n - 1, 0, -1):
         up = page.parent[i]
         length[up] += length[i]
+        prose[up] += prose[i] + (page.tag[i] == "p" or page.tag[i] in HEADINGS)
         if holds[i] or (page.tag[i] in ("main", "article") and not page.words[i] & COMMENTS and page.out[i] != "tag"):
             holds[up] = True
     # the article around each element, and the articles with a first heading of their own
@@ -297,7 +298,7 @@ def _left_out(page: Page, names_count: bool) -> list[bool]:
         elif why == "name":
             out[i] = names_count and not holds[i]
         elif why == "form":
-            out[i] = not holds[i] and 2 * length[i] <= length[0]
+            out[i] = not holds[i] and (2 * length[i] <= length[0] or prose[i] < 2)
         else:
             out[i] = why == "tag"
         if not out[i] and page.out[up] == "header" and page.tag[i] not in HEADINGS and page.tag[i] != "hgroup":
