@@ -23,7 +23,7 @@ from .schemas import CLEAN_LISTING_SCHEMA, DEFAULT_UPSERT_KEY, RAW_LISTING_SCHEM
 from .sinks.files import json_record, write_by_store, write_csv, write_json
 from .sinks.named_files import write_named_files
 from .sinks.upsert import upsert, write_upsert
-from .sources.listings import read_listing_csv, store_dimension, stream_listing_csv
+from .sources.listings import read_listing_csv, read_store_config, store_dimension, stream_listing_csv
 from .sources.pages import decode_pages, read_page_files, read_pages
 from .streaming.alerts import alerts_once, failure_alerts, start_alert_once_stream, start_alert_stream
 from .streaming.files import clean_and_upsert_batch, start_clean_upsert_stream, upsert_clean_rows
@@ -51,6 +51,7 @@ __all__ = [
     "read_listing_csv",
     "read_page_files",
     "read_pages",
+    "read_store_config",
     "split_cards",
     "split_rejects",
     "start_alert_once_stream",

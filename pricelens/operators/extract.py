@@ -141,9 +141,9 @@ def store_a_parents(heads: DataFrame, root: str = STORE_A_ROOT) -> DataFrame:
     """(link, category): heading of the page that holds the See-All link (of
     several pages with one link the first by page_id)."""
     heading = H.records(heads, {"heading": {"all_classes": STORE_A_HEADING_CLASS.split()}}, keep=["page_id"])
-    links = store_a_see_all_links(heads, root).join(heading.select("page_id", strip(F.col("heading")).alias("category")), "page_id")
-    first = links.groupBy("link").agg(F.min(F.struct("page_id", "category")).alias("first"))
-    return first.select("link", "first.category")
+    links = store_a_see_all_links(heads, root)
+    first = links.groupBy("link").agg(F.min("page_id").alias("page_id"))
+    return first.join(heading, "page_id").select("link", strip(F.col("heading")).alias("category"))
 
 
 def store_a_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:

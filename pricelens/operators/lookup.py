@@ -1,25 +1,20 @@
 """Dimension lookups (J-1, J-2).
 
 How a dimension is joined is left to the optimizer: Catalyst and AQE broadcast
-a side by its size in bytes, or sort-merge and split skewed keys. Only a local
-relation built from configuration (``local=True``: a few rows) gets the hint.
+a side by its size in bytes, or sort-merge and split skewed keys. The store
+dimension is a local relation, whose size the optimizer knows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
-def _side(dim: DataFrame, local: bool) -> DataFrame:
-    return F.broadcast(dim) if local else dim
-
-
-def lookup(df: DataFrame, dim: DataFrame, key: str | list[str], local: bool = False) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFrame:
     """J-1: left join; a key missing from the dimension gives nulls."""
-    return df.join(_side(dim, local), key, "left")
+    return df.join(dim, key, "left")
 
 
-def unknown_keys(df: DataFrame, dim: DataFrame, key: str | list[str], local: bool = False) -> DataFrame:
+def unknown_keys(df: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFrame:
     """J-2: rows whose key is not in the dimension (they become rejects)."""
-    return df.join(_side(dim, local), key, "left_anti")
+    return df.join(dim, key, "left_anti")

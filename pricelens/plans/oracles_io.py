@@ -80,6 +80,11 @@ d AS (SELECT * FROM (VALUES
   ('Metro', 'https://www.metro.ca/en/online-grocery/aisles', 16), ('NoFrills', 'https://www.nofrills.ca/', NULL)) t(store, site, n_shards))
 SELECT k, s.store, site, CAST(n_shards AS INTEGER) AS n_shards FROM s LEFT JOIN d ON s.store = d.store""",
 )
+oracle(
+    "store_config",
+    """SELECT s_suppkey, n_name, CASE n_nationkey % 3 WHEN 0 THEN 'https://' || lower(n_name) || '.example/a#b' WHEN 1 THEN 'https://' || lower(n_name) || '.example/' END AS site
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+)
 oracle("unknown_store", f"SELECT p_partkey AS k, {STORE5} AS store FROM part WHERE p_partkey % 5 = 4")
 SHARD = "(CAST(FLOOR(k / 2) AS BIGINT) % 7 + 2)"
 oracle(

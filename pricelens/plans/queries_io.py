@@ -24,7 +24,7 @@ from ..session import scratch_path
 from ..sinks import files as K
 from ..sinks.named_files import write_named_files
 from ..sinks.upsert import upsert
-from ..sources.listings import read_listing_csv, store_dimension, stream_listing_csv, write_listing_csv
+from ..sources.listings import read_listing_csv, read_store_config, store_dimension, stream_listing_csv, write_listing_csv
 from ..sources.pages import decode_pages, read_page_files, read_pages
 from ..streaming.alerts import start_alert_once_stream, start_alert_stream
 from ..streaming.files import clean_and_upsert_batch, start_clean_upsert_stream
@@ -214,13 +214,28 @@ def _stores(spark, sf_dir):
 @query("store_lookup")
 def q_store_lookup(spark, sf_dir):
     dim = store_dimension(spark)
-    out = L.lookup(_stores(spark, sf_dir), dim, "store", local=True)
+    out = L.lookup(_stores(spark, sf_dir), dim, "store")
     return out.select("k", "store", "site", F.when(F.col("shards").isNotNull(), F.size("shards")).alias("n_shards"))
 
 
+@query("store_config")
+def q_store_config(spark, sf_dir):
+    """S-7 and J-1 with a config file: a YAML map of nations to sites, written
+    from ``nation``, gives every supplier its site."""
+    nation = read_table(spark, sf_dir, "nation")
+    path = scratch_path(spark, "store-config")
+    value = F.expr("CASE n_nationkey % 3 WHEN 0 THEN '\"https://' || lower(n_name) || '.example/a#b\"  # quoted' WHEN 1 THEN 'https://' || lower(n_name) || '.example/' ELSE '' END")
+    lines = nation.select(F.concat(F.lit('"'), "n_name", F.lit('": '), value).alias("value"))
+    heads = nation.limit(1).select(F.explode(F.array(F.lit("# sites by store"), F.lit("---"), F.lit(""))).alias("value"))
+    heads.unionByName(lines).coalesce(1).write.text(path)
+    config = read_store_config(spark, path).withColumnRenamed("store", "n_name")
+    suppliers = read_table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    return L.lookup(suppliers, config, "n_name")
+
+
 @query("unknown_store")
 def q_unknown_store(spark, sf_dir):
-    return L.unknown_keys(_stores(spark, sf_dir), store_dimension(spark), "store", local=True).select("k", "store")
+    return L.unknown_keys(_stores(spark, sf_dir), store_dimension(spark), "store").select("k", "store")
 
 
 def _multi_store_raw(spark, sf_dir):

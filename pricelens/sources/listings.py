@@ -76,6 +76,18 @@ def write_listing_csv(df: DataFrame, path: str, columns: list[str] | None = None
 def store_dimension(spark: SparkSession) -> DataFrame:
     """S-7: store -> site root and shard list (a handful of configured rows)."""
     shards = dict(STORE_SHARDS)
-    rows = [(s, url, shards.get(s)) for s, url in STORE_SITES]
-    schema = "store string, site string, shards array<int>"
-    return spark.createDataFrame(rows, schema)
+    text = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    numbers = lambda x: f"array({', '.join(map(str, x))})" if x else "CAST(NULL AS ARRAY<INT>)"
+    rows = ", ".join(f"({text(s)}, {text(url)}, {numbers(shards.get(s))})" for s, url in STORE_SITES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(store, site, shards)")
+
+
+def read_store_config(spark: SparkSession, path: str) -> DataFrame:
+    """S-7 from a file: (store, site) of a flat YAML map, one ``store: site`` a
+    line. Comments, blank lines and quotes round a value are allowed; of a
+    repeated store the last line counts, as in a map."""
+    line = r"^\s*(?:\"([^\"]+)\"|'([^']+)'|([^\s#:'\"][^:#]*?))\s*:(?:\s+(?:\"([^\"]*)\"|'([^']*)'|([^#\s](?:[^#]|(?<!\s)#)*?))?)?\s*(?:#.*)?$"
+    part = lambda *groups: F.nullif(F.concat(*[F.regexp_extract("value", line, g) for g in groups]), F.lit(""))
+    lines = spark.read.text(path).select(part(1, 2, 3).alias("store"), part(4, 5, 6).alias("site"), F.monotonically_increasing_id().alias("line"))
+    lines = lines.where("store IS NOT NULL AND NOT (store = '---')")
+    return lines.groupBy("store").agg(F.max_by("site", "line").alias("site"))

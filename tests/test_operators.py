@@ -113,3 +113,14 @@ def test_dispatch_registry_is_extensible(spark):
     registry = {"Loblaws": C.clean_listings, "Other": lambda df, store_col, stores: C.clean_listings(df, store_col, stores)}
     out = {r.pos: (r.store, r.reject_reason) for r in D.clean_dispatch(raw, registry).collect()}
     assert out == {0: ("Loblaws", None), 1: ("Other", None), 2: ("Else", "unknown_store")}
+
+
+def test_store_config_file(spark, tmp_path):
+    from pricelens.sources.listings import read_store_config, store_dimension
+
+    text = "# stores\n---\nLoblaws: https://www.loblaws.ca/\n'H Mart' : \"https://h/a#b\"  # quoted\n\nMetro: https://m/x#y # note\nEmpty:\nLoblaws: https://second/\nnot a pair\n"
+    (tmp_path / "c.yaml").write_text(text)
+    got = {r.store: r.site for r in read_store_config(spark, str(tmp_path / "c.yaml")).collect()}
+    assert got == {"Loblaws": "https://second/", "H Mart": "https://h/a#b", "Metro": "https://m/x#y", "Empty": None}
+    dim = {r.store: (r.site, r.shards) for r in store_dimension(spark).collect()}
+    assert dim["HMart"][1] == [1, 2, 3, *range(5, 14)] and dim["NoFrills"][1] is None
