@@ -86,7 +86,7 @@ def read_store_config(spark: SparkSession, path: str) -> DataFrame:
     """S-7 from a file: (store, site) of a flat YAML map, one ``store: site`` a
     line. Comments, blank lines and quotes round a value are allowed; of a
     repeated store the last line counts, as in a map."""
-    line = r"^\s*(?:\"([^\"]+)\"|'([^']+)'|([^\s#:'\"][^:#]*?))\s*:(?:\s+(?:\"([^\"]*)\"|'([^']*)'|([^#\s](?:[^#]|(?<!\s)#)*?))?)?\s*(?:#.*)?$"
+    line = r"^\s*(?:\"([^\"]+)\"|'([^']+)'|([^\s#:'\"][^:#]*?))\s*:(?:\s+(?:\"([^\"]*)\"|'([^']*)'|([^#\s](?:[^#]|(?<!\s)#)*?))?)?(?:\s+#.*)?\s*$"
     part = lambda *groups: F.nullif(F.concat(*[F.regexp_extract("value", line, g) for g in groups]), F.lit(""))
     lines = spark.read.text(path).select(part(1, 2, 3).alias("store"), part(4, 5, 6).alias("site"), F.monotonically_increasing_id().alias("line"))
     lines = lines.where("store IS NOT NULL AND NOT (store = '---')")
