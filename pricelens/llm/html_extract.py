@@ -183,6 +183,10 @@ class Page:
             self.paragraph += 1
         if self.open.get("head") and name not in IN_HEAD:
             self._close({"head"}, ())
+        if name in ("main", "article") and not self.open.get("article"):  # no article is in a menu or a page's header
+            for unclosed in ("nav", "header"):
+                if self.open.get(unclosed):
+                    self._close({unclosed}, ())
         if name in ENDS_P and self.p_at[-1] > 0:
             self._pop(self.p_at[-1])
         if name in CLOSES:

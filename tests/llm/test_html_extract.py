@@ -35,6 +35,7 @@ PAGES = {
     "upper case and quotes": f"<BODY><NAV title='a > b'>{MENU}</NAV><ARTICLE data-x=\"1 > 0\"><H1>Title</H1>{BODY}</ARTICLE></BODY>",
     "comment marks": f"<body><!-- <article><p>{LONG}</p></article> --><article><h1>Title</h1><!-- > -->{BODY}<![CDATA[]]><![foo[x]]></article><!-- end",
     "hidden": f'<body><article><h1>Title</h1><p hidden>{LONG}</p><div style="display: none">{LONG}</div>{BODY}</article></body>',
+    "unclosed menu": f"<body><header><h1>Site</h1><nav>{MENU}<article><h1>Title</h1>{BODY}</article><footer>x</footer></body>",
     "article header": f'<body><header><h1>The Daily Site</h1></header><article><header><h1>Title</h1><p>By someone</p></header>{BODY}</article></body>',
 }
 
