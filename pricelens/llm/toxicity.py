@@ -12,10 +12,11 @@ hash of doc_id), so that a later model learns from probabilities as uncertain as
 those it will meet. The last category is the verdict.
 
 Features are counted over all labelled rows. The rows used for fitting are
-bounded: at most about ``max_train``, chosen by a hash, half of them of each
-class as far as there are so many, with weights that give each class its share
-of all labelled rows back. So a rare class is learned from as many rows as there
-are. Scoring reads every whole text.
+bounded: at most about ``max_train`` (and a tenth more), chosen by a hash, each
+class by its share of the labelled rows but not less than a tenth of the bound
+as far as it has so many, with weights that give it its share back. So a rare
+class is learned from its rows, however few they are among all. Scoring reads
+every whole text.
 """
 
 from __future__ import annotations
@@ -171,22 +172,27 @@ def train_chain(
     """
     given = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull())
     given = given.groupBy(F.col(doc_id).cast("long").alias("label_id")).agg((F.max(toxic) > 0).cast("int").alias("toxic"))
+    # written, so that its size is known: the optimizer broadcasts the labels while they are
+    # small, and the texts stay where they are read; beyond that both sides are shuffled
+    given = written(given, "toxic-labels")
     rows = docs.select(F.col(doc_id).cast("long").alias("label_id"), F.col(text).cast("string").alias("text"))
-    labelled = rows.join(given, "label_id").select("label_id", "toxic", "text")
-    names, sizes = select_features(labelled, max_features, min_docs, min_z)
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    labelled = rows.join(given, "label_id")
+    names, sizes = select_features(labelled.select("toxic", "text"), max_features, min_docs, min_z)
     if not all(sizes):
         return None
     if not names:
         warnings.warn(f"{sizes[1]} toxic and {sizes[0]} clean labelled documents, but no word or stem tells them apart: nothing will be called toxic (min_docs {min_docs}, min_z {min_z})", stacklevel=2)
         return None
     # equal rows are one row with a weight, so a repeated row neither breaks the bound nor takes others' places
-    different = labelled.select("label_id", "toxic", F.xxhash64("text").alias("h")).distinct().groupBy("toxic").count()
+    different = labelled.select("label_id", "toxic", "h").distinct().groupBy("toxic").count()
     rows_of = {r["toxic"]: r["count"] for r in different.collect()}
-    # of each class at most half of the bound, and what the other one leaves
-    take = [min(rows_of[y], max(max_train // 2, max_train - rows_of[1 - y])) for y in (0, 1)]
+    # each class by its share of the rows, but at least a tenth of the bound (or all its rows)
+    both = rows_of[0] + rows_of[1]
+    take = [min(rows_of[y], max(max_train // 10, max_train * rows_of[y] // both)) for y in (0, 1)]
     share = F.when(F.col("toxic") == 1, F.lit(take[1] / rows_of[1])).otherwise(F.lit(take[0] / rows_of[0]))
-    place = F.pmod(F.xxhash64("label_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    train = labelled.where(place < share).groupBy("label_id", "toxic", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    place = F.pmod(F.xxhash64("label_id", "h"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    train = labelled.where(place < share).groupBy("label_id", "toxic", "h").agg(F.first("text").alias("text"), F.count("*").alias("n"))
     train = written(train.select("label_id", "toxic", "text", "n"), "toxic-train")
     known = Known(names)
     shared = docs.sparkSession.sparkContext.broadcast(known)
