@@ -2,7 +2,7 @@
 
 Features: a document has a feature if one of its words (runs of letters, lower
 case) equals it, or starts with its 4 or 5 letters (``stem:``). Spark counts for
-every feature how many toxic and clean labelled documents have it; the features
+every feature how many toxic and clean documents of the sample have it; the features
 with the strongest surplus of toxic documents are kept (at most ``max_features``).
 
 Chain: the categories are predicted one after another by logistic models. The
@@ -11,12 +11,11 @@ categories; in training these are out-of-fold predictions (``folds`` parts by a
 hash of doc_id), so that a later model learns from probabilities as uncertain as
 those it will meet. The last category is the verdict.
 
-Features are counted over all labelled rows. The rows used for fitting are
-bounded: at most about ``max_train`` (and a tenth more), chosen by a hash, each
-class by its share of the labelled rows but not less than a tenth of the bound
-as far as it has so many, with weights that give it its share back. So a rare
-class is learned from its rows, however few they are among all. Scoring reads
-every whole text.
+The classifier is fitted on a bounded sample of the labelled documents: about
+``max_train`` (and a tenth more), chosen by a hash of doc_id, each class by its
+share of the labels, but at least a tenth of the bound as far as it has so many,
+with weights that give it its share back. So a rare class is learned from its
+rows, however few they are among all. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -125,9 +124,8 @@ class Chain:
         return dense
 
 
-def select_features(train: DataFrame, max_features: int, min_docs: int, min_z: float) -> tuple[list[str], tuple[int, int]]:
-    """Features of (text, toxic) rows by their surplus of toxic documents, and
-    how many rows are clean and toxic."""
+def select_features(train: DataFrame, max_features: int, min_docs: int, min_z: float) -> list[str]:
+    """Features of (text, toxic) rows by their surplus of toxic documents."""
 
     def run(batches):
         for batch in batches:
@@ -142,13 +140,13 @@ def select_features(train: DataFrame, max_features: int, min_docs: int, min_z: f
     totals = train.agg(F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")).first()
     n0, n1 = totals["clean"] or 0, totals["toxic"] or 0
     if not n0 or not n1:
-        return [], (n0, n1)
+        return []
     found = train.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "feature string, clean long, toxic long")
     sums = found.groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     p = (F.col("c") + F.col("t") + 1) / (n0 + n1 + 2)
     z = (F.col("t") / n1 - F.col("c") / n0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
     kept = sums.where(F.col("t") >= min_docs).select("feature", z.alias("z")).where(F.col("z") >= min_z)
-    return sorted(r["feature"] for r in kept.orderBy(F.desc("z"), "feature").limit(max_features).collect()), (n0, n1)
+    return sorted(r["feature"] for r in kept.orderBy(F.desc("z"), "feature").limit(max_features).collect())
 
 
 def train_chain(
@@ -163,37 +161,30 @@ def train_chain(
     min_z: float = 4.0,
     folds: int = 5,
 ) -> Chain | None:
-    """The chain for CATEGORIES; None if no labelled document is toxic, or none
-    is clean; also None, with a warning, if there are both but no feature has
-    enough documents and surplus to tell them apart.
+    """The chain for CATEGORIES; None if there is no toxic or no clean label;
+    also None, with a warning, if no feature tells them apart.
 
     ``labels``: (doc_id, toxic); null labels and ids are ignored, of several
     labels of a document the largest counts.
     """
     given = labels.where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull())
     given = given.groupBy(F.col(doc_id).cast("long").alias("label_id")).agg((F.max(toxic) > 0).cast("int").alias("toxic"))
-    # written, so that its size is known: the optimizer broadcasts the labels while they are
-    # small, and the texts stay where they are read; beyond that both sides are shuffled
-    given = written(given, "toxic-labels")
-    rows = docs.select(F.col(doc_id).cast("long").alias("label_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    labelled = rows.join(given, "label_id")
-    names, sizes = select_features(labelled.select("toxic", "text"), max_features, min_docs, min_z)
-    if not all(sizes):
+    size = {r["toxic"]: r["count"] for r in given.groupBy("toxic").count().collect()}
+    if len(size) < 2:
         return None
+    n = sum(size.values())
+    share = [min(1.0, max(max_train / n, max_train / 10 / size[y])) for y in (0, 1)]
+    place = F.pmod(F.xxhash64("label_id"), F.lit(1_000_000))
+    chosen = given.where(place < F.when(F.col("toxic") == 1, F.lit(int(share[1] * 1_000_000))).otherwise(F.lit(int(share[0] * 1_000_000))))
+    rows = docs.select(F.col(doc_id).cast("long").alias("label_id"), F.col(text).cast("string").alias("text"))
+    # the chosen labels are about max_train rows of two numbers: a bounded broadcast
+    # equal rows are one row with a weight, so a repeated row does not break the bound
+    train = rows.join(F.broadcast(chosen), "label_id").groupBy("label_id", "toxic", F.xxhash64("text").alias("h"))
+    train = written(train.agg(F.first("text").alias("text"), F.count("*").alias("n")), "toxic-train")
+    names = select_features(train, max_features, min_docs, min_z)
     if not names:
-        warnings.warn(f"{sizes[1]} toxic and {sizes[0]} clean labelled documents, but no word or stem tells them apart: nothing will be called toxic (min_docs {min_docs}, min_z {min_z})", stacklevel=2)
+        warnings.warn(f"{size[1]} toxic and {size[0]} clean labels, but no word or stem tells them apart: nothing will be called toxic (min_docs {min_docs}, min_z {min_z})", stacklevel=2)
         return None
-    # equal rows are one row with a weight, so a repeated row neither breaks the bound nor takes others' places
-    different = labelled.select("label_id", "toxic", "h").distinct().groupBy("toxic").count()
-    rows_of = {r["toxic"]: r["count"] for r in different.collect()}
-    # each class by its share of the rows, but at least a tenth of the bound (or all its rows)
-    both = rows_of[0] + rows_of[1]
-    take = [min(rows_of[y], max(max_train // 10, max_train * rows_of[y] // both)) for y in (0, 1)]
-    share = F.when(F.col("toxic") == 1, F.lit(take[1] / rows_of[1])).otherwise(F.lit(take[0] / rows_of[0]))
-    place = F.pmod(F.xxhash64("label_id", "h"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    train = labelled.where(place < share).groupBy("label_id", "toxic", "h").agg(F.first("text").alias("text"), F.count("*").alias("n"))
-    train = written(train.select("label_id", "toxic", "text", "n"), "toxic-train")
     known = Known(names)
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
@@ -202,22 +193,19 @@ def train_chain(
             found = [shared.value.present(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32())), batch.column(3)], names=["label_id", "toxic", "present", "n"])
 
-    got = train.mapInArrow(run, "label_id long, toxic int, present array<int>, n long").collect()
+    got = train.select("label_id", "toxic", "text", "n").mapInArrow(run, "label_id long, toxic int, present array<int>, n long").collect()
     got.sort(key=lambda r: (r["label_id"], r["toxic"], r["present"]))
     stem = np.array([x.startswith("stem:") for x in names])
     y = np.array([r["toxic"] for r in got], dtype=np.int64)
     word = np.array([any(not stem[i] for i in r["present"]) for r in got], dtype=np.int64)
     root = np.array([any(stem[i] for i in r["present"]) for r in got], dtype=np.int64)
-    # documents of each class are dealt over the folds in turn, in the order of a hash
-    dealt = {}
-    for label in (0, 1):
-        ids = sorted({r["label_id"] for r in got if r["toxic"] == label}, key=lambda i: (i * 0x9E3779B97F4A7C15 % 2**64, i))
-        dealt |= {i: k % folds for k, i in enumerate(ids)}
-    fold = np.array([dealt[r["label_id"]] for r in got])
-    held = [sum(r["n"] for r in got if r["toxic"] == label) for label in (0, 1)]
-    if not all(held):
-        return None
-    weight = np.array([r["n"] * sizes[r["toxic"]] / held[r["toxic"]] for r in got])
+    fold = np.array([(r["label_id"] * 0x9E3779B97F4A7C15 >> 32) % folds for r in got])
+    if share[0] != share[1]:  # a rare class: its few documents are dealt over the folds in turn
+        rare = int(size[1] < size[0])
+        ids = sorted({r["label_id"] for r in got if r["toxic"] == rare}, key=lambda i: (i * 0x9E3779B97F4A7C15 % 2**64, i))
+        turn = {i: k % folds for k, i in enumerate(ids)}
+        fold = np.array([turn[r["label_id"]] if r["toxic"] == rare else f for r, f in zip(got, fold.tolist())])
+    weight = np.array([r["n"] / share[r["toxic"]] * min(share) for r in got])
     return Chain(names, CATEGORIES).fit([r["present"] for r in got], np.stack([y & word, y & root, y], 1), fold, weight)
 
 
