@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pricing as P
 from ..schemas import CLEAN_COLUMNS, NA_WORDS, RAW_LISTING_COLUMNS
+from ..session import not_broadcast
 
 STORE_A = "Loblaws"
 
@@ -152,7 +153,7 @@ def first_listings(raw: DataFrame, file_col: str = "file", pos_col: str = "pos",
     first = keys.groupBy("_file", "_key").agg(F.min("_pos").alias("_pos"), *([F.count("*").alias("_n")] if quality else []))
     if quality:
         first = quality.watch_input(first, "_n")
-    return raw.join(first, raw[file_col].eqNullSafe(first["_file"]) & (raw[pos_col] == first["_pos"]), "left_semi")
+    return raw.join(not_broadcast(first), raw[file_col].eqNullSafe(first["_file"]) & (raw[pos_col] == first["_pos"]), "left_semi")
 
 
 def clean_listings(raw: DataFrame, store_col: str | None = None, stores: list[str] | None = None, file_col: str = "file", pos_col: str = "pos", store: str = STORE_A, na_words=NA_WORDS, quality=None) -> DataFrame:

@@ -32,6 +32,7 @@ from ..schemas import (
     STORE_B_SCHEMA,
     STORE_B_SPEC_FIELDS,
 )
+from ..session import not_broadcast
 
 STORE_B = "HMart"
 #: What an extractor reads from a card (kept as text when the card is rejected).
@@ -101,7 +102,7 @@ def store_a_cards(
         recs = recs.withColumn("category", F.lit(None).cast("string"))
     else:
         parents = store_a_parents(heads, root).select(F.col("link").alias("parent_link"), "category")
-        recs = recs.join(parents, F.substring_index("url", "?", 1) == F.col("parent_link"), "left")
+        recs = recs.join(not_broadcast(parents), F.substring_index("url", "?", 1) == F.col("parent_link"), "left")
     out = recs.select(
         *keep,
         F.col("ord").alias("card"),
@@ -143,7 +144,7 @@ def store_a_parents(heads: DataFrame, root: str = STORE_A_ROOT) -> DataFrame:
     heading = H.records(heads, {"heading": {"all_classes": STORE_A_HEADING_CLASS.split()}}, keep=["page_id"])
     links = store_a_see_all_links(heads, root)
     first = links.groupBy("link").agg(F.min("page_id").alias("page_id"))
-    return first.join(heading, "page_id").select("link", strip(F.col("heading")).alias("category"))
+    return first.join(not_broadcast(heading), "page_id").select("link", strip(F.col("heading")).alias("category"))
 
 
 def store_a_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -254,7 +255,7 @@ def store_b_rows(listing_pages: DataFrame, product_pages: DataFrame, captured_co
     latest = products.groupBy("url").agg(F.max(F.struct(captured_col, *rest)).alias("p"))
     latest = latest.select("url", timefmt.scrape_day(F.col(f"p.{captured_col}")).alias("scrap_date"), *[f"p.{c}" for c in rest])
     latest = latest.withColumnRenamed("reject_reason", "page_reject")
-    joined = cards.join(latest, cards["prd_url"] == latest["url"], "left")
+    joined = cards.join(not_broadcast(latest), cards["prd_url"] == latest["url"], "left")
     reason = F.coalesce(
         F.col("card_reject"),
         F.when(F.col("url").isNull(), F.lit("missing:product_page")),
