@@ -27,8 +27,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def write_by_store(df: DataFrame, path: str, partition_cols=("store",), mode: str = "overwrite") -> None:
     """K-2: one folder per store (and any further partition columns).
 
-    Readers filtering on ``store`` then list and read only that folder.
+    Readers filtering on ``store`` then list and read only that folder. A folder's
+    rows are brought together first, so the number of files grows with the
+    folders and the data, not with folders times tasks; a folder with more rows
+    than a task should write is split over several.
     """
+    df = df.hint("rebalance", *partition_cols)
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
 
 
