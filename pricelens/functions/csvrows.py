@@ -16,6 +16,7 @@ null; a row that is shorter than the header has nulls; blank lines are skipped.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import sys
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 OUT_ROWS = 20_000  # rows per output batch
+OUT_CELLS = 100_000  # and their cells: rows may be of any width
 
 
 def _ship_by_value() -> None:
@@ -56,11 +58,17 @@ def header_names(cells: list[str]) -> list[str]:
     return out
 
 
-def file_rows(content: bytes | None):
-    """(names, cells, malformed) of each row below the header of one file."""
+def file_rows(content):
+    """(names, cells, malformed) of each row below the header of one file (bytes,
+    or an Arrow buffer of them); decoded as it is read, never as a whole."""
+    import pyarrow as pa
+
     csv.field_size_limit(sys.maxsize)
-    text = (content or b"").decode("utf-8", "replace").removeprefix("﻿")
-    rows = (r for r in csv.reader(io.StringIO(text, newline="")) if r)
+    data = pa.py_buffer(content or b"")
+    if data.size >= 3 and data.slice(0, 3).to_pybytes() == codecs.BOM_UTF8:
+        data = data.slice(3)
+    text = io.TextIOWrapper(io.BufferedReader(pa.BufferReader(data), 1 << 16), "utf-8", "replace", newline="")
+    rows = (r for r in csv.reader(text) if r)
     head = next(rows, None)
     if head is None:
         return
@@ -94,14 +102,14 @@ def _rows(keep: list[str], content_col: str):
                 return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
             for i in range(batch.num_rows):
-                for at, (names, cells, malformed) in enumerate(file_rows(contents[i].as_py()), start=1):
+                for at, (names, cells, malformed) in enumerate(file_rows(contents[i].as_buffer()), start=1):
                     src.append(i)
                     pos.append(at)
                     keys += names
                     values += [c or None for c in cells]
                     offsets.append(len(keys))
                     bad.append(malformed)
-                    if len(src) == OUT_ROWS:
+                    if len(src) == OUT_ROWS or len(keys) >= OUT_CELLS:
                         yield out()
                         src, pos, offsets, keys, values, bad = [], [], [0], [], [], []
             yield out()
