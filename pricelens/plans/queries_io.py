@@ -79,7 +79,10 @@ def q_csv_wide(spark, sf_dir):
     path = scratch_path(spark, "csv-wide")
     rows = lines.unionByName(heads).repartition("name").sortWithinPartitions("name", "k").select("name", "line")
     rows.write.options(sep="\u0001", quote="", header="false").partitionBy("name").csv(f"{path}/store=Loblaws")
-    raw = read_listing_csv(spark, path)
+    files = read_listing_csv(spark, path)
+    read = scratch_path(spark, "csv-wide-rows")
+    files.write.parquet(read)  # used three times below: a file is read by one task, once
+    raw = spark.read.schema(files.schema).parquet(read)
     cleaned = D.clean_dispatch(raw).select("prd_id_in_store", "reject_reason", "raw", "pos", "file")
     cells = F.col("cells")
     got = raw.join(cleaned, ["file", "pos"], "left").select(
