@@ -16,11 +16,15 @@ mounted paths, HDFS, object stores), which the driver and all executors must sha
 
 from __future__ import annotations
 
+import json
 import posixpath
 import re
 import sys
 import uuid
+import zlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +46,11 @@ _ship_by_value()
 
 @dataclass
 class WrittenFiles(WriterCommitMessage):
-    staged: list[tuple[str, str]]  # (path in the staging folder, name)
+    folder: str  # of the attempt, in the staging folder
+    names: bytes  # of its files, as compressed JSON: all tasks' messages meet in the driver
+
+
+MOVES = 16  # files moved at a time
 
 
 def file_system(path: str):
@@ -76,7 +84,7 @@ class NamedFilesWriter(DataSourceArrowWriter):
 
         fs, root = file_system(self.path)
         folder = posixpath.join(root, self.staging, uuid.uuid4().hex)  # of this attempt
-        staged, done, name, out = [], set(), None, None
+        done, folders, name, out = set(), set(), None, None
 
         def header() -> bytes:
             if self.content:
@@ -101,10 +109,11 @@ class NamedFilesWriter(DataSourceArrowWriter):
                         raise ValueError(f"the rows of {name} are not next to each other, or too many")
                     done.add(name)
                     path = posixpath.join(folder, name)
-                    fs.create_dir(posixpath.dirname(path), recursive=True)
+                    if posixpath.dirname(path) not in folders:
+                        folders.add(posixpath.dirname(path))
+                        fs.create_dir(posixpath.dirname(path), recursive=True)
                     out = fs.open_output_stream(path)
                     out.write(header())
-                    staged.append((path, name))
                 elif self.content:
                     raise ValueError(f"{name} has more than one row")
                 if self.content:
@@ -116,24 +125,35 @@ class NamedFilesWriter(DataSourceArrowWriter):
                 lo = hi
         if out is not None:
             out.close()
-        return WrittenFiles(staged)
+        return WrittenFiles(folder, zlib.compress(json.dumps(sorted(done)).encode()))
 
     def commit(self, messages) -> None:
         from pyarrow import fs as pafs
 
         fs, root = file_system(self.path)
-        staged = [s for m in messages if m is not None for s in m.staged]
-        if len({name for _, name in staged}) < len(staged):
-            self.abort(messages)
-            raise ValueError("two tasks wrote one file: the rows of a key must be in one task")
+        messages = [m for m in messages if m is not None]
+        files = lambda: ((m.folder, name) for m in messages for name in json.loads(zlib.decompress(m.names)))
+        seen = set()
+        for _, name in files():
+            if name in seen:
+                self.abort(messages)
+                raise ValueError("two tasks wrote one file: the rows of a key must be in one task")
+            seen.add(name)
         if self.overwrite:
             for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
                 if info.base_name != self.staging:
                     fs.delete_dir(info.path) if info.type == pafs.FileType.Directory else fs.delete_file(info.path)
-        for path, name in staged:
-            target = posixpath.join(root, name)
-            fs.create_dir(posixpath.dirname(target), recursive=True)
-            fs.move(path, target)
+        for folder in {posixpath.dirname(name) for name in seen}:
+            fs.create_dir(posixpath.join(root, folder), recursive=True)
+
+        def move(part: list[tuple[str, str]]) -> None:
+            for folder, name in part:
+                fs.move(posixpath.join(folder, name), posixpath.join(root, name))
+
+        todo = files()
+        with ThreadPoolExecutor(MOVES) as pool:
+            while parts := [p for p in (list(islice(todo, 250)) for _ in range(MOVES)) if p]:
+                list(pool.map(move, parts))
         self._clear(fs, root)
 
     def abort(self, messages) -> None:

@@ -42,6 +42,9 @@ def read_page_files(spark: SparkSession, path: str, glob: str = "*.html") -> Dat
     """``(key, captured_at, content)`` of every page file in any folder below
     ``path``; ``key`` is the path below it, the capture time the file's."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    # Spark counts 4 MB for opening a file, so a task would read some 30 pages: as many tasks as the
+    # job's shuffles have are enough (nothing is shuffled, and never more than there were)
+    files = files.coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return files.select(paths.relative_key("_metadata.file_path", path).alias("key"), F.col("modificationTime").alias("captured_at"), "content")
 
 
