@@ -20,12 +20,10 @@ def page_links(pages: DataFrame) -> DataFrame:
 
     Links and pagers are read from each captured page; a page of a pager
     (``?page=i``) has the same pager as the others, so the pages of a pager are
-    those of the URL without the query.
+    those of the URL without the query. A page is parsed once for both.
     """
-    see_all = X.store_a_see_all_links(pages, keep=["url"]).select(F.col("url").alias("from_url"), F.col("link").alias("to_url"))
-    info = X.store_a_page_info(pages, keep=["url"]).where("has_pager").select(F.col("url").alias("from_url"), F.substring_index("url", "?", 1).alias("url"), "has_pager", "n_pages")
-    pager = W.store_a_page_urls(info).select("from_url", F.col("page_url").alias("to_url"))
-    return see_all.unionByName(pager).where("to_url is not null")
+    leads = W.store_a_page_urls(X.store_a_leads(pages))
+    return leads.select("from_url", F.col("page_url").alias("to_url")).where("to_url is not null")
 
 
 def page_closure(seeds: DataFrame, links: DataFrame, captured: DataFrame | None = None) -> DataFrame:

@@ -152,25 +152,41 @@ def store_a_page_info(pages: DataFrame, keep: list[str] | None = None) -> DataFr
     page's content (a header menu does not count): its buttons - 2, at least 0;
     no pager = 1 page (``has_pager`` false)."""
     keep = keep if keep is not None else ["page_id", "url"]
-    content = {"attrs": {"id": STORE_A_CONTENT_ID}}
-    recs = H.records(
-        pages,
-        {
-            "n_pager": {**content, "find": {"tag": "nav", "get": "count"}},
-            "n_buttons": {**content, "find": {"tag": "nav", "find": {"tag": "button", "get": "count"}}},
-        },
-        keep=keep,
-    )
+    has, n = pager_columns()
+    return H.records(pages, PAGER_FIELDS, keep=keep).select(*keep, has.alias("has_pager"), n.alias("n_pages"))
+
+
+PAGER_FIELDS = {
+    "n_pager": {"attrs": {"id": STORE_A_CONTENT_ID}, "find": {"tag": "nav", "get": "count"}},
+    "n_buttons": {"attrs": {"id": STORE_A_CONTENT_ID}, "find": {"tag": "nav", "find": {"tag": "button", "get": "count"}}},
+}
+
+
+def pager_columns() -> tuple[Column, Column]:
+    """(has_pager, n_pages) from the ``PAGER_FIELDS`` of a page."""
     has = F.coalesce(F.col("n_pager").cast("int") > 0, F.lit(False))
-    n = F.when(has, F.greatest(F.col("n_buttons").cast("int") - 2, F.lit(0))).otherwise(F.lit(1))
-    return recs.select(*keep, has.alias("has_pager"), n.alias("n_pages"))
+    return has, F.when(has, F.greatest(F.col("n_buttons").cast("int") - 2, F.lit(0))).otherwise(F.lit(1))
+
+
+SEE_ALL = {"tag": "a", "attrs": {"data-testid": STORE_A_NAV_TESTID}, "text": STORE_A_NAV_TEXT}
+SEE_ALL_FIELDS = {"href": {"self": True, "get": "@href"}}
+
+
+def store_a_leads(pages: DataFrame, root: str = STORE_A_ROOT) -> DataFrame:
+    """H-8 and H-14 from one parse, as ``(from_url, url, has_pager, n_pages)``: a
+    row per See-All link, with the link as ``url``, and one per page that has a
+    pager, with the pager's root."""
+    recs = H.kind_records(pages, {"link": (SEE_ALL, SEE_ALL_FIELDS), "pager": (None, PAGER_FIELDS)}, keep=["url"])
+    has, n = pager_columns()  # a link row has neither field: no pager, one page
+    is_link = F.col("kind") == "link"
+    to = F.when(is_link, H.join_root(root, "href")).otherwise(F.substring_index("url", "?", 1))
+    return recs.where(is_link | has).select(F.col("url").alias("from_url"), to.alias("url"), has.alias("has_pager"), n.alias("n_pages"))
 
 
 def store_a_see_all_links(pages: DataFrame, root: str = STORE_A_ROOT, keep: list[str] | None = None) -> DataFrame:
     """H-8: links tagged as navigation whose text is exactly 'See All'."""
     keep = keep if keep is not None else ["page_id"]
-    link = {"tag": "a", "attrs": {"data-testid": STORE_A_NAV_TESTID}, "text": STORE_A_NAV_TEXT}
-    recs = H.records(pages, {"href": {"self": True, "get": "@href"}}, container=link, keep=keep)
+    recs = H.records(pages, SEE_ALL_FIELDS, container=SEE_ALL, keep=keep)
     return recs.select(*keep, F.col("rec").alias("pos"), H.join_root(root, F.col("href")).alias("link"))
 
 

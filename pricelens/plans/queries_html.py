@@ -12,7 +12,7 @@ from ..operators import extract as X
 from ..operators import worklist as W
 from ..operators.closure import page_closure, page_links
 from ..schemas import CLEAN_COLUMNS, STORE_A_CARD_CLASSES, STORE_A_FIELDS, STORE_A_NOTICE_CLASS
-from ..session import scratch_path, written_once
+from ..session import not_broadcast, scratch_path, written_once
 from ..sources.pages import read_pages
 from .fixtures import read_table
 from .html_fixtures import DAMAGED_CARDS, DAMAGED_PAGE, part_pages, product_pages
@@ -131,12 +131,13 @@ def q_page_closure(spark, sf_dir):
     """
     hubs, listings = _part_pages(spark, sf_dir, "hub"), _part_pages(spark, sf_dir, "store_a")
     urls = W.store_a_page_urls(X.store_a_page_info(listings)).where("page_no % 2 = 1 AND page_url <> url")
-    further = listings.join(urls.select("page_id", "page_url"), "page_id").select(F.col("page_url").alias("url"), "html")
-    pages = hubs.select("url", "html").unionByName(listings.select("url", "html")).unionByName(further)
-    with written_once(page_links(pages), "page-links") as links, written_once(pages.select("url"), "page-urls") as captured:
-        out = page_closure(hubs.where("page_id % 4 = 1").select("url"), links, captured)
-        path = scratch_path(spark, "page-closure")
-        out.write.parquet(path)
+    with written_once(urls.select("page_id", "page_url"), "further-urls") as urls:
+        further = listings.join(not_broadcast(urls), "page_id").select(F.col("page_url").alias("url"), "html")
+        pages = hubs.select("url", "html").unionByName(listings.select("url", "html")).unionByName(further)
+        with written_once(page_links(pages), "page-links") as links, written_once(pages.select("url"), "page-urls") as captured:
+            out = page_closure(hubs.where("page_id % 4 = 1").select("url"), links, captured)
+            path = scratch_path(spark, "page-closure")
+            out.write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -168,7 +169,9 @@ def q_cards_to_clean(spark, sf_dir):
         F.date_format("day", "yyyy-MM-dd").alias("date"),
         "category", "sub_category", "prd_name", "prd_brand", "prd_price", "prd_per_price", "prd_discount", "prd_link", "prd_img",
     )
-    good, _ = C.split_rejects(C.clean_store_a(raw))
+    path = scratch_path(spark, "card-rows")
+    raw.write.parquet(path)  # the cleaner reads its rows twice: the pages are parsed once
+    good, _ = C.split_rejects(C.clean_store_a(spark.read.schema(raw.schema).parquet(path)))
     return good.select(*CLEAN_COLUMNS)
 
 
