@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pricing as P
 from ..schemas import CLEAN_COLUMNS, NA_WORDS, RAW_LISTING_COLUMNS
-from ..session import not_broadcast
+from ..session import code_for_jit, not_broadcast
 
 STORE_A = "Loblaws"
 
@@ -117,6 +117,7 @@ def clean_store_a_rows(
     With ``store_col`` the store is read from that column and rows of a store
     not in ``stores`` are ``unknown_store`` rejects: nothing of them is parsed.
     """
+    code_for_jit(raw.sparkSession)
     keep = list(keep or [])
     na_raw, steps, final = _row_steps(tuple(na_words), tuple(raw.columns))
     known = F.coalesce(F.col(store_col).isin(stores), F.lit(False)) if store_col else F.lit(True)
